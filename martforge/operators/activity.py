@@ -9,9 +9,13 @@ keys (two zones) and a window state that grows with the user base, so they do
 not scale out. The forms below are equal but shuffle on (zone, day, owner)
 and keep every window tiny:
 
-* WAU: each active (zone, day, owner) is credited to the seven anchor days
-  ``day-6 .. day``; anchors that are not active days are dropped by a
-  semi join against the active-day set; owners are then counted per anchor.
+* WAU: each active (zone, day, owner) is credited to the anchor days
+  ``day-6 .. day`` that the owner's previous active day did not already
+  cover (a ``lag`` over the owner's days - at most one row per day, so even
+  a very hot owner is a bounded partition). Every (owner, anchor) pair is
+  produced once, so a plain ``count`` (map-side combined) replaces a
+  distinct count; anchors that are not active days are dropped by a semi
+  join against the active-day set.
 * MAU: owners are counted once per (zone, month) and joined back to days.
 * NRU: first active day per (zone, owner), counted per day.
 * RU: running sum of NRU over the active days of a zone (the window sees
@@ -47,13 +51,16 @@ def daily_active(activity: DataFrame) -> DataFrame:
 def weekly_active(activity: DataFrame) -> DataFrame:
     """Forward WAU: owners active in ``[bdate, bdate + 6]``, for active days."""
     days = active_days(activity)
-    credited = activity.filter(F.col("owner").isNotNull()).select(
-        "timezone_type",
-        "owner",
-        F.explode(F.sequence(F.date_sub("bdate", WAU_DAYS - 1), F.col("bdate"))).alias("bdate"),
+    per_owner = Window.partitionBy("timezone_type", "owner").orderBy("bdate")
+    prev = F.lag("bdate").over(per_owner)
+    first_new = F.greatest(F.date_sub("bdate", WAU_DAYS - 1), F.coalesce(F.date_add(prev, 1), F.date_sub("bdate", WAU_DAYS - 1)))
+    credited = (
+        activity.filter(F.col("owner").isNotNull())
+        .select("timezone_type", "owner", "bdate", first_new.alias("__from"))
+        .select("timezone_type", F.explode(F.sequence("__from", "bdate")).alias("bdate"))
     )
     credited = credited.join(days, KEYS, "left_semi")
-    counts = credited.groupBy(*KEYS).agg(F.count_distinct("owner").alias("wau"))
+    counts = credited.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("wau"))
     return days.join(counts, KEYS, "left").select(*KEYS, F.coalesce("wau", F.lit(0)).alias("wau"))
 
 
@@ -97,8 +104,16 @@ def cumulative_users(activity: DataFrame) -> DataFrame:
     )
 
 
-def user_summary(activity: DataFrame) -> DataFrame:
-    """J9 + P13: the five metrics on the active-day spine, NULL -> 0, sorted."""
+def user_summary(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
+    """J9 + P13: the five metrics on the active-day spine, NULL -> 0, sorted.
+
+    The distinct activity feeds five branches; it is checkpointed once
+    (``materialize_input``) instead of being recomputed per branch.
+    """
+    if materialize_input:
+        from martforge.session import materialize
+
+        activity = materialize(activity)
     spine = active_days(activity)
     out = spine
     for part in (

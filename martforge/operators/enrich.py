@@ -4,10 +4,14 @@ A dimension is joined once per role (base/quote token, from/to chain). Each
 role gets its own renamed projection of the dimension, so the joined columns
 never collide and no DataFrame alias bookkeeping is needed.
 
-Broadcast policy: a dimension is broadcast only after a bounded check proves
-it has at most ``max_rows`` rows (``limit(max_rows + 1).count()`` stops
-reading as soon as the bound is exceeded). Larger sides fall back to a
-shuffle join, where AQE may still switch strategy or split skewed keys.
+Broadcast policy: no side is hinted blindly. By default the join is left to
+Spark's own size checks - the static estimate (file size of the projected
+columns, an upper bound for filters/projections) against
+``spark.sql.autoBroadcastJoinThreshold``, then AQE's measured size of the
+materialised side - so a dimension that grows past the threshold silently
+becomes a shuffle join (with AQE skew splitting). ``check_size=True`` adds an
+explicit bounded row check (``limit(max_rows + 1).count()``, one small job)
+before hinting ``broadcast``, for sides whose size Spark cannot estimate.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ def attach_role(
     role: str,
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
-    check_size: bool = True,
+    check_size: bool = False,
 ) -> DataFrame:
     """Join one role of ``dim`` onto ``fact``.
 
@@ -68,9 +72,11 @@ def attach_by_key(
     on: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
+    check_size: bool = False,
 ) -> DataFrame:
     """USING-style equi join on same-named keys."""
-    return fact.join(bounded_broadcast(dim, max_rows), list(on), how)
+    side = bounded_broadcast(dim, max_rows) if check_size else dim
+    return fact.join(side, list(on), how)
 
 
 def remove_matched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, ts_to_epoch
-from martforge.sources.scans import OVERWRITE, DatasetSpec
+from martforge.sources.scans import OVERWRITE, DatasetSpec, spread
 
 # --- fixed values: binding parameters ---------------------------------------
 OFFSET_MULTIPLIER = 7919        # seconds offset = (o_orderkey * 7919) % 86400
@@ -34,8 +34,13 @@ ROUTE_CHAINS = 7                # to_chain_id range; 5 and 6 have no chain row
 # ---------------------------------------------------------------------------
 
 
+# Fact tables: spread over all cores when the file yields too few splits.
+FACT_TABLES = frozenset({"lineitem", "orders", "events", "customer", "part"})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def d(value: str | F.Column, typ: str) -> F.Column:

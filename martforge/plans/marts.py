@@ -35,15 +35,19 @@ PAIR_COLUMNS = {"pair_name": "pair_name", "quote_address": "quote_address", "bas
 
 
 def _with_pair_and_tokens(df: DataFrame, pairs: DataFrame, tokens: DataFrame, token_address_wins: bool = False) -> DataFrame:
-    """J1 + J3: pair by ``pair_address``, then token as base and as quote."""
-    out = attach_role(df, pairs, [("pair_address", "pair_address")], PAIR_COLUMNS, "pair")
+    """J1 + J3: pair by ``pair_address``, then token as base and as quote.
+
+    Broadcast is left to Spark's size checks (static estimate from file
+    sizes, then AQE's measured size); no dimension is hinted blindly.
+    """
+    out = attach_role(df, pairs, [("pair_address", "pair_address")], PAIR_COLUMNS, "pair", check_size=False)
     base = {"base_name": "name", "base_symbol": "symbol"}
     quote = {"quote_name": "name", "quote_symbol": "symbol"}
     if token_address_wins:
         base["base_address"] = "address"
         quote["quote_address"] = "address"
-    out = attach_role(out, tokens, [("base_address", "address")], base, "base")
-    return attach_role(out, tokens, [("quote_address", "address")], quote, "quote")
+    out = attach_role(out, tokens, [("base_address", "address")], base, "base", check_size=False)
+    return attach_role(out, tokens, [("quote_address", "address")], quote, "quote", check_size=False)
 
 
 # D1 -------------------------------------------------------------------------
@@ -226,10 +230,14 @@ def bridge_details(history: DataFrame, chains: DataFrame, tokens: DataFrame, sta
     previous day are rewritten (I2).
     """
     sliced = filter_by_time(history, shift_days(start, -lookback_days), end)
-    out = attach_role(sliced, chains, [("from_chain_id", "chain_id")], {"from_chain_name": "network"}, "fchain")
-    out = attach_role(out, chains, [("to_chain_id", "chain_id")], {"to_chain_name": "network"}, "tchain")
-    out = attach_role(out, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"from_token_symbol": "symbol"}, "ftoken")
-    out = attach_role(out, tokens, [("to_token", "address"), ("to_chain_id", "chain_id")], {"to_token_symbol": "symbol"}, "ttoken")
+    out = attach_role(sliced, chains, [("from_chain_id", "chain_id")], {"from_chain_name": "network"}, "fchain", check_size=False)
+    out = attach_role(out, chains, [("to_chain_id", "chain_id")], {"to_chain_name": "network"}, "tchain", check_size=False)
+    out = attach_role(
+        out, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"from_token_symbol": "symbol"}, "ftoken", check_size=False
+    )
+    out = attach_role(
+        out, tokens, [("to_token", "address"), ("to_chain_id", "chain_id")], {"to_token_symbol": "symbol"}, "ttoken", check_size=False
+    )
     return out.select(*[F.col(f"`{c}`") for c in BRIDGE_DETAIL_COLUMNS])
 
 

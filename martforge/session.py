@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of a finished query are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -68,3 +70,18 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex[:12])
     return "/".join(pieces)
+
+
+def materialize(df, name: str = "materialized"):
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
+    and continue from the written table.
+
+    Used where one intermediate feeds several branches of a plan, so it is
+    computed once. The files live in ``spark.checkpoint.dir`` (shared storage
+    on a cluster), so losing an executor does not lose them, and the read-back
+    scan carries real file sizes for later join planning.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -108,6 +108,22 @@ def projection(df: DataFrame, columns: Sequence) -> DataFrame:
     return df.select(*columns)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with a single row group is read by one task, which would run the
+    whole map side (joins, arithmetic, partial aggregation) on one core. Only
+    then the rows are dealt round-robin over ``min_partitions`` (default: the
+    default parallelism); a scan that already has enough splits - any large
+    input - is returned unchanged, so no extra shuffle is paid at scale.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def catalog_scan(spark: SparkSession, schema: str, layer: str, table: str) -> DataFrame:
     """A catalog table by ``schema.layer_table``."""
     return spark.table(f"{schema}.{layer}_{table}")
