@@ -25,13 +25,25 @@ MONEY = "decimal(38,10)"
 COUNTER = "decimal(38,0)"
 # ---------------------------------------------------------------------------
 
-EPOCH_NTZ = _dt.datetime(1970, 1, 1)
+EPOCH_DAY = _dt.date(1970, 1, 1)
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_lit(value: _dt.datetime | _dt.date) -> Column:
+    """A ``timestamp_ntz`` literal that does not depend on the session zone.
+
+    (A Python ``datetime`` passed to ``lit`` becomes a session-zone
+    ``timestamp``, which shifts when cast to ``timestamp_ntz`` under a
+    non-UTC session.)
+    """
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime.combine(value, _dt.time())
+    return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
+
+
 def hex_address(c: Column | str) -> Column:
     """binary/number -> ``0x``-prefixed lower-case hex text."""
     return F.lower(F.concat(F.lit("0x"), F.hex(_c(c))))
@@ -39,12 +51,18 @@ def hex_address(c: Column | str) -> Column:
 
 def epoch_to_ts(c: Column | str) -> Column:
     """Epoch seconds -> ``timestamp_ntz`` (UTC wall time), zone independent."""
-    return F.timestamp_add("SECOND", _c(c), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", _c(c), ntz_lit(_dt.datetime(1970, 1, 1)))
 
 
 def ts_to_epoch(c: Column | str) -> Column:
-    """``timestamp_ntz`` -> whole epoch seconds (fraction truncated)."""
-    return F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), _c(c))
+    """``timestamp_ntz`` -> whole epoch seconds (fraction truncated).
+
+    Built from the day number and the clock fields, so no time zone (and no
+    daylight-saving rule of the session zone) is involved.
+    """
+    c = _c(c)
+    days = F.datediff(F.to_date(c), F.lit(EPOCH_DAY)).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def kst(c: Column | str) -> Column:
@@ -66,8 +84,7 @@ def zone_time_columns(base_ts: Column) -> list[Column]:
 
 def load_stamp(load_ts: _dt.datetime) -> list[Column]:
     """a load-time stamp in both zones, passed in (never the wall clock)."""
-    base = F.lit(load_ts).cast("timestamp_ntz")
-    return zone_time_columns(base)
+    return zone_time_columns(ntz_lit(load_ts))
 
 
 def report_ts(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.functions.scalars import KST, KST_OFFSET_HOURS, UTC, ZONES
+from martforge.functions.scalars import KST, KST_OFFSET_HOURS, UTC, ZONES, ntz_lit
 
 DateLike = _dt.date | str
 
@@ -41,9 +41,7 @@ def in_range(c: Column | str, start: DateLike, end: DateLike) -> Column:
 def ts_range(c: Column | str, start: DateLike, end: DateLike) -> Column:
     """``start 00:00 <= c < end 00:00`` on a ``timestamp_ntz`` column."""
     c = F.col(c) if isinstance(c, str) else c
-    lo = F.lit(_dt.datetime.combine(as_date(start), _dt.time())).cast("timestamp_ntz")
-    hi = F.lit(_dt.datetime.combine(as_date(end), _dt.time())).cast("timestamp_ntz")
-    return (c >= lo) & (c < hi)
+    return (c >= ntz_lit(as_date(start))) & (c < ntz_lit(as_date(end)))
 
 
 def filter_by_time(df: DataFrame, start: DateLike, end: DateLike, timefield: str = "dt_utc") -> DataFrame:
@@ -112,11 +110,10 @@ def fan_out_zones(
     ``timezone_type``. Equal to ``zones_by_union``.
     """
     if ts_col is not None and ts_col in df.columns:
-        hi = F.lit(_dt.datetime.combine(as_date(end), _dt.time())).cast("timestamp_ntz")
-        cover = F.col(ts_col) < hi
+        cover = F.col(ts_col) < ntz_lit(as_date(end))
         if start is not None:
             lo = _dt.datetime.combine(as_date(start), _dt.time()) - _dt.timedelta(hours=KST_OFFSET_HOURS)
-            cover = cover & (F.col(ts_col) >= F.lit(lo).cast("timestamp_ntz"))
+            cover = cover & (F.col(ts_col) >= ntz_lit(lo))
         df = df.filter(cover)
     if partition_col is not None and partition_col in df.columns:
         pc = F.col(partition_col) < _dlit(end)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, safe_cast
 from martforge.operators import activity
-from martforge.operators.timeslice import fan_out_zones
+from martforge.operators.timeslice import fan_out_zones, ts_range
 from martforge.plans import bindings as B
 from martforge.plans import marts
 from martforge.quality import checks
@@ -391,9 +391,7 @@ def q_count_reconciliation(spark, sf_dir):
     snap_name = "mf_dl_user_orders_" + root.rsplit("/", 1)[-1]
     writes.register_table(spark, snap_name, snap_path)
 
-    src_events = _events(spark, sf_dir).filter(
-        (F.col("ts") >= F.lit(_dt.datetime(2024, 1, 1))) & (F.col("ts") < F.lit(_dt.datetime(2024, 1, 31)))
-    )
+    src_events = _events(spark, sf_dir).filter(ts_range("ts", EV_START, EV_END))
     tables = [
         checks.CountSources(
             "events", "events", src_events,

@@ -31,13 +31,27 @@ def default_partitions(table: str, partition_cols: Sequence[str] | None) -> list
     return list(partition_cols)
 
 
+def cluster_for_write(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Group rows of the same output partition into few tasks before writing.
+
+    Without it every task writes one file into every partition value it
+    holds (tasks x days small files). ``REBALANCE`` shuffles by the partition
+    columns and lets AQE coalesce small groups to the advisory size and split
+    a hot partition value over several tasks, so one huge day is not written
+    by one task.
+    """
+    if not partition_cols:
+        return df
+    return df.hint("rebalance", *partition_cols)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
     """K1: replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     With no partition columns this is a full replace (K2). A partition that
     has no rows in ``df`` is left as it was.
     """
-    writer = df.write.format(fmt)
+    writer = cluster_for_write(df, partition_cols).write.format(fmt)
     if partition_cols:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     else:
@@ -47,7 +61,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
     """K2 / K3: replace the whole table, partitioned or not (static overwrite)."""
-    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = cluster_for_write(df, partition_cols).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(path)
@@ -58,7 +72,7 @@ def append_rows(df: DataFrame, path: str, table: str, partition_cols: Sequence[s
     cols = default_partitions(table, partition_cols)
     if cols and table.endswith("_d"):
         cols = ["bdate"]
-    writer = df.write.format(fmt).mode("append")
+    writer = cluster_for_write(df, cols).write.format(fmt).mode("append")
     if cols:
         writer = writer.partitionBy(*cols)
     writer.save(path)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.functions.scalars import epoch_to_ts, zone_time_columns
+from martforge.functions.scalars import epoch_to_ts, ntz_lit, zone_time_columns
 from martforge.operators.timeslice import DateLike, as_date, ts_range
 
 APPEND = "append"        # slice [start, end)
@@ -59,7 +59,7 @@ def slice_predicate(time_field: str, time_kind: str, start: DateLike | None, end
             cond = (c >= F.lit(_epoch(start))) & cond
         return cond
     if start is None:
-        return c < F.lit(_dt.datetime.combine(as_date(end), _dt.time())).cast("timestamp_ntz")
+        return c < ntz_lit(as_date(end))
     return ts_range(c, start, end)
 
 
