@@ -48,8 +48,20 @@ def daily_active(activity: DataFrame) -> DataFrame:
     return activity.groupBy(*KEYS).agg(F.count("owner").alias("dau"))
 
 
-def weekly_active(activity: DataFrame) -> DataFrame:
+def _shared(activity: DataFrame, materialize_input: bool) -> DataFrame:
+    """Metrics that read the activity twice (day spine + owners) write it once
+    to the shared checkpoint folder, so the upstream plan is not run twice
+    (the two branches prune differently, so Spark cannot reuse the shuffle)."""
+    if not materialize_input:
+        return activity
+    from martforge.session import materialize
+
+    return materialize(activity, "activity")
+
+
+def weekly_active(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
     """Forward WAU: owners active in ``[bdate, bdate + 6]``, for active days."""
+    activity = _shared(activity, materialize_input)
     days = active_days(activity)
     per_owner = Window.partitionBy("timezone_type", "owner").orderBy("bdate")
     prev = F.lag("bdate").over(per_owner)
@@ -64,8 +76,9 @@ def weekly_active(activity: DataFrame) -> DataFrame:
     return days.join(counts, KEYS, "left").select(*KEYS, F.coalesce("wau", F.lit(0)).alias("wau"))
 
 
-def monthly_active(activity: DataFrame) -> DataFrame:
+def monthly_active(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
     """Calendar MAU: owners active in the month of ``bdate``, for active days."""
+    activity = _shared(activity, materialize_input)
     month = F.trunc("bdate", "month")
     per_month = (
         activity.withColumn("month", month)
@@ -93,8 +106,9 @@ def new_users(activity: DataFrame) -> DataFrame:
     )
 
 
-def cumulative_users(activity: DataFrame) -> DataFrame:
+def cumulative_users(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
     """RU: distinct owners seen up to and including ``bdate`` (per zone)."""
+    activity = _shared(activity, materialize_input)
     days = active_days(activity)
     nru = new_users(activity)
     w = Window.partitionBy("timezone_type").orderBy("bdate").rowsBetween(Window.unboundedPreceding, 0)
@@ -110,17 +124,14 @@ def user_summary(activity: DataFrame, materialize_input: bool = True) -> DataFra
     The distinct activity feeds five branches; it is checkpointed once
     (``materialize_input``) instead of being recomputed per branch.
     """
-    if materialize_input:
-        from martforge.session import materialize
-
-        activity = materialize(activity)
+    activity = _shared(activity, materialize_input)
     spine = active_days(activity)
     out = spine
     for part in (
         daily_active(activity),
-        weekly_active(activity),
-        monthly_active(activity),
-        cumulative_users(activity),
+        weekly_active(activity, False),
+        monthly_active(activity, False),
+        cumulative_users(activity, False),
         new_users(activity),
     ):
         out = out.join(part, KEYS, "left")

@@ -29,6 +29,13 @@ def shift_days(d: DateLike, days: int) -> _dt.date:
     return as_date(d) + _dt.timedelta(days=days)
 
 
+def default_slice(today: DateLike) -> tuple[_dt.date, _dt.date]:
+    """The daily batch ``[today - 1, today)``; ``today`` is a parameter,
+    never read from the wall clock inside a job."""
+    t = as_date(today)
+    return t - _dt.timedelta(days=1), t
+
+
 def _dlit(d: DateLike) -> Column:
     return F.lit(as_date(d))
 

@@ -376,6 +376,28 @@ def q_publish_guarded(spark, sf_dir):
     return spark.table(name)
 
 
+def q_landing_publish(spark, sf_dir):
+    """Land the bridge-history source for its whole range and publish it."""
+    from martforge.plans.landing import land_table
+
+    root = shared_dir(spark, "landing")
+    name = "mf_dl_history_" + root.rsplit("/", 1)[-1]
+    land_table(spark, B.transfers(spark, sf_dir), B.TRANSFERS_SPEC, EV_START, EV_END, root, f"{root}/etl_status", BATCH_TS, name)
+    return spark.table(name)
+
+
+def q_stream_landing(spark, sf_dir):
+    """Incremental landing of the events file as an availableNow stream."""
+    from martforge.streaming.incremental import land_available
+
+    root = shared_dir(spark, "stream")
+    schema = _events(spark, sf_dir).schema
+    spec = DatasetSpec("events", "events", "ts", time_kind="timestamp", select=("event_id", "user_id", "event_type", "value", "ts"))
+    for _ in range(2):  # the rerun finds no new file and adds nothing
+        land_available(spark, sf_dir, schema, spec, f"{root}/dl_events", f"{root}/_checkpoint", file_glob="events.parquet")
+    return spark.read.parquet(f"{root}/dl_events")
+
+
 # --- quality -------------------------------------------------------------------
 def q_count_reconciliation(spark, sf_dir):
     root = shared_dir(spark, "recon")
@@ -458,6 +480,8 @@ QUERIES: dict[str, Query] = {
     "unpartitioned_replace": q_unpartitioned_replace,
     "append_only": q_append_only,
     "publish_guarded": q_publish_guarded,
+    "landing_publish": q_landing_publish,
+    "stream_landing": q_stream_landing,
     "count_reconciliation": q_count_reconciliation,
     "max_timestamp": q_max_timestamp,
     "freshness_equal": q_freshness_equal,
