@@ -444,6 +444,7 @@ UNION ALL SELECT * FROM r2"""
     s["unpartitioned_replace"] = f"SELECT * FROM ({RUN2})"
     s["append_only"] = f"SELECT * FROM ({RUN1}) UNION ALL SELECT * FROM ({RUN2})"
     s["publish_guarded"] = s["partition_replace"]
+    s["daily_from_landed"] = event_daily(Q.SLICE_START, Q.SLICE_END, False)
     s["landing_publish"] = with_ctes(TRANSFERS, body="SELECT * FROM ltransfers")
     s["stream_landing"] = f"SELECT event_id, user_id, event_type, value, ts, {zone_cols('ts')} FROM events"
 

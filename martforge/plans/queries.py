@@ -24,7 +24,7 @@ from martforge.session import shared_dir
 from martforge.sinks import writes
 from martforge.sources import payloads
 from martforge.sources.borrow import borrow_time
-from martforge.sources.partitions import read_days
+from martforge.sources.partitions import read_days, read_landed_for_zones
 from martforge.sources.scans import DatasetSpec, _epoch, land, with_zone_columns
 
 # --- fixed values: run parameters -------------------------------------------
@@ -327,6 +327,19 @@ def event_daily(spark, sf_dir, start, end, drop_errors=False) -> DataFrame:
     )
 
 
+def q_daily_from_landed(spark, sf_dir):
+    """E2 shape: landed dl table (by dt_utc) -> dual-zone daily mart for one week,
+    reading only the day partitions the slice needs."""
+    path = shared_dir(spark, "landing", "dl_events")
+    writes.replace_partitions(landed_events(spark, sf_dir), path, ["dt_utc"])
+    landed = read_landed_for_zones(spark, path, SLICE_START, SLICE_END)
+    zoned = fan_out_zones(landed, SLICE_START, SLICE_END, partition_col="dt_utc")
+    return zoned.groupBy("timezone_type", "bdate", "event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(38,10)").alias("value"),
+    )
+
+
 def _runs(spark, sf_dir):
     return (
         event_daily(spark, sf_dir, RUN1_START, RUN1_END),
@@ -481,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "append_only": q_append_only,
     "publish_guarded": q_publish_guarded,
     "landing_publish": q_landing_publish,
+    "daily_from_landed": q_daily_from_landed,
     "stream_landing": q_stream_landing,
     "count_reconciliation": q_count_reconciliation,
     "max_timestamp": q_max_timestamp,

@@ -83,11 +83,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     its partitions (K7, ``MSCK REPAIR TABLE``)."""
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)
-    try:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
-    except Exception as exc:  # unpartitioned tables have nothing to recover
-        if "not partitioned" not in str(exc).lower() and "NOT_PARTITIONED" not in str(exc):
-            raise
 
 
 LEDGER_SCHEMA = StructType(

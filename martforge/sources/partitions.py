@@ -19,6 +19,18 @@ def read_days(spark: SparkSession, path: str, start: DateLike, end: DateLike, pa
     return spark.read.parquet(path).filter(in_range(partition_col, start, end))
 
 
+def read_landed_for_zones(spark: SparkSession, path: str, start: DateLike, end: DateLike, partition_col: str = "dt_utc") -> DataFrame:
+    """A ``dt_utc``-partitioned landed table, pruned for dual-zone reporting.
+
+    KST day ``d`` starts at 15:00 UTC of day ``d - 1``, so reporting
+    ``[start, end)`` in both zones needs the UTC partitions
+    ``[start - 1 day, end)`` and nothing else.
+    """
+    from martforge.operators.timeslice import shift_days
+
+    return read_days(spark, path, shift_days(start, -1), end, partition_col)
+
+
 def slice_days(spark: SparkSession, start: DateLike, end: DateLike) -> DataFrame:
     """The calendar days of ``[start, end)`` as a one-column DataFrame."""
     s, e = as_date(start), as_date(end)
