@@ -135,8 +135,8 @@ ORDER_COLUMNS = (
     "created_hash", "closed_type", "closed_at", "closed_block", "closed_hash",
 )
 
-SNAPSHOT_SPEC = DatasetSpec("cross_dex", "user_orders", "created_at", mode=OVERWRITE, select=ORDER_COLUMNS)
-CLOSED_SPEC = DatasetSpec("cross_dex", "close_orders", "closed_at", select=ORDER_COLUMNS)
+SNAPSHOT_SPEC = DatasetSpec("dex", "user_orders", "created_at", mode=OVERWRITE, select=ORDER_COLUMNS)
+CLOSED_SPEC = DatasetSpec("dex", "close_orders", "closed_at", select=ORDER_COLUMNS)
 
 
 def closed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +173,7 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FILLS_SPEC = DatasetSpec("cross_dex", "match_histories", "time_utc")
+FILLS_SPEC = DatasetSpec("dex", "match_histories", "time_utc")
 
 
 def fee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +197,7 @@ def fee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FEES_SPEC = DatasetSpec("cross_dex", "fee_collectors t1 left outer join match_histories", "time_utc")
+FEES_SPEC = DatasetSpec("dex", "fee_collectors t1 left outer join match_histories", "time_utc")
 
 
 # --- events-derived roles ----------------------------------------------------
@@ -227,7 +227,7 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TRANSFERS_SPEC = DatasetSpec("cross_chain", "history", "initiated_time")
+TRANSFERS_SPEC = DatasetSpec("bridge", "history", "initiated_time")
 
 
 def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +243,7 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PRICES_SPEC = DatasetSpec("cross_wallet", "token_price", "updated_at", predicate="minute(ts_utc) = 0")
+PRICES_SPEC = DatasetSpec("wallet", "token_price", "updated_at", predicate="minute(ts_utc) = 0")
 
 
 def stat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,4 +266,4 @@ def stat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STATS_SPEC = DatasetSpec("cross_chain", "cross_stats", "ts", time_kind="timestamp")
+STATS_SPEC = DatasetSpec("bridge", "chain_stats", "ts", time_kind="timestamp")

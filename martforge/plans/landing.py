@@ -58,7 +58,7 @@ def land_table(
     return path
 
 
-def land_token_list(spark: SparkSession, pages: DataFrame, root: str, schema: str = "cross_chain", table: str = "token") -> str:
+def land_token_list(spark: SparkSession, pages: DataFrame, root: str, schema: str = "bridge", table: str = "token") -> str:
     """Token pages -> typed token table, full replace (no partitions)."""
     path = writes.table_path(root, schema, "dl", table)
     writes.replace_partitions(payloads.token_items(pages), path, [])
@@ -67,20 +67,20 @@ def land_token_list(spark: SparkSession, pages: DataFrame, root: str, schema: st
 
 def land_chain_stats(spark: SparkSession, stats_payloads: DataFrame, load_ts: _dt.datetime, root: str) -> str:
     """One stats object per poll, appended under its load day (``dt_utc``)."""
-    path = writes.table_path(root, "cross_chain", "dl", "cross_stats")
-    writes.append_rows(payloads.chain_stats(stats_payloads, load_ts), path, "cross_stats")
+    path = writes.table_path(root, "bridge", "dl", "chain_stats")
+    writes.append_rows(payloads.chain_stats(stats_payloads, load_ts), path, "chain_stats")
     return path
 
 
 def land_contracts(spark: SparkSession, pages: DataFrame, root: str) -> str:
     """Verified contracts dimension, unpartitioned full replace."""
-    path = writes.table_path(root, "cross_chain", "dim", "contract")
+    path = writes.table_path(root, "bridge", "dim", "contract")
     writes.replace_partitions(payloads.contracts(pages), path, [])
     return path
 
 
 def land_chains(spark: SparkSession, root: str) -> str:
     """The literal chain dimension, unpartitioned full replace."""
-    path = writes.table_path(root, "cross_chain", "dim", "chain")
+    path = writes.table_path(root, "bridge", "dim", "chain")
     writes.replace_partitions(chain_dim(spark), path, [])
     return path

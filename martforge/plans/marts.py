@@ -306,7 +306,7 @@ STAT_COUNTERS = [
 ]
 
 
-def cross_stats_daily(stats: DataFrame, start: DateLike, end: DateLike, tie_cols=("ts_utc",)) -> DataFrame:
+def chain_stats_daily(stats: DataFrame, start: DateLike, end: DateLike, tie_cols=("ts_utc",)) -> DataFrame:
     """One stats sample per zone-day, the one closest to midnight.
 
     Reads one day past ``end`` (I3) because the 00:00-00:04 samples of the

@@ -455,8 +455,8 @@ uo AS (SELECT count(*) AS n FROM orders_ts WHERE ts < {TS(Q.UNTIL_END)})
 SELECT 'events' AS service_name, 'events' AS table_name, n AS db_count, n AS s3_count, n AS catalog_count, TRUE AS passed,
   'events.events PASS DB: ' || n || ' S3: ' || n || ' Catalog: ' || n AS report FROM ev
 UNION ALL
-SELECT 'cross_dex', 'user_orders', n, n, n, TRUE,
-  'cross_dex.user_orders PASS DB: ' || n || ' S3: ' || n || ' Catalog: ' || n FROM uo"""
+SELECT 'dex', 'user_orders', n, n, n, TRUE,
+  'dex.user_orders PASS DB: ' || n || ' S3: ' || n || ' Catalog: ' || n FROM uo"""
     s["max_timestamp"] = with_ctes(
         ORDERS_TS, FILLS,
         body=f"""SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_ts FROM events

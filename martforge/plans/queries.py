@@ -288,7 +288,7 @@ def q_midnight_price(spark, sf_dir):
 
 
 def q_closest_to_midnight(spark, sf_dir):
-    return marts.cross_stats_daily(landed_stats(spark, sf_dir), EV_START, EV_END, tie_cols=("ts_utc", "event_id"))
+    return marts.chain_stats_daily(landed_stats(spark, sf_dir), EV_START, EV_END, tie_cols=("ts_utc", "event_id"))
 
 
 def q_dau(spark, sf_dir):
@@ -382,7 +382,7 @@ def q_append_only(spark, sf_dir):
 def q_publish_guarded(spark, sf_dir):
     root = shared_dir(spark, "publish")
     name = "mf_" + root.rsplit("/", 1)[-1]
-    job = writes.JobInfo("cross_events", "dm", "event_d", RUN1_START, RUN2_END, BATCH_TS)
+    job = writes.JobInfo("events", "dm", "event_d", RUN1_START, RUN2_END, BATCH_TS)
     first, second = _runs(spark, sf_dir)
     writes.publish(spark, first, job, root, f"{root}/etl_status", catalog_name=name)
     writes.publish(spark, second, job, root, f"{root}/etl_status", catalog_name=name)
@@ -421,7 +421,7 @@ def q_count_reconciliation(spark, sf_dir):
     writes.register_table(spark, ev_name, ev_path)
 
     snap = landed_snapshot(spark, sf_dir, UNTIL_END)
-    snap_path = writes.table_path(root, "cross_dex", "dl", "user_orders")
+    snap_path = writes.table_path(root, "dex", "dl", "user_orders")
     writes.replace_table(snap, snap_path, ["dt_utc"])
     snap_name = "mf_dl_user_orders_" + root.rsplit("/", 1)[-1]
     writes.register_table(spark, snap_name, snap_path)
@@ -434,7 +434,7 @@ def q_count_reconciliation(spark, sf_dir):
             spark.table(ev_name).filter((F.col("dt_utc") >= F.lit(EV_START)) & (F.col("dt_utc") < F.lit(EV_END))),
         ),
         checks.CountSources(
-            "cross_dex", "user_orders", B.order_rows(spark, sf_dir).filter(F.col("created_at") < F.lit(_epoch(UNTIL_END))),
+            "dex", "user_orders", B.order_rows(spark, sf_dir).filter(F.col("created_at") < F.lit(_epoch(UNTIL_END))),
             spark.read.parquet(snap_path),
             spark.table(snap_name).filter(F.col("dt_utc") < F.lit(UNTIL_END)),
             tolerance=30,

@@ -2,7 +2,7 @@ import datetime as dt
 
 from martforge.operators.snapshot import closest_to_midnight, closest_to_midnight_window
 from martforge.operators.timeslice import fan_out_zones
-from martforge.plans.marts import cross_stats_daily
+from martforge.plans.marts import chain_stats_daily
 from martforge.sources.scans import with_zone_columns
 
 T = dt.datetime
@@ -40,12 +40,12 @@ def test_pick_rules(spark):
     assert got[("utc", dt.date(2024, 1, 3))] == 7
 
 
-def test_cross_stats_clip_and_counters(spark):
+def test_chain_stats_clip_and_counters(spark):
     base = samples(spark)
     df = base.withColumn("total_blocks", base["id"] * 10)
     for c in ["total_transactions", "total_addresses", "total_gas_used", "transactions_today", "market_cap", "gas_used_today"]:
         df = df.withColumn(c, df["id"])
-    out = cross_stats_daily(df, "2024-01-02", "2024-01-03", tie_cols=("ts_utc", "id"))
+    out = chain_stats_daily(df, "2024-01-02", "2024-01-03", tie_cols=("ts_utc", "id"))
     rows = out.collect()
     assert {r["bdate"] for r in rows} == {dt.date(2024, 1, 2)}
     assert str(out.schema["total_blocks"].dataType) == "DecimalType(38,0)"
