@@ -31,6 +31,8 @@ PAIRS_PER_ORDER_KEY = 50        # order -> pair (supplier) key
 TOKEN_COUNT = 25                # nation keys 0..24
 CHAIN_COUNT = 5                 # region keys 0..4
 ROUTE_CHAINS = 7                # to_chain_id range; 5 and 6 have no chain row
+Q4 = "decimal(18,4)"            # declared types of derived money columns
+Q6 = "decimal(18,6)"
 # ---------------------------------------------------------------------------
 
 
@@ -112,12 +114,12 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         d(F.col("o_orderkey") % 2, "int").alias("order_side"),
         price.alias("price"),
         amount.alias("amount"),
-        (price * amount).alias("volume"),
+        (price * amount).cast(Q4).alias("volume"),
         filled.alias("filled"),
-        (filled * price).alias("filled_volume"),
+        (filled * price).cast(Q4).alias("filled_volume"),
         price.alias("price_usd_at"),
-        (price * amount).alias("volume_usd_at"),
-        (filled * price).alias("filled_usd_at"),
+        (price * amount).cast(Q4).alias("volume_usd_at"),
+        (filled * price).cast(Q4).alias("filled_usd_at"),
         created.alias("created_at"),
         F.col("o_orderkey").alias("created_block"),
         hex_address(F.col("o_orderkey") * 3).alias("created_hash"),
@@ -162,11 +164,11 @@ def fills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(0)).alias("is_taker"),
         price.alias("price"),
         amount.alias("amount"),
-        (price * amount).alias("volume"),
-        (price * tax).alias("fee"),
-        (price * keep).alias("price_usd_at"),
-        (price * amount * keep).alias("volume_usd_at"),
-        (price * tax * keep).alias("fee_usd_at"),
+        (price * amount).cast(Q4).alias("volume"),
+        (price * tax).cast(Q4).alias("fee"),
+        (price * keep).cast(Q4).alias("price_usd_at"),
+        (price * amount * keep).cast(Q6).alias("volume_usd_at"),
+        (price * tax * keep).cast(Q6).alias("fee_usd_at"),
         ts_to_epoch("ts").alias("time_utc"),
         F.col("l_orderkey").alias("block"),
         hex_address("l_orderkey").alias("hash"),
@@ -180,7 +182,7 @@ def fee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fee collections; they carry a block number but no time of their own."""
     li = table(spark, sf_dir, "lineitem")
     gross = d("l_extendedprice", "decimal(12,2)")
-    fee = gross * d("l_tax", "decimal(4,2)")
+    fee = (gross * d("l_tax", "decimal(4,2)")).cast(Q4)
     return li.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("idx"),
         hex_address("l_suppkey").alias("pair_address"),
@@ -191,7 +193,7 @@ def fee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         d(F.col("l_linenumber") * 5, "int").alias("fee_bps"),
         fee.alias("fee"),
         fee.alias("fee_usd_at"),
-        (gross - fee).alias("net_amount"),
+        (gross - fee).cast(Q4).alias("net_amount"),
         F.col("l_orderkey").alias("block"),
         hex_address(F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("hash"),
     )

@@ -39,6 +39,7 @@ def zone_cols(ts: str) -> str:
 
 
 MONEY = "DECIMAL(38,10)"
+Q4, Q6 = "DECIMAL(18,4)", "DECIMAL(18,6)"  # declared binding money types
 
 # --- binding CTEs ---------------------------------------------------------------
 ORDERS_TS = "orders_ts AS (SELECT *, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts FROM orders)"
@@ -67,8 +68,9 @@ ORDER_ROWS = f"""order_base AS (
   FROM orders_ts),
 order_rows AS (
   SELECT o_orderkey AS idx, {H('o_orderkey % 50')} AS pair_address, o_orderkey AS order_id, {H('o_custkey')} AS owner,
-    CAST(o_orderkey % 2 AS INTEGER) AS order_side, p AS price, a AS amount, p * a AS volume, f AS filled,
-    f * p AS filled_volume, p AS price_usd_at, p * a AS volume_usd_at, f * p AS filled_usd_at,
+    CAST(o_orderkey % 2 AS INTEGER) AS order_side, p AS price, a AS amount, CAST(p * a AS {Q4}) AS volume, f AS filled,
+    CAST(f * p AS {Q4}) AS filled_volume, p AS price_usd_at, CAST(p * a AS {Q4}) AS volume_usd_at,
+    CAST(f * p AS {Q4}) AS filled_usd_at,
     created AS created_at, o_orderkey AS created_block, {H('o_orderkey * 3')} AS created_hash,
     CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '5-LOW' THEN NULL ELSE 2 END AS INTEGER) AS closed_type,
     created + (o_orderkey % 5) * 86400 + 3600 AS closed_at, o_orderkey + 1000 AS closed_block,
@@ -89,11 +91,11 @@ FILLS = f"""fills AS (
     {H('o_custkey')} AS owner, CAST(l_linenumber % 2 AS INTEGER) AS order_side,
     CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS is_taker,
     CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_quantity AS DECIMAL(10,2)) AS amount,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(10,2)) AS volume,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS fee,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS price_usd_at,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(10,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS volume_usd_at,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS fee_usd_at,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(10,2)) AS {Q4}) AS volume,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS {Q4}) AS fee,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS {Q4}) AS price_usd_at,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(10,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS {Q6}) AS volume_usd_at,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS {Q6}) AS fee_usd_at,
     {epoch('ts')} AS time_utc, l_orderkey AS block, {H('l_orderkey')} AS hash
   FROM lineitem JOIN orders_ts ON l_orderkey = o_orderkey)"""
 
@@ -104,9 +106,9 @@ FEE_ROWS = f"""fee_rows AS (
   SELECT l_orderkey * 8 + l_linenumber AS idx, {H('l_suppkey')} AS pair_address, l_orderkey AS order_id,
     {H('l_partkey')} AS owner, CAST(l_extendedprice AS DECIMAL(12,2)) AS gross_amount, {H('l_suppkey % 7')} AS recipient,
     CAST(l_linenumber * 5 AS INTEGER) AS fee_bps,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS fee,
-    CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS fee_usd_at,
-    CAST(l_extendedprice AS DECIMAL(12,2)) - CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS net_amount,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS {Q4}) AS fee,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS {Q4}) AS fee_usd_at,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS {Q4}) AS {Q4}) AS net_amount,
     l_orderkey AS block, {H('l_orderkey * 8 + l_linenumber')} AS hash
   FROM lineitem)"""
 
@@ -185,7 +187,7 @@ details AS (
   SELECT a.dt_utc, a.dt_kst, a.ts_utc, a.ts_kst, a.order_id, a.created_block, a.created_hash, a.is_completed,
     a.closed_type, a.closed_at, a.closed_block, a.closed_hash, b.pair_name, a.pair_address, b.quote_address,
     d.name AS quote_name, d.symbol AS quote_symbol, b.base_address, c.name AS base_name, c.symbol AS base_symbol,
-    a.owner, a.order_side, a.price, a.price_usd_at AS price_usd, a.price_usd_at * a.amount AS amount_usd, a.amount,
+    a.owner, a.order_side, a.price, a.price_usd_at AS price_usd, CAST(a.price_usd_at * a.amount AS DECIMAL(23,4)) AS amount_usd, a.amount,
     a.filled, a.filled_usd_at AS filled_usd, a.volume, a.volume_usd_at AS volume_usd, a.filled_volume,
     a.filled_usd_at AS filled_volume_usd
   FROM both_orders a LEFT JOIN pairs b ON a.pair_address = b.pair_address
