@@ -162,7 +162,15 @@ STATS = f"""lstats AS (
 
 
 def with_ctes(*ctes: str, body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return "WITH " + ",\n".join(ctes) + "\n" + BODY_MARK + body
+
+
+BODY_MARK = "-- body\n"
+
+
+def _body(sql: str) -> str:
+    """The final SELECT of a query built by ``with_ctes``."""
+    return sql.split(BODY_MARK, 1)[1]
 
 
 def zones_union(src: str, start, end, extra: str = "") -> str:
@@ -369,6 +377,17 @@ LEFT JOIN tokens c ON p.quote_address = c.address""",
   CAST(coalesce(sum(CASE WHEN order_side = 0 THEN CAST((amount - filled) * price_usd AS {MONEY}) END), 0)
      + coalesce(sum(CASE WHEN order_side = 1 THEN CAST(volume_usd - filled_volume_usd AS {MONEY}) END), 0) AS {MONEY}) AS tvl_usd
 FROM zoned GROUP BY 1, 2, 3, 4, 5""",
+    )
+    s["trade_daily_with_tvl"] = with_ctes(
+        *ORDER_DETAIL_CTES, FILLS, LANDED_FILLS, TRADE_DETAILS,
+        f"tzoned AS ({zones_union('tdetails', Q.ALL_START, Q.ALL_END)})",
+        f"""trades AS ({_body(s["trade_daily"]).replace("FROM zoned", "FROM tzoned")})""",
+        f"ozoned AS ({zones_union('(SELECT * FROM details WHERE is_completed = 0)', None, Q.ALL_END)})",
+        f"""tvl AS ({_body(s["open_order_tvl"]).replace("FROM zoned", "FROM ozoned")})""",
+        body=f"""SELECT t.*, CAST(coalesce(v.tvl_base, 0) AS {MONEY}) AS tvl_base,
+  CAST(coalesce(v.tvl_base_usd, 0) AS {MONEY}) AS tvl_base_usd, CAST(coalesce(v.tvl_quote, 0) AS {MONEY}) AS tvl_quote,
+  CAST(coalesce(v.tvl_quote_usd, 0) AS {MONEY}) AS tvl_quote_usd, CAST(coalesce(v.tvl_usd, 0) AS {MONEY}) AS tvl_usd
+FROM trades t LEFT JOIN tvl v USING (timezone_type, bdate, pair_name, base_symbol, quote_symbol)""",
     )
     s["bridge_details"] = with_ctes(TOKENS, CHAINS, TRANSFERS, BRIDGE_DETAILS, body="SELECT * FROM bdetails")
     lb = Q.EV_START  # D9 reads one look-back day before the slice

@@ -273,6 +273,12 @@ def q_open_order_tvl(spark, sf_dir):
     return marts.open_order_tvl(order_details_df(spark, sf_dir), ALL_END)
 
 
+def q_trade_daily_with_tvl(spark, sf_dir):
+    """D16 tail: taker-trade mart with open-order value attached, NULL -> 0."""
+    trades = marts.trade_daily(trade_details_df(spark, sf_dir), ALL_START, ALL_END)
+    return marts.trade_daily_with_tvl(trades, marts.open_order_tvl(order_details_df(spark, sf_dir), ALL_END))
+
+
 def q_bridge_details(spark, sf_dir):
     return bridge_details_df(spark, sf_dir)
 
@@ -478,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "fee_daily": q_fee_daily,
     "order_matches_daily": q_order_matches_daily,
     "open_order_tvl": q_open_order_tvl,
+    "trade_daily_with_tvl": q_trade_daily_with_tvl,
     "bridge_details": q_bridge_details,
     "bridge_daily": q_bridge_daily,
     "midnight_price": q_midnight_price,
