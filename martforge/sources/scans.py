@@ -118,10 +118,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input - is returned unchanged, so no extra shuffle is paid at scale.
     Filters and column pruning still reach the scan below the repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def catalog_scan(spark: SparkSession, schema: str, layer: str, table: str) -> DataFrame:
