@@ -39,7 +39,7 @@ def test_static_overwrite_and_append(spark):
 
 
 def test_path_and_partition_rules():
-    assert writes.table_path("s3://b/", "dex", "dl", "fee_collectors t1 left join x") == "s3://b/results/dex/dl/dl_fee_collectors"
+    assert writes.table_path("/data/", "dex", "dl", "fee_collectors t1 left join x") == "/data/results/dex/dl/dl_fee_collectors"
     assert writes.default_partitions("trade_d", None) == ["bdate"]
     assert writes.default_partitions("match_histories", None) == ["dt_utc"]
     assert writes.default_partitions("pair_infos", []) == []
