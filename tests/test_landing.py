@@ -35,13 +35,19 @@ def test_land_table_snapshot_replaces_whole_table(spark):
     assert [(r["id"], r["dt_utc"]) for r in spark.read.parquet(p).collect()] == [(1, dt.date(2024, 1, 2))]
 
 
-def test_stream_landing_is_exactly_once(spark, tmp_path):
-    src = tmp_path / "src"
-    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 20, 0))], "event_id long, ts timestamp_ntz")
-    df.write.parquet(str(src / "a"))
+def test_stream_landing_is_incremental_and_exactly_once(spark, tmp_path):
+    src = str(tmp_path / "src")
+    schema = "event_id long, ts timestamp_ntz"
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 20, 0))], schema).write.mode("append").parquet(src)
     spec = DatasetSpec("e", "e", "ts", time_kind="timestamp", select=("event_id", "ts"))
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    land_available(spark, str(src / "a"), df.schema, spec, out, ck)
-    land_available(spark, str(src / "a"), df.schema, spec, out, ck)
+    st = spark.read.parquet(src).schema
+    land_available(spark, src, st, spec, out, ck)
+    land_available(spark, src, st, spec, out, ck)  # nothing new: no duplicate
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0]["dt_kst"] == dt.date(2024, 1, 2)
+    # a file arriving later is picked up, and only that file
+    spark.createDataFrame([(2, dt.datetime(2024, 1, 2, 1, 0))], schema).write.mode("append").parquet(src)
+    land_available(spark, src, st, spec, out, ck)
+    got = sorted((r["event_id"], r["dt_utc"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]
