@@ -131,3 +131,16 @@ def latest_status(ledger: DataFrame) -> DataFrame:
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (guards joins that would fan out)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def missing_days(spark, landed: DataFrame, start, end, day_col: str = "dt_utc") -> DataFrame:
+    """Calendar days of ``[start, end)`` without any landed row (S9 report).
+
+    The day list is generated on the executors and anti-joined with the
+    distinct landed days; only the (few) missing days form the result.
+    """
+    from martforge.operators.timeslice import in_range
+    from martforge.sources.partitions import slice_days
+
+    present = landed.filter(in_range(day_col, start, end)).select(F.col(day_col).cast("date").alias("day")).distinct()
+    return slice_days(spark, start, end).join(present, "day", "left_anti")
