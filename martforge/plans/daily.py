@@ -116,3 +116,64 @@ def run_dex_day(
     )
     paths["report"] = report
     return paths
+
+
+@dataclass(frozen=True)
+class BridgeSources:
+    """Bridge-history, token-price and chain-stat sources plus dimensions."""
+
+    history: DataFrame
+    prices: DataFrame
+    stats: DataFrame
+    chains: DataFrame
+    tokens: DataFrame
+    history_spec: DatasetSpec
+    prices_spec: DatasetSpec
+    stats_spec: DatasetSpec
+
+
+def run_bridge_day(
+    spark: SparkSession,
+    src: BridgeSources,
+    start: DateLike,
+    end: DateLike,
+    root: str,
+    batch_ts: _dt.datetime,
+    lookback_days: int = 1,
+    stats_tie_cols: tuple[str, ...] = ("ts_utc",),
+) -> Mapping[str, object]:
+    """One bridge/wallet batch: prices -> daily price mart, transfers (with a
+    look-back so late status updates and the previous day's price are
+    refreshed) -> details -> daily bridge mart, chain stats -> midnight pick."""
+    from martforge.operators.timeslice import shift_days
+
+    ledger = f"{root}/etl_status"
+    first = shift_days(start, -lookback_days)
+    paths: dict[str, object] = {
+        src.history_spec.name: land_table(spark, src.history, src.history_spec, first, end, root, ledger, batch_ts),
+        src.prices_spec.name: land_table(spark, src.prices, src.prices_spec, start, end, root, ledger, batch_ts),
+        src.stats_spec.name: land_table(spark, src.stats, src.stats_spec, start, end, root, ledger, batch_ts),
+    }
+    prices = read_landed_for_zones(spark, paths[src.prices_spec.name], start, end)
+    paths["token_price_d"] = _publish_as(
+        spark, marts.midnight_price(prices, src.tokens, start, end), "wallet", "dm", "token_price_d", start, end, root, ledger, batch_ts
+    )
+    history = read_days(spark, paths[src.history_spec.name], first, end)
+    details = marts.bridge_details(history, src.chains, src.tokens, start, end, lookback_days)
+    paths["bridge_details"] = _publish_as(spark, details, "bridge", "dw", "bridge_details", first, end, root, ledger, batch_ts, ["dt_utc"])
+    daily_price = spark.read.parquet(paths["token_price_d"])
+    detail_days = read_landed_for_zones(spark, paths["bridge_details"], first, end)
+    paths["bridge_d"] = _publish_as(
+        spark, marts.bridge_daily(detail_days, daily_price, src.tokens, start, end, lookback_days),
+        "bridge", "dm", "bridge_d", first, end, root, ledger, batch_ts,
+    )
+    stats = read_landed_for_zones(spark, paths[src.stats_spec.name], start, shift_days(end, 1))
+    paths["chain_stats_d"] = _publish_as(
+        spark, marts.chain_stats_daily(stats, start, end, stats_tie_cols), "bridge", "dw", "chain_stats_d", start, end, root, ledger, batch_ts
+    )
+    return paths
+
+
+def _publish_as(spark, df, schema, layer, name, start, end, root, ledger, batch_ts, partition_cols=None):
+    job = writes.JobInfo(schema, layer, name, start, end, batch_ts)
+    return writes.publish(spark, df, job, root, ledger, partition_cols)
