@@ -144,3 +144,17 @@ def missing_days(spark, landed: DataFrame, start, end, day_col: str = "dt_utc")
 
     present = landed.filter(in_range(day_col, start, end)).select(F.col(day_col).cast("date").alias("day")).distinct()
     return slice_days(spark, start, end).join(present, "day", "left_anti")
+
+
+def scaling_overflow(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows whose token amount is too wide for exact scaling (H1).
+
+    ``functions.scalars.scale_units`` keeps 28 integer digits exactly and
+    turns wider values into NULL rather than failing the batch; this counts
+    those rows per column (and group), so they are reported, not lost.
+    """
+    counts = [
+        F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast("decimal(28,0)").isNull(), F.lit(1))).alias(f"{c}_overflow")
+        for c in value_cols
+    ]
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rows"), *counts)

@@ -37,3 +37,14 @@ def test_missing_days(spark):
     landed = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),), (dt.date(2024, 1, 9),)], "dt_utc date")
     got = sorted(r["day"] for r in checks.missing_days(spark, landed, "2024-01-01", "2024-01-05").collect())
     assert got == [dt.date(2024, 1, 2), dt.date(2024, 1, 4)]
+
+
+def test_scaling_overflow(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(Decimal("9" * 28), Decimal(1)), (Decimal("1" + "0" * 28), None), (None, Decimal("1" + "0" * 30))],
+        "value decimal(38,0), fee decimal(38,0)",
+    )
+    r = checks.scaling_overflow(df, ["value", "fee"]).first()
+    assert (r["rows"], r["value_overflow"], r["fee_overflow"]) == (3, 1, 1)
