@@ -26,3 +26,17 @@ def test_register_unpartitioned_table(spark):
     writes.register_table(spark, name, path)
     writes.register_table(spark, name, path)  # idempotent
     assert spark.table(name).count() == 3
+
+
+def test_declared_schemas_match_files(spark):
+    import os
+
+    from martforge.plans.bindings import TABLE_SCHEMAS, table
+
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        if not os.path.isdir(sf):
+            continue
+        for name in TABLE_SCHEMAS:
+            declared = [(f.name, f.dataType) for f in table(spark, sf, name).schema.fields]
+            inferred = [(f.name, f.dataType) for f in spark.read.parquet(f"{sf}/{name}.parquet").schema.fields]
+            assert declared == inferred, (sf, name)
