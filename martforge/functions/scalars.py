@@ -124,8 +124,10 @@ def cancelled_flag(closed_type: Column | str) -> Column:
 
 
 def pow10_decimal(decimals: Column | str) -> Column:
-    """``10 ** d`` as an exact decimal(19,0) (d <= 18)."""
-    return F.pow(F.lit(10), _c(decimals)).cast("decimal(19,0)")
+    """``10 ** d`` as an exact decimal(19,0) for 0 <= d <= 18 (10**d is an
+    exact double there); outside that range NULL instead of an ANSI error."""
+    d = _c(decimals)
+    return F.when((d >= 0) & (d <= 18), F.pow(F.lit(10), d)).try_cast("decimal(19,0)")
 
 
 def scale_units(value: Column | str, decimals: Column | str) -> Column:

@@ -22,7 +22,7 @@ def test_hex_address(spark):
 
 def test_scale_units_exact(spark):
     df = spark.createDataFrame(
-        [("1234567890123456789012345678", 18), ("1000000", 6), ("5", 0), ("7", None)],
+        [("1234567890123456789012345678", 18), ("1000000", 6), ("5", 0), ("7", None), ("7", 19), ("7", -1)],
         "v string, d int",
     ).select(F.col("v").cast("decimal(38,0)").alias("v"), "d")
     out = [r["x"] for r in df.select(scale_units("v", "d").alias("x")).collect()]
@@ -30,6 +30,7 @@ def test_scale_units_exact(spark):
     assert out[1] == Decimal("1.0000000000")
     assert out[2] == Decimal("5.0000000000")
     assert out[3] is None
+    assert out[4] is None and out[5] is None  # unsupported decimals: NULL, not an error
 
 
 def test_usd_value_rounds_once(spark):
