@@ -101,3 +101,20 @@ def test_land_modes(spark):
     assert sorted(r["id"] for r in pred.collect()) == [1, 2]
     proj = land(df, DatasetSpec("s", "x", select=("id",)), None, "2024-01-01")
     assert proj.columns == ["id"] and proj.count() == 3
+
+
+def test_default_slice():
+    from martforge.operators.timeslice import default_slice
+
+    assert default_slice("2024-03-01") == (dt.date(2024, 2, 29), dt.date(2024, 3, 1))
+
+
+def test_jdbc_reader_builds_without_connecting(spark):
+    from martforge.sources.scans import jdbc_reader
+
+    reader = jdbc_reader(
+        spark, "jdbc:postgresql://db.invalid:5432/x", "(SELECT 1 AS id) t", user="u", password="p",
+        driver="org.postgresql.Driver", partition_column="id", lower_bound=0, upper_bound=100, num_partitions=4,
+        options={"fetchsize": "10000"},
+    )
+    assert reader is not None  # nothing is contacted until load()
