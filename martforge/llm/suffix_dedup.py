@@ -11,17 +11,17 @@ Refinement, as in a suffix sort by bucket pointers:
    hash (the leftmost of equals). Equal strings name equal q-grams at equal offsets, so
    only the suffixes at named q-grams ("anchors", about one in 39 bytes) go into buckets.
    An anchor stands for the run of neighbouring strings that name it.
-2. Buckets are refined by an identifier of what surrounds the anchor: the whole run.
-   Within a refined bucket the earliest anchor stays and all strings of the
-   others are repeats. A bucket of a single anchor holds no repeat and is dropped.
-3. The earliest anchors of buckets that fell into several refined ones can still share part
-   of their strings. A string that two of them share reaches far to one side of the q-gram, so
-   buckets are refined once more by an identifier of the left and one of the right
-   neighbourhood; the half of a run whose side no other anchor of the bucket has is dropped.
-4. Each string that is left gets an identifier of its own, and the earliest of each stays.
-   What the steps before have settled is reused and not compared again.
-
-Identifiers are polynomial hashes modulo 2**64 (two of them in step 4). Anchors that repeat
+2. A bucket is refined by an identifier of what surrounds the anchor: the whole run.
+   Within a refined bucket the earliest run stays and all strings of the others are
+   repeats. A bucket with one refined bucket is settled with that.
+3. Earliest runs of buckets that fell apart can still share some strings. Their runs are
+   cut into blocks by distance from the anchor, whose bucket is an identifier of the bytes
+   that all strings of the block hold, and step 2 is applied to the blocks.
+4. Blocks that are still open go by single strings, and the earliest of each stays.
+
+What one step has settled is reused by the next and not compared again.
+
+Identifiers are polynomial hashes modulo 2**64 (two of them for a string). Anchors that repeat
 within one batch of documents are settled there, before the shuffle, so a passage with very
 many copies sends one row per batch. Texts are shuffled once, by document.
 
@@ -50,11 +50,11 @@ MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Bytes hashed at once; longer texts are hashed in overlapping parts.
 BLOCK = 1 << 20
 NO_ID = -(1 << 63)
-# a position is packed as: 16 bits of the text's hash, 40 bits start, 7 bits run length
-START_BITS, RUN_BITS = 40, 7
-# sides are packed as: identifiers of the left and right side (0: no string of the run
-# reaches that far), 7 bits of the anchor's distance from the run's start
-SIDE_BITS = 20
+# a position is packed as: 16 bits of the text's hash, 33 bits start of the first string,
+# 7 bits distance to the anchor, 7 bits number of strings after the first
+START_BITS, OFF_BITS, RUN_BITS = 33, 7, 7
+#: Strings in a block of step 3.
+STRINGS = 16
 
 
 @lru_cache(maxsize=4)
@@ -105,7 +105,7 @@ def _least_places(v: np.ndarray, span: int) -> np.ndarray:
 def anchors(data: np.ndarray, ends: np.ndarray, length: int, q: int):
     """Runs of strings that name one q-gram, over documents laid end to end.
 
-    Returns (bucket, refined bucket, packed sides, first string, strings after it) arrays.
+    Returns (bucket, refined bucket, first string, distance to the anchor, strings after it) arrays.
     """
     n = len(data) - length + 1
     none = tuple(np.zeros(0, dtype=k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
@@ -128,15 +128,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, q: int):
     after = np.flatnonzero(stop & there) - first
     at = place[first].astype(np.int64)
     refined = two.of(first, first + after + length) + ((at - first) * 128 + after).astype(np.uint64) * np.uint64(MIXERS[0])
-    # strings that start ``half`` or more before the anchor hold its left side, the others the right
-    half = (length - q) // 2
-    off = at - first
-    left, right = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-    for side, has, shift in ((left, off >= half, -half), (right, off - after < half, 0)):
-        a = at[has] + shift
-        side[has] = (_mixed(two.of(a, a + half + q)) >> np.uint64(64 - SIDE_BITS)).astype(np.int64) | 1
-    sides = (((left << SIDE_BITS) | right) << RUN_BITS) | off
-    return grams[at], _mixed(refined) | np.uint64(1), sides, first, after
+    return grams[at], _mixed(refined) | np.uint64(1), first, at - first, after
 
 
 def _parts(raw: bytes, length: int):
@@ -155,12 +147,39 @@ def _base(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
-    """Anchors (h: bucket, c: refined bucket, s: packed sides, id, p: packed position).
+def _packed(mark, start, off, after):
+    return (((mark << START_BITS | start) << OFF_BITS | off) << RUN_BITS) | after
 
-    ``c = 0`` marks an anchor already known to repeat an earlier one of its batch;
-    its ``h`` only spreads such rows over the partitions.
+
+def _unpacked(p):
+    """(text mark, start, distance to the anchor, strings after the first) of packed positions."""
+    start = (p >> (OFF_BITS + RUN_BITS)) & ((1 << START_BITS) - 1)
+    return p >> (START_BITS + OFF_BITS + RUN_BITS), start, (p >> RUN_BITS) & ((1 << OFF_BITS) - 1), p & ((1 << RUN_BITS) - 1)
+
+
+def _sent(rows: list[tuple]) -> pa.RecordBatch | None:
+    """Rows (h, c, id, p) of a batch; of equal h and c only the earliest goes on as it is.
+
+    The others are settled: they get ``c = 0`` and an ``h`` that spreads them.
     """
+    if not rows:
+        return None
+    h, c, own, p = (np.concatenate(x) for x in zip(*rows))
+    order = np.lexsort((p, own, c, h))
+    h, c, own, p = h[order], c[order], own[order], p[order]
+    same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
+    head = np.maximum.accumulate(np.where(np.concatenate(([True], ~same))[: len(h)], np.arange(len(h)), 0))
+    later = (own != own[head]) | (p != p[head])
+    h = np.where(later, _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64))), h)
+    c = np.where(later, np.uint64(0), c)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own), pa.array(p)], ["h", "c", "id", "p"])
+
+
+SENT = "h long, c long, id long, p long"
+
+
+def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
+    """Anchors (h: bucket, c: refined bucket, id, p: packed position), as ``_sent``."""
 
     def batches(it):
         for batch in it:
@@ -172,116 +191,109 @@ def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
                 group = pieces[a:b]
                 sizes = np.array([len(x[3]) for x in group], dtype=np.int64)
                 ends = np.cumsum(sizes)
-                h, c, side, first, after = anchors(np.frombuffer(b"".join(x[3] for x in group), dtype=np.uint8), ends, length, q)
+                h, c, first, off, after = anchors(np.frombuffer(b"".join(x[3] for x in group), dtype=np.uint8), ends, length, q)
                 which = np.searchsorted(ends, first, side="right")
-                starts = first - (ends - sizes)[which] + np.array([x[2] for x in group], dtype=np.int64)[which]
-                marks = np.array([x[1] for x in group], dtype=np.int64)[which]
-                p = (marks << (START_BITS + RUN_BITS)) | (starts << RUN_BITS) | after
-                rows.append((h, c, side, ids[np.array([x[0] for x in group], dtype=np.int64)[which]], p))
-            if not rows:
-                continue
-            h, c, side, own, p = (np.concatenate(x) for x in zip(*rows))
-            order = np.lexsort((p, own, c, h))
-            h, c, side, own, p = h[order], c[order], side[order], own[order], p[order]
-            same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-            head = np.maximum.accumulate(np.where(np.concatenate(([True], ~same)), np.arange(len(h)), 0))
-            later = (own != own[head]) | (p != p[head])
-            h = np.where(later, _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64))), h)
-            c = np.where(later, np.uint64(0), c)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(side), pa.array(own), pa.array(p)], ["h", "c", "s", "id", "p"])
-
-    return _base(docs).mapInArrow(batches, "h long, c long, s long, id long, p long")
-
-
-def refined(found: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
-    """(id, p, settled): runs whose strings all repeat, and runs still open, cut to the sides that are shared."""
+                row, marks, at = (np.array([x[k] for x in group], dtype=np.int64)[which] for k in range(3))
+                rows.append((h, c, ids[row], _packed(marks, first - (ends - sizes)[which] + at, off, after)))
+            sent = _sent(rows)
+            if sent is not None:
+                yield sent
+
+    return _base(docs).mapInArrow(batches, SENT)
+
+
+def refined(found: DataFrame) -> DataFrame:
+    """(id, p, settled): rows whose strings all repeat, and rows of buckets that fell apart."""
     bucket = Window.partitionBy("h")
     earliest = Window.partitionBy("h", "c").orderBy("id", "p")
     marked = found.select(
-        "h", "s", "id", "p", "c", F.rank().over(earliest).alias("r"), F.min("c").over(bucket).alias("a"), F.max("c").over(bucket).alias("b")
+        "id", "p", "c", F.rank().over(earliest).alias("r"), F.min("c").over(bucket).alias("a"), F.max("c").over(bucket).alias("b")
     )
     settled = (F.col("c") == 0) | (F.col("r") > 1)
-    mask = (1 << SIDE_BITS) - 1
-    left = F.shiftright("s", SIDE_BITS + RUN_BITS)
-    right = F.shiftright("s", RUN_BITS).bitwiseAND(F.lit(mask))
-    kept = marked.filter(settled | (F.col("a") != F.col("b"))).select(
-        "h", "id", "p", settled.alias("settled"), F.when(~settled, left).alias("left"), F.when(~settled, right).alias("right"),
-        F.col("s").bitwiseAND(F.lit((1 << RUN_BITS) - 1)).alias("off"),
-    )
-    shared = kept.select(
-        "id", "p", "settled", "off",
-        ((F.count("left").over(Window.partitionBy("h", "left")) > 1) & (F.col("left") > 0)).alias("l"),
-        ((F.count("right").over(Window.partitionBy("h", "right")) > 1) & (F.col("right") > 0)).alias("r"),
-    )
-    # strings at offsets 0 .. off - half hold the left side, those after it the right one
-    after = F.col("p").bitwiseAND(F.lit((1 << RUN_BITS) - 1))
-    last_left = F.col("off") - F.lit((length - q) // 2)
-    only_left = F.col("p") - after + F.least(after, last_left)
-    from_right = F.greatest(last_left + 1, F.lit(0))
-    only_right = F.col("p") - after + F.shiftleft(from_right, RUN_BITS) + (after - from_right)
-    cut_to = F.when(F.col("settled") | (F.col("l") & F.col("r")), F.col("p")).when(F.col("l"), only_left).when(F.col("r"), only_right)
-    return shared.select("id", cut_to.alias("p"), "settled").filter("p IS NOT NULL")
+    return marked.filter(settled | (F.col("a") != F.col("b"))).select("id", "p", settled.alias("settled"))
 
 
-def _unpacked(p):
-    """(text mark, start, strings after it) of packed positions."""
-    return p >> (START_BITS + RUN_BITS), (p >> RUN_BITS) & ((1 << START_BITS) - 1), p & ((1 << RUN_BITS) - 1)
-
-
-def strings(open_runs: DataFrame, length: int = 100) -> DataFrame:
-    """Strings of the open runs of each document: (w1, w2: identifiers, id, p), p with run length 0.
-
-    ``open_runs`` has id, text and ps (packed positions). Strings that repeat an
-    earlier one of the batch have ``w2 = 0``.
-    """
+def _of_open(by_id: DataFrame, level: DataFrame, rows_of) -> DataFrame:
+    """``_sent`` rows that ``rows_of(data, mark, starts, offs, afters)`` makes of the open rows' texts."""
+    asked = level.filter("NOT settled").groupBy("id").agg(F.collect_list("p").alias("ps"))
 
     def batches(it):
         for batch in it:
-            out = []
+            rows = []
             for own, text, ps in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 mark = _text_mark(raw)
-                marks, starts, after = _unpacked(np.sort(ps.values.to_numpy()))
+                p = np.unique(ps.values.to_numpy())
+                marks, starts, offs, afters = _unpacked(p)
                 mine = marks == mark
-                starts, after = starts[mine], after[mine]
+                starts, offs, afters = starts[mine], offs[mine], afters[mine]
                 data = np.frombuffer(raw, dtype=np.uint8)
-                for at, part in _parts(raw, length):
-                    here = (starts + after >= at) & (starts < at + len(part) - length + 1)
-                    if not here.any():
-                        continue
-                    lo = np.maximum(starts[here], at)
-                    hi = np.minimum((starts + after)[here], at + len(part) - length)
-                    n = hi - lo + 1
-                    j = np.unique(np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()))
-                    one, two = (Hashes(data[at : at + len(part)], b) for b in BASES)
-                    k = j - at
-                    out.append((_mixed(one.of(k, k + length)), _mixed(two.of(k, k + length)) | np.uint64(1), np.full(len(j), own, dtype=np.int64), (mark << (START_BITS + RUN_BITS)) | (j << RUN_BITS)))
-            if not out:
-                continue
-            a, b, own, p = (np.concatenate(x) for x in zip(*out))
-            order = np.lexsort((p, own, b, a))
-            a, b, own, p = a[order], b[order], own[order], p[order]
-            same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-            head = np.maximum.accumulate(np.where(np.concatenate(([True], ~same)), np.arange(len(a)), 0))
-            later = (own != own[head]) | (p != p[head])
-            a = np.where(later, _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64))), a)
-            b = np.where(later, np.uint64(0), b)
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(own), pa.array(p)], ["w1", "w2", "id", "p"])
-
-    return open_runs.mapInArrow(batches, "w1 long, w2 long, id long, p long")
+                # hash the text in parts; a run starts at most 128 strings before its end
+                step = BLOCK - 1024
+                for at in range(0, len(raw), step):
+                    here = (starts >= at) & (starts < at + step)
+                    if here.any():
+                        for h, c, p in rows_of(data[at : at + BLOCK], starts[here] - at, offs[here], afters[here]):
+                            rows.append((h, c, np.full(len(h), own, dtype=np.int64), p + _packed(mark, at, 0, 0)))
+            sent = _sent(rows)
+            if sent is not None:
+                yield sent
+
+    return by_id.join(asked, "id").select("id", "text", "ps").mapInArrow(batches, SENT)
+
+
+def _spread(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the run, value) for every value lo .. lo + n - 1 of every run."""
+    which = np.repeat(np.arange(len(lo)), n)
+    return which, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[which]
+
+
+def block_rows(length: int):
+    """Step 3: the blocks of open runs."""
+
+    def rows_of(data, starts, offs, afters):
+        # offsets from the anchor fall from offs to offs - afters along a run; block k holds
+        # the offsets k * STRINGS .. k * STRINGS + STRINGS - 1
+        low = (offs - afters) // STRINGS
+        which, k = _spread(low, offs // STRINGS - low + 1)
+        anchor, first, last = (starts + offs)[which], starts[which], (starts + afters)[which]
+        lo = np.maximum(first, anchor - k * STRINGS - STRINGS + 1)
+        hi = np.minimum(last, anchor - k * STRINGS)
+        one, two = (Hashes(data, b) for b in BASES)
+        common = anchor - k * STRINGS
+        h = _mixed(one.of(common, common + length - STRINGS + 1))
+        place = (anchor - lo) * 128 + (hi - lo)
+        c = _mixed(two.of(lo, hi + length) + place.astype(np.uint64) * np.uint64(MIXERS[0])) | np.uint64(1)
+        yield h, c, _packed(0, lo, 0, hi - lo)
+
+    return rows_of
+
+
+def string_rows(length: int):
+    """Step 4: the single strings of open blocks."""
+
+    def rows_of(data, starts, offs, afters):
+        j = np.unique(_spread(starts, afters + 1)[1])
+        one, two = (Hashes(data, b) for b in BASES)
+        yield _mixed(one.of(j, j + length)), _mixed(two.of(j, j + length)) | np.uint64(1), _packed(0, j, 0, 0)
+
+    return rows_of
 
 
 def repeated_runs(docs: DataFrame, by_id: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
     """(id, p) packed runs of strings that start earlier somewhere else.
 
-    ``by_id`` is the documents' id and text, dealt by id.
+    ``by_id`` is the documents' id and text, dealt by id; all steps read one shuffle of it.
     """
-    level = cut(refined(bucketed(docs, length, q), length, q))
-    open_runs = level.filter("NOT settled").groupBy("id").agg(F.collect_list("p").alias("ps"))
-    each = strings(by_id.join(open_runs, "id"), length)
-    earliest = Window.partitionBy("w1", "w2").orderBy("id", "p")
-    again = each.select("id", "p", ((F.col("w2") == 0) | (F.rank().over(earliest) > 1)).alias("again")).filter("again")
-    return level.filter("settled").select("id", "p").unionByName(again.select("id", "p"))
+    if not STRINGS < length - q:
+        raise ValueError(f"length must exceed q by more than {STRINGS}")
+    runs = cut(refined(bucketed(docs, length, q)))
+    parts = refined(_of_open(by_id, runs, block_rows(length)))
+    single = refined(_of_open(by_id, parts, string_rows(length)))
+    out = runs.filter("settled")
+    for level in (parts, single):
+        out = out.unionByName(level.filter("settled"))
+    return out.select("id", "p")
 
 
 def removed_spans(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
@@ -295,7 +307,7 @@ def merged(ps: np.ndarray | None, mark: int, size: int, length: int) -> list[tup
     """Maximal removed (start, stop) ranges of one text."""
     if ps is None or not len(ps):
         return []
-    marks, starts, after = _unpacked(np.asarray(ps))
+    marks, starts, _, after = _unpacked(np.asarray(ps))
     starts, stops = starts[marks == mark], (starts + after + length)[marks == mark]
     if not len(starts):
         return []
