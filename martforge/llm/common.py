@@ -81,3 +81,10 @@ def blocks(lengths, limit: int):
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def sliced(batches, rows: int):
+    """Arrow batches of at most ``rows`` rows, so that a worker holds few objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.llm.common import cut, width
+from martforge.llm.common import cut, sliced, width
 
 NO_ID = -(1 << 63)
 #: A position is packed as 16 bits of the text's hash and 47 bits of line number.
@@ -46,7 +46,9 @@ def words_of(line: str) -> list[str]:
 
 
 def _hash(data: str, seed: int = 0) -> int:
-    return xxhash.xxh3_64_intdigest(data.encode("utf-8", "surrogatepass"), seed)
+    """A signed long."""
+    h = xxhash.xxh3_64_intdigest(data.encode("utf-8", "surrogatepass"), seed)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _mark(text: str) -> int:
@@ -106,9 +108,10 @@ def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
 
     def batches(it):
         for batch in it:
-            first: dict[bytes, tuple] = {}
+            first: dict[bytes, tuple] = {}  # hash of the words: position, half keys
             out = []
-            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for own, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py()
                 mark = _mark(text) << LINE_BITS
                 for n, line in enumerate(text.split("\n")):
                     words = words_of(line)
@@ -118,20 +121,20 @@ def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
                     at = (own, mark | n)
                     before = first.get(key)
                     if before is None:
-                        first[key] = (at, words)
+                        first[key] = (at, half_keys(words) if len(words) >= min_words else None)
                     elif at < before[0]:
                         out.append(before[0])
-                        first[key] = (at, words)
+                        first[key] = (at, before[1])
                     elif at > before[0]:
                         out.append(at)
             a, b, ids, ps, keys = [], [], [], [], []
-            for key, (at, words) in first.items():
+            for key, (at, half) in first.items():
                 x, y = np.frombuffer(key, dtype="<i8").tolist()
                 a.append(x)
                 b.append(y | 1)
                 ids.append(at[0])
                 ps.append(at[1])
-                keys.append(np.array(half_keys(words), dtype=np.uint64).view(np.int64).tolist() if len(words) >= min_words else None)
+                keys.append(half)
             for own, p in out:
                 a.append(hash((own, p)))
                 b.append(0)
@@ -158,9 +161,10 @@ def line_words(by_id: DataFrame, wanted: DataFrame) -> DataFrame:
     asked = wanted.groupBy("id").agg(F.collect_list("p").alias("ps"))
 
     def batches(it):
-        for batch in it:
+        for batch in sliced(it, 1000):
             ids, ps, lines = [], [], []
-            for own, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for own, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                text = value.as_py()
                 mark, split = _mark(text), text.split("\n")
                 for p in places:
                     if p >> LINE_BITS == mark:
@@ -169,8 +173,10 @@ def line_words(by_id: DataFrame, wanted: DataFrame) -> DataFrame:
                         lines.append(" ".join(words_of(split[p & ((1 << LINE_BITS) - 1)])))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ps, pa.int64()), pa.array(lines, pa.string())], ["id", "p", "line"])
 
-    # all columns go along, so that every reader of by_id reads one and the same shuffle
-    return by_id.join(asked, "id").select("id", "text", "ps", "rest").mapInArrow(batches, "id long, p long, line string")
+    # all columns go along, so that every reader of by_id reads one and the same shuffle;
+    # dealt by line, so that the readers of the lines share one shuffle too
+    found = by_id.join(asked, "id").select("id", "text", "ps", "rest").mapInArrow(batches, "id long, p long, line string")
+    return found.repartition(width(by_id), "id", "p")
 
 
 def neighbourhoods(lines: DataFrame) -> DataFrame:
@@ -181,7 +187,7 @@ def neighbourhoods(lines: DataFrame) -> DataFrame:
     """
 
     def batches(it):
-        for batch in it:
+        for batch in sliced(it, 4000):
             first: dict[tuple[int, int], tuple] = {}
             rows = sorted(set(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())))
             out = []
@@ -195,10 +201,10 @@ def neighbourhoods(lines: DataFrame) -> DataFrame:
                     elif not settled and within_one_edit(words, before[2]):
                         settled = True
                 if settled:
-                    out.append((hash((own, p)) & ((1 << 64) - 1), -2, own, p))
+                    out.append((hash((own, p)), -2, own, p))
             v, place, ids, ps = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(v, dtype=np.uint64).view(np.int64)), pa.array(place, pa.int32()), pa.array(ids, pa.int64()), pa.array(ps, pa.int64())],
+                [pa.array(v, pa.int64()), pa.array(place, pa.int32()), pa.array(ids, pa.int64()), pa.array(ps, pa.int64())],
                 ["v", "place", "id", "p"],
             )
 
@@ -260,18 +266,18 @@ def dedup(docs: DataFrame, min_words: int = 8, carried: tuple[str, ...] = ()) ->
     names = ["doc_id", "text", "n_lines", "n_equal", "n_near", "rest"]
 
     def batches(it):
-        for batch in it:
+        for batch in sliced(it, 1000):
             rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
             ids, texts, counts, equals, nears = [], [], [], [], []
             for own, text, equal, near in rows:
                 lines, mark = text.split("\n"), _mark(text)
-                mine = [[p & ((1 << LINE_BITS) - 1) for p in ps or () if p >> LINE_BITS == mark] for ps in (equal, near)]
-                drop = set(mine[0]) | set(mine[1])
+                mine = [{p & ((1 << LINE_BITS) - 1) for p in ps or () if p >> LINE_BITS == mark} for ps in (equal, near)]
+                drop = mine[0] | mine[1]
                 ids.append(None if own == NO_ID else own)
-                counts.append(sum(1 for s in lines if words_of(s)))
+                counts.append(sum(1 for s in lines if s and not s.isspace()))
                 texts.append("\n".join(s for n, s in enumerate(lines) if n not in drop) if drop else text)
-                equals.append(len(set(mine[0])))
-                nears.append(len(set(mine[1])))
+                equals.append(len(mine[0]))
+                nears.append(len(mine[1]))
             made = [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), *(pa.array(x, pa.int64()) for x in (counts, equals, nears))]
             yield pa.RecordBatch.from_arrays([*made, batch.column(4)], names)
 
