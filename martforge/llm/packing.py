@@ -6,10 +6,10 @@ ids, a quarter of the time; the tests compare both). Documents longer than a
 sequence are cut into full pieces, the first piece being the shorter one.
 
 Packing: full pieces are sequences of their own. The rest are dealt by a hash into
-groups of bounded size, and each group is packed in one task: best-fit decreasing
-first, then local search over the underfull bins. A step moves one document, or
-exchanges one for one or two for one between two bins, and is taken only if it
-increases the sum of squared fills; bins so run empty and go. The bins that are
+groups of bounded size, and each group is packed in one task: best-fit decreasing (and, from
+a second start, best single or pair) first, then local search over the underfull bins. A step
+moves one document, or exchanges one for one or two for one between two bins, or moves all of a
+bin, and is taken only if it increases the sum of squared fills; bins so run empty and go. The bins that are
 still underfull are dissolved and packed again over fewer, mixed groups
 until they fit one group, so what is lost does not grow with the number of groups.
 
@@ -225,8 +225,120 @@ def _pair(want, b, sizes, bins, open_bins, fill, place, look: int = 24):
     return None
 
 
+def exact_fit(sizes: list[int], capacity: int, look: int = 64) -> list[list[int]]:
+    """Bins filled one by one: the largest document left, then one or two that fill best.
+
+    Of the totals that leave least room, a single document is preferred to a pair, and a
+    pair with the larger first. After ``look`` totals without any, the largest that fits goes in.
+    """
+    left: list[list[int]] = [[] for _ in range(capacity + 1)]
+    for i in range(len(sizes) - 1, -1, -1):
+        left[sizes[i]].append(i)
+    present = sum(1 << s for s in range(capacity + 1) if left[s])
+    mirrored = sum(1 << (capacity - s) for s in range(capacity + 1) if left[s])
+    bins = []
+
+    def take(s: int) -> int:
+        nonlocal present, mirrored
+        item = left[s].pop()
+        if not left[s]:
+            present &= ~(1 << s)
+            mirrored &= ~(1 << (capacity - s))
+        return item
+
+    def filling(room: int) -> tuple[int, ...]:
+        fits = present & ((2 << room) - 1)
+        if not fits:
+            return ()
+        for total in range(room, max(0, room - look), -1):
+            if fits >> total & 1:
+                return (total,)
+            pairs = present & (mirrored >> (capacity - total)) & ((1 << total) - 1)  # a and total - a are there
+            while pairs:
+                a = pairs.bit_length() - 1
+                if a != total - a or len(left[a]) > 1:
+                    return a, total - a
+                pairs &= ~(1 << a)
+        return (fits.bit_length() - 1,)
+
+    while present:
+        s = present.bit_length() - 1
+        bins.append([take(s)])
+        room = capacity - s
+        while room and (chosen := filling(room)):
+            for s in chosen:
+                bins[-1].append(take(s))
+                room -= s
+    return bins
+
+
+def dissolve(sizes: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Bins of small documents are emptied wherever the room of underfull bins takes all of them.
+
+    Of the bins whose largest document fits the largest room, those of the smallest
+    largest document are tried first; every success increases the squared fill by a whole bin.
+    """
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    by_room: dict[int, list[int]] = defaultdict(list)
+    rooms = 0
+    for b, f in enumerate(fill):
+        if 0 < f < capacity:
+            by_room[capacity - f].append(b)
+            rooms |= 1 << (capacity - f)
+    for victim in sorted((b for b in range(len(bins)) if bins[b]), key=lambda b: (max(sizes[i] for i in bins[b]), b)):
+        if max(sizes[i] for i in bins[victim]) >= rooms.bit_length():
+            break
+        taken, own = [], capacity - fill[victim]
+        for i in sorted(bins[victim], key=lambda i: (-sizes[i], i)):
+            fits = rooms >> sizes[i]
+            target, room = None, sizes[i]
+            while fits and target is None:
+                room += (fits & -fits).bit_length() - 1
+                target = next((b for b in reversed(by_room[room]) if b != victim), None)
+                fits = (rooms >> (room + 1)) if target is None else 0
+                room += target is None
+            if target is None:
+                break
+            by_room[room].remove(target)
+            if not by_room[room]:
+                rooms &= ~(1 << room)
+            if room > sizes[i]:
+                by_room[room - sizes[i]].append(target)
+                rooms |= 1 << (room - sizes[i])
+            taken.append((i, target, room))
+        if len(taken) < len(bins[victim]):  # not all of them: undo
+            for i, target, room in reversed(taken):
+                if room > sizes[i]:
+                    by_room[room - sizes[i]].remove(target)
+                    if not by_room[room - sizes[i]]:
+                        rooms &= ~(1 << (room - sizes[i]))
+                by_room[room].append(target)
+                rooms |= 1 << room
+            continue
+        for i, target, _ in taken:
+            bins[target].append(i)
+            fill[target] += sizes[i]
+        if own:
+            by_room[own].remove(victim)
+            if not by_room[own]:
+                rooms &= ~(1 << own)
+        bins[victim], fill[victim] = [], 0
+    return [b for b in bins if b]
+
+
 def pack_group(sizes: list[int], capacity: int) -> list[list[int]]:
-    return local_search(sizes, best_fit(sizes, capacity), capacity)
+    """Local search from two first packings; the one that ends with fewer bins."""
+    best = None
+    for start in (best_fit, exact_fit):
+        bins = start(sizes, capacity)
+        while True:
+            before = len(bins)
+            bins = dissolve(sizes, local_search(sizes, bins, capacity), capacity)
+            if len(bins) == before:
+                break
+        if best is None or len(bins) < len(best):
+            best = bins
+    return best
 
 
 def _pack_level(items: DataFrame, level: int, groups: int, capacity: int) -> DataFrame:
@@ -250,7 +362,7 @@ def _pack_level(items: DataFrame, level: int, groups: int, capacity: int) -> Dat
     return items.select("row", "length", key.alias("g")).groupBy("g").applyInPandas(pack, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_rows: int = 8192, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_rows: int = 32_768, end_id: int = END_ID) -> DataFrame:
     """Pieces with sequence_id and offset."""
     cutting = cut(pieces(docs, tokenizer, capacity, end_id).withColumn("row", F.monotonically_increasing_id()))
     whole = cutting.filter(F.col("length") == capacity).select(
