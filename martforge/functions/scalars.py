@@ -123,33 +123,90 @@ def cancelled_flag(closed_type: Column | str) -> Column:
     return F.when(_c(closed_type) == 0, F.lit(0)).otherwise(F.lit(1))
 
 
-def pow10_decimal(decimals: Column | str) -> Column:
-    """``10 ** d`` as an exact decimal(19,0) for 0 <= d <= 18 (10**d is an
-    exact double there); outside that range NULL instead of an ANSI error."""
-    d = _c(decimals)
-    return F.when((d >= 0) & (d <= 18), F.pow(F.lit(10), d)).try_cast("decimal(19,0)")
+def _shifted(digits: Column, places: Column) -> Column:
+    """Integer text times ``10 ** -places`` as decimal(38,10), rounded once (HALF_UP).
+
+    The text goes through scientific notation, so any number of digits and any
+    exponent is exact; NULL only where 28 integer digits do not hold the result.
+    """
+    return F.concat(digits, F.lit("E"), (-places.cast("int")).cast("string")).try_cast(MONEY)
 
 
 def scale_units(value: Column | str, decimals: Column | str) -> Column:
     """raw token units -> tokens, exact, as decimal(38,10).
 
-    ``decimal(28,0) / decimal(19,0)`` is typed decimal(38,10), so no digit is
-    lost (a double ``pow`` would keep ~16 significant digits only). Values
-    wider than 28 digits become NULL instead of raising.
+    Values of up to 38 digits and any ``decimals``. NULL where an input is NULL or the
+    result has more than 28 integer digits; ``scale_units_double`` covers those.
     """
-    v = _c(value).try_cast("decimal(28,0)")
-    return (v / pow10_decimal(decimals)).cast(MONEY)
+    return _shifted(_c(value).cast("decimal(38,0)").cast("string"), _c(decimals))
+
+
+def scale_units_double(value: Column | str, decimals: Column | str) -> Column:
+    """F10 as a double: never NULL where both inputs are set."""
+    return _c(value).cast("double") * F.pow(F.lit(10.0), -_c(decimals).cast("double"))
+
+
+LIMB = "decimal(38,0)"
+LIMB_DIGITS = 13  # 39 digits are three limbs; sums of limb products stay within 28 digits
+
+
+def _limbs(digits: Column) -> list[Column]:
+    """Three limbs of 13 digits of a text of up to 39 digits, smallest first."""
+    padded = F.lpad(digits, 3 * LIMB_DIGITS, "0")
+    return [F.substring(padded, 1 + LIMB_DIGITS * k, LIMB_DIGITS).cast("decimal(13,0)") for k in (2, 1, 0)]
+
+
+def _long_product(a: Column, b: Column) -> Column:
+    """Digits of the exact product of two digit texts, by limbs of 13 digits."""
+    x, y = _limbs(a), _limbs(b)
+    base = F.lit(10**LIMB_DIGITS).cast(LIMB)
+    columns = []
+    for k in range(5):
+        terms = [(x[i] * y[k - i]).cast(LIMB) for i in range(3) if 0 <= k - i < 3]
+        total = terms[0]
+        for t in terms[1:]:
+            total = (total + t).cast(LIMB)
+        columns.append(total)
+
+    def carry_on(state: Column, column: Column) -> Column:
+        total = (state["carry"] + column).cast(LIMB)
+        rest = (total % base).cast(LIMB)
+        digits = F.concat(F.lpad(rest.cast("string"), LIMB_DIGITS, "0"), state["digits"])
+        return F.struct(((total - rest) / base).cast(LIMB).alias("carry"), digits.alias("digits"))
+
+    start = F.struct(F.lit(0).cast(LIMB).alias("carry"), F.lit("").alias("digits"))
+    return F.aggregate(F.array(*columns), start, carry_on, lambda s: F.concat(s["carry"].cast("string"), s["digits"]))
+
+
+PRICE_SCALE = 18
 
 
 def usd_value(value: Column | str, price: Column | str, decimals: Column | str) -> Column:
-    """``value * price / 10**decimals`` as decimal(38,10).
+    """``value * price / 10**decimals`` as decimal(38,10), exact and rounded once.
 
-    The product is narrowed to decimal(30,2) (prices carry 2 decimals in this
-    data model), which makes the quotient type exactly decimal(38,10): Spark
-    divides exactly and rounds once, HALF_UP, to 10 digits.
+    Prices keep all their digits (up to 18 after the point). Products of up to
+    19 by 18 digits are one decimal multiplication; wider ones are multiplied by limbs.
+    NULL where an input is NULL or the result has more than 28 integer digits;
+    ``usd_value_double`` covers those.
     """
-    prod = (_c(value).try_cast("decimal(28,0)") * _c(price)).try_cast("decimal(30,2)")
-    return (prod / pow10_decimal(decimals)).cast(MONEY)
+    v, p = _c(value).cast("decimal(38,0)"), _c(price).cast(f"decimal(38,{PRICE_SCALE})")
+    short = v.try_cast("decimal(19,0)") * p.try_cast("decimal(18,9)")  # decimal(38,9)
+    sign = F.when((v < 0) != (p < 0), F.lit("-")).otherwise(F.lit(""))
+    wide = _shifted(F.concat(sign, _long_product(F.abs(v).cast("string"), _unscaled(p))), _c(decimals).cast("int") + PRICE_SCALE)
+    fits = (p.try_cast("decimal(18,9)") == p) & v.try_cast("decimal(19,0)").isNotNull()
+    return F.when(fits, F.coalesce(_shifted(short.cast("string"), _c(decimals)), wide)).otherwise(wide)
+
+
+def _unscaled(p: Column) -> Column:
+    """Digits of |p| * 10**18: whole and fractional digits joined."""
+    a = F.abs(p)
+    part = (a % 1).cast("decimal(18,18)") * F.lit(10**PRICE_SCALE).cast("decimal(19,0)")
+    return F.concat(F.floor(a).cast("string"), F.lpad(part.cast("decimal(18,0)").cast("string"), PRICE_SCALE, "0"))
+
+
+def usd_value_double(value: Column | str, price: Column | str, decimals: Column | str) -> Column:
+    """F11 as a double: never NULL where all inputs are set."""
+    return _c(value).cast("double") * _c(price).cast("double") * F.pow(F.lit(10.0), -_c(decimals).cast("double"))
 
 
 def safe_cast(c: Column | str, data_type: DataType | str) -> Column:
@@ -157,9 +214,17 @@ def safe_cast(c: Column | str, data_type: DataType | str) -> Column:
     return _c(c).try_cast(data_type)
 
 
-def money_sum(c: Column | str) -> Column:
-    """A2: exact decimal sum published as decimal(38,10)."""
-    return F.sum(_c(c)).cast(MONEY)
+def money_sum(c: Column | str, wide: bool = False) -> Column:
+    """A2: exact decimal sum published as decimal(38,10).
+
+    ``wide`` is for inputs of more than 10 decimals (H2): whole and fractional parts are
+    summed apart, since a sum of decimal(38,18) would hold only 20 integer digits.
+    """
+    if not wide:
+        return F.sum(_c(c)).cast(MONEY)
+    whole = F.floor(_c(c)).cast("decimal(38,0)")
+    part = (_c(c) - whole).cast("decimal(18,18)")
+    return (F.sum(whole).cast("decimal(28,0)") + F.sum(part).cast("decimal(28,18)").cast("decimal(28,10)")).cast(MONEY)
 
 
 def exact_avg(c: Column | str) -> Column:

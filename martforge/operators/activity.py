@@ -49,14 +49,14 @@ def daily_active(activity: DataFrame) -> DataFrame:
 
 
 def _shared(activity: DataFrame, materialize_input: bool) -> DataFrame:
-    """Metrics that read the activity twice (day spine + owners) write it once
-    to the shared checkpoint folder, so the upstream plan is not run twice
+    """Metrics that read the activity twice (day spine + owners) checkpoint it
+    in the shared folder, so the upstream plan is not run twice
     (the two branches prune differently, so Spark cannot reuse the shuffle)."""
     if not materialize_input:
         return activity
     from martforge.session import materialize
 
-    return materialize(activity, "activity")
+    return materialize(activity)
 
 
 def weekly_active(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
@@ -118,27 +118,6 @@ def cumulative_users(activity: DataFrame, materialize_input: bool = True) -> Dat
     )
 
 
-def affected_since(end) -> "datetime.date":
-    """First day whose metrics can change when the days before ``end`` arrive.
-
-    DAU, NRU and RU of a day never change afterwards (first visits only move
-    forward); forward WAU of the last 7 days and MAU of the current month do.
-    A daily run therefore only needs to replace partitions from here on.
-    """
-    import datetime
-
-    from martforge.operators.timeslice import as_date
-
-    last = as_date(end) - datetime.timedelta(days=1)
-    return min(as_date(end) - datetime.timedelta(days=WAU_DAYS), last.replace(day=1))
-
-
-def recent_summary(activity: DataFrame, end) -> DataFrame:
-    """The rows of ``user_summary`` a daily run must republish (H5)."""
-    since = affected_since(end)
-    return user_summary(activity).filter(F.col("bdate") >= F.lit(since))
-
-
 def user_summary(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
     """J9 + P13: the five metrics on the active-day spine, NULL -> 0, sorted.
 

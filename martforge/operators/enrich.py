@@ -9,9 +9,7 @@ Spark's own size checks - the static estimate (file size of the projected
 columns, an upper bound for filters/projections) against
 ``spark.sql.autoBroadcastJoinThreshold``, then AQE's measured size of the
 materialised side - so a dimension that grows past the threshold silently
-becomes a shuffle join (with AQE skew splitting). ``check_size=True`` adds an
-explicit bounded row check (``limit(max_rows + 1).count()``, one small job)
-before hinting ``broadcast``, for sides whose size Spark cannot estimate.
+becomes a shuffle join (with AQE skew splitting).
 """
 
 from __future__ import annotations
@@ -21,16 +19,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast (projected dims are a few
-# narrow columns, so this stays well below executor memory).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` when it provably has <= ``max_rows`` rows."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def attach_role(
     fact: DataFrame,
@@ -39,8 +27,6 @@ def attach_role(
     columns: Mapping[str, str],
     role: str,
     how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    check_size: bool = False,
 ) -> DataFrame:
     """Join one role of ``dim`` onto ``fact``.
 
@@ -53,8 +39,6 @@ def attach_role(
     sel = [F.col(dk).alias(key_alias[dk]) for _, dk in keys]
     sel += [F.col(src).alias(f"__{role}_{out}") for out, src in columns.items()]
     side = dim.select(*sel)
-    if check_size:
-        side = bounded_broadcast(side, max_rows)
     cond: Column | None = None
     for fk, dk in keys:
         c = fact[fk] == side[key_alias[dk]]
@@ -66,19 +50,6 @@ def attach_role(
     return joined.select(*out)
 
 
-def attach_by_key(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    check_size: bool = False,
-) -> DataFrame:
-    """USING-style equi join on same-named keys."""
-    side = bounded_broadcast(dim, max_rows) if check_size else dim
-    return fact.join(side, list(on), how)
-
-
 def remove_matched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose keys do not occur in ``right`` (left anti).
 

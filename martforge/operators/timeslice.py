@@ -97,6 +97,15 @@ def zones_by_union(df: DataFrame, start: DateLike | None, end: DateLike) -> Data
     return union_by_name(*parts)
 
 
+def cover_zones(start: DateLike | None, end: DateLike, ts_col: str = "ts_utc") -> Column:
+    """Rows of either zone's days in the slice: ``ts_utc`` in [start - 9 h, end)."""
+    cover = F.col(ts_col) < ntz_lit(as_date(end))
+    if start is None:
+        return cover
+    lo = _dt.datetime.combine(as_date(start), _dt.time()) - _dt.timedelta(hours=KST_OFFSET_HOURS)
+    return cover & (F.col(ts_col) >= ntz_lit(lo))
+
+
 def fan_out_zones(
     df: DataFrame,
     start: DateLike | None,
@@ -117,11 +126,7 @@ def fan_out_zones(
     ``timezone_type``. Equal to ``zones_by_union``.
     """
     if ts_col is not None and ts_col in df.columns:
-        cover = F.col(ts_col) < ntz_lit(as_date(end))
-        if start is not None:
-            lo = _dt.datetime.combine(as_date(start), _dt.time()) - _dt.timedelta(hours=KST_OFFSET_HOURS)
-            cover = cover & (F.col(ts_col) >= ntz_lit(lo))
-        df = df.filter(cover)
+        df = df.filter(cover_zones(start, end, ts_col))
     if partition_col is not None and partition_col in df.columns:
         pc = F.col(partition_col) < _dlit(end)
         if start is not None:

@@ -22,11 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, ts_to_epoch
-from martforge.sources.scans import OVERWRITE, DatasetSpec, spread
+from martforge.sources.scans import OVERWRITE, DatasetSpec
 
 # --- fixed values: binding parameters ---------------------------------------
 OFFSET_MULTIPLIER = 7919        # seconds offset = (o_orderkey * 7919) % 86400
 SECONDS_PER_DAY = 86400
+PRICE_HOURS = (0, 6, 15, 18)    # hours of price samples; 0 and 15 are the two midnights
+VALUE_POWERS = 12               # transfer values are cents times 10 ** (event_id % 12)
+CLOSE_STEP_DAYS = 15            # orders close 0, 15, 30, 45 or 60 days after creation
 PAIRS_PER_ORDER_KEY = 50        # order -> pair (supplier) key
 TOKEN_COUNT = 25                # nation keys 0..24
 CHAIN_COUNT = 5                 # region keys 0..4
@@ -36,10 +39,6 @@ Q6 = "decimal(18,6)"
 # ---------------------------------------------------------------------------
 
 
-# Fact tables: spread over all cores when the file yields too few splits.
-FACT_TABLES = frozenset({"lineitem", "orders", "events", "customer", "part"})
-
-
 # Declared input schemas (no inference job per read; a file that does not
 # match fails loudly instead of being silently re-typed).
 TABLE_SCHEMAS = {
@@ -65,8 +64,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def pow10(n: F.Column) -> F.Column:
+    """Exact power of ten for 0 <= n <= 18."""
+    return F.concat(F.lit("1E"), n.cast("string")).cast("decimal(19,0)")
 
 
 def d(value: str | F.Column, typ: str) -> F.Column:
@@ -85,7 +88,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     return n.select(
         d("n_nationkey", "bigint").alias("_id"),
-        d("n_regionkey", "bigint").alias("chain_id"),
+        d(F.col("n_nationkey") % CHAIN_COUNT, "bigint").alias("chain_id"),
         hex_address(d("n_nationkey", "bigint")).alias("address"),
         F.col("n_name").alias("name"),
         F.concat(F.lit("TK"), d("n_nationkey", "string")).alias("symbol"),
@@ -148,7 +151,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("created_block"),
         hex_address(F.col("o_orderkey") * 3).alias("created_hash"),
         closed_type.cast("int").alias("closed_type"),
-        (created + (F.col("o_orderkey") % 5) * SECONDS_PER_DAY + 3600).alias("closed_at"),
+        (created + (F.col("o_orderkey") % 5) * CLOSE_STEP_DAYS * SECONDS_PER_DAY + 3600).alias("closed_at"),
         (F.col("o_orderkey") + 1000).alias("closed_block"),
         hex_address(F.col("o_orderkey") * 3 + 1).alias("closed_hash"),
         F.col("o_orderstatus"),
@@ -241,7 +244,7 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_address((F.col("user_id") + 3) % TOKEN_COUNT).alias("to_token"),
         hex_address("user_id").alias("from"),
         hex_address(F.col("user_id") + 1).alias("to"),
-        (d("value", "decimal(12,2)") * 100).cast("decimal(38,0)").alias("value"),
+        ((d("value", "decimal(12,2)") * 100).cast("decimal(18,0)") * pow10(F.col("event_id") % VALUE_POWERS)).cast("decimal(38,0)").alias("value"),
         (F.col("event_id") % 1000).cast("decimal(38,0)").alias("exchange_fee"),
         (F.col("user_id") % 100 + 1).cast("decimal(38,0)").alias("network_fee"),
         hex_address(F.col("event_id") % 16).alias("extra_data"),
@@ -265,7 +268,13 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_address(F.col("user_id") % TOKEN_COUNT).alias("address"),
         d("value", "decimal(12,2)").alias("price_usd"),
         d(F.col("event_id") % 3, "int").alias("interval_flags"),
-        ts_to_epoch("ts").alias("updated_at"),
+        # sampled at minute 0 or 30 of four hours of the event's day
+        (
+            ts_to_epoch("ts")
+            - ts_to_epoch("ts") % SECONDS_PER_DAY
+            + F.element_at(F.array(*[F.lit(h) for h in PRICE_HOURS]), (F.floor(F.col("event_id") / 2) % 4 + 1).cast("int")) * 3600
+            + (F.col("event_id") % 2) * 1800
+        ).alias("updated_at"),
     )
 
 

@@ -32,55 +32,55 @@ def land_table(
     ledger_path: str,
     batch_ts: _dt.datetime,
     catalog_name: str | None = None,
+    layer: str = "dl",
 ) -> str:
     """Land one source table for ``[start, end)`` and publish it.
 
     Snapshot sources (``mode=overwrite``) with a time field are replaced as a
     whole (static overwrite, so rows that moved to another day leave no stale
     copy); sliced sources replace only the days they carry; untimed sources
-    are replaced unpartitioned.
+    are replaced unpartitioned. ``layer`` is ``dim`` for dimensions such as tokens.
     """
     df = land(source, spec, start, end)
     cols = writes.default_partitions(spec.name, spec.partition_cols if spec.partition_cols is not None else (None if spec.time_field else []))
-    job = writes.JobInfo(spec.service, "dl", spec.name, start, end, batch_ts)
-    path = writes.table_path(root, spec.service, "dl", spec.name)
-    try:
-        if spec.mode == OVERWRITE and spec.time_field:
-            writes.replace_table(df, path, cols, spec.fmt)
-        else:
-            writes.replace_partitions(df, path, cols, spec.fmt)
-        writes.ledger_append(spark, ledger_path, job, 1)
-        if catalog_name:
-            writes.register_table(spark, catalog_name, path)
-    except Exception:
-        writes.ledger_append(spark, ledger_path, job, 0)
-        raise
-    return path
-
-
-def land_token_list(spark: SparkSession, pages: DataFrame, root: str, schema: str = "bridge", table: str = "token") -> str:
+    how = writes.TABLE if spec.mode == OVERWRITE or not spec.time_field else writes.PARTITIONS
+    job = writes.JobInfo(spec.service, layer, spec.name, start, end, batch_ts)
+    return writes.publish(spark, df, job, root, ledger_path, cols, catalog_name, how=how, fmt=spec.fmt)
+
+
+def _loaded(schema: str, layer: str, table: str, load_ts: _dt.datetime) -> writes.JobInfo:
+    """A load without a slice: the day of the load stamp."""
+    day = load_ts.date()
+    return writes.JobInfo(schema, layer, table, day, day + _dt.timedelta(days=1), load_ts)
+
+
+def land_token_list(
+    spark: SparkSession, pages: DataFrame, root: str, ledger_path: str, load_ts: _dt.datetime,
+    schema: str = "bridge", table: str = "token", catalog_name: str | None = None, layer: str = "dl",
+) -> str:
     """Token pages -> typed token table, full replace (no partitions)."""
-    path = writes.table_path(root, schema, "dl", table)
-    writes.replace_partitions(payloads.token_items(pages), path, [])
-    return path
+    job = _loaded(schema, layer, table, load_ts)
+    return writes.publish(spark, payloads.token_items(pages), job, root, ledger_path, [], catalog_name, how=writes.TABLE)
 
 
-def land_chain_stats(spark: SparkSession, stats_payloads: DataFrame, load_ts: _dt.datetime, root: str) -> str:
+def land_chain_stats(
+    spark: SparkSession, stats_payloads: DataFrame, load_ts: _dt.datetime, root: str, ledger_path: str, catalog_name: str | None = None
+) -> str:
     """One stats object per poll, appended under its load day (``dt_utc``)."""
-    path = writes.table_path(root, "bridge", "dl", "chain_stats")
-    writes.append_rows(payloads.chain_stats(stats_payloads, load_ts), path, "chain_stats")
-    return path
+    job = _loaded("bridge", "dl", "chain_stats", load_ts)
+    rows = payloads.chain_stats(stats_payloads, load_ts)
+    return writes.publish(spark, rows, job, root, ledger_path, ["dt_utc"], catalog_name, how=writes.APPEND)
 
 
-def land_contracts(spark: SparkSession, pages: DataFrame, root: str) -> str:
+def land_contracts(
+    spark: SparkSession, pages: DataFrame, root: str, ledger_path: str, load_ts: _dt.datetime, catalog_name: str | None = None
+) -> str:
     """Verified contracts dimension, unpartitioned full replace."""
-    path = writes.table_path(root, "bridge", "dim", "contract")
-    writes.replace_partitions(payloads.contracts(pages), path, [])
-    return path
+    job = _loaded("bridge", "dim", "contract", load_ts)
+    return writes.publish(spark, payloads.contracts(pages), job, root, ledger_path, [], catalog_name, how=writes.TABLE)
 
 
-def land_chains(spark: SparkSession, root: str) -> str:
+def land_chains(spark: SparkSession, root: str, ledger_path: str, load_ts: _dt.datetime, catalog_name: str | None = None) -> str:
     """The literal chain dimension, unpartitioned full replace."""
-    path = writes.table_path(root, "bridge", "dim", "chain")
-    writes.replace_partitions(chain_dim(spark), path, [])
-    return path
+    job = _loaded("bridge", "dim", "chain", load_ts)
+    return writes.publish(spark, chain_dim(spark), job, root, ledger_path, [], catalog_name, how=writes.TABLE)

@@ -17,13 +17,16 @@ from martforge.functions.scalars import (
     exact_avg,
     money_sum,
     scale_units,
+    scale_units_double,
     usd_value,
+    usd_value_double,
 )
 from martforge.operators.enrich import attach_role, remove_matched
 from martforge.operators.snapshot import closest_to_midnight
 from martforge.operators.timeslice import (
     DateLike,
     clip_days,
+    cover_zones,
     fan_out_zones,
     filter_by_time,
     filter_by_time_end,
@@ -40,14 +43,14 @@ def _with_pair_and_tokens(df: DataFrame, pairs: DataFrame, tokens: DataFrame, to
     Broadcast is left to Spark's size checks (static estimate from file
     sizes, then AQE's measured size); no dimension is hinted blindly.
     """
-    out = attach_role(df, pairs, [("pair_address", "pair_address")], PAIR_COLUMNS, "pair", check_size=False)
+    out = attach_role(df, pairs, [("pair_address", "pair_address")], PAIR_COLUMNS, "pair")
     base = {"base_name": "name", "base_symbol": "symbol"}
     quote = {"quote_name": "name", "quote_symbol": "symbol"}
     if token_address_wins:
         base["base_address"] = "address"
         quote["quote_address"] = "address"
-    out = attach_role(out, tokens, [("base_address", "address")], base, "base", check_size=False)
-    return attach_role(out, tokens, [("quote_address", "address")], quote, "quote", check_size=False)
+    out = attach_role(out, tokens, [("base_address", "address")], base, "base")
+    return attach_role(out, tokens, [("quote_address", "address")], quote, "quote")
 
 
 # D1 -------------------------------------------------------------------------
@@ -73,8 +76,8 @@ def order_detail_columns() -> list:
     "dt_utc", "dt_kst", "ts_utc", "ts_kst", "order_id", "created_block", "created_hash", "is_completed",
     "closed_type", "closed_at", "closed_block", "closed_hash", "pair_name", "pair_address", "quote_address",
     "quote_name", "quote_symbol", "base_address", "base_name", "base_symbol", "owner", "order_side", "price",
-    F.col("price_usd_at").alias("price_usd"), (F.col("price_usd_at") * F.col("amount")).alias("amount_usd"),
-    "amount", "filled", F.col("filled_usd_at").alias("filled_usd"), "volume",
+    F.col("price_usd_at").alias("price_usd"), "amount", (F.col("price_usd_at") * F.col("amount")).alias("amount_usd"),
+    "filled", F.col("filled_usd_at").alias("filled_usd"), "volume",
     F.col("volume_usd_at").alias("volume_usd"), "filled_volume",
     # kept as in the source mart: filled_volume_usd repeats filled_usd_at
     F.col("filled_usd_at").alias("filled_volume_usd"),
@@ -123,15 +126,18 @@ FEE_DAILY_KEYS = [
 def fee_daily(fees: DataFrame, pairs: DataFrame, tokens: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Fee totals per zone-day, pair and recipient.
 
-    Base/quote addresses come from the token side (NULL when unmatched).
+    Base/quote addresses come from the token side (NULL when unmatched). Fees are
+    summed by (UTC day, KST day, pair, recipient) first; only those totals are fanned out to
+    the zones and joined with names.
     """
-    zoned = fan_out_zones(fees, start, end)
-    enriched = _with_pair_and_tokens(zoned, pairs, tokens, token_address_wins=True)
-    return enriched.groupBy(*FEE_DAILY_KEYS).agg(
-        money_sum("gross_amount").alias("gross_amount"),
-        money_sum("net_amount").alias("net_amount"),
-        money_sum("fee").alias("fee"),
+    sums = ["gross_amount", "net_amount", "fee"]
+    cover = fees.filter(cover_zones(start, end)) if "ts_utc" in fees.columns else fees
+    totals = cover.groupBy("dt_utc", "dt_kst", "pair_address", "recipient").agg(*[F.sum(c).alias(c) for c in sums])
+    zoned = fan_out_zones(totals, start, end, ts_col=None).groupBy("timezone_type", "bdate", "pair_address", "recipient").agg(
+        *[F.sum(c).alias(c) for c in sums]
     )
+    enriched = _with_pair_and_tokens(zoned, pairs, tokens, token_address_wins=True)
+    return enriched.groupBy(*FEE_DAILY_KEYS).agg(*[money_sum(c).alias(c) for c in sums])
 
 
 # D5 -------------------------------------------------------------------------
@@ -161,61 +167,62 @@ TRADE_DAILY_KEYS = ["timezone_type", "bdate", "pair_name", "base_symbol", "quote
 
 
 def trade_daily(details: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    """Taker fills per zone-day and pair."""
-    zoned = fan_out_zones(details, start, end).filter(F.col("is_taker") == 1)
-    return zoned.groupBy(*TRADE_DAILY_KEYS).agg(
+    """Taker fills per zone-day and pair.
+
+    Fills are summed per transaction and (UTC day, KST day) first, so each transaction
+    is fanned out to the zones once, whatever the number of its fills.
+    """
+    sums = ["amount", "volume", "volume_usd", "fee", "fee_usd"]
+    takers = details.filter(F.col("is_taker") == 1).filter(cover_zones(start, end))
+    per_tx = takers.groupBy("dt_utc", "dt_kst", *TRADE_DAILY_KEYS[2:], "txhash").agg(
+        F.min("price").alias("low"),
+        F.max("price").alias("high"),
+        F.sum("price").alias("prices"),
+        F.count("price").alias("n_prices"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    return fan_out_zones(per_tx, start, end, ts_col=None).groupBy(*TRADE_DAILY_KEYS).agg(
         F.count_distinct("txhash").alias("tx_cnt"),
-        F.min("price").cast(MONEY).alias("low_price"),
-        F.max("price").cast(MONEY).alias("high_price"),
-        exact_avg("price").alias("avg_price"),
-        money_sum("amount").alias("amount"),
-        money_sum("volume").alias("volume"),
-        money_sum("volume_usd").alias("volume_usd"),
-        money_sum("fee").alias("fee"),
-        money_sum("fee_usd").alias("fee_usd"),
+        F.min("low").cast(MONEY).alias("low_price"),
+        F.max("high").cast(MONEY).alias("high_price"),
+        F.try_divide(F.sum("prices").cast("double"), F.sum("n_prices")).alias("avg_price"),
+        *[money_sum(c).alias(c) for c in sums],
     )
 
 
 # D16 ------------------------------------------------------------------------
-ORDER_SIDES = [0, 1]
-
-
 def open_order_tvl(details: DataFrame, end: DateLike) -> DataFrame:
-    """Value still resting in open orders, base side 0 and quote side 1.
-
-    ``pivot`` gets its values listed, so no extra job discovers them.
-    """
-    open_rows = fan_out_zones(details.filter(F.col("is_completed") == 0), None, end)
-    rest = (
-        open_rows.withColumn("tvl_base", (F.col("amount") - F.col("filled")).cast(MONEY))
-        .withColumn("tvl_base_usd", ((F.col("amount") - F.col("filled")) * F.col("price_usd")).cast(MONEY))
-        .withColumn("tvl_quote", (F.col("volume") - F.col("filled_volume")).cast(MONEY))
-        .withColumn("tvl_quote_usd", (F.col("volume_usd") - F.col("filled_volume_usd")).cast(MONEY))
-    )
-    piv = (
-        rest.groupBy(*TRADE_DAILY_KEYS)
-        .pivot("order_side", ORDER_SIDES)
-        .agg(
-            F.sum("tvl_base").alias("tvl_base"),
-            F.sum("tvl_base_usd").alias("tvl_base_usd"),
-            F.sum("tvl_quote").alias("tvl_quote"),
-            F.sum("tvl_quote_usd").alias("tvl_quote_usd"),
-        )
-    )
-    zero = F.lit(0).cast(MONEY)
-    out = piv.select(
-        *TRADE_DAILY_KEYS,
-        F.coalesce(F.col("0_tvl_base").cast(MONEY), zero).alias("tvl_base"),
-        F.coalesce(F.col("0_tvl_base_usd").cast(MONEY), zero).alias("tvl_base_usd"),
-        F.coalesce(F.col("1_tvl_quote").cast(MONEY), zero).alias("tvl_quote"),
-        F.coalesce(F.col("1_tvl_quote_usd").cast(MONEY), zero).alias("tvl_quote_usd"),
+    """Value still resting in open orders: what side 0 holds in base, side 1 in quote."""
+    zoned = fan_out_zones(details.filter(F.col("is_completed") == 0), None, end)
+
+    def resting(side: int, value):
+        total = F.sum(F.when(F.col("order_side") == side, value.cast(MONEY))).cast(MONEY)
+        return F.coalesce(total, F.lit(0).cast(MONEY))
+
+    unfilled = F.col("amount") - F.col("filled")
+    per_key = zoned.groupBy(*TRADE_DAILY_KEYS).agg(
+        resting(0, unfilled).alias("tvl_base"),
+        resting(0, unfilled * F.col("price_usd")).alias("tvl_base_usd"),
+        resting(1, F.col("volume") - F.col("filled_volume")).alias("tvl_quote"),
+        resting(1, F.col("volume_usd") - F.col("filled_volume_usd")).alias("tvl_quote_usd"),
     )
-    return out.withColumn("tvl_usd", (F.col("tvl_base_usd") + F.col("tvl_quote_usd")).cast(MONEY))
+    return per_key.withColumn("tvl_usd", (F.col("tvl_base_usd") + F.col("tvl_quote_usd")).cast(MONEY))
 
 
-def trade_daily_with_tvl(trades: DataFrame, tvl: DataFrame) -> DataFrame:
-    """D16 tail: trade mart left-joined to open-order value, NULL -> 0."""
-    return trades.join(tvl, TRADE_DAILY_KEYS, "left").na.fill(0)
+def trade_daily_with_tvl(trades: DataFrame, tvl: DataFrame, open_only: bool = False) -> DataFrame:
+    """D16 tail: trade mart joined to open-order value, NULL -> 0.
+
+    ``open_only`` also keeps keys with open orders and no trade (all trade
+    numbers 0); null-safe keys, since unmatched names are NULL on either side.
+    """
+    if not open_only:
+        return trades.join(tvl, TRADE_DAILY_KEYS, "left").na.fill(0)
+    side = tvl.select(*[F.col(c).alias(f"__{c}") if c in TRADE_DAILY_KEYS else F.col(c) for c in tvl.columns])
+    same = [trades[c].eqNullSafe(side[f"__{c}"]) for c in TRADE_DAILY_KEYS]
+    both = trades.join(side, same, "full_outer")
+    keys = [F.coalesce(F.col(c), F.col(f"__{c}")).alias(c) for c in TRADE_DAILY_KEYS]
+    rest = [c for c in trades.columns + tvl.columns if c not in TRADE_DAILY_KEYS]
+    return both.select(*keys, *rest).na.fill(0)
 
 
 # D8 -------------------------------------------------------------------------
@@ -234,13 +241,13 @@ def bridge_details(history: DataFrame, chains: DataFrame, tokens: DataFrame, sta
     previous day are rewritten (I2).
     """
     sliced = filter_by_time(history, shift_days(start, -lookback_days), end)
-    out = attach_role(sliced, chains, [("from_chain_id", "chain_id")], {"from_chain_name": "network"}, "fchain", check_size=False)
-    out = attach_role(out, chains, [("to_chain_id", "chain_id")], {"to_chain_name": "network"}, "tchain", check_size=False)
+    out = attach_role(sliced, chains, [("from_chain_id", "chain_id")], {"from_chain_name": "network"}, "fchain")
+    out = attach_role(out, chains, [("to_chain_id", "chain_id")], {"to_chain_name": "network"}, "tchain")
     out = attach_role(
-        out, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"from_token_symbol": "symbol"}, "ftoken", check_size=False
+        out, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"from_token_symbol": "symbol"}, "ftoken"
     )
     out = attach_role(
-        out, tokens, [("to_token", "address"), ("to_chain_id", "chain_id")], {"to_token_symbol": "symbol"}, "ttoken", check_size=False
+        out, tokens, [("to_token", "address"), ("to_chain_id", "chain_id")], {"to_token_symbol": "symbol"}, "ttoken"
     )
     return out.select(*[F.col(f"`{c}`") for c in BRIDGE_DETAIL_COLUMNS])
 
@@ -269,7 +276,11 @@ BRIDGE_DAILY_KEYS = ["timezone_type", "bdate", "from_chain_name", "to_chain_name
 
 
 def bridge_daily(details: DataFrame, daily_price: DataFrame, tokens: DataFrame, start: DateLike, end: DateLike, lookback_days: int = 1) -> DataFrame:
-    """Bridge volume, counts and USD value per zone-day and route."""
+    """Bridge volume, counts and USD value per zone-day and route.
+
+    Decimal totals hold every amount of up to 28 integer digits exactly. Amounts beyond
+    that are counted in ``wide_cnt`` and summed as doubles in the ``*_wide`` columns.
+    """
     zoned = fan_out_zones(details, shift_days(start, -lookback_days), end)
     with_dec = attach_role(
         zoned, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"decimals": "decimals"}, "dec"
@@ -287,7 +298,11 @@ def bridge_daily(details: DataFrame, daily_price: DataFrame, tokens: DataFrame,
         .withColumn("exchange_fee_usd", usd_value("exchange_fee", "price_usd", "decimals"))
         .withColumn("network_fee_usd", usd_value("network_fee", "price_usd", "decimals"))
     )
+    for c, raw in (("volume_usd", "value"), ("exchange_fee_usd", "exchange_fee"), ("network_fee_usd", "network_fee")):
+        valued = valued.withColumn(f"{c}_wide", F.when(F.col(c).isNull(), usd_value_double(raw, "price_usd", "decimals")))
+    valued = valued.withColumn("value_eth_wide", F.when(F.col("value_eth").isNull(), scale_units_double("value", "decimals")))
     ok = F.col("status") == 1
+    wide = [F.when(ok, F.col("value_eth_wide")), F.when(ok, F.col("volume_usd_wide")), F.col("exchange_fee_usd_wide"), F.col("network_fee_usd_wide")]
     return valued.groupBy(*BRIDGE_DAILY_KEYS).agg(
         F.count("initiated_tx_hash").alias("initiated_cnt"),
         F.count("finalized_tx_hash").alias("finalized_cnt"),
@@ -300,6 +315,8 @@ def bridge_daily(details: DataFrame, daily_price: DataFrame, tokens: DataFrame,
         money_sum("exchange_fee_usd").alias("exchange_fee_usd"),
         F.sum("network_fee").cast(COUNTER).alias("network_fee"),
         money_sum("network_fee_usd").alias("network_fee_usd"),
+        F.count(F.coalesce(*wide)).alias("wide_cnt"),
+        *[F.coalesce(F.sum(w), F.lit(0.0)).alias(f"{c}_wide") for w, c in zip(wide, ("amount", "volume_usd", "exchange_fee_usd", "network_fee_usd"))],
     )
 
 

@@ -44,7 +44,7 @@ Q4, Q6 = "DECIMAL(18,4)", "DECIMAL(18,6)"  # declared binding money types
 # --- binding CTEs ---------------------------------------------------------------
 ORDERS_TS = "orders_ts AS (SELECT *, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts FROM orders)"
 
-TOKENS = f"""tokens AS (SELECT CAST(n_nationkey AS BIGINT) AS _id, CAST(n_regionkey AS BIGINT) AS chain_id,
+TOKENS = f"""tokens AS (SELECT CAST(n_nationkey AS BIGINT) AS _id, CAST(n_nationkey % 5 AS BIGINT) AS chain_id,
   {H('CAST(n_nationkey AS BIGINT)')} AS address, n_name AS name, 'TK' || CAST(n_nationkey AS VARCHAR) AS symbol,
   CAST(n_nationkey % 19 AS INTEGER) AS decimals FROM nation)"""
 
@@ -73,7 +73,7 @@ order_rows AS (
     CAST(f * p AS {Q4}) AS filled_usd_at,
     created AS created_at, o_orderkey AS created_block, {H('o_orderkey * 3')} AS created_hash,
     CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '5-LOW' THEN NULL ELSE 2 END AS INTEGER) AS closed_type,
-    created + (o_orderkey % 5) * 86400 + 3600 AS closed_at, o_orderkey + 1000 AS closed_block,
+    created + (o_orderkey % 5) * 15 * 86400 + 3600 AS closed_at, o_orderkey + 1000 AS closed_block,
     {H('o_orderkey * 3 + 1')} AS closed_hash, o_orderstatus
   FROM order_base)"""
 
@@ -123,7 +123,7 @@ def landed_fees(start, end) -> str:
 TRANSFERS = f"""transfers AS (
   SELECT event_id AS _id, user_id % 5 AS from_chain_id, (user_id + event_id) % 7 AS to_chain_id, event_id AS "index",
     {H('user_id % 25')} AS from_token, {H('(user_id + 3) % 25')} AS to_token, {H('user_id')} AS "from",
-    {H('user_id + 1')} AS "to", CAST(CAST(value AS DECIMAL(12,2)) * 100 AS DECIMAL(38,0)) AS value,
+    {H('user_id + 1')} AS "to", CAST(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS HUGEINT) * CAST(rpad('1', CAST(event_id % 12 + 1 AS INTEGER), '0') AS HUGEINT) AS DECIMAL(38,0)) AS value,
     CAST(event_id % 1000 AS DECIMAL(38,0)) AS exchange_fee, CAST(user_id % 100 + 1 AS DECIMAL(38,0)) AS network_fee,
     {H('event_id % 16')} AS extra_data, {H('event_id')} AS initiated_tx_hash,
     CASE WHEN event_type = 'error' THEN NULL ELSE {H('event_id + 1000000000')} END AS finalized_tx_hash,
@@ -134,12 +134,13 @@ TRANSFERS = f"""transfers AS (
 ltransfers AS (SELECT *, {zone_cols(from_epoch('initiated_time'))} FROM transfers
   WHERE initiated_time >= {_epoch(Q.EV_START)} AND initiated_time < {_epoch(Q.EV_END)})"""
 
+PRICE_TIME = f"({epoch('ts')} - {epoch('ts')} % 86400 + [0, 6, 15, 18][CAST((event_id // 2) % 4 + 1 AS INTEGER)] * 3600 + (event_id % 2) * 1800)"
 PRICES = f"""prices AS (
   SELECT * FROM (
     SELECT event_id AS _id, user_id % 5 AS chain_id, {H('user_id % 25')} AS address,
       CAST(value AS DECIMAL(12,2)) AS price_usd, CAST(event_id % 3 AS INTEGER) AS interval_flags,
-      {epoch('ts')} AS updated_at, {zone_cols(from_epoch(epoch('ts')))}
-    FROM events WHERE {epoch('ts')} >= {_epoch(Q.EV_START)} AND {epoch('ts')} < {_epoch(Q.EV_END)})
+      {PRICE_TIME} AS updated_at, {zone_cols(from_epoch(PRICE_TIME))}
+    FROM events WHERE {PRICE_TIME} >= {_epoch(Q.EV_START)} AND {PRICE_TIME} < {_epoch(Q.EV_END)})
   WHERE minute(ts_utc) = 0)"""
 
 MIDNIGHT_PRICE = f"""zprice AS (
@@ -161,6 +162,21 @@ STATS = f"""lstats AS (
   FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)})"""
 
 
+def scaled(digits: str, places: str) -> str:
+    """Text of an integer (no sign) times 10 ** -places as DECIMAL(38,10), rounded half up; NULL if too wide.
+
+    The last ``places - 10`` digits are cut and the first of them decides the rounding; fewer places
+    append zeros. No step narrows the number.
+    """
+    padded = f"(repeat('0', 50) || ({digits}) || repeat('0', CAST(greatest(10 - ({places}), 0) AS INTEGER)))"
+    drop = f"CAST(greatest(({places}) - 10, 0) AS INTEGER)"
+    kept = f"ltrim(left({padded}, length({padded}) - {drop}), '0')"
+    first = f"(CASE WHEN {drop} > 0 THEN substr({padded}, length({padded}) - {drop} + 1, 1) ELSE '0' END)"
+    whole = f"(CASE WHEN length({kept}) <= 38 THEN CAST(('0' || {kept}) AS HUGEINT) + (CASE WHEN {first} >= '5' THEN 1 ELSE 0 END) END)"
+    text = f"lpad(CAST({whole} AS VARCHAR), 40, '0')"
+    return f"TRY_CAST(left({text}, 30) || '.' || right({text}, 10) AS {MONEY})"
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + BODY_MARK + body
 
@@ -278,7 +294,7 @@ WHERE ts >= {TS(Q.SLICE_START)} AND ts < {TS(Q.SLICE_END)}"""
     s["scan_projection"] = with_ctes(PAIRS, body="SELECT * FROM pairs")
     s["scan_extra_predicate"] = with_ctes(PRICES, body="SELECT * FROM prices")
     s["scan_borrow_timestamp"] = with_ctes(
-        ORDERS_TS, FILLS, FEE_ROWS, landed_fees(Q.BORROW_START, Q.BORROW_END), body="SELECT * FROM lfees"
+        ORDERS_TS, FILLS, FEE_ROWS, landed_fees(Q.ALL_START, Q.ALL_END), body="SELECT * FROM lfees"
     )
     s["scan_partition_list"] = f"""SELECT * FROM ({LANDED_EVENTS}) WHERE dt_utc >= {D(Q.SLICE_START)} AND dt_utc < {D(Q.SLICE_END)}"""
     s["hex_normalise"] = f"""SELECT s_suppkey, {H('s_suppkey')} AS suppkey_hex, {H('s_name')} AS name_hex,
@@ -391,6 +407,7 @@ FROM trades t LEFT JOIN tvl v USING (timezone_type, bdate, pair_name, base_symbo
     )
     s["bridge_details"] = with_ctes(TOKENS, CHAINS, TRANSFERS, BRIDGE_DETAILS, body="SELECT * FROM bdetails")
     lb = Q.EV_START  # D9 reads one look-back day before the slice
+    usd = "(CAST({} AS HUGEINT) * CAST(b.price_usd * 100 AS HUGEINT))"
     s["bridge_daily"] = with_ctes(
         TOKENS, CHAINS, TRANSFERS, BRIDGE_DETAILS, PRICES, MIDNIGHT_PRICE,
         f"""zoned AS (
@@ -401,10 +418,10 @@ SELECT * EXCLUDE (dt_utc, dt_kst), 'kst' AS timezone_type, dt_kst AS bdate FROM
   WHERE dt_kst >= {D(lb)} - INTERVAL 1 DAY AND dt_kst < {D(Q.EV_END)})""",
         f"""valued AS (
   SELECT a.*, b.price_usd, c.decimals,
-    CAST(CAST(a.value AS DECIMAL(18,0)) * CAST(pow(10, -c.decimals) AS DECIMAL(20,18)) AS {MONEY}) AS value_eth,
-    CAST(CAST(a.value * b.price_usd AS DECIMAL(18,2)) * CAST(pow(10, -c.decimals) AS DECIMAL(20,18)) AS {MONEY}) AS volume_usd,
-    CAST(CAST(a.exchange_fee * b.price_usd AS DECIMAL(18,2)) * CAST(pow(10, -c.decimals) AS DECIMAL(20,18)) AS {MONEY}) AS exchange_fee_usd,
-    CAST(CAST(a.network_fee * b.price_usd AS DECIMAL(18,2)) * CAST(pow(10, -c.decimals) AS DECIMAL(20,18)) AS {MONEY}) AS network_fee_usd
+    {scaled('CAST(a.value AS HUGEINT)', 'c.decimals')} AS value_eth,
+    {scaled(usd.format('a.value'), 'c.decimals + 2')} AS volume_usd,
+    {scaled(usd.format('a.exchange_fee'), 'c.decimals + 2')} AS exchange_fee_usd,
+    {scaled(usd.format('a.network_fee'), 'c.decimals + 2')} AS network_fee_usd
   FROM zoned a
   LEFT JOIN tokens c ON a.from_token = c.address AND a.from_chain_id = c.chain_id
   LEFT JOIN mprice b ON a.from_token_symbol = b.symbol AND a.from_chain_id = b.chain_id
@@ -416,7 +433,9 @@ SELECT * EXCLUDE (dt_utc, dt_kst), 'kst' AS timezone_type, dt_kst AS bdate FROM
   CAST(sum(CASE WHEN status = 1 THEN value_eth END) AS {MONEY}) AS amount,
   CAST(sum(CASE WHEN status = 1 THEN volume_usd END) AS {MONEY}) AS volume_usd,
   CAST(sum(exchange_fee) AS DECIMAL(38,0)) AS exchange_fee, CAST(sum(exchange_fee_usd) AS {MONEY}) AS exchange_fee_usd,
-  CAST(sum(network_fee) AS DECIMAL(38,0)) AS network_fee, CAST(sum(network_fee_usd) AS {MONEY}) AS network_fee_usd
+  CAST(sum(network_fee) AS DECIMAL(38,0)) AS network_fee, CAST(sum(network_fee_usd) AS {MONEY}) AS network_fee_usd,
+  CAST(0 AS BIGINT) AS wide_cnt, CAST(0 AS DOUBLE) AS amount_wide, CAST(0 AS DOUBLE) AS volume_usd_wide,
+  CAST(0 AS DOUBLE) AS exchange_fee_usd_wide, CAST(0 AS DOUBLE) AS network_fee_usd_wide
 FROM valued GROUP BY 1, 2, 3, 4, 5, 6""",
     )
     s["midnight_price"] = with_ctes(TOKENS, PRICES, MIDNIGHT_PRICE, body="SELECT * FROM mprice")
@@ -470,20 +489,31 @@ UNION ALL SELECT * FROM r2"""
     s["stream_landing"] = f"SELECT event_id, user_id, event_type, value, ts, {zone_cols('ts')} FROM events"
 
     # quality
-    s["count_reconciliation"] = f"""WITH orders_ts AS (SELECT *, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS ts FROM orders),
-ev AS (SELECT count(*) AS n FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)}),
-uo AS (SELECT count(*) AS n FROM orders_ts WHERE ts < {TS(Q.UNTIL_END)})
-SELECT 'events' AS service_name, 'events' AS table_name, n AS db_count, n AS s3_count, n AS catalog_count, TRUE AS passed,
-  'events.events PASS DB: ' || n || ' S3: ' || n || ' Catalog: ' || n AS report FROM ev
-UNION ALL
-SELECT 'dex', 'user_orders', n, n, n, TRUE,
-  'dex.user_orders PASS DB: ' || n || ' S3: ' || n || ' Catalog: ' || n FROM uo"""
+    s["count_reconciliation"] = with_ctes(
+        ORDERS_TS, ORDER_ROWS,
+        f"""counts AS (
+  SELECT 'events' AS service_name, 'events' AS table_name, count(*) AS db_count, count(*) AS s3_count, 0 AS tol
+    FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)}
+  UNION ALL
+  SELECT 'dex', 'user_orders', count(*), count(CASE WHEN order_id > 20 THEN 1 END), 30
+    FROM order_rows WHERE created_at < {_epoch(Q.ALL_END)}
+  UNION ALL
+  SELECT 'dex', 'close_orders', count(*), count(closed_type), 0
+    FROM order_rows WHERE o_orderstatus = 'F' AND closed_at < {_epoch(Q.ALL_END)}),
+judged AS (SELECT *, db_count = s3_count OR abs(db_count - s3_count) < tol AS passed FROM counts)""",
+        body="""SELECT service_name, table_name, db_count, s3_count, s3_count AS catalog_count, passed,
+  service_name || '.' || table_name || CASE WHEN passed THEN ' PASS' ELSE ' FAIL' END || ' DB: ' || db_count || ' S3: ' || s3_count
+    || ' Catalog: ' || s3_count AS report FROM judged""",
+    )
+    s["latest_status"] = f"""SELECT 'events' AS schema_name, t.table_name, '{Q.BATCH_TS:%Y-%m-%d %H:%M:%S}' AS batch_ts, t.attempt, t.status,
+  CASE WHEN t.table_name = 'event_d' THEN CAST((SELECT sum(events) FROM ({event_daily(Q.EV_START, Q.EV_END, False)})) AS BIGINT) END AS events
+FROM (VALUES ('event_d', 1, 1), ('event_failed_d', 1, 0), ('event_retried_d', 2, 1)) t(table_name, attempt, status)"""
     s["max_timestamp"] = with_ctes(
         ORDERS_TS, FILLS,
         body=f"""SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_ts FROM events
   WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)}
 UNION ALL
-SELECT 'user_orders', strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM orders_ts WHERE ts < {TS(Q.UNTIL_END)}
+SELECT 'user_orders', strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM orders_ts WHERE ts < {TS(Q.ALL_END)}
 UNION ALL
 SELECT 'match_histories', strftime(max({from_epoch('time_utc')}), '%Y-%m-%d %H:%M:%S') FROM fills
   WHERE time_utc >= {_epoch(Q.ALL_START)} AND time_utc < {_epoch(Q.ALL_END)}""",
@@ -494,6 +524,39 @@ SELECT 'match_histories', strftime(max({from_epoch('time_utc')}), '%Y-%m-%d %H:%
         "r AS (SELECT max(bdate) AS m FROM mprice)",
         body="SELECT l.m AS left_max, r.m AS right_max, coalesce(l.m = r.m, FALSE) AS is_equal FROM l, r",
     )
+    # batches end in the same tables as one direct run
+    s["order_details_batched"] = s["order_details"]
+    s["order_daily_batched"] = s["order_daily"]
+    s["user_summary_batched"] = s["user_summary"]
+    s["chain_stats_batched"] = s["closest_to_midnight"]
+
+    # API landings: tokens and contracts replaced, stats appended once per load
+    s["landing_token"] = f"SELECT * EXCLUDE (event_id) FROM ({s['json_items_explode']})"
+    s["landing_contracts"] = f"SELECT * EXCLUDE (s_suppkey) FROM ({s['json_contracts']})"
+    s["landing_stats"] = f"""SELECT CAST(l.t AS DATE) AS dt_utc, l.t AS ts_utc, CAST(l.t + INTERVAL 9 HOUR AS DATE) AS dt_kst,
+  l.t + INTERVAL 9 HOUR AS ts_kst, total_blocks, total_transactions, gas_prices_fast, tvl
+FROM ({s['json_flatten']}), (VALUES ({stamp}), ({stamp} + INTERVAL 24 HOUR)) l(t)"""
+    s["json_bad_pages"] = """SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'no items' WHEN 2 THEN 'empty' ELSE 'unparseable' END AS fault
+FROM events WHERE event_id % 5 <> 4"""
+
+    # wide numbers: 38 digits times 18 digits by two halves of the value
+    digits = f"'{Q.DIGITS}'"
+    price = f"substr(CAST(user_id * 31 + 11 AS VARCHAR) || {digits}, 1, CAST(event_id % 17 + 2 AS INTEGER))"
+    ten19 = "CAST('10000000000000000000' AS HUGEINT)"
+    s["token_scaling"] = f"""WITH raw AS (
+  SELECT event_id, CAST(substr(CAST(event_id * 7919 + 13 AS VARCHAR) || {digits}, 1, CAST(event_id % 38 + 1 AS INTEGER)) AS HUGEINT) AS v,
+    CAST({price} AS HUGEINT) AS p, event_id % 19 AS k, event_id % 31 AS d FROM events),
+halves AS (SELECT *, (v // {ten19}) * p AS hi, (v % {ten19}) * p AS lo FROM raw),
+product AS (SELECT *, CAST(hi + lo // {ten19} AS VARCHAR) || lpad(CAST(lo % {ten19} AS VARCHAR), 19, '0') AS vp FROM halves),
+exact AS (SELECT event_id, {scaled('CAST(v AS VARCHAR)', 'd')} AS tokens, {scaled('vp', 'd + k')} AS usd FROM product)
+SELECT event_id, tokens, usd, tokens IS NULL OR usd IS NULL AS wide, TRUE AS has_usd FROM exact"""
+    s["trade_daily_with_open_only"] = s["trade_daily_with_tvl"].split(BODY_MARK)[0] + BODY_MARK + f"""SELECT coalesce(t.timezone_type, v.timezone_type) AS timezone_type,
+  coalesce(t.bdate, v.bdate) AS bdate, coalesce(t.pair_name, v.pair_name) AS pair_name, coalesce(t.base_symbol, v.base_symbol) AS base_symbol,
+  coalesce(t.quote_symbol, v.quote_symbol) AS quote_symbol, coalesce(tx_cnt, 0) AS tx_cnt, coalesce(avg_price, 0) AS avg_price,
+  {", ".join(f"CAST(coalesce({c}, 0) AS {MONEY}) AS {c}" for c in "low_price high_price amount volume volume_usd fee fee_usd tvl_base tvl_base_usd tvl_quote tvl_quote_usd tvl_usd".split())}
+FROM trades t FULL OUTER JOIN tvl v ON t.timezone_type = v.timezone_type AND t.bdate = v.bdate
+  AND t.pair_name IS NOT DISTINCT FROM v.pair_name AND t.base_symbol IS NOT DISTINCT FROM v.base_symbol
+  AND t.quote_symbol IS NOT DISTINCT FROM v.quote_symbol"""
     return s
 
 

@@ -8,35 +8,39 @@ slice *is* the operator.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.functions.scalars import hex_address, safe_cast
+from martforge.functions.scalars import hex_address, safe_cast, scale_units, usd_value, usd_value_double
 from martforge.operators import activity
-from martforge.operators.timeslice import fan_out_zones, ts_range
+from martforge.operators.timeslice import fan_out_zones
 from martforge.plans import bindings as B
-from martforge.plans import marts
+from martforge.plans import landing, marts
+from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
 from martforge.quality import checks
 from martforge.session import shared_dir
 from martforge.sinks import writes
 from martforge.sources import payloads
 from martforge.sources.borrow import borrow_time
 from martforge.sources.partitions import read_days, read_landed_for_zones
-from martforge.sources.scans import DatasetSpec, _epoch, land, with_zone_columns
+from martforge.sources.scans import OVERWRITE, DatasetSpec, land, with_zone_columns
 
 # --- fixed values: run parameters -------------------------------------------
 EV_START, EV_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)        # events month
 SLICE_START, SLICE_END = _dt.date(2024, 1, 8), _dt.date(2024, 1, 15)  # one week
 ALL_START, ALL_END = _dt.date(1995, 1, 1), _dt.date(2001, 9, 1)        # all orders
 UNTIL_END = _dt.date(1998, 1, 1)                                     # snapshot bound
-BORROW_START, BORROW_END = _dt.date(1997, 1, 1), _dt.date(1998, 1, 1)
+ORDER_CUTS = (ALL_START, _dt.date(1996, 7, 1), _dt.date(1998, 1, 1), ALL_END)  # order batches
 RUN1_START, RUN1_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 20)  # sink reruns
 RUN2_START, RUN2_END = _dt.date(2024, 1, 10), _dt.date(2024, 1, 31)
 LOAD_TS = _dt.datetime(2024, 2, 1, 3, 0, 0)                           # stats load stamp
 BATCH_TS = _dt.datetime(2024, 2, 1, 4, 0, 0)                          # ledger batch time
+DIGITS = "35791246809135792468013579246801357924680"                      # filler of wide test numbers
 # ---------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,7 +128,7 @@ def q_scan_extra_predicate(spark, sf_dir):
 
 
 def q_scan_borrow_timestamp(spark, sf_dir):
-    return landed_fees(spark, sf_dir, BORROW_START, BORROW_END)
+    return landed_fees(spark, sf_dir)
 
 
 def q_scan_partition_list(spark, sf_dir):
@@ -223,13 +227,7 @@ def q_json_flatten(spark, sf_dir):
 
 
 def q_json_contracts(spark, sf_dir):
-    s = B.table(spark, sf_dir, "supplier")
-    item = F.struct(
-        F.struct(F.concat(F.lit("0xAbC"), F.hex("s_suppkey")).alias("hash"), F.col("s_name").alias("name")).alias("address"),
-        F.concat(F.lit("2024-01-"), F.lpad(((F.col("s_suppkey") % 28) + 1).cast("string"), 2, "0")).alias("verified_at"),
-    )
-    pages = s.select("s_suppkey", F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"))
-    return payloads.contracts(pages, keep=("s_suppkey",))
+    return payloads.contracts(contract_pages(spark, sf_dir), keep=("s_suppkey",))
 
 
 def q_safe_numeric_casts(spark, sf_dir):
@@ -279,6 +277,37 @@ def q_trade_daily_with_tvl(spark, sf_dir):
     return marts.trade_daily_with_tvl(trades, marts.open_order_tvl(order_details_df(spark, sf_dir), ALL_END))
 
 
+def q_trade_daily_with_open_only(spark, sf_dir):
+    """D16 tail with the keys that have open orders and no trade."""
+    trades = marts.trade_daily(trade_details_df(spark, sf_dir), ALL_START, ALL_END)
+    return marts.trade_daily_with_tvl(trades, marts.open_order_tvl(order_details_df(spark, sf_dir), ALL_END), open_only=True)
+
+
+def scaling_rows(spark, sf_dir) -> DataFrame:
+    """Per event: a value of 1 to 38 digits, a price of 2 to 18 digits and 0 to 30 decimals."""
+    e = _events(spark, sf_dir)
+    value = F.substring(F.concat((F.col("event_id") * 7919 + 13).cast("string"), F.lit(DIGITS)), F.lit(1), F.col("event_id") % 38 + 1)
+    price = F.substring(F.concat((F.col("user_id") * 31 + 11).cast("string"), F.lit(DIGITS)), F.lit(1), F.col("event_id") % 17 + 2)
+    return e.select(
+        "event_id",
+        value.cast("decimal(38,0)").alias("value"),
+        F.concat(price, F.lit("E-"), (F.col("event_id") % 19).cast("string")).cast("decimal(38,18)").alias("price"),
+        (F.col("event_id") % 31).cast("int").alias("decimals"),
+    )
+
+
+def q_token_scaling(spark, sf_dir):
+    """F10 / F11 over wide ranges: exact decimals, and a number for every row."""
+    tokens, usd = scale_units("value", "decimals"), usd_value("value", "price", "decimals")
+    return scaling_rows(spark, sf_dir).select(
+        "event_id",
+        tokens.alias("tokens"),
+        usd.alias("usd"),
+        (tokens.isNull() | usd.isNull()).alias("wide"),
+        F.coalesce(usd.cast("double"), usd_value_double("value", "price", "decimals")).isNotNull().alias("has_usd"),
+    )
+
+
 def q_bridge_details(spark, sf_dir):
     return bridge_details_df(spark, sf_dir)
 
@@ -321,6 +350,99 @@ def q_user_summary(spark, sf_dir):
     return activity.user_summary(activity_df(spark, sf_dir))
 
 
+# --- batches ---------------------------------------------------------------------
+def dex_sources(spark, sf_dir) -> DexSources:
+    fills = B.fills(spark, sf_dir)
+    return DexSources(
+        closed=B.closed_orders(spark, sf_dir), snapshot=B.order_rows(spark, sf_dir), fills=fills,
+        fees=borrow_time(B.fee_rows(spark, sf_dir), fills, "block", "time_utc"), pairs=B.pairs(spark, sf_dir), tokens=B.tokens(spark, sf_dir),
+        closed_spec=B.CLOSED_SPEC, snapshot_spec=replace(B.SNAPSHOT_SPEC, partition_cols=()), fills_spec=B.FILLS_SPEC, fees_spec=B.FEES_SPEC,
+    )
+
+
+def _order_batches(spark, sf_dir, table):
+    """Three batches over all orders; orders close up to 60 days late, so days empty between batches."""
+    root, out = shared_dir(spark, "orders"), {}
+    for start, end in zip(ORDER_CUTS, ORDER_CUTS[1:]):
+        stamp = _dt.datetime.combine(end, _dt.time(1))
+        out = run_order_day(spark, dex_sources(spark, sf_dir), start, end, root, stamp, partitioned=False, last=table)
+    return spark.read.parquet(out[table])
+
+
+def q_order_details_batched(spark, sf_dir):
+    return _order_batches(spark, sf_dir, "order_details")
+
+
+def q_order_daily_batched(spark, sf_dir):
+    return _order_batches(spark, sf_dir, "order_d")
+
+
+def q_user_summary_batched(spark, sf_dir):
+    return _order_batches(spark, sf_dir, "user_summary_d")
+
+
+def q_chain_stats_batched(spark, sf_dir):
+    """D10 in one batch per day over all events."""
+    root, day, out = shared_dir(spark, "stats"), EV_START, {}
+    while day < EV_END:
+        after = day + _dt.timedelta(days=1)
+        stamp = _dt.datetime.combine(after, _dt.time(1))
+        out = run_stats_day(spark, B.stat_rows(spark, sf_dir), B.STATS_SPEC, day, after, root, stamp, ("ts_utc", "event_id"))
+        day = after
+    return spark.read.parquet(out["chain_stats_d"])
+
+
+# --- API landings -----------------------------------------------------------------
+def _landed(spark, name, load):
+    """Land twice (a second load replaces or appends) and read through the catalog."""
+    root = shared_dir(spark, "api")
+    table = f"mf_{name}_" + root.rsplit("/", 1)[-1]
+    for hours in (0, 24):
+        load(root, f"{root}/etl_status", LOAD_TS + _dt.timedelta(hours=hours), table)
+    return spark.table(table)
+
+
+def q_landing_token(spark, sf_dir):
+    pages = token_pages(spark, sf_dir).select("payload")
+    return _landed(spark, "token", lambda r, led, ts, t: landing.land_token_list(spark, pages, r, led, ts, "wallet", "token", t, layer="dim"))
+
+
+def q_landing_stats(spark, sf_dir):
+    polls = stats_payloads(spark, sf_dir).select("payload")
+    rows = _landed(spark, "stats", lambda r, led, ts, t: landing.land_chain_stats(spark, polls, ts, r, led, t))
+    return rows.select("dt_utc", "ts_utc", "dt_kst", "ts_kst", "total_blocks", "total_transactions", "gas_prices_fast", "tvl")
+
+
+def contract_pages(spark, sf_dir) -> DataFrame:
+    s = B.table(spark, sf_dir, "supplier")
+    item = F.struct(
+        F.struct(F.concat(F.lit("0xAbC"), F.hex("s_suppkey")).alias("hash"), F.col("s_name").alias("name")).alias("address"),
+        F.concat(F.lit("2024-01-"), F.lpad(((F.col("s_suppkey") % 28) + 1).cast("string"), 2, "0")).alias("verified_at"),
+    )
+    return s.select("s_suppkey", F.to_json(F.struct(F.array(item).alias("items"))).alias("payload"))
+
+
+def q_landing_contracts(spark, sf_dir):
+    pages = contract_pages(spark, sf_dir).select("payload")
+    return _landed(spark, "contract", lambda r, led, ts, t: landing.land_contracts(spark, pages, r, led, ts, t))
+
+
+def q_json_bad_pages(spark, sf_dir):
+    """Pages cut short, without items and with empty items are found; good ones are not."""
+    kind = F.col("event_id") % 5
+    good = F.col("payload")
+    pages = token_pages(spark, sf_dir).select(
+        "event_id",
+        F.when(kind == 0, F.substring(good, F.lit(1), (F.length(good) - 1).cast("int")))
+        .when(kind == 1, F.lit('{"other": 1}'))
+        .when(kind == 2, F.lit('{"items": []}'))
+        .when(kind == 3, F.lit(None).cast("string"))
+        .otherwise(good)
+        .alias("payload"),
+    )
+    return payloads.bad_pages(pages, keep=("event_id",))
+
+
 # --- sinks ---------------------------------------------------------------------
 def event_daily(spark, sf_dir, start, end, drop_errors=False) -> DataFrame:
     """A small daily mart used to exercise the writers."""
@@ -419,41 +541,57 @@ def q_stream_landing(spark, sf_dir):
 
 # --- quality -------------------------------------------------------------------
 def q_count_reconciliation(spark, sf_dir):
+    """One table that agrees, one within its tolerance and one that fails, over all rows.
+
+    The landings of the last two are given fewer rows than the source holds, as if they
+    had been read a moment earlier: up to 20 orders are missing from the snapshot,
+    and closed orders without a close type from the other.
+    """
     root = shared_dir(spark, "recon")
-    ev = landed_events(spark, sf_dir)
-    ev_path = writes.table_path(root, "events", "dl", "events")
-    writes.replace_partitions(ev, ev_path, ["dt_utc"])
-    ev_name = "mf_dl_events_" + root.rsplit("/", 1)[-1]
-    writes.register_table(spark, ev_name, ev_path)
-
-    snap = landed_snapshot(spark, sf_dir, UNTIL_END)
-    snap_path = writes.table_path(root, "dex", "dl", "user_orders")
-    writes.replace_table(snap, snap_path, ["dt_utc"])
-    snap_name = "mf_dl_user_orders_" + root.rsplit("/", 1)[-1]
-    writes.register_table(spark, snap_name, snap_path)
-
-    src_events = _events(spark, sf_dir).filter(ts_range("ts", EV_START, EV_END))
-    tables = [
-        checks.CountSources(
-            "events", "events", src_events,
-            read_days(spark, ev_path, EV_START, EV_END),
-            spark.table(ev_name).filter((F.col("dt_utc") >= F.lit(EV_START)) & (F.col("dt_utc") < F.lit(EV_END))),
-        ),
-        checks.CountSources(
-            "dex", "user_orders", B.order_rows(spark, sf_dir).filter(F.col("created_at") < F.lit(_epoch(UNTIL_END))),
-            spark.read.parquet(snap_path),
-            spark.table(snap_name).filter(F.col("dt_utc") < F.lit(UNTIL_END)),
-            tolerance=30,
-        ),
-    ]
-    return checks.reconcile_counts(tables)
+    tag = "mf_" + root.rsplit("/", 1)[-1] + "_"
+    batch = Batch(spark, EV_START, EV_END, root, BATCH_TS, tag)
+    spec = DatasetSpec("events", "events", "ts", time_kind="timestamp", select=("event_id", "user_id", "event_type", "value", "ts"))
+    ev_path = batch.land(_events(spark, sf_dir), spec)
+    orders = Batch(spark, ALL_START, ALL_END, root, BATCH_TS, tag)
+    snap_spec = replace(B.SNAPSHOT_SPEC, partition_cols=())
+    closed_spec = replace(B.CLOSED_SPEC, mode=OVERWRITE, partition_cols=())
+    live, closed = B.order_rows(spark, sf_dir), B.closed_orders(spark, sf_dir)
+    snap_path = orders.land(live.filter("order_id > 20"), snap_spec)
+    closed_path = orders.land(closed.filter("closed_type IS NOT NULL"), closed_spec)
+    return checks.reconcile_counts(
+        [
+            batch.counts(_events(spark, sf_dir), spec, ev_path),
+            orders.counts(live, snap_spec, snap_path),
+            replace(orders.counts(closed, closed_spec, closed_path), tolerance=0),
+        ]
+    )
+
+
+def q_latest_status(spark, sf_dir):
+    """Q9 over the ledger of real publishes: one done, one whose registration failed, one done on retry."""
+    root = shared_dir(spark, "status")
+    ledger, name = f"{root}/etl_status", "mf_" + root.rsplit("/", 1)[-1]
+    daily = event_daily(spark, sf_dir, EV_START, EV_END)
+
+    def put(table, catalog_name):
+        job = writes.JobInfo("events", "dm", table, EV_START, EV_END, BATCH_TS)
+        with contextlib.suppress(Exception):
+            writes.publish(spark, daily, job, root, ledger, catalog_name=catalog_name)
+
+    put("event_d", name)
+    put("event_failed_d", "no_such_schema.event_d")
+    put("event_retried_d", "no_such_schema.event_d")
+    put("event_retried_d", f"{name}_r")
+    status = checks.latest_status(spark.read.parquet(ledger))
+    rows = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d")).agg(F.sum("events").alias("events"))
+    return status.join(rows, F.col("table_name") == "event_d", "left")
 
 
 def q_max_timestamp(spark, sf_dir):
     return checks.max_timestamp(
         {
             "events": (landed_events(spark, sf_dir), "ts_utc"),
-            "user_orders": (landed_snapshot(spark, sf_dir, UNTIL_END), "ts_utc"),
+            "user_orders": (landed_snapshot(spark, sf_dir), "ts_utc"),
             "match_histories": (landed_fills(spark, sf_dir), "ts_utc"),
         }
     )
@@ -506,4 +644,15 @@ QUERIES: dict[str, Query] = {
     "count_reconciliation": q_count_reconciliation,
     "max_timestamp": q_max_timestamp,
     "freshness_equal": q_freshness_equal,
+    "trade_daily_with_open_only": q_trade_daily_with_open_only,
+    "token_scaling": q_token_scaling,
+    "order_details_batched": q_order_details_batched,
+    "order_daily_batched": q_order_daily_batched,
+    "user_summary_batched": q_user_summary_batched,
+    "chain_stats_batched": q_chain_stats_batched,
+    "landing_token": q_landing_token,
+    "landing_stats": q_landing_stats,
+    "landing_contracts": q_landing_contracts,
+    "json_bad_pages": q_json_bad_pages,
+    "latest_status": q_latest_status,
 }

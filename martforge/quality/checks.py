@@ -121,10 +121,13 @@ def freshness_equal(left: DataFrame, left_col: str, right: DataFrame, right_col:
 
 
 def latest_status(ledger: DataFrame) -> DataFrame:
-    """Q9: newest run status per table from the ledger (``max_by`` on ``batch_ts``)."""
+    """Q9: newest run status per table: the last attempt of the last batch.
+
+    Of several rows of one attempt a failure counts.
+    """
+    last = F.struct("batch_ts", "attempt", -F.col("status"))
     return ledger.groupBy("schema_name", "table_name").agg(
-        F.max("batch_ts").alias("batch_ts"),
-        F.max_by("status", "batch_ts").alias("status"),
+        F.max("batch_ts").alias("batch_ts"), F.max_by("attempt", last).alias("attempt"), F.max_by("status", last).alias("status")
     )
 
 
@@ -133,6 +136,13 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Refuse a dimension whose join key repeats (a join on it would fan out)."""
+    twice = key_uniqueness(df, keys).limit(1).collect()
+    if twice:
+        raise ReconciliationError(f"{name}: key {tuple(twice[0][k] for k in keys)} occurs {twice[0]['n']} times")
+
+
 def missing_days(spark, landed: DataFrame, start, end, day_col: str = "dt_utc") -> DataFrame:
     """Calendar days of ``[start, end)`` without any landed row (S9 report).
 
@@ -144,17 +154,3 @@ def missing_days(spark, landed: DataFrame, start, end, day_col: str = "dt_utc")
 
     present = landed.filter(in_range(day_col, start, end)).select(F.col(day_col).cast("date").alias("day")).distinct()
     return slice_days(spark, start, end).join(present, "day", "left_anti")
-
-
-def scaling_overflow(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
-    """Rows whose token amount is too wide for exact scaling (H1).
-
-    ``functions.scalars.scale_units`` keeps 28 integer digits exactly and
-    turns wider values into NULL rather than failing the batch; this counts
-    those rows per column (and group), so they are reported, not lost.
-    """
-    counts = [
-        F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast("decimal(28,0)").isNull(), F.lit(1))).alias(f"{c}_overflow")
-        for c in value_cols
-    ]
-    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rows"), *counts)

@@ -51,8 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared filesystem or
-    object store). Only when it is unset - local tests - a scratch folder is
-    created and registered, so later lookups agree.
+    object store); a non-local master without it is refused. Only on a local master - in
+    tests - a scratch folder is created and registered, so later lookups agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,10 +62,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="martforge-ckpt-", dir=os.environ.get("MARTFORGE_SCRATCH", "/tmp"))
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
@@ -77,16 +79,12 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join(pieces)
 
 
-def materialize(df, name: str = "materialized"):
-    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
-    and continue from the written table.
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
 
     Used where one intermediate feeds several branches of a plan, so it is
-    computed once. The files live in ``spark.checkpoint.dir`` (shared storage
-    on a cluster), so losing an executor does not lose them, and the read-back
-    scan carries real file sizes for later join planning.
+    computed once. Losing an executor does not lose the files; Spark removes them once
+    nothing refers to the DataFrame (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()

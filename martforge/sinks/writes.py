@@ -9,10 +9,12 @@ values is needed; new files are staged and moved in at job commit.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from martforge.operators.timeslice import DateLike, as_date
@@ -51,20 +53,44 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     With no partition columns this is a full replace (K2). A partition that
     has no rows in ``df`` is left as it was.
     """
-    writer = cluster_for_write(df, partition_cols).write.format(fmt)
-    if partition_cols:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    else:
-        writer = writer.mode("overwrite")
-    writer.save(path)
+    if not partition_cols:
+        replace_table(df, path, (), fmt)
+        return
+    writer = cluster_for_write(df, partition_cols).write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).save(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """K2 / K3: replace the whole table, partitioned or not (static overwrite)."""
-    writer = cluster_for_write(df, partition_cols).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    """K2 / K3: replace the whole table, partitioned or not.
+
+    The new table is written beside the old one and takes its place when it is
+    complete (Spark's own overwrite deletes first, so a failing job would leave no table).
+    """
+    spark, tag = df.sparkSession, uuid.uuid4().hex[:12]
+    fresh, stale = f"{path}__new_{tag}", f"{path}__old_{tag}"
+    fs, new = _file_system(spark, fresh)
+    _, here = _file_system(spark, path)
+    _, old = _file_system(spark, stale)
+    writer = cluster_for_write(df, partition_cols).write.format(fmt)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.save(path)
+    try:
+        writer.save(fresh)
+    except Exception:
+        fs.delete(new, True)
+        raise
+    if fs.exists(here):
+        fs.rename(here, old)
+    if not fs.rename(new, here):
+        fs.rename(old, here)
+        raise OSError(f"could not move {fresh} to {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def append_rows(df: DataFrame, path: str, table: str, partition_cols: Sequence[str] | None = None, fmt: str = "parquet") -> None:
@@ -78,13 +104,38 @@ def append_rows(df: DataFrame, path: str, table: str, partition_cols: Sequence[s
     writer.save(path)
 
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Create an external catalog table over ``path`` (if missing) and recover
-    its partitions (K7, ``MSCK REPAIR TABLE``)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on any file system Spark reads."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def register_table(
+    spark: SparkSession, name: str, path: str, fmt: str = "parquet", days: tuple[str, DateLike, DateLike] | None = None
+) -> None:
+    """K7: external catalog table over ``path`` (created if missing) with its partitions.
+
+    ``days`` = (column, first, end) adds only the day partitions of that slice that
+    exist, so the cost follows the slice and not the age of the table. Without it (a table replaced
+    as a whole) the catalog is synchronised with all partitions.
+    """
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    if not any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.refreshTable(name)
+        return
+    if days is None:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    else:
+        column, first, end = days
+        day, there = as_date(first), []
+        while day < as_date(end):
+            if path_exists(spark, f"{path}/{column}={day}"):
+                there.append(f"PARTITION ({column}='{day}')")
+            day += _dt.timedelta(days=1)
+        if there:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(there)}")
+    spark.catalog.refreshTable(name)
 
 
 LEDGER_SCHEMA = StructType(
@@ -95,6 +146,7 @@ LEDGER_SCHEMA = StructType(
         StructField("start_date", StringType(), True),
         StructField("end_date", StringType(), True),
         StructField("status", IntegerType(), False),
+        StructField("attempt", IntegerType(), False),
         StructField("batch_bdate", StringType(), False),
     ]
 )
@@ -112,9 +164,27 @@ class JobInfo:
     batch_ts: _dt.datetime
 
 
-def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: int) -> None:
+def _stamp(job: JobInfo) -> str:
+    return job.batch_ts.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def next_attempt(spark: SparkSession, ledger_path: str, job: JobInfo) -> int:
+    """1, or one more than the attempts of this table and batch so far (reads one ledger day)."""
+    if not path_exists(spark, ledger_path):
+        return 1
+    ts = _stamp(job)
+    mine = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).filter(
+        (F.col("batch_bdate") == ts[:10])
+        & (F.col("batch_ts") == ts)
+        & (F.col("schema_name") == job.schema_name)
+        & (F.col("table_name") == job.table_name.split(" ")[0])
+    )
+    return (mine.agg(F.max("attempt")).first()[0] or 0) + 1
+
+
+def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: int, attempt: int = 1) -> None:
     """K8: one status row (1 ok, 0 failed) appended, partitioned by ``batch_bdate``."""
-    ts = job.batch_ts.strftime("%Y-%m-%d %H:%M:%S")
+    ts = _stamp(job)
     row = (
         job.schema_name,
         job.table_name.split(" ")[0],
@@ -122,11 +192,15 @@ def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: i
         as_date(job.start_date).isoformat(),
         as_date(job.end_date).isoformat(),
         int(status),
+        int(attempt),
         ts[:10],
     )
     spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").partitionBy("batch_bdate").parquet(ledger_path)
 
 
+PARTITIONS, TABLE, APPEND = "partitions", "table", "append"
+
+
 def publish(
     spark: SparkSession,
     df: DataFrame,
@@ -136,22 +210,35 @@ def publish(
     partition_cols: Sequence[str] | None = None,
     catalog_name: str | None = None,
     skip_empty: bool = False,
+    how: str = PARTITIONS,
+    fmt: str = "parquet",
 ) -> str:
-    """K9: write (K1) -> ledger 1 (K8) -> register (K7); on error ledger 0, re-raise.
+    """K9: write -> register (K7) -> ledger 1 (K8); on any error ledger 0, re-raise.
 
-    ``skip_empty`` (K10) checks ``isEmpty()`` first - one cheap job; a dynamic
+    Success is recorded last, so a batch whose registration failed never reads as done.
+    ``how``: replace the partitions in ``df`` (K1), the whole table (K2/K3) or append
+    (K4). ``skip_empty`` (K10) checks ``isEmpty()`` first - one cheap job; a dynamic
     overwrite of zero rows would leave the table untouched anyway.
     """
     path = table_path(root, job.schema_name, job.data_layer, job.table_name)
     if skip_empty and df.isEmpty():
         return path
     cols = default_partitions(job.table_name, partition_cols)
+    attempt = next_attempt(spark, ledger_path, job)
     try:
-        replace_partitions(df, path, cols)
-        ledger_append(spark, ledger_path, job, 1)
+        if how == TABLE:
+            replace_table(df, path, cols, fmt)
+        elif how == APPEND:
+            append_rows(df, path, job.table_name, cols, fmt)
+        else:
+            replace_partitions(df, path, cols, fmt)
         if catalog_name:
-            register_table(spark, catalog_name, path)
+            days = None
+            if how != TABLE and len(cols) == 1:  # a zone's day may start on the UTC day before the slice
+                days = (cols[0], as_date(job.start_date) - _dt.timedelta(days=1), as_date(job.end_date) + _dt.timedelta(days=1))
+            register_table(spark, catalog_name, path, fmt, days)
     except Exception:
-        ledger_append(spark, ledger_path, job, 0)
+        ledger_append(spark, ledger_path, job, 0, attempt)
         raise
+    ledger_append(spark, ledger_path, job, 1, attempt)
     return path

@@ -89,13 +89,41 @@ CONTRACT_PAGE_SCHEMA = StructType(
 )
 
 
-def token_items(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``{"items": [...]}`` pages -> one typed row per token.
+UNPARSEABLE, NO_ITEMS, EMPTY = "unparseable", "no items", "empty"
+
+
+def page_fault(payload: Column | str, items: Column) -> Column:
+    """Why a page yields no row: broken JSON, no ``items`` list, or an empty one (else NULL)."""
+    text = F.col(payload) if isinstance(payload, str) else payload
+    return (
+        F.when(text.isNull() | F.get_json_object(text, "$").isNull(), F.lit(UNPARSEABLE))
+        .when(items.isNull(), F.lit(NO_ITEMS))
+        .when(F.size(items) == 0, F.lit(EMPTY))
+    )
+
+
+def bad_pages(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pages that yield no row, with the reason."""
+    page = F.from_json(F.col(payload_col), TOKEN_PAGE_SCHEMA)["items"]
+    return payloads.select(*keep, page_fault(payload_col, page).alias("fault")).filter("fault IS NOT NULL")
 
-    ``explode`` drops pages with an empty or missing ``items`` list.
+
+def _items(payloads: DataFrame, payload_col: str, schema: StructType, keep: tuple[str, ...]) -> DataFrame:
+    """One row per item; a page that is broken or has no ``items`` fails the job.
+
+    An empty list is a valid page without rows. Nothing is dropped in silence: these
+    tables are replaced as a whole, so a lost page would delete its rows.
     """
-    parsed = payloads.select(*keep, F.from_json(F.col(payload_col), TOKEN_PAGE_SCHEMA).alias("__p"))
-    items = parsed.select(*keep, F.explode("__p.items").alias("__i")).select(*keep, "__i.*")
+    page = F.from_json(F.col(payload_col), schema)["items"]
+    fault = page_fault(payload_col, page)
+    told = F.raise_error(F.concat(F.lit("payload page is unusable ("), fault, F.lit("): "), F.substring(F.coalesce(F.col(payload_col), F.lit("NULL")), 1, 80)))
+    checked = F.when(fault.isin(UNPARSEABLE, NO_ITEMS), told.cast(schema["items"].dataType)).otherwise(page)
+    return payloads.select(*keep, checked.alias("__items")).select(*keep, F.explode("__items").alias("__i"))
+
+
+def token_items(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``{"items": [...]}`` pages -> one typed row per token; unusable pages raise."""
+    items = _items(payloads, payload_col, TOKEN_PAGE_SCHEMA, keep).select(*keep, "__i.*")
     out = items.drop("icon_url")
     for name, typ in TOKEN_ITEM_CASTS.items():
         out = out.withColumn(name, safe_cast(name, typ))
@@ -123,9 +151,8 @@ def chain_stats(payloads: DataFrame, load_ts: _dt.datetime, payload_col: str = "
 
 
 def contracts(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Verified contracts -> ``name, address (lower-cased hash), hash, verified_at``."""
-    parsed = payloads.select(*keep, F.from_json(F.col(payload_col), CONTRACT_PAGE_SCHEMA).alias("__p"))
-    items = parsed.select(*keep, F.explode("__p.items").alias("__i"))
+    """Verified contracts -> ``name, address (lower-cased hash), hash, verified_at``; unusable pages raise."""
+    items = _items(payloads, payload_col, CONTRACT_PAGE_SCHEMA, keep)
     return items.select(
         *keep,
         F.col("__i.address.name").alias("name"),

@@ -93,75 +93,40 @@ def land(df: DataFrame, spec: DatasetSpec, start: DateLike | None, end: DateLike
     return out
 
 
-def time_slice(df: DataFrame, time_field: str, start: DateLike, end: DateLike, time_kind: str = "epoch") -> DataFrame:
-    """``[start, end)`` with derived zone columns."""
-    return with_zone_columns(df.filter(slice_predicate(time_field, time_kind, start, end)), time_field, time_kind)
-
-
-def snapshot_until(df: DataFrame, time_field: str, end: DateLike, time_kind: str = "epoch") -> DataFrame:
-    """Everything before ``end`` (full history re-read)."""
-    return with_zone_columns(df.filter(slice_predicate(time_field, time_kind, None, end)), time_field, time_kind)
-
-
-def projection(df: DataFrame, columns: Sequence) -> DataFrame:
-    """S3: full scan with projection; no derived time columns."""
-    return df.select(*columns)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A file with a single row group is read by one task, which would run the
-    whole map side (joins, arithmetic, partial aggregation) on one core. Only
-    then the rows are dealt round-robin over ``min_partitions`` (default: the
-    default parallelism); a scan that already has enough splits - any large
-    input - is returned unchanged, so no extra shuffle is paid at scale.
-    Filters and column pruning still reach the scan below the repartition.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
-def catalog_scan(spark: SparkSession, schema: str, layer: str, table: str) -> DataFrame:
-    """A catalog table by ``schema.layer_table``."""
-    return spark.table(f"{schema}.{layer}_{table}")
-
-
 def jdbc_reader(
     spark: SparkSession,
     url: str,
     dbtable: str,
+    partition_column: str,
+    lower_bound: int | str,
+    upper_bound: int | str,
+    num_partitions: int,
     user: str | None = None,
     password: str | None = None,
     driver: str | None = None,
+    fetch_size: int = 10_000,
     options: Mapping[str, str] | None = None,
-    partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
-    num_partitions: int | None = None,
 ) -> DataFrameReader:
     """A JDBC reader (MySQL or PostgreSQL is just the URL/driver).
 
-    ``dbtable`` may be a parenthesised subquery. Passing ``partition_column``
-    with bounds reads in ``num_partitions`` parallel range queries instead of
-    the single-connection ``query`` read; slice and projection filters put
-    on the loaded DataFrame are pushed into the WHERE clause by Spark.
+    ``dbtable`` may be a parenthesised subquery. The table is always read in
+    ``num_partitions`` range queries over ``partition_column``, never through one connection;
+    the bounds only set the stride, rows outside are read by the outer ranges.
+    Slice and projection filters put on the loaded DataFrame are pushed into the WHERE
+    clause by Spark.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", dbtable)
-    for key, value in (("user", user), ("password", password), ("driver", driver)):
+    if lower_bound is None or upper_bound is None:
+        raise ValueError("a JDBC read needs lower_bound and upper_bound of its partition column")
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be positive")
+    reader = spark.read.format("jdbc")
+    for key, value in (
+        ("url", url), ("dbtable", dbtable), ("user", user), ("password", password), ("driver", driver),
+        ("partitionColumn", partition_column), ("lowerBound", lower_bound), ("upperBound", upper_bound),
+        ("numPartitions", num_partitions), ("fetchsize", fetch_size),
+    ):
         if value is not None:
-            reader = reader.option(key, value)
-    if partition_column is not None:
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions or 8))
-        )
+            reader = reader.option(key, str(value))
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     return reader

@@ -71,18 +71,3 @@ def test_user_summary_spine(spark):
     assert out.count() == act.select("timezone_type", "bdate").distinct().count()
     assert out.columns == ["timezone_type", "bdate", "dau", "wau", "mau", "ru", "nru"]
     assert out.filter(F.col("wau") < F.col("dau")).count() == 0
-
-
-def test_recent_summary_covers_every_changed_row(spark, rows_of):
-    full_rows = sample(spark, 300, seed=11)
-    end = D(2024, 3, 1)
-    act_all = A.distinct_activity(full_rows.filter(F.col("bdate") < F.lit(end)))
-    act_old = A.distinct_activity(full_rows.filter(F.col("bdate") < F.lit(D(2024, 2, 29))))
-    new = {tuple(r) for r in A.user_summary(act_all, False).collect()}
-    old = {tuple(r) for r in A.user_summary(act_old, False).collect()}
-    since = A.affected_since(end)
-    assert since == D(2024, 2, 1)
-    changed = {r for r in new - old}
-    assert all(r[1] >= since for r in changed)
-    recent = {tuple(r) for r in A.recent_summary(act_all, end).collect()}
-    assert changed <= recent

@@ -1,4 +1,4 @@
-from martforge.operators.enrich import attach_by_key, attach_role, bounded_broadcast, remove_matched
+from martforge.operators.enrich import attach_role, remove_matched
 from martforge.operators.union import union_by_name
 
 
@@ -6,7 +6,7 @@ def test_role_playing_joins(spark):
     fact = spark.createDataFrame([(1, "a", "b"), (2, "a", "zz"), (3, None, "b")], "id int, base string, quote string")
     dim = spark.createDataFrame([("a", "Alpha", "A"), ("b", "Beta", "B")], "address string, name string, symbol string")
     out = attach_role(fact, dim, [("base", "address")], {"base_name": "name"}, "base")
-    out = attach_role(out, dim, [("quote", "address")], {"quote_name": "name", "quote": "address"}, "quote", check_size=True)
+    out = attach_role(out, dim, [("quote", "address")], {"quote_name": "name", "quote": "address"}, "quote")
     got = {r["id"]: (r["base_name"], r["quote_name"], r["quote"]) for r in out.collect()}
     assert got == {1: ("Alpha", "Beta", "b"), 2: ("Alpha", None, None), 3: (None, "Beta", "b")}
 
@@ -16,8 +16,6 @@ def test_two_key_join_and_special_names(spark):
     dim = spark.createDataFrame([("x", 5, "S")], "address string, chain_id int, symbol string")
     out = attach_role(fact, dim, [("address", "address"), ("chain_id", "chain_id")], {"symbol": "symbol"}, "t")
     assert sorted((r["from"], r["symbol"]) for r in out.collect()) == [(1, "S"), (2, None)]
-    out2 = attach_by_key(fact, dim, ["address", "chain_id"], check_size=True)
-    assert out2.count() == 2
 
 
 def test_anti_join_and_union(spark):
@@ -28,9 +26,3 @@ def test_anti_join_and_union(spark):
     assert union_by_name() is None
     assert union_by_name(live, None) is live
     assert union_by_name(live, done).count() == 5
-
-
-def test_bounded_broadcast_threshold(spark):
-    small = spark.range(10)
-    assert bounded_broadcast(small, max_rows=5) is small  # over the bound: unchanged
-    assert bounded_broadcast(small, max_rows=50) is not small  # proven small: hinted

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from martforge.plans import landing
 from martforge.session import shared_dir
 from martforge.sources.scans import DatasetSpec
@@ -10,19 +12,26 @@ from martforge.streaming.incremental import land_available
 def test_api_landings(spark):
     root = shared_dir(spark, "land")
     pages = spark.createDataFrame([(json.dumps({"items": [{"address": "0xA", "decimals": "6", "icon_url": "i"}]}),)], "payload string")
-    p = landing.land_token_list(spark, pages, root)
-    assert spark.read.parquet(p).first()["decimals"] == 6
-    landing.land_token_list(spark, pages, root)  # full replace, not doubled
+    led, at = f"{root}/led", dt.datetime(2024, 1, 1, 12)
+    p = landing.land_token_list(spark, pages, root, led, at, layer="dim")
+    assert spark.read.parquet(p).first()["decimals"] == 6 and "/dim/dim_token" in p
+    landing.land_token_list(spark, pages, root, led, at, layer="dim")  # full replace, not doubled
     assert spark.read.parquet(p).count() == 1
     stats = spark.createDataFrame([(json.dumps({"total_blocks": 5, "gas_prices": {"fast": 2}}),)], "payload string")
-    sp = landing.land_chain_stats(spark, stats, dt.datetime(2024, 1, 1, 12), root)
-    landing.land_chain_stats(spark, stats, dt.datetime(2024, 1, 2, 12), root)  # append
+    sp = landing.land_chain_stats(spark, stats, at, root, led)
+    landing.land_chain_stats(spark, stats, dt.datetime(2024, 1, 2, 12), root, led)  # append
     got = sorted((r["dt_utc"], r["total_blocks"]) for r in spark.read.parquet(sp).collect())
     assert got == [(dt.date(2024, 1, 1), 5), (dt.date(2024, 1, 2), 5)]
     cp = landing.land_contracts(spark, spark.createDataFrame(
-        [(json.dumps({"items": [{"address": {"hash": "0xAB", "name": "n"}, "verified_at": "x"}]}),)], "payload string"), root)
+        [(json.dumps({"items": [{"address": {"hash": "0xAB", "name": "n"}, "verified_at": "x"}]}),)], "payload string"), root, led, at)
     assert spark.read.parquet(cp).first()["address"] == "0xab"
-    assert spark.read.parquet(landing.land_chains(spark, root)).count() == 6
+    assert spark.read.parquet(landing.land_chains(spark, root, led, at)).count() == 6
+    assert spark.read.parquet(led).filter("status = 1").count() == 6
+    broken = spark.createDataFrame([("oops",)], "payload string")
+    with pytest.raises(Exception):
+        landing.land_token_list(spark, broken, root, led, dt.datetime(2024, 1, 3), layer="dim")
+    assert spark.read.parquet(p).count() == 1  # a broken load leaves the table
+    assert spark.read.parquet(led).filter("status = 0").count() == 1
 
 
 def test_land_table_snapshot_replaces_whole_table(spark):

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 from decimal import Decimal
 
+import pytest
+
 from martforge.sources import payloads
 from martforge.sources.dims import CHAINS, chain_dim
 
@@ -14,8 +16,6 @@ def test_token_items(spark):
             {"address": "0xB", "decimals": "abc", "holders": "n/a", "total_supply": "", "type": "ERC-721"},
         ]}),
         json.dumps({"items": []}),
-        json.dumps({"other": 1}),
-        "not json",
     ]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page int, payload string")
     out = payloads.token_items(df, keep=("page",))
@@ -26,6 +26,16 @@ def test_token_items(spark):
     assert rows["0xB"]["decimals"] is None and rows["0xB"]["holders"] is None and rows["0xB"]["total_supply"] is None
 
 
+@pytest.mark.parametrize("page", [json.dumps({"other": 1}), "not json", '{"items": [{"address": "0xA"}', None])
+@pytest.mark.parametrize("read", [payloads.token_items, payloads.contracts])
+def test_unusable_pages_fail(spark, page, read):
+    good = json.dumps({"items": [{"address": "0xA"}]}) if read is payloads.token_items else json.dumps({"items": [{"address": {"hash": "0xA"}}]})
+    df = spark.createDataFrame([(good,), (page,)], "payload string")
+    with pytest.raises(Exception, match="payload page is unusable"):
+        read(df).collect()
+    assert payloads.bad_pages(df).count() == 1
+
+
 def test_chain_stats(spark):
     obj = {"average_block_time": 1.5, "gas_prices": {"slow": 1, "average": 2.5, "fast": 3}, "coin_image": "i",
            "total_blocks": "123", "total_addresses": 7, "tvl": None, "gas_price_updated_at": "2024-01-01T00:00:00Z"}

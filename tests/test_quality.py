@@ -39,12 +39,14 @@ def test_missing_days(spark):
     assert got == [dt.date(2024, 1, 2), dt.date(2024, 1, 4)]
 
 
-def test_scaling_overflow(spark):
-    from decimal import Decimal
-
-    df = spark.createDataFrame(
-        [(Decimal("9" * 28), Decimal(1)), (Decimal("1" + "0" * 28), None), (None, Decimal("1" + "0" * 30))],
-        "value decimal(38,0), fee decimal(38,0)",
-    )
-    r = checks.scaling_overflow(df, ["value", "fee"]).first()
-    assert (r["rows"], r["value_overflow"], r["fee_overflow"]) == (3, 1, 1)
+def test_assert_unique(spark):
+    df = spark.createDataFrame([("s", 1), ("s", 1), ("t", 1)], "symbol string, chain_id int")
+    with pytest.raises(checks.ReconciliationError, match="occurs 2 times"):
+        checks.assert_unique(df, ["symbol"], "token")
+    checks.assert_unique(df.distinct(), ["symbol"], "token")
+
+
+def test_latest_status_prefers_the_failure_and_the_last_attempt(spark):
+    rows = [("s", "a", "t1", 1, 1), ("s", "a", "t1", 0, 1), ("s", "b", "t1", 0, 1), ("s", "b", "t1", 1, 2), ("s", "c", "t2", 0, 1), ("s", "c", "t1", 1, 3)]
+    led = spark.createDataFrame(rows, "schema_name string, table_name string, batch_ts string, status int, attempt int")
+    assert {r["table_name"]: r["status"] for r in checks.latest_status(led).collect()} == {"a": 0, "b": 1, "c": 0}

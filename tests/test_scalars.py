@@ -1,4 +1,6 @@
-from decimal import Decimal
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import functions as F
 
@@ -9,8 +11,11 @@ from martforge.functions.scalars import (
     midnight_distance,
     report_ts,
     safe_cast,
+    money_sum,
     scale_units,
+    scale_units_double,
     usd_value,
+    usd_value_double,
 )
 
 
@@ -30,7 +35,27 @@ def test_scale_units_exact(spark):
     assert out[1] == Decimal("1.0000000000")
     assert out[2] == Decimal("5.0000000000")
     assert out[3] is None
-    assert out[4] is None and out[5] is None  # unsupported decimals: NULL, not an error
+    assert out[4] == 0 and out[5] == Decimal("70.0000000000")  # any exponent
+
+
+def test_wide_amounts_are_exact(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(400):
+        v = rng.randrange(10 ** rng.randrange(1, 39)) * rng.choice([1, 1, -1])
+        p = Decimal(rng.randrange(10 ** rng.randrange(2, 19))).scaleb(-rng.randrange(0, 19))
+        rows.append((Decimal(v), p, rng.randrange(0, 31)))
+    rows += [(Decimal(5 * 10**24), Decimal(60000), 18), (Decimal(3), Decimal("0.000123"), 0), (Decimal(10**29), Decimal(1), 18), (Decimal(1000), Decimal(1), 24)]
+    df = spark.createDataFrame(rows, "v decimal(38,0), p decimal(38,18), d int")
+    got = df.select("v", "p", "d", scale_units("v", "d").alias("t"), usd_value("v", "p", "d").alias("u"),
+                    scale_units_double("v", "d").alias("tf"), usd_value_double("v", "p", "d").alias("uf")).collect()
+    with localcontext() as ctx:
+        ctx.prec, ctx.rounding = 120, ROUND_HALF_UP
+        for r in got:
+            for have, approx, exact in ((r["t"], r["tf"], r["v"].scaleb(-r["d"])), (r["u"], r["uf"], (r["v"] * r["p"]).scaleb(-r["d"]))):
+                want = exact.quantize(Decimal("1E-10"))
+                assert have == want if abs(want) < 10**28 else have is None
+                assert math.isclose(approx, float(exact), rel_tol=1e-9)
 
 
 def test_usd_value_rounds_once(spark):
@@ -74,3 +99,8 @@ def test_exact_avg_and_report_ts(spark):
     assert abs(df.select(exact_avg("p")).first()[0] - 1.65) < 1e-12
     ts = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 678),)], "t timestamp_ntz")
     assert ts.select(report_ts("t")).first()[0] == "2024-01-02 03:04:05"
+
+
+def test_wide_money_sum_keeps_integer_digits(spark):
+    df = spark.createDataFrame([(Decimal("99999999999999999999.5"),), (Decimal("99999999999999999999.25"),), (Decimal("-1.75"),)], "x decimal(38,18)")
+    assert df.select(money_sum("x", wide=True)).first()[0] == Decimal("199999999999999999997.0000000000")

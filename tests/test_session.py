@@ -1,22 +1,47 @@
+import datetime as dt
+
+import pytest
+
 from martforge.session import checkpoint_root, materialize, shared_dir
 from martforge.sinks import writes
-from martforge.sources.scans import spread
 
 
-def test_spread_only_when_too_few_splits(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert df.rdd.getNumPartitions() == 1
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 1000, 1, 8)
-    assert spread(wide, 4) is wide
+def test_materialize_cuts_lineage_in_the_shared_folder(spark):
+    df = materialize(spark.range(10).selectExpr("id", "id * 2 AS twice"))
+    assert df.count() == 10 and checkpoint_root(spark)
+    assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default):
+            return None
 
-def test_materialize_writes_under_checkpoint_root(spark):
-    df = materialize(spark.range(10).selectExpr("id", "id * 2 AS twice"))
-    assert df.count() == 10
-    assert any(checkpoint_root(spark).split(":", 1)[-1] in f for f in df.inputFiles())
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_only_touched_days_are_registered(spark):
+    path = shared_dir(spark, "reg_days")
+    rows = [(dt.date(2024, 1, d), d) for d in (1, 2, 5)]
+    writes.replace_table(spark.createDataFrame(rows, "dt_utc date, v int"), path, ["dt_utc"])
+    name = "t_days_" + path.rsplit("/", 1)[-1]
+    writes.register_table(spark, name, path, days=("dt_utc", "2024-01-02", "2024-01-04"))
+    assert [r["v"] for r in spark.table(name).collect()] == [2]
+    writes.register_table(spark, name, path)
+    assert spark.table(name).count() == 3
+    writes.replace_table(spark.createDataFrame(rows[:1], "dt_utc date, v int"), path, ["dt_utc"])
+    writes.register_table(spark, name, path)  # partitions that went are dropped
+    assert [r["v"] for r in spark.table(name).collect()] == [1]
 
 
 def test_register_unpartitioned_table(spark):

@@ -61,3 +61,15 @@ def test_publish_ledger_and_failure(spark):
     last = latest_status(led).first()
     assert last["status"] == 0 and last["batch_ts"] == "2024-01-02 02:00:00"
     assert writes.publish(spark, mart(spark, [], "a"), job, root, ledger, skip_empty=True).endswith("dm_x_d")
+
+
+def test_failed_registration_is_a_failed_publish(spark):
+    root = shared_dir(spark, "pub")
+    ledger = f"{root}/etl_status"
+    job = writes.JobInfo("sch", "dm", "x_d", "2024-01-01", "2024-01-02", dt.datetime(2024, 1, 2, 1, 0, 0))
+    with pytest.raises(Exception):
+        writes.publish(spark, mart(spark, [1], "a"), job, root, ledger, catalog_name="no_such_schema.x")
+    assert [(r["status"], r["attempt"]) for r in spark.read.parquet(ledger).collect()] == [(0, 1)]
+    writes.publish(spark, mart(spark, [1], "a"), job, root, ledger)
+    last = latest_status(spark.read.parquet(ledger)).first()
+    assert (last["status"], last["attempt"]) == (1, 2)

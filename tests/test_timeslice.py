@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from martforge.operators.timeslice import (
@@ -109,12 +111,32 @@ def test_default_slice():
     assert default_slice("2024-03-01") == (dt.date(2024, 2, 29), dt.date(2024, 3, 1))
 
 
-def test_jdbc_reader_builds_without_connecting(spark):
+def test_jdbc_reader_is_always_partitioned():
     from martforge.sources.scans import jdbc_reader
 
-    reader = jdbc_reader(
-        spark, "jdbc:postgresql://db.invalid:5432/x", "(SELECT 1 AS id) t", user="u", password="p",
-        driver="org.postgresql.Driver", partition_column="id", lower_bound=0, upper_bound=100, num_partitions=4,
-        options={"fetchsize": "10000"},
-    )
-    assert reader is not None  # nothing is contacted until load()
+    class Reader:
+        def __init__(self):
+            self.options = {}
+
+        def format(self, name):
+            assert name == "jdbc"
+            return self
+
+        def option(self, key, value):
+            self.options[key] = value
+            return self
+
+    class Session:
+        read = property(lambda self: Reader())
+
+    # nothing is contacted until load(), so the options are all there is to check
+    made = jdbc_reader(
+        Session(), "jdbc:postgresql://db.invalid:5432/x", "(SELECT 1 AS id) t", "id", 0, 100, 4, user="u", driver="org.postgresql.Driver",
+        options={"pushDownPredicate": "true"},
+    ).options
+    assert made == {
+        "url": "jdbc:postgresql://db.invalid:5432/x", "dbtable": "(SELECT 1 AS id) t", "user": "u", "driver": "org.postgresql.Driver",
+        "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4", "fetchsize": "10000", "pushDownPredicate": "true",
+    }
+    with pytest.raises(ValueError):
+        jdbc_reader(Session(), "u", "t", "id", None, 100, 4)
