@@ -352,11 +352,14 @@ def q_user_summary(spark, sf_dir):
 
 # --- batches ---------------------------------------------------------------------
 def dex_sources(spark, sf_dir) -> DexSources:
+    """Sources of the order batches; both order tables are landed up to the end of the batch, in one
+    folder (a folder per day over seven years of sparse test orders would only time the file system)."""
     fills = B.fills(spark, sf_dir)
     return DexSources(
         closed=B.closed_orders(spark, sf_dir), snapshot=B.order_rows(spark, sf_dir), fills=fills,
         fees=borrow_time(B.fee_rows(spark, sf_dir), fills, "block", "time_utc"), pairs=B.pairs(spark, sf_dir), tokens=B.tokens(spark, sf_dir),
-        closed_spec=B.CLOSED_SPEC, snapshot_spec=replace(B.SNAPSHOT_SPEC, partition_cols=()), fills_spec=B.FILLS_SPEC, fees_spec=B.FEES_SPEC,
+        closed_spec=replace(B.CLOSED_SPEC, mode=OVERWRITE, partition_cols=()), snapshot_spec=replace(B.SNAPSHOT_SPEC, partition_cols=()),
+        fills_spec=B.FILLS_SPEC, fees_spec=B.FEES_SPEC,
     )
 
 
