@@ -95,9 +95,11 @@ UNPARSEABLE, NO_ITEMS, EMPTY = "unparseable", "no items", "empty"
 def page_fault(payload: Column | str, items: Column) -> Column:
     """Why a page yields no row: broken JSON, no ``items`` list, or an empty one (else NULL)."""
     text = F.col(payload) if isinstance(payload, str) else payload
+    # a page whose items were parsed is well formed; only the others are parsed once more
+    broken = F.get_json_object(text, "$").isNull()
     return (
-        F.when(text.isNull() | F.get_json_object(text, "$").isNull(), F.lit(UNPARSEABLE))
-        .when(items.isNull(), F.lit(NO_ITEMS))
+        F.when(text.isNull(), F.lit(UNPARSEABLE))
+        .when(items.isNull(), F.when(broken, F.lit(UNPARSEABLE)).otherwise(F.lit(NO_ITEMS)))
         .when(F.size(items) == 0, F.lit(EMPTY))
     )
 
