@@ -93,7 +93,7 @@ def report_ts(c: Column | str) -> Column:
 
 
 def midnight_distance(ts: Column | str) -> Column:
-    """F8: minutes from the nearest reporting midnight, six branches.
+    """F8: minutes from the nearest reporting midnight, six branches (fixed values).
 
     00:00 -> 0, 00:mm -> mm, 23:mm -> 60-mm, 14:mm -> 660-mm,
     15:mm -> 600+mm, anything else 9999. Hours 14/15 are the KST midnight

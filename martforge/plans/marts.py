@@ -53,6 +53,9 @@ def _with_pair_and_tokens(df: DataFrame, pairs: DataFrame, tokens: DataFrame, to
     return attach_role(out, tokens, [("quote_address", "address")], quote, "quote")
 
 
+# The column and key lists of D1-D9 below are the published table
+# contracts and must keep these names and this order.
+
 # D1 -------------------------------------------------------------------------
 def trade_detail_columns() -> list:
     return [

@@ -586,8 +586,9 @@ def q_latest_status(spark, sf_dir):
     put("event_retried_d", "no_such_schema.event_d")
     put("event_retried_d", f"{name}_r")
     status = checks.latest_status(spark.read.parquet(ledger))
-    rows = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d")).agg(F.sum("events").alias("events"))
-    return status.join(rows, F.col("table_name") == "event_d", "left")
+    published = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d"))
+    rows = published.agg(F.sum("events").alias("events")).select(F.lit("event_d").alias("table_name"), "events")
+    return status.join(rows, "table_name", "left")
 
 
 def q_max_timestamp(spark, sf_dir):

@@ -141,16 +141,3 @@ def assert_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
     twice = key_uniqueness(df, keys).limit(1).collect()
     if twice:
         raise ReconciliationError(f"{name}: key {tuple(twice[0][k] for k in keys)} occurs {twice[0]['n']} times")
-
-
-def missing_days(spark, landed: DataFrame, start, end, day_col: str = "dt_utc") -> DataFrame:
-    """Calendar days of ``[start, end)`` without any landed row (S9 report).
-
-    The day list is generated on the executors and anti-joined with the
-    distinct landed days; only the (few) missing days form the result.
-    """
-    from martforge.operators.timeslice import in_range
-    from martforge.sources.partitions import slice_days
-
-    present = landed.filter(in_range(day_col, start, end)).select(F.col(day_col).cast("date").alias("day")).distinct()
-    return slice_days(spark, start, end).join(present, "day", "left_anti")

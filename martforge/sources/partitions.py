@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from martforge.operators.timeslice import DateLike, as_date, in_range
+from martforge.operators.timeslice import DateLike, in_range
 
 
 def read_days(spark: SparkSession, path: str, start: DateLike, end: DateLike, partition_col: str = "dt_utc") -> DataFrame:
@@ -29,11 +28,3 @@ def read_landed_for_zones(spark: SparkSession, path: str, start: DateLike, end:
     from martforge.operators.timeslice import shift_days
 
     return read_days(spark, path, shift_days(start, -1), end, partition_col)
-
-
-def slice_days(spark: SparkSession, start: DateLike, end: DateLike) -> DataFrame:
-    """The calendar days of ``[start, end)`` as a one-column DataFrame."""
-    s, e = as_date(start), as_date(end)
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(s), F.date_sub(F.lit(e), 1))).alias("day")
-    )

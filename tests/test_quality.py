@@ -33,12 +33,6 @@ def test_key_uniqueness(spark):
     assert [r["symbol"] for r in checks.key_uniqueness(df, ["symbol", "chain_id"]).collect()] == ["s"]
 
 
-def test_missing_days(spark):
-    landed = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),), (dt.date(2024, 1, 9),)], "dt_utc date")
-    got = sorted(r["day"] for r in checks.missing_days(spark, landed, "2024-01-01", "2024-01-05").collect())
-    assert got == [dt.date(2024, 1, 2), dt.date(2024, 1, 4)]
-
-
 def test_assert_unique(spark):
     df = spark.createDataFrame([("s", 1), ("s", 1), ("t", 1)], "symbol string, chain_id int")
     with pytest.raises(checks.ReconciliationError, match="occurs 2 times"):
