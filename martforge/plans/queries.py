@@ -588,7 +588,8 @@ def q_latest_status(spark, sf_dir):
     status = checks.latest_status(spark.read.parquet(ledger))
     published = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d"))
     rows = published.agg(F.sum("events").alias("events")).select(F.lit("event_d").alias("table_name"), "events")
-    return status.join(rows, "table_name", "left")
+    both = status.unionByName(rows, allowMissingColumns=True)
+    return both.groupBy("table_name").agg(*[F.max(c).alias(c) for c in ("schema_name", "batch_ts", "attempt", "status", "events")])
 
 
 def q_max_timestamp(spark, sf_dir):
