@@ -3,9 +3,16 @@
 Token counts are summed over the cells (source, language, topic). Raking then finds one
 factor per source, language and topic so that the weighted tokens meet the target
 share of every source, every language and every topic at once. A document's weight
-is the product of its three factors; its probability is the weight over
-the largest weight of any cell with tokens, so none exceeds 1 and the expected token
-shares are the targets. A document is drawn where a hash of its id falls below its probability.
+is the product of its three factors. A document is drawn where a hash of its id falls
+below its probability.
+
+Probabilities are the weights over the largest weight of any cell with tokens where this
+draws at least ``expected`` of all tokens (0.45 without targets): none exceeds 1 and the expected
+shares are the targets. A rare value of a large weight would make that draw arbitrarily small.
+There the fitting is done again for the stated size with probabilities that stop at 1: a
+value whose share of that size is more than all its tokens is drawn whole, the others
+share the rest in proportion to their targets, and the expected tokens are ``expected`` of all.
+With targets given and no ``expected``, the targets are met exactly, however little is drawn.
 
 Only the cells reach the driver, never documents; more than ``max_cells`` of them are
 refused with an error, not cut. Their factors are therefore small enough to broadcast.
@@ -113,19 +120,84 @@ def rake(cells: list[tuple], tokens: np.ndarray, targets: list[dict], rounds: in
     return [dict(zip(n, f.tolist())) for n, f in zip(names, factors)]
 
 
+def attainable(share: np.ndarray, have: np.ndarray, size: float) -> np.ndarray:
+    """Tokens per value, ``size`` in all: in proportion to ``share``, none above what it has."""
+    out, free = np.zeros_like(have), (share > 0) & (have > 0)
+    left = min(size, float(have[free].sum()))
+    while free.any():
+        part = np.where(free, share, 0.0)
+        part *= left / part.sum()
+        over = free & (part >= have)
+        if not over.any():
+            return np.where(free, part, out)
+        out[over] = have[over]
+        left, free = max(0.0, left - float(have[over].sum())), free & ~over
+    return out
+
+
+def capped_rake(cells: list[tuple], tokens: np.ndarray, targets: list[dict], size: float, rounds: int = 500, tolerance: float = 1e-9) -> np.ndarray:
+    """Probability per cell, the product of its factors or 1 if that is less, so that ``size`` tokens are expected.
+
+    Like ``rake``, but each factor is the one with which the probabilities, after
+    they are stopped at 1, meet the attainable tokens of its value.
+    """
+    codes, wanted, factors = [], [], []
+    for d, target in enumerate(targets):
+        values = sorted({c[d] for c in cells}, key=lambda v: (v is None, str(v)))
+        at = {v: i for i, v in enumerate(values)}
+        codes.append(np.array([at[c[d]] for c in cells], dtype=np.int64))
+        have = np.bincount(codes[d], weights=tokens, minlength=len(values))
+        wanted.append(attainable(np.array([float(target.get(v, 0.0)) for v in values]), have, size))
+        factors.append(np.ones(len(values)))
+    for _ in range(rounds):
+        worst = 0.0
+        for d, want in enumerate(wanted):
+            code, n = codes[d], len(want)
+            rest = np.prod([f[c] for e, (f, c) in enumerate(zip(factors, codes)) if e != d], axis=0)
+            live = (tokens > 0) & (rest > 0)
+            have = np.bincount(code, weights=np.minimum(1, rest * factors[d][code]) * tokens, minlength=n)
+            worst = max(worst, float(np.abs(have - want)[want > 0].max(initial=0)) / size)
+            # the factor at which all cells of a value reach 1
+            most = np.zeros(n)
+            np.maximum.at(most, code[live], 1 / rest[live])
+            free = live.copy()
+            while True:
+                open_ = np.bincount(code, weights=np.where(free, rest * tokens, 0.0), minlength=n)
+                full = np.bincount(code, weights=np.where(live & ~free, tokens, 0.0), minlength=n)
+                factor = np.divide(np.maximum(want - full, 0.0), open_, out=most.copy(), where=open_ > 0)
+                over = free & (factor[code] * rest >= 1)
+                if not over.any():
+                    break
+                free &= ~over
+            some = np.bincount(code, weights=tokens, minlength=n) > 0
+            factors[d] = np.where(some, np.minimum(factor, np.where(most > 0, most, factor)), 1.0)
+        if worst < tolerance:
+            break
+    return np.minimum(1.0, np.prod([f[c] for f, c in zip(factors, codes)], axis=0))
+
+
 def uniform(id_col: Column, seed: int) -> Column:
     """A number in [0, 1) from a hash of the id and a seed."""
     return F.shiftrightunsigned(F.xxhash64(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
 def cell_weights(
-    known: DataFrame, targets: dict[str, dict] | None = None, alpha: float = 0.7, max_cells: int = 200_000
+    known: DataFrame,
+    targets: dict[str, dict] | None = None,
+    alpha: float = 0.7,
+    max_cells: int = 200_000,
+    expected: float | None = None,
 ) -> DataFrame:
     """(c_source, c_lang, c_topic, weight, probability): one row per cell of measured documents.
 
     ``targets`` maps a dimension to {value: share}; a dimension without targets
-    takes its own token shares tempered by ``alpha``.
+    takes its own token shares tempered by ``alpha``. At least ``expected`` of all tokens
+    are drawn in expectation: 0.45 if no targets are given, else only if stated.
     """
+    if expected is None:
+        expected = 0.0 if targets else 0.45
+    if not 0 <= expected <= 1:
+        raise ValueError("expected is a share of all tokens")
     table = known.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")).limit(max_cells + 1).collect()
     if len(table) > max_cells:
         raise ValueError(f"more than {max_cells} cells of source, language and topic; raise max_cells or merge values")
@@ -141,7 +213,11 @@ def cell_weights(
     factors = rake(cells, tokens, wanted)
     weights = [float(np.prod([f[v] for f, v in zip(factors, c)])) for c in cells]
     top = max((w for w, n in zip(weights, tokens) if n > 0), default=1.0) or 1.0
-    rows = [(*c, w, min(1.0, w / top)) for c, w in zip(cells, weights)]
+    probabilities = np.minimum(1.0, np.array(weights) / top)
+    size = expected * float(tokens.sum())
+    if float((probabilities * tokens).sum()) < size:
+        probabilities = capped_rake(cells, tokens, wanted, size)
+    rows = [(*c, w, p) for c, w, p in zip(cells, weights, probabilities.tolist())]
     kinds = {f.name: f.dataType.simpleString() for f in known.schema}
     schema = ", ".join(f"c_{d} {kinds[d]}" for d in DIMENSIONS) + ", weight double, probability double"
     return known.sparkSession.createDataFrame(rows, schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_paths import SF
+from llm_paths import SF, SF2
 from pyspark.sql import functions as F
 
 from martforge.llm import mixing as M
@@ -143,3 +143,38 @@ def test_mix_edges(edge_docs, no_docs):
     assert M.sample(edge_docs, TOKENIZER).columns == edge_docs.columns
     with pytest.raises(ValueError, match="cells"):
         M.mix(edge_docs, TOKENIZER, max_cells=2)
+
+
+def test_one_rare_document_does_not_set_the_scale(spark):
+    docs = read_table(spark, SF2, "documents").select("doc_id", "text", "lang", "source")
+    rare = spark.createDataFrame([(-1, "saluton mondo kaj bonan tagon", "eo", "src0")], docs.schema)
+    rows = M.mix(docs.unionByName(rare), TOKENIZER).collect()
+    total = sum(r["n_tokens"] for r in rows)
+    assert sum(r["n_tokens"] * r["probability"] for r in rows) >= 0.449 * total
+    by_id = {r["doc_id"]: r["probability"] for r in rows}
+    assert by_id[-1] == pytest.approx(1.0) and max(by_id.values()) <= 1 and min(by_id.values()) > 0
+    # the other languages keep the proportions of their targets
+    tokens, drawn = defaultdict(float), defaultdict(float)
+    for r in rows:
+        tokens[r["lang"]] += r["n_tokens"]
+        drawn[r["lang"]] += r["n_tokens"] * r["probability"]
+    target = M.tempered(tokens, 0.7)
+    whole = {v for v in tokens if drawn[v] >= 0.999 * tokens[v]}
+    ratios = [drawn[v] / target[v] for v in tokens if v not in whole]
+    assert "eo" in whole and max(ratios) == pytest.approx(min(ratios), rel=1e-3)
+
+
+def test_capped_rake_meets_the_stated_size():
+    rng = np.random.default_rng(9)
+    cells = [(s, lang, t) for s in "abc" for lang in ("en", "de", None) for t in range(4)] + [("a", "eo", 0)]
+    tokens = np.append(rng.integers(1000, 100_000, len(cells) - 1), 5).astype(float)
+    targets = []
+    for d in range(3):
+        sums = defaultdict(float)
+        for c, n in zip(cells, tokens):
+            sums[c[d]] += n
+        targets.append(M.tempered(sums, 0.7))
+    for share in (0.1, 0.45, 0.9, 1.0):
+        p = M.capped_rake(cells, tokens, targets, share * tokens.sum())
+        assert (p > 0).all() and (p <= 1).all() and p[-1] == pytest.approx(1.0)
+        assert (p * tokens).sum() == pytest.approx(share * tokens.sum(), rel=1e-4)
