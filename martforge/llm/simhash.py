@@ -23,7 +23,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martforge.llm.common import cut, texts
@@ -54,18 +54,26 @@ def fingerprint(text: str, shingle: int = 4, seed: int = SEED) -> int:
     return int(np.packbits(set_bits * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def _text_key() -> list:
+    """Two 64-bit hashes of the text (null: empty): which of the rows of one id a row is."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; ``keyed`` adds the hashes of ``_text_key``."""
     base = texts(docs)
+    base = base.select("doc_id", "text", *_text_key()) if keyed else base
+    more = base.columns[2:]
 
     def batches(it):
         for batch in it:
             out = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
             fp = pa.array(np.array(out, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, *batch.columns[2:]], ["doc_id", "fp", *more])
 
     kind = base.schema["doc_id"].dataType.simpleString()
-    return base.mapInArrow(batches, f"doc_id {kind}, fp long")
+    return base.mapInArrow(batches, f"doc_id {kind}, fp long" + "".join(f", {c} long" for c in more))
 
 
 def _segments(n: int) -> list[tuple[int, int]]:
@@ -119,35 +127,44 @@ def near_pairs(classes: DataFrame, max_bits: int = 4, segments: int = 3) -> Data
     )
 
 
+def _rooted(classes: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """``classes`` (fp, least) with ``root``, the smallest fingerprint of the component."""
+    roots = connected_components(near_pairs(classes, max_bits, segments))
+    return classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     ``component_id`` is the smallest doc_id reachable over links, its own included.
     """
     marked = cut(fingerprints(docs, shingle))
-    classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = connected_components(near_pairs(classes, max_bits, segments))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits, segments)
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     member = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(member, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents (all their columns) with the smallest id of their group.
+def one_of_each_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3) -> DataFrame:
+    """One document (all its columns) of every group: the one with the smallest id, null ids last.
 
-    Of rows that repeat that id, the one of the smallest text hash stays.
+    Rows are told apart by id and text, so texts that share an id, or have none, stay
+    in the groups of their own. Of rows of that id in the group, the one of the
+    smallest text hash stays; of rows equal in id and text, any one.
     """
-    first = (
-        simhash_groups(docs, **options)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_first_id"))
-        .distinct()
+    marked = cut(fingerprints(docs, shingle, keyed=True))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h1", "_h2")
+    rooted = _rooted(marked.groupBy("fp").agg(F.min(row).alias("least")), max_bits, segments)
+    first = rooted.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("_first_id"), F.col("least._h1").alias("_f1"), F.col("least._h2").alias("_f2")
+    )
+    keyed = docs.select("*", *_text_key())
+    kept = keyed.join(
+        first,
+        F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col("_h1") == F.col("_f1")) & (F.col("_h2") == F.col("_f2")),
+        "left_semi",
     )
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_first_id"]), "left_semi")
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_turn", F.row_number().over(once)).filter("_turn = 1").drop("_turn")
+    # an aggregate, so that rows repeated very often shrink before the shuffle
+    return kept.dropDuplicates(["doc_id", "_h1", "_h2"]).select(docs.columns)

@@ -255,3 +255,15 @@ def test_long_runs_of_one_byte():
     data = np.frombuffer(b"a" * 5000, dtype=np.uint8)
     h, c, first, off, after = S.anchors(data, np.array([5000]), 100, 24)
     assert len(first) == 4901 and len(set(h.tolist())) == 1
+
+
+def test_one_document_of_every_group_whatever_its_id(spark):
+    def text(seed):
+        return " ".join(f"w{random.Random(seed * 1000 + j).randrange(10**6)}" for j in range(60))
+
+    # four texts without an id, one of them in the group of id 1; two texts of id 5, one of them of id 2's group
+    rows = [(None, text(0)), (None, text(1)), (None, text(2)), (None, text(2)), (None, text(3)), (1, text(3)),
+            (5, text(4)), (5, text(5)), (5, text(5)), (2, text(4)), (7, text(6)), (7, text(7))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in H.one_of_each_group(df).collect())
+    assert got == sorted([(0, text(0)), (0, text(1)), (0, text(2)), (1, text(3)), (2, text(4)), (5, text(5)), (7, text(6)), (7, text(7))])
