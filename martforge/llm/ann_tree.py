@@ -35,7 +35,7 @@ from martforge.llm.common import cut
 
 
 def valid(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v): usable vectors as arrays of doubles."""
+    """(vec_id, v): usable vectors as arrays of doubles, equal rows once."""
     v = F.col("v")
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     limit = F.lit(float("inf"))
@@ -46,7 +46,7 @@ def valid(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         & F.exists(v, lambda x: x != 0)
     )
     common = good.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return good.filter(F.size(v) == (common["n"] if common else 0))
+    return good.filter(F.size(v) == (common["n"] if common else 0)).distinct()
 
 
 @dataclass
@@ -131,16 +131,21 @@ def fit_tree(x: np.ndarray, branches: int = 8, leaf_fit: int = 48, rounds: int =
 
 
 def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """(query row, id row, score) of each query's exact k best, ties to the smaller id.
+    """(query row, id row, score) of each query's exact k best ids, ties to the smaller id.
 
+    An id in several rows counts once, with its best score.
     A matrix product finds the candidates within a rounding margin of the k-th
     best; their scores are then summed component by component in one fixed order,
     so equal vectors score equally wherever they stand.
     """
     fast = q @ x.T
     fast[q_ids[:, None] == ids[None, :]] = -np.inf
-    n = min(k, fast.shape[1])
-    last = -np.partition(-fast, n - 1, axis=1)[:, n - 1]
+    by_id = np.argsort(ids, kind="stable")
+    firsts = np.flatnonzero(np.concatenate(([True], np.diff(ids[by_id]) != 0)))
+    # the best of each id, so that rows of one id take one of the k places
+    each = fast if len(firsts) == len(ids) else np.maximum.reduceat(fast[:, by_id], firsts, axis=1)
+    n = min(k, each.shape[1])
+    last = -np.partition(-each, n - 1, axis=1)[:, n - 1]
     margin = 1e-9 * (np.abs(q).sum(1) * np.abs(x).max(initial=0) + 1e-300)
     a, b = np.nonzero((fast >= (last - margin)[:, None]) & (fast > -np.inf))
     score = np.zeros(len(a))
@@ -178,6 +183,7 @@ def _calibrate(rows: DataFrame, tree: Tree, width: int, k: int, target: float, q
 
     found = rows.select("vec_id", "v", "leaf").mapInArrow(nearest, "q long, vec_id long, leaf int, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    found = found.groupBy("q", "vec_id").agg(F.max_by("leaf", F.struct("score", "leaf")).alias("leaf"), F.max("score").alias("score"))
     truth = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).groupBy("q", "leaf").count().collect()
     if not truth:
         return 1

@@ -54,6 +54,25 @@ def test_ties_and_hot_vectors(spark):
     assert [r["vec_id"] for r in got if r["query_id"] == 4000] == [1, 2, 3, 4, 5]
 
 
+def test_repeated_ids_take_one_place(spark):
+    rng = np.random.default_rng(3)
+    ids, x = np.arange(60), rng.normal(size=(60, 4))
+    more = np.concatenate([x] + [x * f for f in (0.99, 0.98, 0.5)])  # four vectors of each id
+    a, b, score = A.best_of(np.array([-1]), x[:1], np.tile(ids, 4), more, 20)
+    best = (np.tile(ids, 4)[b]).tolist()
+    exact = {int(i): max(float(x[0] @ v) for v in more[i::60]) for i in ids}
+    assert best == sorted(exact, key=lambda i: (-exact[i], i))[:20]
+    assert np.allclose(score, [exact[i] for i in best])
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x)] * 10  # each row ten times
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert A.valid(df).count() == 60
+    got = A.search(df, F.col("vec_id") % 20 == 0, target_recall=1.0).collect()
+    want = brute([(int(i), v.tolist()) for i, v in zip(ids, x)])
+    assert {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in want} == {
+        q: [i for i, _ in best] for q, best in want.items()
+    }
+
+
 def test_invalid_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
