@@ -1,6 +1,7 @@
 """License scan and quality rules against plain Python."""
 
 import re
+import textwrap
 
 from llm_paths import SF
 from pyspark.sql import functions as F
@@ -119,3 +120,34 @@ def test_native_edges(edge_docs, no_docs):
     plan = L.scan(edge_docs)._jdf.queryExecution().toString() + R.with_counts(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert L.scan(edge_docs).filter(F.col("n_matches") > 0).count() == 0
+
+
+def test_notices_over_lines_and_inside_lines(spark):
+    mit, apache = L.TEMPLATES["MIT-permission"], L.TEMPLATES["Apache-2.0-notice"]
+    tail = (
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+        ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF'
+        " MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE"
+        " FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION"
+        " WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    )
+    header = "\n".join("# " + x for x in textwrap.wrap(apache, 70))
+    code = "\n".join(f"y{i} = {i}" for i in range(200))
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2024 A\n\n" + textwrap.fill(mit, 78) + "\n\n" + textwrap.fill(tail, 78)),
+        (2, "x = 1\n" + header + "\n\nimport os\n" + code),
+        (3, "This project is released under the MIT License; see the LICENSE file."),
+        (4, "Sources are\nreleased under the\nMIT License, the data is licensed under\nCC BY 4.0 since 2020."),
+        (5, textwrap.fill(mit.replace("restriction,", "restriction of any sort,"), 40)),
+        (6, "the license of the software\nis under the terms of this\n" * 30),
+        (7, "of the " * 5000),
+        (8, "Released under the MIT License.\n" + "\n".join(["more text here"] * 20) + "\n" + textwrap.fill(mit, 60) + "\n" + code),
+    ]
+    got = {r["doc_id"]: [(m["line"], m["license"]) for m in r["matches"]] for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == [(4, "MIT-permission")]
+    assert got[2] == [(1, "Apache-2.0"), (1, "Apache-2.0-notice")]  # the first line alone is like the short notice
+    assert got[3] == [(0, "MIT")]
+    assert sorted(got[4]) == [(1, "MIT"), (2, "CC-BY-4.0")]
+    assert got[5] == [(-1, "MIT-permission")]
+    assert got[6] == got[7] == []
+    assert got[8] == [(0, "MIT"), (21, "MIT-permission")]
