@@ -10,15 +10,19 @@ from martforge.llm import (
     ann_tree,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     packing,
+    phrases,
     quality_gbt,
     quality_rules,
     simhash,
     suffix_dedup,
     toxicity,
+    url_filter,
 )
 from martforge.llm.common import crc_mod, read_table
+from martforge.llm.oracles import PHRASES_SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -71,11 +75,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents")).drop("lang")
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"), top=2000, least=30)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages, url_filter.RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_quality, op3_packing, op4_mixing, op5_licenses,
         op6_suffix_dedup, op7_quality_rules, op8_simhash, op9_ann, op10_line_dedup,
+        op11_merkle, op12_phrases, op13_url_filter,
     )
 }
 
@@ -148,4 +166,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
-ORACLE_SQL = {"op5_licenses": licenses_sql(), "op7_quality_rules": QUALITY_RULES_SQL}
+ORACLE_SQL = {"op5_licenses": licenses_sql(), "op7_quality_rules": QUALITY_RULES_SQL, "op12_phrases": PHRASES_SQL}
