@@ -22,7 +22,7 @@ from martforge.llm import (
     url_filter,
 )
 from martforge.llm.common import crc_mod, read_table
-from martforge.llm.oracles import PHRASES_SQL
+from martforge.llm.oracles import PHRASES_SQL, manifest_sql
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -166,4 +166,4 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
-ORACLE_SQL = {"op5_licenses": licenses_sql(), "op7_quality_rules": QUALITY_RULES_SQL, "op12_phrases": PHRASES_SQL}
+ORACLE_SQL = {"op5_licenses": licenses_sql(), "op7_quality_rules": QUALITY_RULES_SQL, "op11_merkle": manifest_sql(), "op12_phrases": PHRASES_SQL}
