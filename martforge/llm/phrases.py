@@ -43,9 +43,13 @@ from martforge.llm.common import cut
 
 #: Bytes that end a piece become ".", a tab becomes a blank, A-Z become lower case.
 TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Text bytes counted at once, and distinct entries that a task holds before it sends them.
-CHUNK = 4 << 20
-HELD = 1 << 20
+#: Text bytes counted at once.
+CHUNK = 2 << 20
+#: Distinct words, and distinct codes, that a task holds before it sends its counts.
+WORDS_HELD = 300_000
+CODES_HELD = 1_500_000
+#: Rows of one batch that is sent.
+SENT = 100_000
 #: Bits of the bitmap of frequent words.
 BITS = 1 << 23
 LONGEST = 4
@@ -86,7 +90,7 @@ class Tally:
         if len(codes):
             self.waiting.append(np.unique(codes, return_counts=True))
             self.size += len(self.waiting[-1][0])
-            if self.size > HELD // 2:
+            if self.size > CODES_HELD // 2:
                 self.merge()
 
     def merge(self) -> None:
@@ -102,17 +106,22 @@ class Tally:
 
 
 class Words:
-    """Numbers of words, from 1; ``known`` (a bitmap) maps words that it does not hold to END."""
+    """Numbers of words, from 1; words that ``known`` (a bitmap of hashes) does not hold are END."""
 
-    def __init__(self, known: np.ndarray | None = None):
-        self.known, self.number, self.words = known, {b".": END}, [b"."]
+    def __init__(self, lang: str, known: np.ndarray | None = None):
+        self.lang, self.known, self.number, self.words, self.rare = lang.encode(), known, {b".": END}, [b"."], set()
 
     def of(self, word: bytes) -> int:
         n = self.number.get(word)
         if n is None:
             if self.known is not None:
-                h = xxhash.xxh64_intdigest(word, 42) % BITS
+                if word in self.rare:
+                    return END
+                h = xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(self.lang, 42)) % BITS
                 if not self.known[h >> 3] >> (h & 7) & 1:
+                    if len(self.rare) > WORDS_HELD:
+                        self.rare.clear()
+                    self.rare.add(word)
                     return END
             n = self.number[word] = len(self.words)
             self.words.append(word)
@@ -120,8 +129,9 @@ class Words:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         coded = pa.array(words, pa.binary()).dictionary_encode()
-        table = np.array([self.of(w) for w in coded.dictionary.to_pylist()], dtype=np.int64)
-        return table[coded.indices.to_numpy()] if len(table) else np.zeros(0, np.int64)
+        distinct, get, rare = coded.dictionary.to_pylist(), self.number.get, self.rare
+        table = [n if (n := get(w)) is not None else END if w in rare else self.of(w) for w in distinct]
+        return np.array(table, dtype=np.int64)[coded.indices.to_numpy()] if table else np.zeros(0, np.int64)
 
 
 class Trie:
@@ -146,15 +156,28 @@ class Trie:
             codes = np.array([a << 32 | b for a, b in step], dtype=np.int64)
             order = np.argsort(codes)
             self.steps.append((codes[order], np.array(list(step.values()), dtype=np.int64)[order]))
+        # a word's node at the start of a phrase, and whether it stands second in one
+        self.first, self.second = (np.zeros(len(words.words), dtype=k) for k in (np.int64, bool))
+        for (_, word), node in steps[0].items():
+            self.first[word] = node
+        for _, word in steps[1]:
+            self.second[word] = True
         self.which = np.full(nodes + 1, -1, dtype=np.int64)
         self.expand = np.zeros(nodes + 1, dtype=bool)
         for node, (i, expand) in whole.items():
             self.which[node], self.expand[node] = i, expand
+        self.singles = any(b" " not in p for p in self.phrases)
 
     def found(self, ids: np.ndarray):
         """(length, start, phrase, expand) arrays of all places where a phrase stands."""
-        at, node = np.arange(len(ids)), np.zeros(len(ids), dtype=np.int64)
-        for k, (codes, nodes) in enumerate(self.steps):
+        low = np.where(ids < len(self.first), ids, END)  # later words are in no phrase
+        node, follows = self.first[low], self.second[low]
+        if self.singles:
+            at = np.flatnonzero(self.which[node] >= 0)
+            yield 1, at, self.which[node[at]], self.expand[node[at]]
+        at = np.flatnonzero((node[:-1] > 0) & follows[1:])
+        node = node[at]
+        for k, (codes, nodes) in enumerate(self.steps[1:], 1):
             inside = at + k < len(ids)
             at, node = at[inside], node[inside]
             if not len(at) or not len(codes):
@@ -167,10 +190,12 @@ class Trie:
             yield k + 1, at[here], self.which[node[here]], self.expand[node[here]]
 
 
-def _rows(lang: str, kind: int, phrases, counts) -> pa.RecordBatch:
-    n = len(counts)
-    columns = [pa.array([lang] * n, pa.string()), pa.array([kind] * n, pa.int32()), phrases, pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "kind", "phrase", "f"])
+def _rows(lang: str, kind: int, counts: np.ndarray, phrases):
+    """Batches of COUNTED; ``phrases(a, b)`` are those of the counts a .. b."""
+    for a in range(0, len(counts), SENT):
+        part = counts[a : a + SENT]
+        columns = [pa.repeat(pa.scalar(lang), len(part)), pa.repeat(pa.scalar(kind, pa.int32()), len(part)), phrases(a, a + len(part)), pa.array(part, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "kind", "phrase", "f"])
 
 
 def _joined(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -181,7 +206,7 @@ class Singles:
     """Counts of words (kind 1) and of all of them together (kind 0)."""
 
     def __init__(self, lang: str):
-        self.lang, self.words, self.total, self.counts = lang, Words(), 0, np.zeros(0, np.int64)
+        self.lang, self.words, self.total, self.counts = lang, Words(lang), 0, np.zeros(0, np.int64)
 
     def add(self, tokens: list[bytes]) -> None:
         ids = self.words.numbers(tokens)
@@ -190,19 +215,20 @@ class Singles:
         self.counts = more
         self.total += int((ids != END).sum())
 
-    def size(self) -> int:
-        return len(self.words.words)
+    def codes(self) -> int:
+        return 0
 
     def rows(self):
-        yield _rows(self.lang, 0, pa.array([None], pa.binary()), [self.total])
-        yield _rows(self.lang, 1, pa.array(self.words.words[1:], pa.binary()), self.counts[1:])
+        yield from _rows(self.lang, 0, np.array([self.total]), lambda a, b: pa.array([None], pa.binary()))
+        words = pa.array(self.words.words[1:], pa.binary())
+        yield from _rows(self.lang, 1, self.counts[1:], lambda a, b: words[a:b])
 
 
 class Pairs:
     """Counts of pairs of frequent words (kind 2)."""
 
     def __init__(self, lang: str, known: np.ndarray):
-        self.lang, self.words, self.tally, self.last = lang, Words(known), Tally(), np.zeros(0, np.int64)
+        self.lang, self.words, self.tally, self.last = lang, Words(lang, known), Tally(), np.zeros(0, np.int64)
 
     def add(self, tokens: list[bytes]) -> None:
         ids = np.concatenate((self.last, self.words.numbers(tokens)))
@@ -211,13 +237,14 @@ class Pairs:
         self.tally.add(a[inside] << 32 | b[inside])
         self.last = ids[-1:]
 
-    def size(self) -> int:
-        return len(self.tally.codes) + self.tally.size + len(self.words.words)
+    def codes(self) -> int:
+        return len(self.tally.codes) + self.tally.size
 
     def rows(self):
         self.tally.merge()
         words, codes = pa.array(self.words.words, pa.binary()), self.tally.codes
-        yield _rows(self.lang, 2, _joined(words.take(pa.array(codes >> 32)), words.take(pa.array(codes & 0xFFFFFFFF))), self.tally.counts)
+        phrases = lambda a, b: _joined(words.take(pa.array(codes[a:b] >> 32)), words.take(pa.array(codes[a:b] & 0xFFFFFFFF)))
+        yield from _rows(self.lang, 2, self.tally.counts, phrases)
 
 
 class Extensions:
@@ -225,7 +252,7 @@ class Extensions:
 
     def __init__(self, lang: str, known: np.ndarray, phrases: list):
         self.lang, self.known, self.asked, self.last = lang, known, phrases, np.zeros(0, np.int64)
-        self.words = Words(known)
+        self.words = Words(lang, known)
         self.trie = Trie(self.words, phrases)
         self.right, self.left, self.exact = Tally(), Tally(), np.zeros(len(phrases), np.int64)
 
@@ -245,19 +272,23 @@ class Extensions:
             self.right.add((phrase[ok] << 32 | after)[after != END])
         self.last = ids[-(LONGEST - 1) :]
 
-    def size(self) -> int:
-        return len(self.right.codes) + self.right.size + len(self.left.codes) + self.left.size + len(self.words.words)
+    def codes(self) -> int:
+        return len(self.right.codes) + self.right.size + len(self.left.codes) + self.left.size
 
     def rows(self):
         if not self.asked:
             return
         words, phrases = pa.array(self.words.words, pa.binary()), pa.array(self.trie.phrases, pa.binary())
-        only = np.array([not e for _, e in self.asked])
-        yield _rows(self.lang, 3, phrases.filter(pa.array(only)), self.exact[only])
+        only = np.flatnonzero([not e for _, e in self.asked])
+        yield from _rows(self.lang, 3, self.exact[only], lambda a, b: phrases.take(pa.array(only[a:b])))
         for kind, tally in ((4, self.right), (5, self.left)):
             tally.merge()
-            base, word = phrases.take(pa.array(tally.codes >> 32)), words.take(pa.array(tally.codes & 0xFFFFFFFF))
-            yield _rows(self.lang, kind, _joined(base, word) if kind == 4 else _joined(word, base), tally.counts)
+
+            def extended(a, b, codes=tally.codes, kind=kind):
+                base, word = phrases.take(pa.array(codes[a:b] >> 32)), words.take(pa.array(codes[a:b] & 0xFFFFFFFF))
+                return _joined(base, word) if kind == 4 else _joined(word, base)
+
+            yield from _rows(self.lang, kind, tally.counts, extended)
 
 
 def counted(docs: DataFrame, start, least: int) -> DataFrame:
@@ -274,14 +305,15 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
                     if counter is None:
                         counter = counters[lang] = start(lang)
                     counter.add(tokens)
-                    if counter.size() > HELD:
+                    if counter.codes() > CODES_HELD or len(counter.words.words) > WORDS_HELD + len(getattr(counter, "asked", ())) * LONGEST:
                         # a chunk may end inside a text: the last words stay
                         yield from counter.rows()
                         fresh, last = start(lang), getattr(counter, "last", None)
                         if last is not None:
                             fresh.last = np.array([fresh.words.of(counter.words.words[k]) for k in last], dtype=np.int64)
                         counters[lang] = fresh
-            if sum(c.size() for c in counters.values()) > HELD:  # many languages with a little each
+            # many languages with a little each
+            if sum(c.codes() for c in counters.values()) > CODES_HELD or sum(len(c.words.number) + len(c.words.rare) for c in counters.values()) > 3 * WORDS_HELD:
                 for counter in counters.values():
                     yield from counter.rows()
                 counters = {}
@@ -294,10 +326,10 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
 
 
 def bitmap(words: DataFrame) -> np.ndarray:
-    """Bits of the hashes of ``phrase``, BITS in all whatever the number of words."""
-    h = F.pmod(F.xxhash64("phrase"), F.lit(BITS))
+    """Bits of the hashes of (lang, phrase), BITS in all whatever the number of words."""
+    h = F.xxhash64("lang", "phrase").bitwiseAND(BITS - 1)  # as an unsigned number modulo BITS
     # a bucket holds 4096 bytes, so there are BITS / 32768 rows at most
-    rows = words.select(F.floor(h / 32768).cast("long").alias("b"), (h % 32768).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    rows = words.select(F.shiftright(h, 15).alias("b"), h.bitwiseAND(32767).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
     out = np.zeros(BITS // 8, dtype=np.uint8)
     for r in rows:
         out[r["b"] * 4096 : r["b"] * 4096 + 4096] = np.frombuffer(bytes(r["m"]), dtype=np.uint8)
