@@ -26,7 +26,7 @@ All metrics are keyed on the set of active zone-days, as in the join form.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ["timezone_type", "bdate"]
@@ -118,25 +118,46 @@ def cumulative_users(activity: DataFrame, materialize_input: bool = True) -> Dat
     )
 
 
-def user_summary(activity: DataFrame, materialize_input: bool = True) -> DataFrame:
+def _credits() -> Column:
+    """What one active (zone, owner, day) adds to which days, given the owner's previous active day ``prev``.
+
+    An owner's day counts for itself (DAU), for the days ``day-6 .. day`` that ``prev`` has not
+    credited yet (WAU), for its month if ``prev`` is of another one (MAU, credited to the month's first day) and
+    for the first day of all (NRU). A NULL owner only makes its day active.
+    """
+    known, here = F.col("owner").isNotNull(), F.col("bdate")
+    earliest = F.date_sub("bdate", WAU_DAYS - 1)
+    first_new = F.greatest(earliest, F.coalesce(F.date_add("prev", 1), earliest))
+    as_int = lambda c: c.cast("long")
+
+    def credit(day: Column) -> Column:
+        own = day == here
+        return F.struct(
+            day.alias("bdate"), own.alias("active"), as_int(known & own).alias("dau"), as_int(known).alias("wau"),
+            F.lit(0).cast("long").alias("mau"), as_int(known & own & F.col("prev").isNull()).alias("nru"),
+        )
+
+    zero = F.lit(0).cast("long")
+    month = F.struct(
+        F.trunc("bdate", "month").alias("bdate"), F.lit(False).alias("active"), zero.alias("dau"), zero.alias("wau"), F.lit(1).cast("long").alias("mau"), zero.alias("nru")
+    )
+    days = F.transform(F.when(known, F.sequence(first_new, here)).otherwise(F.array(here)), credit)
+    new_month = known & (F.col("prev").isNull() | (F.trunc("prev", "month") != F.trunc("bdate", "month")))
+    return F.when(new_month, F.concat(days, F.array(month))).otherwise(days)
+
+
+def user_summary(activity: DataFrame) -> DataFrame:
     """J9 + P13: the five metrics on the active-day spine, NULL -> 0, sorted.
 
-    The distinct activity feeds five branches; it is checkpointed once
-    (``materialize_input``) instead of being recomputed per branch.
+    One pass over each owner's days credits all metrics and one groupBy counts them, so the
+    activity is read and shuffled once and nothing is joined; what follows has a row per zone-day.
     """
-    activity = _shared(activity, materialize_input)
-    spine = active_days(activity)
-    out = spine
-    for part in (
-        daily_active(activity),
-        weekly_active(activity, False),
-        monthly_active(activity, False),
-        cumulative_users(activity, False),
-        new_users(activity),
-    ):
-        out = out.join(part, KEYS, "left")
-    metrics = ["dau", "wau", "mau", "ru", "nru"]
-    return (
-        out.select(*KEYS, *[F.coalesce(F.col(m).cast("bigint"), F.lit(0).cast("bigint")).alias(m) for m in metrics])
-        .orderBy(*KEYS)
+    per_owner = Window.partitionBy("timezone_type", "owner").orderBy("bdate")
+    seen = activity.select(*KEYS, "owner", F.lag("bdate").over(per_owner).alias("prev"))
+    counts = seen.select("timezone_type", F.inline(_credits())).groupBy(*KEYS).agg(
+        F.max("active").alias("active"), *[F.sum(m).alias(m) for m in ("dau", "wau", "mau", "nru")]
     )
+    month = Window.partitionBy("timezone_type", F.trunc("bdate", "month"))
+    running = Window.partitionBy("timezone_type").orderBy("bdate").rowsBetween(Window.unboundedPreceding, 0)
+    days = counts.withColumn("mau", F.sum("mau").over(month)).filter("active")
+    return days.select(*KEYS, "dau", "wau", "mau", F.sum("nru").over(running).alias("ru"), "nru").orderBy(*KEYS)

@@ -527,6 +527,8 @@ SELECT 'match_histories', strftime(max({from_epoch('time_utc')}), '%Y-%m-%d %H:%
     # batches end in the same tables as one direct run
     s["order_details_batched"] = s["order_details"]
     s["order_daily_batched"] = s["order_daily"]
+    s["order_daily_delta"] = s["order_daily"]
+    s["activity_bitmaps"] = s["user_summary"]
     s["user_summary_batched"] = s["user_summary"]
     s["chain_stats_batched"] = s["closest_to_midnight"]
 

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, safe_cast, scale_units, usd_value, usd_value_double
-from martforge.operators import activity
+from martforge.operators import activity, bitmaps
 from martforge.operators.timeslice import fan_out_zones
 from martforge.plans import bindings as B
-from martforge.plans import landing, marts
+from martforge.plans import landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
 from martforge.quality import checks
 from martforge.session import shared_dir
@@ -384,6 +384,27 @@ def q_user_summary_batched(spark, sf_dir):
     return _order_batches(spark, sf_dir, "user_summary_d")
 
 
+def _order_deltas(spark, sf_dir, with_bitmaps=False):
+    """The same three batches as signed deltas, by monthly partitions (seven years of sparse test orders)."""
+    root, out = shared_dir(spark, "order_deltas"), {}
+    for start, end in zip(ORDER_CUTS, ORDER_CUTS[1:]):
+        stamp = _dt.datetime.combine(end, _dt.time(1))
+        out = order_deltas.run_order_delta(spark, dex_sources(spark, sf_dir), start, end, root, stamp, order_deltas.MONTHS, with_bitmaps)
+    return out
+
+
+def q_order_daily_delta(spark, sf_dir):
+    """D3 by signed deltas: a batch reads and rewrites only what its orders moved."""
+    totals = spark.read.parquet(_order_deltas(spark, sf_dir)["order_totals"])
+    return order_deltas.order_daily_of_totals(totals, B.pairs(spark, sf_dir), B.tokens(spark, sf_dir), ALL_END)
+
+
+def q_activity_bitmaps(spark, sf_dir):
+    """D7 from bitmaps of owner numbers that three batches kept up to date."""
+    maps = spark.read.parquet(_order_deltas(spark, sf_dir, True)["activity_bitmaps"])
+    return bitmaps.metrics(maps.filter(F.col("bdate") < F.lit(ALL_END)))
+
+
 def q_chain_stats_batched(spark, sf_dir):
     """D10 in one batch per day over all events."""
     root, day, out = shared_dir(spark, "stats"), EV_START, {}
@@ -653,6 +674,8 @@ QUERIES: dict[str, Query] = {
     "token_scaling": q_token_scaling,
     "order_details_batched": q_order_details_batched,
     "order_daily_batched": q_order_daily_batched,
+    "order_daily_delta": q_order_daily_delta,
+    "activity_bitmaps": q_activity_bitmaps,
     "user_summary_batched": q_user_summary_batched,
     "chain_stats_batched": q_chain_stats_batched,
     "landing_token": q_landing_token,
