@@ -68,6 +68,46 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
+#: Sorts before every id; stands for a null one in keys.
+NO_ID = -(1 << 63)
+#: A document's key: its id, and the two halves of a hash of its text where the id may not name it alone.
+KEY = ["id", "t1", "t2"]
+#: Bits of the bitmap of ids that occur more than once.
+SHARED_BITS = 1 << 23
+
+
+def shared_ids(docs: DataFrame) -> bytes:
+    """A bitmap of fixed size over hashes of the ids that more than one row has."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id")).filter("id IS NOT NULL").groupBy("id").count().filter("count > 1")
+    h = F.xxhash64("id").bitwiseAND(SHARED_BITS - 1)
+    # SHARED_BITS / 32768 rows of 4096 bytes at most
+    rows = ids.select(F.shiftright(h, 15).alias("b"), h.bitwiseAND(32767).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    out = bytearray(SHARED_BITS // 8)
+    for r in rows:
+        out[r["b"] * 4096 : (r["b"] + 1) * 4096] = bytes(r["m"])
+    return bytes(out)
+
+
+def keyed(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """KEY, doc_id, text (null: empty) and ``rest``, the carried columns (none: null).
+
+    Keys sort like the ids, null first. Rows have one key if they have one id and one text. Where an id may belong
+    to several rows (it is null, or its hash is in the bitmap of shared ids) the key also holds the
+    128 bits of the text's MD5; else these are 0, which costs little to shuffle.
+    """
+    bitmap, h = F.lit(shared_ids(docs)), F.xxhash64(F.col("doc_id").cast("long")).bitwiseAND(SHARED_BITS - 1)
+    byte = F.conv(F.hex(F.substring(bitmap, (F.shiftright(h, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    in_bitmap = F.getbit(byte, h.bitwiseAND(7).cast("int")) == 1
+    text = F.coalesce(F.col("text"), F.lit(""))
+    digest = F.when(F.col("doc_id").isNull() | in_bitmap, F.md5(text.cast("binary")))
+    half = lambda at: F.coalesce(F.conv(F.substring(digest, at, 16), 16, -10).cast("long"), F.lit(0).cast("long"))
+    rest = F.struct(*carried) if carried else F.lit(None).cast("boolean")
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), half(1).alias("t1"), half(17).alias("t2"),
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), rest.alias("rest"),
+    )
+
+
 def blocks(lengths, limit: int):
     """Cut positions so that consecutive items of a batch sum to about ``limit``.
 

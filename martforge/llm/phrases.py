@@ -59,7 +59,7 @@ COUNTED = "lang string, kind int, phrase binary, f long"
 
 
 def _chunks(texts, size: int = CHUNK):
-    """Word lists of about ``size`` bytes; b"." stands between pieces and texts."""
+    """Text of about ``size`` bytes at once, as words between blanks; "." stands between pieces and texts."""
     held, n = [], 0
     for raw in texts:
         data = raw.translate(TABLE)
@@ -69,15 +69,35 @@ def _chunks(texts, size: int = CHUNK):
             if stop < 0:
                 break
             held.append(data[at:stop])
-            yield b"".join(held).replace(b".", b" . ").split()
+            yield b"".join(held).replace(b".", b" . ").strip()
             held, n, at = [], 0, stop
         held.append(data[at:] + b".")
         n += len(data) - at
         if n > size:
-            yield b"".join(held).replace(b".", b" . ").split()
+            yield b"".join(held).replace(b".", b" . ").strip()
             held, n = [], 0
     if held:
-        yield b"".join(held).replace(b".", b" . ").split()
+        yield b"".join(held).replace(b".", b" . ").strip()
+
+
+def hashes(words: pa.Array, seed: int) -> np.ndarray:
+    """A 64-bit hash of each word, byte by byte over all words at once."""
+    n = len(words)
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64, count=n + 1, offset=8 * words.offset) if n else np.zeros(1, np.int64)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8) if n and words.buffers()[2] is not None else np.zeros(0, np.uint8)
+    start, size = offsets[:-1], np.diff(offsets)
+    h = np.full(n, (seed ^ 0xCBF29CE484222325) & 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    order = np.argsort(-size, kind="stable")  # the words still longer than i come first
+    longer = np.searchsorted(-size[order], -np.arange(size.max(initial=0)), side="left")
+    for i, m in enumerate(longer.tolist()):
+        live = order[:m]
+        h[live] = (h[live] ^ data[start[live] + i]) * np.uint64(0x100000001B3)
+    h ^= h >> np.uint64(32)
+    return (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+
+
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), 42)
 
 
 class Tally:
@@ -109,29 +129,29 @@ class Words:
     """Numbers of words, from 1; words that ``known`` (a bitmap of hashes) does not hold are END."""
 
     def __init__(self, lang: str, known: np.ndarray | None = None):
-        self.lang, self.known, self.number, self.words, self.rare = lang.encode(), known, {b".": END}, [b"."], set()
+        self.seed, self.known, self.number, self.words = lang_seed(lang), known, {b".": END}, [b"."]
 
     def of(self, word: bytes) -> int:
         n = self.number.get(word)
         if n is None:
-            if self.known is not None:
-                if word in self.rare:
-                    return END
-                h = xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(self.lang, 42)) % BITS
-                if not self.known[h >> 3] >> (h & 7) & 1:
-                    if len(self.rare) > WORDS_HELD:
-                        self.rare.clear()
-                    self.rare.add(word)
-                    return END
             n = self.number[word] = len(self.words)
             self.words.append(word)
         return n
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        coded = pa.array(words, pa.binary()).dictionary_encode()
-        distinct, get, rare = coded.dictionary.to_pylist(), self.number.get, self.rare
-        table = [n if (n := get(w)) is not None else END if w in rare else self.of(w) for w in distinct]
-        return np.array(table, dtype=np.int64)[coded.indices.to_numpy()] if table else np.zeros(0, np.int64)
+    def numbers(self, text: bytes) -> np.ndarray:
+        """Numbers of the words of a chunk, in order."""
+        if not text:
+            return np.zeros(0, np.int64)
+        words = pc.ascii_split_whitespace(pa.array([text], pa.large_binary()).view(pa.large_string())).flatten()
+        coded = words.dictionary_encode()
+        distinct, table = coded.dictionary.view(pa.large_binary()), np.zeros(len(coded.dictionary), dtype=np.int64)
+        kept = np.arange(len(table))
+        if self.known is not None:
+            bit = hashes(distinct, self.seed) & np.uint64(BITS - 1)
+            kept = np.flatnonzero(self.known[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+        get, new = self.number.get, self.of
+        table[kept] = [n if (n := get(w)) is not None else new(w) for w in distinct.take(pa.array(kept)).to_pylist()]
+        return table[coded.indices.to_numpy()]
 
 
 class Trie:
@@ -208,8 +228,8 @@ class Singles:
     def __init__(self, lang: str):
         self.lang, self.words, self.total, self.counts = lang, Words(lang), 0, np.zeros(0, np.int64)
 
-    def add(self, tokens: list[bytes]) -> None:
-        ids = self.words.numbers(tokens)
+    def add(self, text: bytes) -> None:
+        ids = self.words.numbers(text)
         more = np.bincount(ids, minlength=len(self.words.words))
         more[: len(self.counts)] += self.counts
         self.counts = more
@@ -230,8 +250,8 @@ class Pairs:
     def __init__(self, lang: str, known: np.ndarray):
         self.lang, self.words, self.tally, self.last = lang, Words(lang, known), Tally(), np.zeros(0, np.int64)
 
-    def add(self, tokens: list[bytes]) -> None:
-        ids = np.concatenate((self.last, self.words.numbers(tokens)))
+    def add(self, text: bytes) -> None:
+        ids = np.concatenate((self.last, self.words.numbers(text)))
         a, b = ids[:-1], ids[1:]
         inside = (a != END) & (b != END)
         self.tally.add(a[inside] << 32 | b[inside])
@@ -256,11 +276,11 @@ class Extensions:
         self.trie = Trie(self.words, phrases)
         self.right, self.left, self.exact = Tally(), Tally(), np.zeros(len(phrases), np.int64)
 
-    def add(self, tokens: list[bytes]) -> None:
+    def add(self, text: bytes) -> None:
         if not self.asked:
             return
         old = len(self.last)  # what ends before this place was counted with the last chunk
-        ids = np.concatenate((self.last, self.words.numbers(tokens)))
+        ids = np.concatenate((self.last, self.words.numbers(text)))
         for k, start, phrase, expand in self.trie.found(ids):
             new = start + k - 1 >= old
             self.exact += np.bincount(phrase[new], minlength=len(self.asked))
@@ -300,11 +320,11 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
             langs = batch.column(0).dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
                 texts = (t.as_py() for t in batch.column(1).filter(pc.equal(langs.indices, i)))
-                for tokens in _chunks(texts):
+                for chunk in _chunks(texts):
                     counter = counters.get(lang)
                     if counter is None:
                         counter = counters[lang] = start(lang)
-                    counter.add(tokens)
+                    counter.add(chunk)
                     if counter.codes() > CODES_HELD or len(counter.words.words) > WORDS_HELD + len(getattr(counter, "asked", ())) * LONGEST:
                         # a chunk may end inside a text: the last words stay
                         yield from counter.rows()
@@ -313,7 +333,7 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
                             fresh.last = np.array([fresh.words.of(counter.words.words[k]) for k in last], dtype=np.int64)
                         counters[lang] = fresh
             # many languages with a little each
-            if sum(c.codes() for c in counters.values()) > CODES_HELD or sum(len(c.words.number) + len(c.words.rare) for c in counters.values()) > 3 * WORDS_HELD:
+            if sum(c.codes() for c in counters.values()) > CODES_HELD or sum(len(c.words.words) for c in counters.values()) > 3 * WORDS_HELD:
                 for counter in counters.values():
                     yield from counter.rows()
                 counters = {}
@@ -326,10 +346,20 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
 
 
 def bitmap(words: DataFrame) -> np.ndarray:
-    """Bits of the hashes of (lang, phrase), BITS in all whatever the number of words."""
-    h = F.xxhash64("lang", "phrase").bitwiseAND(BITS - 1)  # as an unsigned number modulo BITS
+    """Bits of the hashes of the words (lang, phrase), BITS in all whatever their number."""
+
+    def batches(it):
+        for batch in it:
+            langs, own = batch.column(0).dictionary_encode(), batch.column(1).cast(pa.large_binary())
+            bits = np.zeros(len(own), dtype=np.int64)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = np.flatnonzero(langs.indices.to_numpy() == i)
+                bits[mine] = (hashes(own.take(pa.array(mine)), lang_seed(lang)) & np.uint64(BITS - 1)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bits >> 15), pa.array(bits & 32767)], ["b", "p"])
+
+    hashed = words.select("lang", F.col("phrase").cast("binary").alias("phrase")).mapInArrow(batches, "b long, p long")
     # a bucket holds 4096 bytes, so there are BITS / 32768 rows at most
-    rows = words.select(F.shiftright(h, 15).alias("b"), h.bitwiseAND(32767).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    rows = hashed.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
     out = np.zeros(BITS // 8, dtype=np.uint8)
     for r in rows:
         out[r["b"] * 4096 : r["b"] * 4096 + 4096] = np.frombuffer(bytes(r["m"]), dtype=np.uint8)
