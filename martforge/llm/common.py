@@ -73,7 +73,7 @@ NO_ID = -(1 << 63)
 #: A document's key: its id, and the two halves of a hash of its text where the id may not name it alone.
 KEY = ["id", "t1", "t2"]
 #: Bits of the bitmap of ids that occur more than once.
-SHARED_BITS = 1 << 23
+SHARED_BITS = 1 << 17
 
 
 def shared_ids(docs: DataFrame) -> bytes:

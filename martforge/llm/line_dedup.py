@@ -21,24 +21,22 @@ and that shuffle is read by each step that needs them.
 Defined results: null texts are empty ones; blank lines always stay and are not compared;
 a null id sorts first and stays null; rows of equal id and text count as one
 document and come out repeated; texts that share an id count as documents ordered by a
-hash of the text; an empty table gives an empty result.
+128-bit hash of the text, and so do texts without an id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.llm.common import cut, sliced, width
+from martforge.llm.common import KEY, cut, keyed, sliced, width
 
-NO_ID = -(1 << 63)
-#: A position is packed as 16 bits of the text's hash and 47 bits of line number.
-LINE_BITS = 47
+#: A line: its document's key and its number there.
+LINE = [*KEY, "p"]
+LINE_KIND = "id long, t1 long, t2 long, p long"
 
 
 def words_of(line: str) -> list[str]:
@@ -51,8 +49,9 @@ def _hash(data: str, seed: int = 0) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _mark(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) & 0xFFFF
+def _columns(rows: list[tuple], kinds) -> list[pa.Array]:
+    """Arrow columns of rows; none without rows."""
+    return [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((),) * len(kinds), kinds)]
 
 
 def half_keys(words: list[str]) -> list[int]:
@@ -95,30 +94,21 @@ def within_one_edit(a: list[str], b: list[str]) -> bool:
     return max(len(a), len(b)) - front - back <= 1
 
 
-def _base(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """id (never null), text and ``rest``, the carried columns (none: null)."""
-    rest = F.struct(*carried) if carried else F.lit(None).cast("boolean")
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), rest.alias("rest")
-    )
-
-
 def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
-    """(a, b: hash of the words, id, p, keys: half keys). ``b = 0``: repeats an earlier line of its batch."""
+    """(a, b: hash of the words, line, keys: half keys). ``b = 0``: repeats an earlier line of its batch."""
+    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
 
     def batches(it):
         for batch in it:
-            first: dict[bytes, tuple] = {}  # hash of the words: position, half keys
+            first: dict[bytes, tuple] = {}  # hash of the words: line, half keys
             out = []
-            for own, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = value.as_py()
-                mark = _mark(text) << LINE_BITS
-                for n, line in enumerate(text.split("\n")):
+            for *own, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                for n, line in enumerate(value.as_py().split("\n")):
                     words = words_of(line)
                     if not words:
                         continue
                     key = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-                    at = (own, mark | n)
+                    at = (*own, n)
                     before = first.get(key)
                     if before is None:
                         first[key] = (at, half_keys(words) if len(words) >= min_words else None)
@@ -127,97 +117,77 @@ def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
                         first[key] = (at, before[1])
                     elif at > before[0]:
                         out.append(at)
-            a, b, ids, ps, keys = [], [], [], [], []
+            rows = []
             for key, (at, half) in first.items():
                 x, y = np.frombuffer(key, dtype="<i8").tolist()
-                a.append(x)
-                b.append(y | 1)
-                ids.append(at[0])
-                ps.append(at[1])
-                keys.append(half)
-            for own, p in out:
-                a.append(hash((own, p)))
-                b.append(0)
-                ids.append(own)
-                ps.append(p)
-                keys.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ids, pa.int64()), pa.array(ps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["a", "b", "id", "p", "keys"],
-            )
-
-    return _base(docs).select("id", "text").mapInArrow(batches, "a long, b long, id long, p long, keys array<long>")
+                rows.append((x, y | 1, *at, half))
+            rows.extend((hash(at), 0, *at, None) for at in out)
+            yield pa.RecordBatch.from_arrays(_columns(rows, kinds), ["a", "b", *LINE, "keys"])
+
+    return docs.select(*KEY, "text").mapInArrow(batches, f"a long, b long, {LINE_KIND}, keys array<long>")
 
 
 def candidates(firsts: DataFrame) -> DataFrame:
-    """(id, p) of the first lines that share a half key with another one."""
-    keyed = firsts.filter("keys IS NOT NULL").select("a", "id", "p", F.explode("keys").alias("k"))
-    shared = keyed.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x != y").select("k")
-    return keyed.join(shared, "k").select("id", "p").distinct()
+    """The first lines that share a half key with another one."""
+    halves = firsts.filter("keys IS NOT NULL").select("a", *LINE, F.explode("keys").alias("k"))
+    shared = halves.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x != y").select("k")
+    return halves.join(shared, "k").select(*LINE).distinct()
 
 
-def line_words(by_id: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, p, words joined) of the wanted lines, from documents dealt by id."""
-    asked = wanted.groupBy("id").agg(F.collect_list("p").alias("ps"))
+def line_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted lines with their words joined."""
+    asked = wanted.groupBy(*KEY).agg(F.collect_list("p").alias("ps"))  # of one text at most
+    kinds = [pa.int64()] * 4 + [pa.string()]
 
     def batches(it):
         for batch in sliced(it, 1000):
-            ids, ps, lines = [], [], []
-            for own, value, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                text = value.as_py()
-                mark, split = _mark(text), text.split("\n")
-                for p in places:
-                    if p >> LINE_BITS == mark:
-                        ids.append(own)
-                        ps.append(p)
-                        lines.append(" ".join(words_of(split[p & ((1 << LINE_BITS) - 1)])))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ps, pa.int64()), pa.array(lines, pa.string())], ["id", "p", "line"])
-
-    # all columns go along, so that every reader of by_id reads one and the same shuffle;
+            rows = []
+            for *own, value, places in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), batch.column(4).to_pylist()):
+                split = value.as_py().split("\n")
+                rows.extend((*own, p, " ".join(words_of(split[p]))) for p in places)
+            yield pa.RecordBatch.from_arrays(_columns(rows, kinds), [*LINE, "line"])
+
+    # all columns go along, so that every reader of the documents reads one and the same shuffle;
     # dealt by line, so that the readers of the lines share one shuffle too
-    found = by_id.join(asked, "id").select("id", "text", "ps", "rest").mapInArrow(batches, "id long, p long, line string")
-    return found.repartition(width(by_id), "id", "p")
+    found = docs.join(asked, KEY).select(*KEY, "text", "ps", "doc_id", "rest").mapInArrow(batches, f"{LINE_KIND}, line string")
+    return found.repartition(width(docs), *LINE)
 
 
 def neighbourhoods(lines: DataFrame) -> DataFrame:
-    """(v: variant key, place, id, p) of every line.
+    """(v: variant key, place, line) of every line.
 
     Place -2 marks a line already known to be one edit from an earlier line of its
     batch; of the lines of a batch with one variant, only the earliest is compared further.
     """
+    kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 4
 
     def batches(it):
         for batch in sliced(it, 4000):
             first: dict[tuple[int, int], tuple] = {}
-            rows = sorted(set(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())))
             out = []
-            for own, p, line in rows:  # in order, so what is there is earlier
-                words = line.split(" ")
+            for *at, line in sorted(set(zip(*(c.to_pylist() for c in batch.columns)))):  # in order, so what is there is earlier
+                words, at = line.split(" "), tuple(at)
                 settled = False
                 for key, place in variants(words):
-                    before = first.setdefault((key, place), (own, p, words))
-                    if before[:2] == (own, p):
-                        out.append((key, place, own, p))
-                    elif not settled and within_one_edit(words, before[2]):
+                    before = first.setdefault((key, place), (at, words))
+                    if before[0] == at:
+                        out.append((key, place, *at))
+                    elif not settled and within_one_edit(words, before[1]):
                         settled = True
                 if settled:
-                    out.append((hash((own, p)), -2, own, p))
-            v, place, ids, ps = zip(*out) if out else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, pa.int64()), pa.array(place, pa.int32()), pa.array(ids, pa.int64()), pa.array(ps, pa.int64())],
-                ["v", "place", "id", "p"],
-            )
+                    out.append((hash(at), -2, *at))
+            yield pa.RecordBatch.from_arrays(_columns(out, kinds), ["v", "place", *LINE])
 
-    return lines.mapInArrow(batches, "v long, place int, id long, p long")
+    return lines.mapInArrow(batches, f"v long, place int, {LINE_KIND}")
 
 
-def near_repeats(by_id: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(id, p) of first lines one edit from an earlier line."""
+def near_repeats(by_key: DataFrame, firsts: DataFrame) -> DataFrame:
+    """First lines one edit from an earlier line."""
     wanted = cut(candidates(firsts))
-    lines = line_words(by_id, wanted)
+    lines = line_words(by_key, wanted)
     met = neighbourhoods(lines)
     variant, same = Window.partitionBy("v"), Window.partitionBy("v", "place")
-    at = F.struct("id", "p")
+    at = F.struct(*LINE)
     partners = met.select(
         "place",
         at.alias("x"),
@@ -225,31 +195,32 @@ def near_repeats(by_id: DataFrame, firsts: DataFrame) -> DataFrame:
         F.min(F.when(F.col("place") == -1, at)).over(variant).alias("whole"),
         F.min(F.when(F.col("place") >= 0, at)).over(variant).alias("shorter"),
     )
-    settled = partners.filter("place = -2").select("x.id", "x.p")
+    settled = partners.filter("place = -2").select("x.*")
+    other = [f"{c}_y" for c in LINE]
     pairs = (
         partners.filter("place != -2")
         .select("x", F.explode(F.array(F.when(F.col("place") >= 0, F.col("alike")), F.when(F.col("place") >= 0, F.col("whole")).otherwise(F.col("shorter")))).alias("y"))
         .filter("y < x")
         .distinct()
-        .select(F.col("x.id").alias("id"), F.col("x.p").alias("p"), F.col("y.id").alias("id_y"), F.col("y.p").alias("p_y"))
+        .select("x.*", *[F.col("y")[c].alias(n) for c, n in zip(LINE, other)])
     )
 
     @F.pandas_udf("boolean")
     def verified(a, b):
         return a.combine(b, lambda x, y: within_one_edit(x.split(" "), y.split(" ")))
 
-    other = lines.select(F.col("id").alias("id_y"), F.col("p").alias("p_y"), F.col("line").alias("line_y"))
-    good = pairs.join(lines, ["id", "p"]).join(other, ["id_y", "p_y"]).filter(verified("line", "line_y"))
-    return settled.unionByName(good.select("id", "p")).distinct()
+    partner = lines.select(*[F.col(c).alias(n) for c, n in zip(LINE, other)], F.col("line").alias("line_y"))
+    good = pairs.join(lines, LINE).join(partner, other).filter(verified("line", "line_y"))
+    return settled.unionByName(good.select(*LINE)).distinct()
 
 
-def repeated_lines(docs: DataFrame, by_id: DataFrame, min_words: int = 8) -> DataFrame:
-    """(id, p, near): lines to remove; ``near`` if no earlier line is equal."""
-    earliest = Window.partitionBy("a", "b").orderBy("id", "p")
-    ranked = cut(hashed_lines(docs, min_words).withColumn("again", (F.col("b") == 0) | (F.rank().over(earliest) > 1)))
+def repeated_lines(base: DataFrame, by_key: DataFrame, min_words: int = 8) -> DataFrame:
+    """Lines to remove; ``near`` if no earlier line is equal. ``base``: as ``keyed``; ``by_key``: the same, dealt by key."""
+    earliest = Window.partitionBy("a", "b").orderBy(*LINE)
+    ranked = cut(hashed_lines(base, min_words).withColumn("again", (F.col("b") == 0) | (F.rank().over(earliest) > 1)))
     firsts = ranked.filter("NOT again")
-    equal = ranked.filter("again").select("id", "p", F.lit(False).alias("near"))
-    return equal.unionByName(near_repeats(by_id, firsts).withColumn("near", F.lit(True)))
+    equal = ranked.filter("again").select(*LINE, F.lit(False).alias("near"))
+    return equal.unionByName(near_repeats(by_key, firsts).withColumn("near", F.lit(True)))
 
 
 def dedup(docs: DataFrame, min_words: int = 8, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -257,32 +228,30 @@ def dedup(docs: DataFrame, min_words: int = 8, carried: tuple[str, ...] = ()) ->
 
     ``carried`` names further columns of the documents to return.
     """
-    by_id = _base(docs, carried).repartition(width(docs), "id")
+    base = keyed(docs, carried)
+    by_key = base.repartition(width(docs), *KEY)  # keys are of one text each, so no key is hot
     gone = (
-        repeated_lines(docs, by_id, min_words)
-        .groupBy("id")
+        repeated_lines(base, by_key, min_words)
+        .groupBy(*KEY)
         .agg(F.collect_list(F.when(~F.col("near"), F.col("p"))).alias("equal"), F.collect_list(F.when(F.col("near"), F.col("p"))).alias("near"))
     )
     names = ["doc_id", "text", "n_lines", "n_equal", "n_near", "rest"]
 
     def batches(it):
         for batch in sliced(it, 1000):
-            rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
-            ids, texts, counts, equals, nears = [], [], [], [], []
-            for own, text, equal, near in rows:
-                lines, mark = text.split("\n"), _mark(text)
-                mine = [{p & ((1 << LINE_BITS) - 1) for p in ps or () if p >> LINE_BITS == mark} for ps in (equal, near)]
+            texts, counts, equals, nears = [], [], [], []
+            for text, equal, near in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                lines, mine = text.split("\n"), (set(equal or ()), set(near or ()))
                 drop = mine[0] | mine[1]
-                ids.append(None if own == NO_ID else own)
                 counts.append(sum(1 for s in lines if s and not s.isspace()))
                 texts.append("\n".join(s for n, s in enumerate(lines) if n not in drop) if drop else text)
                 equals.append(len(mine[0]))
                 nears.append(len(mine[1]))
-            made = [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), *(pa.array(x, pa.int64()) for x in (counts, equals, nears))]
-            yield pa.RecordBatch.from_arrays([*made, batch.column(4)], names)
+            made = [pa.array(texts, pa.string()), *(pa.array(x, pa.int64()) for x in (counts, equals, nears))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(4)], names)
 
-    kind = by_id.schema["rest"].dataType.simpleString()
-    out = by_id.join(gone, "id", "left").select("id", "text", "equal", "near", "rest").mapInArrow(
+    kind = base.schema["rest"].dataType.simpleString()
+    out = by_key.join(gone, KEY, "left").select("doc_id", "text", "equal", "near", "rest").mapInArrow(
         batches, f"doc_id long, text string, n_lines long, n_equal long, n_near long, rest {kind}"
     )
     return out.select(*names[:-1], *[F.col("rest")[c].alias(c) for c in carried])

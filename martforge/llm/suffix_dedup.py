@@ -28,13 +28,12 @@ many copies sends one row per batch. Texts are shuffled once, by document.
 Defined results: null and empty texts have no bytes; texts of under 100 bytes lose none;
 a null id sorts first and stays null; rows of equal id and text count as one
 document and come out repeated; texts that share an id count as documents ordered by a
-hash of the text; an empty table gives an empty result.
+128-bit hash of the text, and so do texts without an id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -42,17 +41,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martforge.llm.common import blocks, cut, width
+from martforge.llm.common import KEY, blocks, cut, keyed, width
 
 #: Odd multipliers of the two polynomial hashes and of the bit mixer (fixed values).
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Bytes hashed at once; longer texts are hashed in overlapping parts.
 BLOCK = 1 << 20
-NO_ID = -(1 << 63)
-# a position is packed as: 16 bits of the text's hash, 33 bits start of the first string,
-# 7 bits distance to the anchor, 7 bits number of strings after the first
-START_BITS, OFF_BITS, RUN_BITS = 33, 7, 7
+# a position is packed as: start of the first string, 7 bits distance to the anchor, 7 bits
+# number of strings after the first
+OFF_BITS, RUN_BITS = 7, 7
 #: Strings in a block of step 3.
 STRINGS = 16
 
@@ -138,95 +136,80 @@ def _parts(raw: bytes, length: int):
         yield at, raw[at : at + BLOCK]
 
 
-def _text_mark(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0xFFFF
-
-
-def _base(docs: DataFrame) -> DataFrame:
-    """id (never null) and text of the documents."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-
-
-def _packed(mark, start, off, after):
-    return (((mark << START_BITS | start) << OFF_BITS | off) << RUN_BITS) | after
+def _packed(start, off, after):
+    return ((start << OFF_BITS | off) << RUN_BITS) | after
 
 
 def _unpacked(p):
-    """(text mark, start, distance to the anchor, strings after the first) of packed positions."""
-    start = (p >> (OFF_BITS + RUN_BITS)) & ((1 << START_BITS) - 1)
-    return p >> (START_BITS + OFF_BITS + RUN_BITS), start, (p >> RUN_BITS) & ((1 << OFF_BITS) - 1), p & ((1 << RUN_BITS) - 1)
+    """(start, distance to the anchor, strings after the first) of packed positions."""
+    return p >> (OFF_BITS + RUN_BITS), (p >> RUN_BITS) & ((1 << OFF_BITS) - 1), p & ((1 << RUN_BITS) - 1)
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch | None:
-    """Rows (h, c, id, p) of a batch; of equal h and c only the earliest goes on as it is.
+    """Rows (h, c, id, t1, t2, p) of a batch; of equal h and c only the earliest goes on as it is.
 
     The others are settled: they get ``c = 0`` and an ``h`` that spreads them.
     """
     if not rows:
         return None
-    h, c, own, p = (np.concatenate(x) for x in zip(*rows))
-    order = np.lexsort((p, own, c, h))
-    h, c, own, p = h[order], c[order], own[order], p[order]
+    columns = [np.concatenate(x) for x in zip(*rows)]
+    order = np.lexsort(columns[::-1])
+    h, c, own, t1, t2, p = (x[order] for x in columns)
     same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
     head = np.maximum.accumulate(np.where(np.concatenate(([True], ~same))[: len(h)], np.arange(len(h)), 0))
-    later = (own != own[head]) | (p != p[head])
-    h = np.where(later, _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64))), h)
-    c = np.where(later, np.uint64(0), c)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(own), pa.array(p)], ["h", "c", "id", "p"])
+    later = (own != own[head]) | (t1 != t1[head]) | (t2 != t2[head]) | (p != p[head])
+    spread = _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64) ^ t1.view(np.uint64)))
+    h, c = np.where(later, spread, h), np.where(later, np.uint64(0), c)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), c.view(np.int64), own, t1, t2, p)], ["h", "c", *KEY, "p"])
 
 
-SENT = "h long, c long, id long, p long"
+SENT = "h long, c long, id long, t1 long, t2 long, p long"
 
 
 def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
-    """Anchors (h: bucket, c: refined bucket, id, p: packed position), as ``_sent``."""
+    """Anchors (h: bucket, c: refined bucket, key, p: packed position), as ``_sent``. ``docs``: as ``keyed``."""
 
     def batches(it):
         for batch in it:
-            ids = batch.column(0).to_numpy()
+            keys = [batch.column(k).to_numpy() for k in range(3)]
             rows = []
-            pieces = [(i, m, at, part) for i, t in enumerate(batch.column(1)) for raw in [t.as_py().encode("utf-8", "surrogatepass")]
-                      for m in [_text_mark(raw)] for at, part in _parts(raw, length) if len(part) >= length]
-            for a, b in blocks([len(x[3]) for x in pieces], BLOCK):
+            pieces = [(i, at, part) for i, t in enumerate(batch.column(3)) for at, part in _parts(t.as_py().encode("utf-8", "surrogatepass"), length) if len(part) >= length]
+            for a, b in blocks([len(x[2]) for x in pieces], BLOCK):
                 group = pieces[a:b]
-                sizes = np.array([len(x[3]) for x in group], dtype=np.int64)
+                sizes = np.array([len(x[2]) for x in group], dtype=np.int64)
                 ends = np.cumsum(sizes)
-                h, c, first, off, after = anchors(np.frombuffer(b"".join(x[3] for x in group), dtype=np.uint8), ends, length, q)
+                h, c, first, off, after = anchors(np.frombuffer(b"".join(x[2] for x in group), dtype=np.uint8), ends, length, q)
                 which = np.searchsorted(ends, first, side="right")
-                row, marks, at = (np.array([x[k] for x in group], dtype=np.int64)[which] for k in range(3))
-                rows.append((h, c, ids[row], _packed(marks, first - (ends - sizes)[which] + at, off, after)))
+                row, at = (np.array([x[k] for x in group], dtype=np.int64)[which] for k in range(2))
+                rows.append((h, c, *(k[row] for k in keys), _packed(first - (ends - sizes)[which] + at, off, after)))
             sent = _sent(rows)
             if sent is not None:
                 yield sent
 
-    return _base(docs).mapInArrow(batches, SENT)
+    return docs.select(*KEY, "text").mapInArrow(batches, SENT)
 
 
 def refined(found: DataFrame) -> DataFrame:
-    """(id, p, settled): rows whose strings all repeat, and rows of buckets that fell apart."""
+    """(key, p, settled): rows whose strings all repeat, and rows of buckets that fell apart."""
     bucket = Window.partitionBy("h")
-    earliest = Window.partitionBy("h", "c").orderBy("id", "p")
+    earliest = Window.partitionBy("h", "c").orderBy(*KEY, "p")
     marked = found.select(
-        "id", "p", "c", F.rank().over(earliest).alias("r"), F.min("c").over(bucket).alias("a"), F.max("c").over(bucket).alias("b")
+        *KEY, "p", "c", F.rank().over(earliest).alias("r"), F.min("c").over(bucket).alias("a"), F.max("c").over(bucket).alias("b")
     )
     settled = (F.col("c") == 0) | (F.col("r") > 1)
-    return marked.filter(settled | (F.col("a") != F.col("b"))).select("id", "p", settled.alias("settled"))
+    return marked.filter(settled | (F.col("a") != F.col("b"))).select(*KEY, "p", settled.alias("settled"))
 
 
-def _of_open(by_id: DataFrame, level: DataFrame, rows_of) -> DataFrame:
-    """``_sent`` rows that ``rows_of(data, mark, starts, offs, afters)`` makes of the open rows' texts."""
-    asked = level.filter("NOT settled").groupBy("id").agg(F.collect_list("p").alias("ps"))
+def _of_open(by_key: DataFrame, level: DataFrame, rows_of) -> DataFrame:
+    """``_sent`` rows that ``rows_of(data, starts, offs, afters)`` makes of the open rows' texts."""
+    asked = level.filter("NOT settled").groupBy(*KEY).agg(F.collect_list("p").alias("ps"))  # of one text at most
 
     def batches(it):
         for batch in it:
             rows = []
-            for own, text, ps in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for *own, text, ps in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
-                mark = _text_mark(raw)
-                p = np.unique(ps.values.to_numpy())
-                marks, starts, offs, afters = _unpacked(p)
-                mine = marks == mark
-                starts, offs, afters = starts[mine], offs[mine], afters[mine]
+                starts, offs, afters = _unpacked(np.unique(ps.values.to_numpy()))
                 data = np.frombuffer(raw, dtype=np.uint8)
                 # hash the text in parts; a run starts at most 128 strings before its end
                 step = BLOCK - 1024
@@ -234,12 +217,12 @@ def _of_open(by_id: DataFrame, level: DataFrame, rows_of) -> DataFrame:
                     here = (starts >= at) & (starts < at + step)
                     if here.any():
                         for h, c, p in rows_of(data[at : at + BLOCK], starts[here] - at, offs[here], afters[here]):
-                            rows.append((h, c, np.full(len(h), own, dtype=np.int64), p + _packed(mark, at, 0, 0)))
+                            rows.append((h, c, *(np.full(len(h), k, dtype=np.int64) for k in own), p + _packed(at, 0, 0)))
             sent = _sent(rows)
             if sent is not None:
                 yield sent
 
-    return by_id.join(asked, "id").select("id", "text", "ps").mapInArrow(batches, SENT)
+    return by_key.join(asked, KEY).select(*KEY, "text", "ps").mapInArrow(batches, SENT)
 
 
 def _spread(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +247,7 @@ def block_rows(length: int):
         h = _mixed(one.of(common, common + length - STRINGS + 1))
         place = (anchor - lo) * 128 + (hi - lo)
         c = _mixed(two.of(lo, hi + length) + place.astype(np.uint64) * np.uint64(MIXERS[0])) | np.uint64(1)
-        yield h, c, _packed(0, lo, 0, hi - lo)
+        yield h, c, _packed(lo, 0, hi - lo)
 
     return rows_of
 
@@ -275,44 +258,42 @@ def string_rows(length: int):
     def rows_of(data, starts, offs, afters):
         j = np.unique(_spread(starts, afters + 1)[1])
         one, two = (Hashes(data, b) for b in BASES)
-        yield _mixed(one.of(j, j + length)), _mixed(two.of(j, j + length)) | np.uint64(1), _packed(0, j, 0, 0)
+        yield _mixed(one.of(j, j + length)), _mixed(two.of(j, j + length)) | np.uint64(1), _packed(j, 0, 0)
 
     return rows_of
 
 
-def repeated_runs(docs: DataFrame, by_id: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
-    """(id, p) packed runs of strings that start earlier somewhere else.
+def repeated_runs(base: DataFrame, by_key: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
+    """(key, p) packed runs of strings that start earlier somewhere else.
 
-    ``by_id`` is the documents' id and text, dealt by id; all steps read one shuffle of it.
+    ``base``: the documents as ``keyed``; ``by_key``: the same dealt by key, so that all steps read one shuffle of texts.
     """
     if not STRINGS < length - q:
         raise ValueError(f"length must exceed q by more than {STRINGS}")
-    runs = cut(refined(bucketed(docs, length, q)))
-    parts = refined(_of_open(by_id, runs, block_rows(length)))
-    single = refined(_of_open(by_id, parts, string_rows(length)))
+    runs = cut(refined(bucketed(base, length, q)))
+    parts = refined(_of_open(by_key, runs, block_rows(length)))
+    single = refined(_of_open(by_key, parts, string_rows(length)))
     out = runs.filter("settled")
     for level in (parts, single):
         out = out.unionByName(level.filter("settled"))
-    return out.select("id", "p")
+    return out.select(*KEY, "p")
 
 
 def removed_spans(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
-    """Every document (id, text) with its repeated runs ps (null: none)."""
-    by_id = _base(docs).repartition(width(docs), "id")
-    runs = repeated_runs(docs, by_id, length, q).groupBy("id").agg(F.collect_list("p").alias("ps"))
-    return by_id.join(runs, "id", "left")
+    """Every document (key, doc_id, text) with its repeated runs ps (null: none)."""
+    base = keyed(docs).drop("rest")
+    by_key = base.repartition(width(docs), *KEY)  # keys are of one text each, so no key is hot
+    runs = repeated_runs(base, by_key, length, q).groupBy(*KEY).agg(F.collect_list("p").alias("ps"))
+    return by_key.join(runs, KEY, "left")
 
 
-def merged(ps: np.ndarray | None, mark: int, size: int, length: int) -> list[tuple[int, int]]:
+def merged(ps: np.ndarray | None, size: int, length: int) -> list[tuple[int, int]]:
     """Maximal removed (start, stop) ranges of one text."""
     if ps is None or not len(ps):
         return []
-    marks, starts, _, after = _unpacked(np.asarray(ps))
-    starts, stops = starts[marks == mark], (starts + after + length)[marks == mark]
-    if not len(starts):
-        return []
+    starts, _, after = _unpacked(np.asarray(ps))
     order = np.argsort(starts, kind="stable")
-    starts, stops = starts[order], np.maximum.accumulate(np.minimum(stops[order], size))
+    starts, stops = starts[order], np.maximum.accumulate(np.minimum((starts + after + length)[order], size))
     gap = np.flatnonzero(starts[1:] > stops[:-1])
     return list(zip(starts[np.concatenate(([0], gap + 1))].tolist(), stops[np.concatenate((gap, [len(stops) - 1]))].tolist()))
 
@@ -322,10 +303,10 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
 
     def batches(it):
         for batch in it:
-            ids, out = batch.column(0).to_pylist(), []
+            out = []
             for text, ps in zip(batch.column(1), batch.column(2)):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
-                spans = merged(None if not ps.is_valid else ps.values.to_numpy(), _text_mark(raw), len(raw), length)
+                spans = merged(None if not ps.is_valid else ps.values.to_numpy(), len(raw), length)
                 digest, at = hashlib.sha256(), 0
                 for a, b in [*spans, (len(raw), len(raw))]:
                     digest.update(raw[at:a])
@@ -334,7 +315,7 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
             n, removed, count, sha, spans = zip(*out) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([None if i == NO_ID else i for i in ids], pa.int64()),
+                    batch.column(0),
                     pa.array(n, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(count, pa.int64()),
@@ -344,6 +325,6 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
             )
 
-    return removed_spans(docs, length, q).select("id", "text", "ps").mapInArrow(
+    return removed_spans(docs, length, q).select("doc_id", "text", "ps").mapInArrow(
         batches, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:bigint,stop:bigint>>"
     )

@@ -13,7 +13,7 @@ from llm_paths import SF, SF2
 from martforge.llm import line_dedup as D
 from martforge.llm import simhash as H
 from martforge.llm import suffix_dedup as S
-from martforge.llm.common import read_table
+from martforge.llm.common import keyed, read_table
 from martforge.llm.components import connected_components
 
 
@@ -267,3 +267,48 @@ def test_one_document_of_every_group_whatever_its_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((r["doc_id"] or 0, r["text"]) for r in H.one_of_each_group(df).collect())
     assert got == sorted([(0, text(0)), (0, text(1)), (0, text(2)), (1, text(3)), (2, text(4)), (5, text(5)), (7, text(6)), (7, text(7))])
+
+
+def text_halves(text):
+    """The two signed halves of a text's MD5, by which texts of one id are ordered."""
+    digest = hashlib.md5(text.encode()).hexdigest()
+    return tuple(x - (1 << 64) if x >> 63 else x for x in (int(digest[:16], 16), int(digest[16:], 16)))
+
+
+def many_texts_of_an_id(own, lines):
+    """2,000 texts of one id; the first 1,001 repeat nothing, the others one of these with other ends."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    fresh = [" ".join(word() for _ in range(30)) for _ in range(1001)]
+    again = [f"{word()}\n{x}\n{word()}" if lines else f"{word()} {x} {word()}" for x in fresh[:999]]
+    texts = fresh + again
+    rng.shuffle(texts)
+    return [(own, t) for t in texts] + [(7, "seven " * 40), (8, "seven " * 40)]
+
+
+@pytest.mark.parametrize("own", [None, 5])
+def test_suffixes_of_many_texts_with_one_id(spark, own):
+    rows = many_texts_of_an_id(own, False)
+    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], *text_halves(r[1])))
+    want = suffix_brute([(i, t) for i, (_, t) in enumerate(order)])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in S.dedup(df).collect())
+    assert got == sorted((str(order[i][0]), *v) for i, v in want.items())
+
+
+@pytest.mark.parametrize("own", [None, 5])
+def test_lines_of_many_texts_with_one_id(spark, own):
+    rows = many_texts_of_an_id(own, True)
+    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], *text_halves(r[1])))
+    want = lines_brute([(i, t) for i, (_, t) in enumerate(order)])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted((str(r["doc_id"]), r["text"], r["n_equal"], r["n_near"]) for r in D.dedup(df).collect())
+    assert got == sorted((str(order[i][0]), *v) for i, v in want.items())
+    assert sum(n for *_, n, _ in got) >= 999
+
+
+def test_keys_of_documents(spark):
+    rows = [(1, "a"), (1, "b"), (1, "b"), (None, "x"), (None, None), (2, "q"), (-(1 << 63), "least")]
+    got = {(r["doc_id"], r["text"]): (r["id"], r["t1"], r["t2"]) for r in keyed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(set(got.values())) == 6
+    assert got[(2, "q")] == (2, 0, 0) and got[(1, "a")] == (1, *text_halves("a")) and got[(None, "")][1:] == text_halves("")
