@@ -3,23 +3,26 @@
 Token counts are summed over the cells (source, language, topic). Raking then finds one
 factor per source, language and topic so that the weighted tokens meet the target
 share of every source, every language and every topic at once. A document's weight
-is the product of its three factors. A document is drawn where a hash of its id falls
+is the product of its three factors. A document is drawn where a hash of its id and its text falls
 below its probability.
 
-Probabilities are the weights over the largest weight of any cell with tokens where this
-draws at least ``expected`` of all tokens (0.45 without targets): none exceeds 1 and the expected
-shares are the targets. A rare value of a large weight would make that draw arbitrarily small.
-There the fitting is done again for the stated size with probabilities that stop at 1: a
-value whose share of that size is more than all its tokens is drawn whole, the others
-share the rest in proportion to their targets, and the expected tokens are ``expected`` of all.
-With targets given and no ``expected``, the targets are met exactly, however little is drawn.
+The size of the draw is a parameter: ``expected``, a share of all tokens (``EXPECTED``, one half, where neither it nor targets
+are given). Probabilities are the products of factors, stopped at 1, and the factors are fitted so that
+the expected tokens are that size and every value has its target share of it; a value whose share is more
+than all its tokens is drawn whole, the others share the rest in proportion to their
+targets. So a rare value of a large weight cannot make the draw small. With targets and without
+``expected`` the targets are met exactly at the largest size that scaling allows: probabilities are the weights
+over the largest weight of any cell with tokens.
+
+``residual`` says how far the fitting is off: the largest difference of a value's expected tokens from its
+target tokens, over the size. Targets that zero cells or full values rule out cannot all be met.
 
 Only the cells reach the driver, never documents; more than ``max_cells`` of them are
 refused with an error, not cut. Their factors are therefore small enough to broadcast.
 
 Defined results: null source, language or topic is a category of its own; null
 and empty texts have no tokens and take their cell's probability; repeated rows get
-equal decisions; an empty table gives an empty result; targets for values that
+equal decisions, different texts of one id or of none decisions of their own; an empty table gives an empty result; targets for values that
 do not occur are left out and the rest scaled to 1.
 """
 
@@ -36,9 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martforge.llm.common import cut
-from martforge.llm.packing import encoder
+from martforge.llm.packing import encoder, token_ids
 
 DIMENSIONS = ("source", "lang", "topic")
+#: Share of all tokens that is drawn in expectation unless stated otherwise.
+EXPECTED = 0.5
 
 
 def topic_of(text: str, topics: int, known: dict | None = None) -> int:
@@ -61,18 +66,18 @@ def topic_of(text: str, topics: int, known: dict | None = None) -> int:
 
 
 def measured(docs: DataFrame, tokenizer: str, topics: int = 8) -> DataFrame:
-    """doc_id, source and lang of the documents with ``topic`` and ``n_tokens`` of their texts."""
-    base = docs.select("text", "doc_id", "source", "lang")
-    names = ["doc_id", "source", "lang", "topic", "n_tokens"]
+    """doc_id, source, lang and a hash ``mark`` of the text, with ``topic`` and ``n_tokens`` of their texts."""
+    base = docs.select("text", "doc_id", "source", "lang", text_mark(F.col("text")).alias("mark"))
+    names = ["doc_id", "source", "lang", "mark", "topic", "n_tokens"]
 
     def batches(it):
-        encode, known = encoder(tokenizer).encode, {}
+        encoding, known = encoder(tokenizer), {}
         for batch in it:
             topic, tokens = [], []
             for value in batch.column(0):
                 text = value.as_py() or ""
                 topic.append(topic_of(text, topics, known))
-                tokens.append(len(encode(text, allowed_special="all")))
+                tokens.append(len(token_ids(encoding, text)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(topic, pa.int32()), pa.array(tokens, pa.int64())], names)
 
     schema = StructType(base.schema.fields[1:]).add("topic", "integer").add("n_tokens", "long")
@@ -86,12 +91,23 @@ def tempered(sums: dict, alpha: float) -> dict:
     return {k: v / total for k, v in raised.items()} if total else raised
 
 
+def residual(cells: list[tuple], expected: np.ndarray, wanted: list[dict]) -> float:
+    """Largest difference of a value's expected tokens from the wanted ones, over the sum of the wanted."""
+    worst, size = 0.0, max((sum(w.values()) for w in wanted), default=0.0)
+    for d, want in enumerate(wanted):
+        have: dict = {}
+        for c, n in zip(cells, expected.tolist()):
+            have[c[d]] = have.get(c[d], 0.0) + n
+        worst = max(worst, *(abs(have.get(v, 0.0) - n) for v, n in want.items())) if want else worst
+    return worst / size if size else 0.0
+
+
 def rake(cells: list[tuple], tokens: np.ndarray, targets: list[dict], rounds: int = 200, tolerance: float = 1e-10) -> list[dict]:
     """Factors per dimension so that weighted tokens meet all target shares.
 
     ``cells`` holds one value per dimension; values without tokens keep factor 1.
     Ends when no marginal is off by more than ``tolerance`` (relative), or after
-    ``rounds`` (targets that the zero cells rule out cannot all be met).
+    ``rounds`` (``residual`` tells how far it is then).
     """
     total = float(tokens.sum())
     codes, wanted, factors, names = [], [], [], []
@@ -135,6 +151,17 @@ def attainable(share: np.ndarray, have: np.ndarray, size: float) -> np.ndarray:
     return out
 
 
+def attainable_targets(cells: list[tuple], tokens: np.ndarray, targets: list[dict], size: float) -> list[dict]:
+    """Tokens that each value is to have of a draw of ``size``."""
+    out = []
+    for d, target in enumerate(targets):
+        values = sorted({c[d] for c in cells}, key=lambda v: (v is None, str(v)))
+        at = {v: i for i, v in enumerate(values)}
+        have = np.bincount([at[c[d]] for c in cells], weights=tokens, minlength=len(values)) if cells else np.zeros(0)
+        out.append(dict(zip(values, attainable(np.array([float(target.get(v, 0.0)) for v in values]), have, size).tolist())))
+    return out
+
+
 def capped_rake(cells: list[tuple], tokens: np.ndarray, targets: list[dict], size: float, rounds: int = 500, tolerance: float = 1e-9) -> np.ndarray:
     """Probability per cell, the product of its factors or 1 if that is less, so that ``size`` tokens are expected.
 
@@ -176,9 +203,13 @@ def capped_rake(cells: list[tuple], tokens: np.ndarray, targets: list[dict], siz
     return np.minimum(1.0, np.prod([f[c] for f, c in zip(factors, codes)], axis=0))
 
 
-def uniform(id_col: Column, seed: int) -> Column:
-    """A number in [0, 1) from a hash of the id and a seed."""
-    return F.shiftrightunsigned(F.xxhash64(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(seed)), 11) / F.lit(float(1 << 53))
+def text_mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def uniform(id_col: Column, mark: Column, seed: int) -> Column:
+    """A number in [0, 1) from a hash of the id, the text's mark and a seed."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(id_col.cast("string"), F.lit("")), mark, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
 def cell_weights(
@@ -188,15 +219,15 @@ def cell_weights(
     max_cells: int = 200_000,
     expected: float | None = None,
 ) -> DataFrame:
-    """(c_source, c_lang, c_topic, weight, probability): one row per cell of measured documents.
+    """(c_source, c_lang, c_topic, weight, probability, residual): one row per cell of measured documents.
 
     ``targets`` maps a dimension to {value: share}; a dimension without targets
-    takes its own token shares tempered by ``alpha``. At least ``expected`` of all tokens
-    are drawn in expectation: 0.45 if no targets are given, else only if stated.
+    takes its own token shares tempered by ``alpha``. ``expected`` is the share of all tokens
+    to draw; None: ``EXPECTED`` without targets, with them what meets them exactly.
     """
-    if expected is None:
-        expected = 0.0 if targets else 0.45
-    if not 0 <= expected <= 1:
+    if expected is None and not targets:
+        expected = EXPECTED
+    if expected is not None and not 0 < expected <= 1:
         raise ValueError("expected is a share of all tokens")
     table = known.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")).limit(max_cells + 1).collect()
     if len(table) > max_cells:
@@ -211,25 +242,28 @@ def cell_weights(
             sums[c[i]] = sums.get(c[i], 0.0) + float(n)
         wanted.append((targets or {}).get(d) or tempered(sums, alpha))
     factors = rake(cells, tokens, wanted)
-    weights = [float(np.prod([f[v] for f, v in zip(factors, c)])) for c in cells]
-    top = max((w for w, n in zip(weights, tokens) if n > 0), default=1.0) or 1.0
-    probabilities = np.minimum(1.0, np.array(weights) / top)
-    size = expected * float(tokens.sum())
-    if float((probabilities * tokens).sum()) < size:
-        probabilities = capped_rake(cells, tokens, wanted, size)
-    rows = [(*c, w, p) for c, w, p in zip(cells, weights, probabilities.tolist())]
+    weights = np.array([float(np.prod([f[v] for f, v in zip(factors, c)])) for c in cells])
+    if expected is None:
+        top = max((w for w, n in zip(weights, tokens) if n > 0), default=1.0) or 1.0
+        probabilities, size = np.minimum(1.0, weights / top), float((weights * tokens).sum()) / top
+    else:
+        size = expected * float(tokens.sum())
+        probabilities = capped_rake(cells, tokens, wanted, size) if size else np.minimum(1.0, weights)
+    off = residual(cells, probabilities * tokens, attainable_targets(cells, tokens, wanted, size))
+    rows = [(*c, w, p, off) for c, w, p in zip(cells, weights.tolist(), probabilities.tolist())]
     kinds = {f.name: f.dataType.simpleString() for f in known.schema}
-    schema = ", ".join(f"c_{d} {kinds[d]}" for d in DIMENSIONS) + ", weight double, probability double"
+    schema = ", ".join(f"c_{d} {kinds[d]}" for d in DIMENSIONS) + ", weight double, probability double, residual double"
     return known.sparkSession.createDataFrame(rows, schema)
 
 
 def mix(docs: DataFrame, tokenizer: str, topics: int = 8, seed: int = 42, **options) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, weight, probability and selected of every document."""
+    """doc_id, source, lang, topic, n_tokens, weight, probability, selected and residual of every document."""
     known = cut(measured(docs, tokenizer, topics))
     per_cell = F.broadcast(cell_weights(known, **options))  # at most max_cells rows
     same = [known[d].eqNullSafe(per_cell[f"c_{d}"]) for d in DIMENSIONS]
-    return known.join(per_cell, same).select(
-        "doc_id", *DIMENSIONS, "n_tokens", "weight", "probability", (uniform(F.col("doc_id"), seed) < F.col("probability")).alias("selected")
+    return known.join(per_cell, same).select(
+        "doc_id", *DIMENSIONS, "n_tokens", "weight", "probability",
+        (uniform(F.col("doc_id"), F.col("mark"), seed) < F.col("probability")).alias("selected"), "residual",
     )
 
 
@@ -247,4 +281,4 @@ def sample(docs: DataFrame, tokenizer: str, topics: int = 8, seed: int = 42, **o
         per_cell,
         F.col("source").eqNullSafe(F.col("_cell_source")) & F.col("lang").eqNullSafe(F.col("_cell_lang")) & (topic(F.col("text")) == F.col("_cell_topic")),
     )
-    return drawn.filter(uniform(F.col("doc_id"), seed) < F.col("_cell_p")).select(docs.columns)
+    return drawn.filter(uniform(F.col("doc_id"), text_mark(F.col("text")), seed) < F.col("_cell_p")).select(docs.columns)

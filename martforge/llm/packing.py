@@ -9,9 +9,10 @@ Packing: full pieces are sequences of their own. The rest are dealt by a hash in
 groups of bounded size, and each group is packed in one task: best-fit decreasing (and, from
 a second start, best single or pair) first, then local search over the underfull bins. A step
 moves one document, or exchanges one for one or two for one between two bins, or moves all of a
-bin, and is taken only if it increases the sum of squared fills; bins so run empty and go. The bins that are
-still underfull are dissolved and packed again over fewer, mixed groups
-until they fit one group, so what is lost does not grow with the number of groups.
+bin, and is taken only if it increases the sum of squared fills; bins so run empty and go. The search ends
+where no such step is left. The bins that are
+still underfull are dissolved and packed again over fewer, mixed groups, until they fit one group
+or packing them again saves no sequence.
 
 Defined results: null texts are empty ones; an empty text is its end id alone; rows
 are packed as they come, so repeated rows are packed repeatedly; an empty table
@@ -20,7 +21,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import json
+import re
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -58,17 +61,44 @@ def encoder(path: str):
     return tiktoken.Encoding("llm", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: What \s matches in the pattern (Unicode white space, a fixed set).
+WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Longer runs of white space are cut out before the pattern is applied: its look-ahead needs a stack as deep as a run is long.
+LONG_RUN = 10_000
+_LONG = re.compile(f"{WHITE}{{{LONG_RUN},}}")
+
+
+def token_ids(encoding, text: str) -> list[int]:
+    """Ids of a text without an end id, for runs of white space of any length.
+
+    The pattern makes one token group of a run but for its last character, which belongs to what
+    follows, and of all of it at the end of the text. So a text may be cut before a
+    run and before its last character without a change of ids.
+    """
+    encode = encoding.encode
+    if len(text) < LONG_RUN:
+        return encode(text, allowed_special="all")
+    out, at = [], 0
+    for run in _LONG.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        out.extend(encode(text[at : run.start()], allowed_special="all"))
+        out.extend(encoding._core_bpe.encode_single_piece(text[run.start() : stop].encode()))
+        at = stop
+    out.extend(encode(text[at:], allowed_special="all"))
+    return out
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece."""
     base = texts(docs)
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def batches(it):
-        encode = encoder(tokenizer).encode
+        encoding = encoder(tokenizer)
         for batch in it:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
-                ids = np.array([*encode(text.as_py(), allowed_special="all"), end_id], dtype="<u4")
+                ids = np.array([*token_ids(encoding, text.as_py()), end_id], dtype="<u4")
                 first = len(ids) % capacity or capacity
                 at = 0
                 for k, to in enumerate(range(first, len(ids) + 1, capacity)):
@@ -115,121 +145,163 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(sizes: list[int], bins: list[list[int]], capacity: int, rounds: int = 8) -> list[list[int]]:
-    """Moves and exchanges between underfull bins that increase the sum of squared fills.
+class Cheapest:
+    """For each total of tokens, the two emptiest bins that can give that total away."""
+
+    def __init__(self, capacity: int, bins: list[dict], fill: list[int], totals):
+        self.bins, self.fill, self.totals = bins, fill, totals
+        self.heaps: list[list] = [[] for _ in range(capacity + 1)]
+        self.first, self.second = (np.full(capacity + 1, 1 << 40, dtype=np.int64) for _ in range(2))
+        self.bin = np.full(capacity + 1, -1, dtype=np.int64)
+        self.stale: set[int] = set()
+
+    def changed(self, b: int) -> None:
+        """Bin ``b`` has new contents; entries of its old ones are dropped when they come up."""
+        for total in self.totals(self.bins[b]):
+            heapq.heappush(self.heaps[total], (self.fill[b], b))
+            self.stale.add(total)
+
+    def lost(self, totals) -> None:
+        self.stale.update(totals)
+
+    def refresh(self) -> None:
+        for total in self.stale:
+            heap, found = self.heaps[total], []
+            while heap and len(found) < 2:
+                entry = heapq.heappop(heap)
+                if entry[0] == self.fill[entry[1]] and entry not in found and total in self.totals(self.bins[entry[1]]):
+                    found.append(entry)
+            for entry in found:
+                heapq.heappush(heap, entry)
+            self.first[total], self.bin[total] = found[0] if found else (1 << 40, -1)
+            self.second[total] = found[1][0] if len(found) > 1 else 1 << 40
+        self.stale.clear()
+
+    def without(self, b: int) -> np.ndarray:
+        """Fill of the emptiest bin other than ``b`` for each total."""
+        return np.where(self.bin == b, self.second, self.first)
+
+    def giver(self, total: int, b: int) -> int:
+        """The emptiest bin other than ``b`` that can give ``total``."""
+        if self.bin[total] != b:
+            return int(self.bin[total])
+        top = heapq.heappop(self.heaps[total])
+        while self.heaps[total]:
+            entry = self.heaps[total][0]
+            if entry[1] != b and entry[0] == self.fill[entry[1]] and total in self.totals(self.bins[entry[1]]):
+                break
+            heapq.heappop(self.heaps[total])
+        out = self.heaps[total][0][1]
+        heapq.heappush(self.heaps[total], top)
+        return out
 
-    A bin B of room r gains most if something of bin A that is larger by d <= r takes the
-    place of something in B (nothing, one document or two). Looked up by size among
-    the documents of emptier bins, the largest d first. B never has less fill than A, so
-    every step increases the squared fill; bins without documents are dropped.
-    """
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    for _ in range(rounds):
-        changed = False
-        open_bins = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: (-fill[b], b))
-        if len(open_bins) < 2:
-            break
-        place = {b: k for k, b in enumerate(open_bins)}
-        holders: dict[int, set[int]] = defaultdict(set)  # size -> documents in open bins
-        where: dict[int, int] = {}
-        for b in open_bins:
-            for i in bins[b]:
-                holders[sizes[i]].add(i)
-                where[i] = b
-        present = 0  # bit s is set if a document of size s is in an open bin
-        for s in holders:
-            present |= 1 << s
-
-        def donor(size: int, b: int):
-            """A document of this size in the emptiest of a few bins behind B."""
-            best = None
-            for n, i in enumerate(holders[size]):
-                a = where[i]
-                if a != b and (fill[a], -place[a]) <= (fill[b], -place[b]) and (best is None or (fill[a], i) < (fill[where[best]], best)):
-                    best = i
-                if n >= 16:
-                    break
-            return best
-
-        def put(give: list[int], take: list[int], a: int, b: int):
-            """Documents ``give`` go from A to B and ``take`` from B to A."""
-            nonlocal present
-            for i in give:
-                bins[a].remove(i)
-                bins[b].append(i)
-                where[i] = b
-            for i in take:
-                bins[b].remove(i)
-                bins[a].append(i)
-                where[i] = a
-            d = sum(sizes[i] for i in give) - sum(sizes[i] for i in take)
-            fill[a] -= d
-            fill[b] += d
-            for full in (x for x in (a, b) if fill[x] == capacity):
-                for i in bins[full]:
-                    holders[sizes[i]].discard(i)
-                    if not holders[sizes[i]]:
-                        present &= ~(1 << sizes[i])
-
-        for b in open_bins:
-            while bins[b] and fill[b] < capacity:
-                room = capacity - fill[b]
-                mine = sorted(bins[b], key=lambda i: sizes[i])
-                # what may leave B: nothing (a move), one document, or two
-                outs = [()] + [(i,) for i in mine] + [(mine[x], mine[y]) for x in range(len(mine)) for y in range(x)]
-                best = None
-                for out in outs[:64]:
-                    base = sum(sizes[i] for i in out)
-                    window = (present >> (base + 1)) & ((1 << room) - 1)  # sizes base+1 .. base+room
-                    while window:
-                        d = window.bit_length()
-                        if best is not None and d <= best[0]:
-                            break
-                        i = donor(base + d, b)
-                        if i is not None and i not in out and fill[where[i]] - d >= 0:
-                            best = (d, i, out)
-                            break
-                        window &= ~(1 << (d - 1))
-                    if best is not None and best[0] == room:
-                        break
-                # two of another bin for one of B
-                if (best is None or best[0] < room) and len(mine) <= 8:
-                    for o in mine:
-                        want = sizes[o] + room
-                        pair = _pair(want, b, sizes, bins, open_bins, fill, place)
-                        if pair:
-                            best = (room, pair, (o,))
-                            break
-                if best is None:
-                    break
-                d, give, out = best
-                give = list(give) if isinstance(give, tuple) else [give]
-                put(give, list(out), where[give[0]], b)
-                changed = True
-        if not changed:
-            break
-    return [b for b in bins if b]
 
+def _singles(held: dict) -> set[int]:
+    return set(held)
+
+
+def _pairs(held: dict) -> set[int]:
+    """Totals of two documents of a bin; ``held`` maps sizes to documents."""
+    sizes = sorted(held)
+    out = {2 * s for s in sizes if len(held[s]) > 1}
+    out.update(sizes[x] + sizes[y] for x in range(len(sizes)) for y in range(x))
+    return out
 
-def _pair(want, b, sizes, bins, open_bins, fill, place, look: int = 24):
-    """Two documents of one of the emptiest bins behind B that sum to ``want``."""
-    for a in open_bins[: -look - 1 : -1]:
-        if a == b or fill[a] > fill[b] or (fill[a] == fill[b] and place[a] < place[b]) or len(bins[a]) < 2:
-            continue
-        seen = {}
-        for i in bins[a]:
-            j = seen.get(want - sizes[i])
-            if j is not None:
-                return (j, i)
-            seen[sizes[i]] = i
-    return None
 
+def _two(held: dict, total: int) -> tuple[int, int]:
+    """Sizes of two documents of a bin with this total."""
+    return next((s, total - s) for s in held if total - s in held and (s != total - s or len(held[s]) > 1))
 
-def exact_fit(sizes: list[int], capacity: int, look: int = 64) -> list[list[int]]:
+
+def _largest_gain(base: np.ndarray, room: int, fill: int, cheapest: np.ndarray) -> tuple[int, int]:
+    """(d, base) of the largest d <= room so that a bin gives base + d and squared fills rise; (0, 0) if none.
+
+    With d more tokens here and d fewer there the sum of squares rises if d exceeds what the other bin holds more.
+    """
+    d = np.arange(1, room + 1)
+    total = base[:, None] + d[None, :]
+    inside = total < len(cheapest)
+    good = inside & (cheapest[np.where(inside, total, 0)] < fill + d[None, :])
+    columns = np.flatnonzero(good.any(0))
+    if not len(columns):
+        return 0, 0
+    k = int(columns[-1])
+    return k + 1, int(base[int(np.flatnonzero(good[:, k])[0])])
+
+
+def local_search(sizes: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Moves and exchanges between underfull bins until none increases the sum of squared fills.
+
+    A bin B of room r gains d <= r tokens if a document of another bin A that is larger by d than nothing,
+    one or two documents of B takes their place (a move, one for one, one for two), or two documents
+    of A that of one document of B. Looked up by total, largest d first. Full bins can take no part:
+    they have no room, and what they could give never exceeds the room it fills.
+    Bins without documents are dropped.
+    """
+    held: list[dict] = []
+    for b in bins:
+        held.append(own := {})
+        for i in sorted(b):
+            own.setdefault(sizes[i], []).append(i)
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    ones, twos = (Cheapest(capacity, held, fill, totals) for totals in (_singles, _pairs))
+    open_bins = [b for b in range(len(bins)) if 0 < fill[b] < capacity]
+    for b in open_bins:
+        ones.changed(b)
+        twos.changed(b)
+
+    def swap(a: int, b: int, give: tuple, take: tuple) -> None:
+        """Documents of sizes ``give`` go from A to B, those of ``take`` from B to A."""
+        for table in (ones, twos):
+            for x in (a, b):
+                table.lost(table.totals(held[x]))
+        moved = [(s, held[a][s].pop(), b) for s in give] + [(s, held[b][s].pop(), a) for s in take]
+        for s, i, to in moved:
+            held[to].setdefault(s, []).append(i)
+        for x in (a, b):
+            for s in [s for s, items in held[x].items() if not items]:
+                del held[x][s]
+        d = sum(give) - sum(take)
+        fill[a], fill[b] = fill[a] - d, fill[b] + d
+        for x in (a, b):
+            if 0 < fill[x] < capacity:
+                ones.changed(x)
+                twos.changed(x)
+
+    def improved(b: int) -> bool:
+        room = capacity - fill[b]
+        ones.refresh()
+        one, two = np.array(sorted(held[b]), dtype=np.int64), np.array(sorted(_pairs(held[b])), dtype=np.int64)
+        best = _largest_gain(np.concatenate(([0], one, two)), room, fill[b], ones.without(b))
+        if best[0] < room:
+            twos.refresh()
+            other = _largest_gain(one, room, fill[b], twos.without(b))
+            if other[0] > best[0]:
+                d, base = other
+                a = twos.giver(base + d, b)
+                swap(a, b, _two(held[a], base + d), (base,))
+                return True
+        d, base = best
+        if not d:
+            return False
+        take = () if not base else (base,) if base in held[b] else _two(held[b], base)
+        swap(ones.giver(base + d, b), b, (base + d,), take)
+        return True
+
+    again = True
+    while again:
+        again = False
+        for b in sorted(open_bins, key=lambda b: (-fill[b], b)):
+            while 0 < fill[b] < capacity and improved(b):
+                again = True
+    return [[i for items in own.values() for i in items] for own in held if own]
+
+
+def exact_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     """Bins filled one by one: the largest document left, then one or two that fill best.
 
     Of the totals that leave least room, a single document is preferred to a pair, and a
-    pair with the larger first. After ``look`` totals without any, the largest that fits goes in.
+    pair with the larger first.
     """
     left: list[list[int]] = [[] for _ in range(capacity + 1)]
     for i in range(len(sizes) - 1, -1, -1):
@@ -250,7 +322,7 @@ def exact_fit(sizes: list[int], capacity: int, look: int = 64) -> list[list[int]
         fits = present & ((2 << room) - 1)
         if not fits:
             return ()
-        for total in range(room, max(0, room - look), -1):
+        for total in range(room, 0, -1):
             if fits >> total & 1:
                 return (total,)
             pairs = present & (mirrored >> (capacity - total)) & ((1 << total) - 1)  # a and total - a are there
@@ -259,7 +331,7 @@ def exact_fit(sizes: list[int], capacity: int, look: int = 64) -> list[list[int]
                 if a != total - a or len(left[a]) > 1:
                     return a, total - a
                 pairs &= ~(1 << a)
-        return (fits.bit_length() - 1,)
+        return ()
 
     while present:
         s = present.bit_length() - 1
@@ -370,7 +442,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_rows: int
     )
     rest = cutting.filter(F.col("length") < capacity).select("row", "length")
     placed = [whole]
-    level, left = 0, rest.count()
+    level, left, bins = 0, rest.count(), None
     while left:
         groups = -(-left // group_rows)
         now = cut(_pack_level(rest, level, groups, capacity))
@@ -380,10 +452,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, group_rows: int
         if last:
             break
         rest = now.filter(F.col("fill") < capacity).select("row", "length")
-        before, left = left, rest.count()
-        if left > 0.9 * before:  # hardly anything came out full: the bins stay as they are
+        made = now.filter("offset = 0").agg(F.count("*").alias("all"), F.count(F.when(F.col("fill") < capacity, 1)).alias("open")).first()
+        if bins is not None and made["all"] >= bins:  # packing them again saved nothing: they stay as they are
             placed.append(now.filter(F.col("fill") < capacity).select("row", "seq", "offset", F.lit(level).alias("level")))
             break
+        bins, left = made["open"], rest.count()
         level += 1
     at = placed[0]
     for more in placed[1:]:

@@ -45,9 +45,9 @@ from martforge.llm.common import cut
 TABLE = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Text bytes counted at once.
 CHUNK = 2 << 20
-#: Distinct words, and distinct codes, that a task holds before it sends its counts.
-WORDS_HELD = 300_000
-CODES_HELD = 1_500_000
+#: Distinct words and codes that a task holds, over all languages, before it sends the counts of the largest.
+WORDS_HELD = 400_000
+CODES_HELD = 1_200_000
 #: Rows of one batch that is sent.
 SENT = 100_000
 #: Bits of the bitmap of frequent words.
@@ -225,6 +225,9 @@ def _joined(left: pa.Array, right: pa.Array) -> pa.Array:
 class Singles:
     """Counts of words (kind 1) and of all of them together (kind 0)."""
 
+    given = 1  # words that are there from the start
+    last = ()  # numbers of the words that the next chunk follows
+
     def __init__(self, lang: str):
         self.lang, self.words, self.total, self.counts = lang, Words(lang), 0, np.zeros(0, np.int64)
 
@@ -247,6 +250,8 @@ class Singles:
 class Pairs:
     """Counts of pairs of frequent words (kind 2)."""
 
+    given = 1
+
     def __init__(self, lang: str, known: np.ndarray):
         self.lang, self.words, self.tally, self.last = lang, Words(lang, known), Tally(), np.zeros(0, np.int64)
 
@@ -274,6 +279,7 @@ class Extensions:
         self.lang, self.known, self.asked, self.last = lang, known, phrases, np.zeros(0, np.int64)
         self.words = Words(lang, known)
         self.trie = Trie(self.words, phrases)
+        self.given = len(self.words.words)
         self.right, self.left, self.exact = Tally(), Tally(), np.zeros(len(phrases), np.int64)
 
     def add(self, text: bytes) -> None:
@@ -316,6 +322,7 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
 
     def batches(it):
         counters: dict = {}
+        held = {}  # language: codes and words
         for batch in it:
             langs = batch.column(0).dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
@@ -325,18 +332,16 @@ def counted(docs: DataFrame, start, least: int) -> DataFrame:
                     if counter is None:
                         counter = counters[lang] = start(lang)
                     counter.add(chunk)
-                    if counter.codes() > CODES_HELD or len(counter.words.words) > WORDS_HELD + len(getattr(counter, "asked", ())) * LONGEST:
+                    held[lang] = counter.codes(), len(counter.words.words) - counter.given
+                    while sum(c for c, _ in held.values()) > CODES_HELD or sum(w for _, w in held.values()) > WORDS_HELD:
+                        which = max(held, key=lambda x: held[x][0] / CODES_HELD + held[x][1] / WORDS_HELD)
+                        old, fresh = counters.pop(which), start(which)
+                        del held[which]
+                        yield from old.rows()
                         # a chunk may end inside a text: the last words stay
-                        yield from counter.rows()
-                        fresh, last = start(lang), getattr(counter, "last", None)
-                        if last is not None:
-                            fresh.last = np.array([fresh.words.of(counter.words.words[k]) for k in last], dtype=np.int64)
-                        counters[lang] = fresh
-            # many languages with a little each
-            if sum(c.codes() for c in counters.values()) > CODES_HELD or sum(len(c.words.words) for c in counters.values()) > 3 * WORDS_HELD:
-                for counter in counters.values():
-                    yield from counter.rows()
-                counters = {}
+                        fresh.last = np.array([fresh.words.of(old.words.words[k]) for k in old.last], dtype=np.int64)
+                        if which == lang:
+                            counters[which] = fresh
         for counter in counters.values():
             yield from counter.rows()
 

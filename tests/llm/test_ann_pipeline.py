@@ -96,6 +96,33 @@ def test_every_leaf_is_visited_in_the_end():
     assert A.fit_tree(np.ones((50, 4)), leaf_fit=8).leaves == 1
 
 
+def bisected(f, want, high):
+    """x with f(x) = want for a rising f."""
+    low = 0.0
+    for _ in range(200):
+        x = (low + high) / 2
+        low, high = (x, high) if f(x) < want else (low, x)
+    return high
+
+
+def capped_fitting(keys, tokens, shares, size):
+    """Probabilities, stopped at 1, whose expected tokens meet the shares of the size, by bisection value by value."""
+    factors = [{v: 1.0 for v in s} for s in shares]
+    wanted = []
+    for d, share in enumerate(shares):
+        have = {v: tokens[[c[d] == v for c in keys]].sum() for v in share}
+        t = bisected(lambda t: sum(min(have[v], t * share[v]) for v in share), size, 1e12)
+        wanted.append({v: min(have[v], t * share[v]) for v in share})
+    for _ in range(300):
+        for d, want in enumerate(wanted):
+            for v, n in want.items():
+                at = np.array([c[d] == v for c in keys])
+                rest = np.array([np.prod([factors[e][c[e]] for e in range(3) if e != d]) for c in keys])[at]
+                most = 1 / rest[(tokens[at] > 0) & (rest > 0)].min() if n and (rest > 0).any() else 1.0
+                factors[d][v] = bisected(lambda f: (np.minimum(1, f * rest) * tokens[at]).sum(), n, most) if n else 0.0
+    return [min(1.0, float(np.prod([factors[d][c[d]] for d in range(3)]))) for c in keys]
+
+
 def test_pipeline_by_brute_force(spark):
     """Each stage of run() by a plain version of it, over the same documents."""
     docs = read_table(spark, SF, "documents")
@@ -122,16 +149,9 @@ def test_pipeline_by_brute_force(spark):
         for c, n in cells.items():
             sums[c[d]] = sums.get(c[d], 0.0) + n
         shares.append(mixing.tempered(sums, 0.7))
-    w = tokens.copy()  # plain iterative fitting of the weighted tokens
-    for _ in range(400):
-        for d in range(3):
-            for v, share in shares[d].items():
-                at = np.array([c[d] == v for c in keys])
-                if share and w[at].sum():
-                    w[at] *= share * tokens.sum() / w[at].sum()
-    weight = np.divide(w, tokens, out=np.zeros_like(w), where=tokens > 0)
-    p = dict(zip(keys, weight / weight.max()))
-    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", mixing.uniform(F.col("doc_id"), 42).alias("u")).collect()}
+    p = dict(zip(keys, capped_fitting(keys, tokens, shares, mixing.EXPECTED * tokens.sum())))
+    left = spark.createDataFrame(list(single.items()), "doc_id long, text string")  # the draw is by id and the text that is left
+    u = {r["doc_id"]: r["u"] for r in left.select("doc_id", mixing.uniform(F.col("doc_id"), mixing.text_mark(F.col("text")), 42).alias("u")).collect()}
     drawn = {i for i, t in single.items() if u[i] < p[(rows[i]["source"], rows[i]["lang"], mixing.topic_of(t, 8))]}
 
     got = corpus_pipeline.run(spark, SF).collect()

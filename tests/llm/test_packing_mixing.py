@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +32,54 @@ def test_ids_equal_the_library(text):
     assert [*P.encoder(TOKENIZER).encode(text, allowed_special="all"), 2] == by_library(text)
 
 
+@pytest.mark.parametrize("white", [" ", "\t", "\n", " \t\n", "\xa0", "\u2003 "])
+def test_ids_of_long_white_space(white):
+    run = (white * 2_000_000)[: 2_000_000 if white in " \t\n" else 30_000]
+    for text in (run, run + "end", "a" + run, "Start." + run + " end", run[:15_000] + "x" + run[:15_000] + "1" + run[:9_999]):
+        assert P.token_ids(P.encoder(TOKENIZER), text) == by_library(text)[:-1]
+
+
+def test_ids_of_long_runs_of_anything_else():
+    for text in ("x" * 1_000_000, "7" * 300_000, "!" * 300_000, "\x1c" * 30_000 + "a"):
+        assert P.token_ids(P.encoder(TOKENIZER), text) == P.encoder(TOKENIZER).encode(text, allowed_special="all")
+
+
+def test_long_white_space_is_packed_and_mixed(spark):
+    rows = [(1, " " * 2_000_000, "en", "a"), (2, "\n" * 1_200_000 + "x", "en", "a"), (3, "word " * 10, "de", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = P.pack(docs, TOKENIZER).collect()
+    checked(got)
+    want = {i: len(by_library(t)) for i, t, *_ in rows}
+    assert {i: sum(r["length"] for r in got if r["doc_id"] == i) for i in want} == want
+    assert {r["doc_id"]: r["n_tokens"] + 1 for r in M.mix(docs, TOKENIZER).collect()} == want
+
+
+def test_texts_without_an_id_are_drawn_one_by_one(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2500, null, 7) AS doc_id", "'text number ' || id AS text", "'en' AS lang", "'a' AS source")
+    rows = M.mix(docs, TOKENIZER).collect()
+    for own in (None, 7):
+        mine = [r for r in rows if r["doc_id"] == own]
+        share, p = sum(r["selected"] for r in mine) / len(mine), sum(r["probability"] for r in mine) / len(mine)
+        assert abs(share - p) <= 0.05
+    assert M.sample(docs, TOKENIZER).count() == sum(r["selected"] for r in rows)
+
+
+@pytest.mark.parametrize("expected", [None, 0.2, 0.5, 0.8])
+def test_the_stated_size_is_drawn(spark, expected):
+    rows = M.mix(read_table(spark, SF2, "documents"), TOKENIZER, expected=expected).collect()
+    drawn, total = sum(r["n_tokens"] * r["probability"] for r in rows), sum(r["n_tokens"] for r in rows)
+    assert drawn / total == pytest.approx(expected or M.EXPECTED, rel=1e-4)
+    assert len({r["residual"] for r in rows}) == 1 and rows[0]["residual"] < 1e-3
+
+
+def test_residual_of_targets_that_cannot_be_met():
+    cells, tokens = [("a", "en"), ("b", "de")], np.array([100.0, 100.0])
+    targets = [{"a": 0.9, "b": 0.1}, {"en": 0.1, "de": 0.9}]
+    factors = M.rake(cells, tokens, targets)
+    got = np.array([factors[0][a] * factors[1][b] for a, b in cells]) * tokens
+    assert M.residual(cells, got, [{"a": 180.0, "b": 20.0}, {"en": 20.0, "de": 180.0}]) > 0.5
+
+
 def checked(rows, capacity=1024):
     """Every sequence gapless from 0 and within the capacity; returns their number."""
     sequences = defaultdict(list)
@@ -75,6 +124,80 @@ def test_groups_hold_every_document_once(sizes):
     assert len(P.pack_group(sizes, 64)) <= len(P.best_fit(sizes, 64))
 
 
+def gains(sizes, bins, capacity):
+    """Whether a move, one for one, two for one or one for two of two bins increases the sum of squared fills."""
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    some = lambda b, k: {sum(c) for c in combinations([sizes[i] for i in b], k)}
+    for a in range(len(bins)):
+        for b in range(len(bins)):
+            if a != b:
+                for give, take in ((1, 0), (1, 1), (1, 2), (2, 1)):
+                    for x in some(bins[a], give):
+                        for y in some(bins[b], take):
+                            d = x - y
+                            if 0 < d <= capacity - fill[b] and (fill[b] + d) ** 2 + (fill[a] - d) ** 2 > fill[a] ** 2 + fill[b] ** 2:
+                                return True
+    return False
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=60), st.randoms())
+def test_the_search_ends_where_nothing_improves(sizes, rng):
+    bins, order = [], list(range(len(sizes)))
+    rng.shuffle(order)
+    for i in order:  # any first packing
+        b = next((b for b in bins if sum(sizes[j] for j in b) + sizes[i] <= 40 and rng.random() < 0.5), None)
+        if b is None:
+            bins.append(b := [])
+        b.append(i)
+    out = P.local_search(sizes, bins, 40)
+    assert sorted(i for b in out for i in b) == sorted(order) and all(sum(sizes[i] for i in b) <= 40 for b in out)
+    assert not gains(sizes, out, 40) and len(out) <= len(bins)
+
+
+def fewest(sizes, capacity):
+    """The smallest number of bins, by trying everything."""
+    best = len(sizes)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(sizes):
+            best = len(rooms)
+            return
+        for r in {r for r in rooms if r >= sizes[k]}:
+            left = list(rooms)
+            left.remove(r)
+            place(k + 1, [*left, r - sizes[k]])
+        place(k + 1, [*rooms, capacity - sizes[k]])
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=9))
+def test_small_sets_take_few_bins(sizes):
+    assert len(P.pack_group(sizes, 30)) <= fewest(sizes, 30) + 1
+
+
+def test_small_sets_by_brute_force():
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(1, 31, rng.integers(3, 10)).tolist() for _ in range(150)]
+    more = sum(len(P.pack_group(s, 30)) - fewest(s, 30) for s in sets)
+    assert more <= 2
+
+
+@pytest.mark.parametrize("words", ["600", "1 + id % 97", "if(id % 3 = 0, 1, 700)"])
+def test_packing_again_ends(spark, words):
+    docs = spark.range(700).select(F.col("id").alias("doc_id"), F.expr(f"repeat('ab ', cast({words} as int))").alias("text"))
+    rows = P.pack(docs, TOKENIZER, group_rows=50).collect()
+    assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
+    checked(rows)
+
+
 def test_local_search_empties_bins():
     sizes = [6, 6, 3, 3, 2, 2, 2, 4, 4]
     bad = [[0, 4], [1, 5], [2, 3], [6], [7, 8]]
@@ -123,7 +246,7 @@ def test_mix_by_brute_force(spark):
     total = sum(expected.values())
     assert all(x / total == pytest.approx(0.25, rel=1e-3) for x in expected.values())
     assert max(r["probability"] for r in rows) == pytest.approx(1.0)
-    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", M.uniform(F.col("doc_id"), 42).alias("u")).collect()}
+    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", M.uniform(F.col("doc_id"), M.text_mark(F.col("text")), 42).alias("u")).collect()}
     assert all(r["selected"] == (u[r["doc_id"]] < r["probability"]) for r in rows)
 
 
