@@ -72,10 +72,11 @@ class Batch:
         )
 
     def publish(
-        self, df: DataFrame, schema: str, layer: str, table: str, cols=None, start: DateLike | None = None, how: str = writes.PARTITIONS
-    ) -> str:
+        self, df: DataFrame, schema: str, layer: str, table: str, cols=None, start: DateLike | None = None, how: str = writes.PARTITIONS,
+        drop_empty: bool = True,
+    ) -> str:
         job = writes.JobInfo(schema, layer, table, start or self.start, self.end, self.batch_ts)
-        return writes.publish(self.spark, df, job, self.root, self.ledger, cols, self.name(layer, table), how=how)
+        return writes.publish(self.spark, df, job, self.root, self.ledger, cols, self.name(layer, table), how=how, drop_empty=drop_empty)
 
     def counts(self, df: DataFrame, spec: DatasetSpec, path: str, start: DateLike | None = None, end: DateLike | None = None) -> checks.CountSources:
         """Source slice, written files and catalog (or the table's own partition listing) of a landed table."""

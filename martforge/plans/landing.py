@@ -38,14 +38,14 @@ def land_table(
 
     Snapshot sources (``mode=overwrite``) with a time field are replaced as a
     whole (static overwrite, so rows that moved to another day leave no stale
-    copy); sliced sources replace only the days they carry; untimed sources
+    copy); sliced sources replace the days of the slice, also those they have no rows of; untimed sources
     are replaced unpartitioned. ``layer`` is ``dim`` for dimensions such as tokens.
     """
     df = land(source, spec, start, end)
     cols = writes.default_partitions(spec.name, spec.partition_cols if spec.partition_cols is not None else (None if spec.time_field else []))
     how = writes.TABLE if spec.mode == OVERWRITE or not spec.time_field else writes.PARTITIONS
     job = writes.JobInfo(spec.service, layer, spec.name, start, end, batch_ts)
-    return writes.publish(spark, df, job, root, ledger_path, cols, catalog_name, how=how, fmt=spec.fmt)
+    return writes.publish(spark, df, job, root, ledger_path, cols, catalog_name, how=how, fmt=spec.fmt, drop_empty=True)
 
 
 def _loaded(schema: str, layer: str, table: str, load_ts: _dt.datetime) -> writes.JobInfo:

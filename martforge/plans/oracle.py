@@ -482,6 +482,9 @@ SELECT * FROM r1 WHERE bdate NOT IN (SELECT DISTINCT bdate FROM r2)
 UNION ALL SELECT * FROM r2"""
     s["partitioned_overwrite"] = f"SELECT * FROM ({RUN2})"
     s["unpartitioned_replace"] = f"SELECT * FROM ({RUN2})"
+    s["table_by_version"] = s["partitioned_by_version"] = f"SELECT * FROM ({RUN2})"
+    s["emptied_days"] = f"""SELECT CAST(ts AS DATE) AS dt_utc, CASE WHEN max(event_id) % 3 = 0 THEN 0 ELSE count(*) END AS events
+FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)} GROUP BY 1"""
     s["append_only"] = f"SELECT * FROM ({RUN1}) UNION ALL SELECT * FROM ({RUN2})"
     s["publish_guarded"] = s["partition_replace"]
     s["daily_from_landed"] = event_daily(Q.SLICE_START, Q.SLICE_END, False)

@@ -134,7 +134,7 @@ def run_order_delta(
     path = writes.table_path(root, "dex", "dw", "order_totals")
     new = next_state(spark, ORDER_TOTALS, delta, read_or_none(spark, path), "period", as_date(end).isoformat())
     out = {"close_orders": closed_path, "user_orders": created_path, "order_totals": path, "periods": periods_in(new, "period")}
-    batch.publish(new, "dex", "dw", "order_totals", ["period"])
+    batch.publish(new, "dex", "dw", "order_totals", ["period"], drop_empty=False)
     if with_bitmaps:
         out |= activity_batch(batch, path, out["periods"])
     return out
@@ -148,12 +148,12 @@ def activity_batch(batch: Batch, totals_path: str, periods: list) -> dict[str, o
     owners_path = writes.table_path(batch.root, "dex", "dw", "owner_numbers")
     numbers = read_or_none(spark, owners_path)
     fresh = bitmaps.new_numbers(seen, "owner", None if numbers is None else numbers.filter(F.col("batch") < F.lit(stamp)))
-    batch.publish(fresh.withColumn("batch", F.lit(stamp)), "dex", "dw", "owner_numbers", ["batch"])
+    batch.publish(fresh.withColumn("batch", F.lit(stamp)), "dex", "dw", "owner_numbers", ["batch"], drop_empty=False)
     numbers = spark.read.schema("owner string, number bigint, batch string").parquet(owners_path)
     maps = bitmaps.construct(seen, numbers, ["period", "timezone_type", "bdate"], "owner")
     # a period without rows any more has to lose its bitmaps as well
     markers = spark.createDataFrame([(p,) for p in periods], "period date").select(
         "period", *[F.lit(None).cast(kind).alias(c) for c, kind in maps.dtypes if c != "period"]
     )
-    path = batch.publish(maps.unionByName(markers), "dex", "dm", "activity_bitmaps", ["period"])
+    path = batch.publish(maps.unionByName(markers), "dex", "dm", "activity_bitmaps", ["period"], drop_empty=False)
     return {"owner_numbers": owners_path, "activity_bitmaps": path}

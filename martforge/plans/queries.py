@@ -24,7 +24,7 @@ from martforge.plans import landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
 from martforge.quality import checks
 from martforge.session import shared_dir
-from martforge.sinks import writes
+from martforge.sinks import versions, writes
 from martforge.sources import payloads
 from martforge.sources.borrow import borrow_time
 from martforge.sources.partitions import read_days, read_landed_for_zones
@@ -523,6 +523,41 @@ def q_unpartitioned_replace(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _by_version(spark, sf_dir, table, cols):
+    """Two publishes by location switch; a reader in between sees the first whole, then the second."""
+    path = shared_dir(spark, "sinks", table)
+    name = "mf_v_" + path.rsplit("/", 1)[-1]
+    for run in _runs(spark, sf_dir):
+        versions.publish_version(run, name, path, cols)
+    return spark.table(name)
+
+
+def q_table_by_version(spark, sf_dir):
+    return _by_version(spark, sf_dir, "dm_event_total", [])
+
+
+def q_partitioned_by_version(spark, sf_dir):
+    return _by_version(spark, sf_dir, "dm_event_d", ["bdate"])
+
+
+def q_emptied_days(spark, sf_dir):
+    """K1 for a slice: a second run of the month finds nothing on some days (by their last event), which it empties.
+
+    Returned are the catalog's rows per day, with the emptied days that the ledger names.
+    """
+    root = shared_dir(spark, "emptied")
+    name = "mf_" + root.rsplit("/", 1)[-1]
+    events = land(_events(spark, sf_dir), DatasetSpec("events", "events", "ts", time_kind="timestamp"), EV_START, EV_END)
+    busy = events.groupBy("dt_utc").agg(F.max("event_id").alias("last")).filter("last % 3 != 0").select("dt_utc")
+    for hours, rows in ((0, events), (1, events.join(busy, "dt_utc", "left_semi"))):
+        job = writes.JobInfo("events", "dl", "events", EV_START, EV_END, BATCH_TS + _dt.timedelta(hours=hours))
+        daily = rows.groupBy("dt_utc").agg(F.count("*").alias("events"))
+        writes.publish(spark, daily, job, root, f"{root}/etl_status", ["dt_utc"], name, drop_empty=True)
+    named = spark.read.parquet(f"{root}/etl_status").filter("emptied_days IS NOT NULL")
+    gone = named.select(F.explode(F.split("emptied_days", ",").cast("array<date>")).alias("dt_utc"), F.lit(0).cast("long").alias("events"))
+    return spark.table(name).select("dt_utc", "events").unionByName(gone)
+
+
 def q_append_only(spark, sf_dir):
     path = shared_dir(spark, "sinks", "dm_event_d")
     first, second = _runs(spark, sf_dir)
@@ -662,6 +697,9 @@ QUERIES: dict[str, Query] = {
     "partition_replace": q_partition_replace,
     "partitioned_overwrite": q_partitioned_overwrite,
     "unpartitioned_replace": q_unpartitioned_replace,
+    "table_by_version": q_table_by_version,
+    "partitioned_by_version": q_partitioned_by_version,
+    "emptied_days": q_emptied_days,
     "append_only": q_append_only,
     "publish_guarded": q_publish_guarded,
     "landing_publish": q_landing_publish,

@@ -9,6 +9,7 @@ values is needed; new files are staged and moved in at job commit.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -51,7 +52,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     """K1: replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     With no partition columns this is a full replace (K2). A partition that
-    has no rows in ``df`` is left as it was.
+    has no rows in ``df`` is left as it was (see ``publish`` for days that a slice empties).
     """
     if not partition_cols:
         replace_table(df, path, (), fmt)
@@ -60,22 +61,71 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).save(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by one listing; none if it is not there."""
+    fs, where = file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def _files_of_days(spark: SparkSession, path: str, column: str, first: DateLike, end: DateLike) -> dict[str, frozenset]:
+    """Data files of each day partition in ``[first, end)``: one listing, and one for each day that is there."""
+    lo, hi = (f"{column}={as_date(d).isoformat()}" for d in (first, end))
+    days = [n for n in folder_names(spark, path) if lo <= n < hi and re.fullmatch(r"\d{4}-\d\d-\d\d", n.split("=", 1)[1])]
+    return {n.split("=", 1)[1]: frozenset(f for f in folder_names(spark, f"{path}/{n}") if not f.startswith(("_", "."))) for n in days}
+
+
+def replace_days(
+    df: DataFrame, path: str, column: str, first: DateLike, end: DateLike, fmt: str = "parquet", catalog_name: str | None = None
+) -> list[str]:
+    """K1 for a slice: replace the days ``[first, end)`` of a table, also those that ``df`` has no rows of.
+
+    Days that the table held and that got no new file are emptied: dropped from the catalog, then from the
+    files. Returns them. ``df`` is computed once; the days are told by the names of their files
+    (a write never reuses one). A run that dies in between leaves stale days, never a
+    missing one, and the next run finds them again.
+    """
+    spark = df.sparkSession
+    before = _files_of_days(spark, path, column, first, end)
+    replace_partitions(df, path, [column], fmt)
+    after = _files_of_days(spark, path, column, first, end) if before else {}
+    emptied = sorted(d for d, files in before.items() if files and after.get(d) == files)
+    if emptied and catalog_name and spark.catalog.tableExists(catalog_name):
+        spark.sql(f"ALTER TABLE {catalog_name} DROP IF EXISTS " + ", ".join(f"PARTITION ({column}='{d}')" for d in emptied))
+    for day in emptied:
+        fs, where = file_system(spark, f"{path}/{column}={day}")
+        fs.delete(where, True)
+    return emptied
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Put back the old table where a replace died between its two renames; True if it did."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    fs, here = file_system(spark, path)
+    if fs.exists(here):
+        return False
+    old = sorted(n for n in folder_names(spark, parent) if n.startswith(f"{name}__old_"))
+    return bool(old) and fs.rename(file_system(spark, f"{parent}/{old[-1]}")[1], here)
+
+
 def replace_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
     """K2 / K3: replace the whole table, partitioned or not.
 
     The new table is written beside the old one and takes its place when it is
-    complete (Spark's own overwrite deletes first, so a failing job would leave no table).
+    complete (Spark's own overwrite deletes first, so a failing job would leave no table). For tables that
+    are read by path; between its two renames there is none, and a run that dies there is mended
+    by ``recover_table`` in the next. ``sinks.versions`` publishes without that moment.
     """
+    recover_table(df.sparkSession, path)
     spark, tag = df.sparkSession, uuid.uuid4().hex[:12]
     fresh, stale = f"{path}__new_{tag}", f"{path}__old_{tag}"
-    fs, new = _file_system(spark, fresh)
-    _, here = _file_system(spark, path)
-    _, old = _file_system(spark, stale)
+    fs, new = file_system(spark, fresh)
+    _, here = file_system(spark, path)
+    _, old = file_system(spark, stale)
     writer = cluster_for_write(df, partition_cols).write.format(fmt)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -106,7 +156,7 @@ def append_rows(df: DataFrame, path: str, table: str, partition_cols: Sequence[s
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on any file system Spark reads."""
-    fs, where = _file_system(spark, path)
+    fs, where = file_system(spark, path)
     return fs.exists(where)
 
 
@@ -116,7 +166,7 @@ def register_table(
     """K7: external catalog table over ``path`` (created if missing) with its partitions.
 
     ``days`` = (column, first, end) adds only the day partitions of that slice that
-    exist, so the cost follows the slice and not the age of the table. Without it (a table replaced
+    exist, told by one listing of the table's folder. Without it (a table replaced
     as a whole) the catalog is synchronised with all partitions.
     """
     if not spark.catalog.tableExists(name):
@@ -128,11 +178,8 @@ def register_table(
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     else:
         column, first, end = days
-        day, there = as_date(first), []
-        while day < as_date(end):
-            if path_exists(spark, f"{path}/{column}={day}"):
-                there.append(f"PARTITION ({column}='{day}')")
-            day += _dt.timedelta(days=1)
+        lo, hi = (f"{column}={as_date(d).isoformat()}" for d in (first, end))
+        there = [f"PARTITION ({column}='{n.split('=', 1)[1]}')" for n in sorted(folder_names(spark, path)) if lo <= n < hi]
         if there:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(there)}")
     spark.catalog.refreshTable(name)
@@ -147,6 +194,7 @@ LEDGER_SCHEMA = StructType(
         StructField("end_date", StringType(), True),
         StructField("status", IntegerType(), False),
         StructField("attempt", IntegerType(), False),
+        StructField("emptied_days", StringType(), True),
         StructField("batch_bdate", StringType(), False),
     ]
 )
@@ -182,8 +230,11 @@ def next_attempt(spark: SparkSession, ledger_path: str, job: JobInfo) -> int:
     return (mine.agg(F.max("attempt")).first()[0] or 0) + 1
 
 
-def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: int, attempt: int = 1) -> None:
-    """K8: one status row (1 ok, 0 failed) appended, partitioned by ``batch_bdate``."""
+def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: int, attempt: int = 1, emptied: Sequence[str] = ()) -> None:
+    """K8: one status row (1 ok, 0 failed) appended, partitioned by ``batch_bdate``.
+
+    ``emptied``: days that the run left without rows, named in ``emptied_days`` (null: none).
+    """
     ts = _stamp(job)
     row = (
         job.schema_name,
@@ -193,6 +244,7 @@ def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: i
         as_date(job.end_date).isoformat(),
         int(status),
         int(attempt),
+        ",".join(emptied) or None,
         ts[:10],
     )
     spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").partitionBy("batch_bdate").parquet(ledger_path)
@@ -212,12 +264,14 @@ def publish(
     skip_empty: bool = False,
     how: str = PARTITIONS,
     fmt: str = "parquet",
+    drop_empty: bool = False,
 ) -> str:
     """K9: write -> register (K7) -> ledger 1 (K8); on any error ledger 0, re-raise.
 
     Success is recorded last, so a batch whose registration failed never reads as done.
     ``how``: replace the partitions in ``df`` (K1), the whole table (K2/K3) or append
-    (K4). ``skip_empty`` (K10) checks ``isEmpty()`` first - one cheap job; a dynamic
+    (K4). ``drop_empty``: the slice's days are replaced altogether, so days of it without rows any more
+    are removed too and named in the ledger (for tables with one day column). ``skip_empty`` (K10) checks ``isEmpty()`` first - one cheap job; a dynamic
     overwrite of zero rows would leave the table untouched anyway.
     """
     path = table_path(root, job.schema_name, job.data_layer, job.table_name)
@@ -225,8 +279,11 @@ def publish(
         return path
     cols = default_partitions(job.table_name, partition_cols)
     attempt = next_attempt(spark, ledger_path, job)
+    emptied: list[str] = []
     try:
-        if how == TABLE:
+        if how == PARTITIONS and drop_empty and len(cols) == 1:
+            emptied = replace_days(df, path, cols[0], job.start_date, job.end_date, fmt, catalog_name)
+        elif how == TABLE:
             replace_table(df, path, cols, fmt)
         elif how == APPEND:
             append_rows(df, path, job.table_name, cols, fmt)
@@ -240,5 +297,5 @@ def publish(
     except Exception:
         ledger_append(spark, ledger_path, job, 0, attempt)
         raise
-    ledger_append(spark, ledger_path, job, 1, attempt)
+    ledger_append(spark, ledger_path, job, 1, attempt, emptied)
     return path
