@@ -194,7 +194,8 @@ def usd_value(value: Column | str, price: Column | str, decimals: Column | str)
     sign = F.when((v < 0) != (p < 0), F.lit("-")).otherwise(F.lit(""))
     wide = _shifted(F.concat(sign, _long_product(F.abs(v).cast("string"), _unscaled(p))), _c(decimals).cast("int") + PRICE_SCALE)
     fits = (p.try_cast("decimal(18,9)") == p) & v.try_cast("decimal(19,0)").isNotNull()
-    return F.when(fits, F.coalesce(_shifted(short.cast("string"), _c(decimals)), wide)).otherwise(wide)
+    # the long product stands in the plan once, and is computed only where the short one does not hold
+    return F.coalesce(F.when(fits, _shifted(short.cast("string"), _c(decimals))), wide)
 
 
 def _unscaled(p: Column) -> Column:

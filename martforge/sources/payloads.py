@@ -104,10 +104,17 @@ def page_fault(payload: Column | str, items: Column) -> Column:
     )
 
 
+def _parsed(payloads: DataFrame, payload_col: str, schema: StructType, keep: tuple[str, ...]) -> DataFrame:
+    """keep, the page's text and its items. The page is parsed in a generator, whose output the
+    optimiser does not write out again wherever a field of it is used."""
+    page = F.struct(F.col(payload_col).alias("text"), F.from_json(F.col(payload_col), schema)["items"].alias("items"))
+    return payloads.select(*keep, F.explode(F.array(page)).alias("__page")).select(*keep, F.col("__page.text").alias("__text"), F.col("__page.items").alias("__items"))
+
+
 def bad_pages(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
     """Pages that yield no row, with the reason."""
-    page = F.from_json(F.col(payload_col), TOKEN_PAGE_SCHEMA)["items"]
-    return payloads.select(*keep, page_fault(payload_col, page).alias("fault")).filter("fault IS NOT NULL")
+    pages = _parsed(payloads, payload_col, TOKEN_PAGE_SCHEMA, keep)
+    return pages.select(*keep, page_fault("__text", F.col("__items")).alias("fault")).filter("fault IS NOT NULL")
 
 
 def _items(payloads: DataFrame, payload_col: str, schema: StructType, keep: tuple[str, ...]) -> DataFrame:
@@ -116,11 +123,11 @@ def _items(payloads: DataFrame, payload_col: str, schema: StructType, keep: tupl
     An empty list is a valid page without rows. Nothing is dropped in silence: these
     tables are replaced as a whole, so a lost page would delete its rows.
     """
-    page = F.from_json(F.col(payload_col), schema)["items"]
-    fault = page_fault(payload_col, page)
-    told = F.raise_error(F.concat(F.lit("payload page is unusable ("), fault, F.lit("): "), F.substring(F.coalesce(F.col(payload_col), F.lit("NULL")), 1, 80)))
-    checked = F.when(fault.isin(UNPARSEABLE, NO_ITEMS), told.cast(schema["items"].dataType)).otherwise(page)
-    return payloads.select(*keep, checked.alias("__items")).select(*keep, F.explode("__items").alias("__i"))
+    pages, items, text = _parsed(payloads, payload_col, schema, keep), F.col("__items"), F.col("__text")
+    fault = page_fault(text, items)
+    told = F.raise_error(F.concat(F.lit("payload page is unusable ("), fault, F.lit("): "), F.substring(F.coalesce(text, F.lit("NULL")), 1, 80)))
+    checked = F.when(fault.isin(UNPARSEABLE, NO_ITEMS), told.cast(schema["items"].dataType)).otherwise(items)
+    return pages.select(*keep, checked.alias("__checked")).select(*keep, F.explode("__checked").alias("__i"))
 
 
 def token_items(payloads: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
