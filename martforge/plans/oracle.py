@@ -498,19 +498,36 @@ FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)} GROUP BY 1"""
   SELECT 'events' AS service_name, 'events' AS table_name, count(*) AS db_count, count(*) AS s3_count, 0 AS tol
     FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)}
   UNION ALL
-  SELECT 'dex', 'user_orders', count(*), count(CASE WHEN order_id > 20 THEN 1 END), 30
+  SELECT 'dex', 'user_orders', count(*), count(CASE WHEN created_at < {_epoch(Q.SNAP_END)} THEN 1 END), 30
     FROM order_rows WHERE created_at < {_epoch(Q.ALL_END)}
   UNION ALL
-  SELECT 'dex', 'close_orders', count(*), count(closed_type), 0
+  SELECT 'dex', 'close_orders', count(*), count(CASE WHEN closed_at < {_epoch(Q.UNTIL_END)} THEN 1 END), 0
     FROM order_rows WHERE o_orderstatus = 'F' AND closed_at < {_epoch(Q.ALL_END)}),
 judged AS (SELECT *, db_count = s3_count OR abs(db_count - s3_count) < tol AS passed FROM counts)""",
         body="""SELECT service_name, table_name, db_count, s3_count, s3_count AS catalog_count, passed,
   service_name || '.' || table_name || CASE WHEN passed THEN ' PASS' ELSE ' FAIL' END || ' DB: ' || db_count || ' S3: ' || s3_count
     || ' Catalog: ' || s3_count AS report FROM judged""",
     )
-    s["latest_status"] = f"""SELECT 'events' AS schema_name, t.table_name, '{Q.BATCH_TS:%Y-%m-%d %H:%M:%S}' AS batch_ts, t.attempt, t.status,
-  CASE WHEN t.table_name = 'event_d' THEN CAST((SELECT sum(events) FROM ({event_daily(Q.EV_START, Q.EV_END, False)})) AS BIGINT) END AS events
+    s["latest_status"] = f"""WITH attempts AS (
+  SELECT user_id, CAST(ts AS DATE) AS d, event_id, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS attempt
+  FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)})
+SELECT 'events' AS schema_name, 'user_' || user_id AS table_name, strftime(d, '%Y-%m-%d 01:00:00') AS batch_ts,
+  CAST(attempt AS INTEGER) AS attempt, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS status
+FROM attempts QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY d DESC, attempt DESC) = 1
+UNION ALL
+SELECT 'events', t.table_name, '{Q.BATCH_TS:%Y-%m-%d %H:%M:%S}', t.attempt, t.status
 FROM (VALUES ('event_d', 1, 1), ('event_failed_d', 1, 0), ('event_retried_d', 2, 1)) t(table_name, attempt, status)"""
+    s["order_details_bucketed"] = s["order_details"]
+    s["content_reconciliation"] = with_ctes(
+        ORDERS_TS, ORDER_ROWS,
+        f"src AS (SELECT * FROM order_rows WHERE created_at >= {_epoch(Q.SLICE_ARCHIVED)} AND created_at < {_epoch(Q.ALL_END)})",
+        f"""dst AS (SELECT * REPLACE (CASE WHEN closed_at < {_epoch(Q.UNTIL_END)} THEN filled ELSE 0 END AS filled)
+  FROM order_rows WHERE created_at >= {_epoch(Q.ALL_START)} AND created_at < {_epoch(Q.UNTIL_END)})""",
+        body="""SELECT coalesce(s.order_id, d.order_id) AS order_id, coalesce(s.pair_address, d.pair_address) AS pair_address,
+  CASE WHEN d.order_id IS NULL THEN 'lost' WHEN s.order_id IS NULL THEN 'extra' ELSE 'changed' END AS difference
+FROM src s FULL JOIN dst d ON s.order_id = d.order_id AND s.pair_address = d.pair_address
+WHERE d.order_id IS NULL OR s.order_id IS NULL OR s.filled <> d.filled""",
+    )
     s["max_timestamp"] = with_ctes(
         ORDERS_TS, FILLS,
         body=f"""SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_ts FROM events

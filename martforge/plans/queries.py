@@ -13,7 +13,7 @@ import datetime as _dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, safe_cast, scale_units, usd_value, usd_value_double
@@ -22,18 +22,21 @@ from martforge.operators.timeslice import fan_out_zones
 from martforge.plans import bindings as B
 from martforge.plans import landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
-from martforge.quality import checks
+from martforge.quality import checks, content
 from martforge.session import shared_dir
-from martforge.sinks import versions, writes
+from martforge.sinks import buckets, versions, writes
 from martforge.sources import payloads
 from martforge.sources.borrow import borrow_time
 from martforge.sources.partitions import read_days, read_landed_for_zones
-from martforge.sources.scans import OVERWRITE, DatasetSpec, land, with_zone_columns
+from martforge.sources.scans import OVERWRITE, DatasetSpec, land, slice_predicate, with_zone_columns
 
 # --- fixed values: run parameters -------------------------------------------
 EV_START, EV_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)        # events month
 SLICE_START, SLICE_END = _dt.date(2024, 1, 8), _dt.date(2024, 1, 15)  # one week
 ALL_START, ALL_END = _dt.date(1995, 1, 1), _dt.date(2001, 9, 1)        # all orders
+ORDER_BUCKETS = 8
+SNAP_END = _dt.date(2001, 7, 31)                                      # a snapshot read a little early
+SLICE_ARCHIVED = _dt.date(1995, 7, 1)                                # orders before it left the source
 UNTIL_END = _dt.date(1998, 1, 1)                                     # snapshot bound
 ORDER_CUTS = (ALL_START, _dt.date(1996, 7, 1), _dt.date(1998, 1, 1), ALL_END)  # order batches
 RUN1_START, RUN1_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 20)  # sink reruns
@@ -247,6 +250,17 @@ def q_order_details(spark, sf_dir):
     return order_details_df(spark, sf_dir)
 
 
+def q_order_details_bucketed(spark, sf_dir):
+    """D2 from landings bucketed by the keys of its joins: no shuffle before the anti join."""
+    root = shared_dir(spark, "buckets")
+    tag = "mf_b_" + root.rsplit("/", 1)[-1]
+    keys, n = ["order_id", "pair_address"], ORDER_BUCKETS
+    closed = buckets.write_bucketed(landed_closed(spark, sf_dir), f"{tag}_closed", f"{root}/closed", keys, n)
+    snapshot = buckets.write_bucketed(landed_snapshot(spark, sf_dir), f"{tag}_snapshot", f"{root}/snapshot", keys, n)
+    pairs = buckets.write_bucketed(B.pairs(spark, sf_dir), f"{tag}_pairs", f"{root}/pairs", ["pair_address"], n)
+    return marts.order_details(closed, snapshot, pairs, B.tokens(spark, sf_dir), ALL_END)
+
+
 def q_order_daily(spark, sf_dir):
     return marts.order_daily(order_details_df(spark, sf_dir), ALL_END)
 
@@ -598,13 +612,29 @@ def q_stream_landing(spark, sf_dir):
     return spark.read.parquet(f"{root}/dl_events")
 
 
+def q_content_reconciliation(spark, sf_dir):
+    """Keys by which a landing of the live orders differs from the source, by (month, bucket) checksums.
+
+    The landing holds the orders created before UNTIL_END, as they were then: orders closed later
+    were not filled yet. The source has since lost the orders created before SLICE_ARCHIVED.
+    """
+    kept = replace(B.SNAPSHOT_SPEC, mode="append")
+    live = B.order_rows(spark, sf_dir)
+    then = F.when(slice_predicate("closed_at", "epoch", None, UNTIL_END), F.col("filled")).otherwise(F.lit(0).cast("decimal(10,2)"))
+    source, landed = (
+        land(df, kept, start, end).withColumn("month", F.trunc("dt_utc", "month"))
+        for df, start, end in ((live, SLICE_ARCHIVED, ALL_END), (live.withColumn("filled", then), ALL_START, UNTIL_END))
+    )
+    return content.key_differences(source, landed, "month", ["order_id", "pair_address"], ["owner", "price", "amount", "filled"])
+
+
 # --- quality -------------------------------------------------------------------
 def q_count_reconciliation(spark, sf_dir):
     """One table that agrees, one within its tolerance and one that fails, over all rows.
 
-    The landings of the last two are given fewer rows than the source holds, as if they
-    had been read a moment earlier: up to 20 orders are missing from the snapshot,
-    and closed orders without a close type from the other.
+    The landings of the last two were read earlier than the source is now: the snapshot a
+    little before its end (orders of the last days are missing, few enough for the tolerance or not), the closed orders
+    as of UNTIL_END.
     """
     root = shared_dir(spark, "recon")
     tag = "mf_" + root.rsplit("/", 1)[-1] + "_"
@@ -615,8 +645,8 @@ def q_count_reconciliation(spark, sf_dir):
     snap_spec = replace(B.SNAPSHOT_SPEC, partition_cols=())
     closed_spec = replace(B.CLOSED_SPEC, mode=OVERWRITE, partition_cols=())
     live, closed = B.order_rows(spark, sf_dir), B.closed_orders(spark, sf_dir)
-    snap_path = orders.land(live.filter("order_id > 20"), snap_spec)
-    closed_path = orders.land(closed.filter("closed_type IS NOT NULL"), closed_spec)
+    snap_path = orders.land(live.filter(slice_predicate("created_at", "epoch", None, SNAP_END)), snap_spec)
+    closed_path = orders.land(closed.filter(slice_predicate("closed_at", "epoch", None, UNTIL_END)), closed_spec)
     return checks.reconcile_counts(
         [
             batch.counts(_events(spark, sf_dir), spec, ev_path),
@@ -626,10 +656,29 @@ def q_count_reconciliation(spark, sf_dir):
     )
 
 
+def ledger_rows(spark, sf_dir) -> DataFrame:
+    """A ledger as long as the events: each event is an attempt of its user's table in the batch of its day.
+
+    Attempts of a batch are numbered by time; an attempt fails where the event is an error.
+    """
+    events = _events(spark, sf_dir).filter(slice_predicate("ts", "timestamp", EV_START, EV_END))
+    day = F.to_date("ts")
+    nth = F.row_number().over(Window.partitionBy("user_id", day).orderBy("ts", "event_id"))
+    return events.select(
+        F.lit("events").alias("schema_name"), F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("table_name"),
+        F.date_format(day, "yyyy-MM-dd 01:00:00").alias("batch_ts"), nth.cast("int").alias("attempt"),
+        F.when(F.col("event_id") % 3 == 0, 0).otherwise(1).alias("status"), day.cast("string").alias("batch_bdate"),
+    )
+
+
 def q_latest_status(spark, sf_dir):
-    """Q9 over the ledger of real publishes: one done, one whose registration failed, one done on retry."""
+    """Q9 over a ledger of every event, appended day by day and read back, and the rows of three real publishes
+    (one done, one whose registration failed, one done on retry)."""
     root = shared_dir(spark, "status")
     ledger, name = f"{root}/etl_status", "mf_" + root.rsplit("/", 1)[-1]
+    rows = ledger_rows(spark, sf_dir).withColumn("start_date", F.col("batch_bdate")).withColumn("end_date", F.col("batch_bdate"))
+    rows = rows.withColumn("emptied_days", F.lit(None).cast("string")).select([f.name for f in writes.LEDGER_SCHEMA.fields])
+    rows.write.mode("append").partitionBy("batch_bdate").parquet(ledger)
     daily = event_daily(spark, sf_dir, EV_START, EV_END)
 
     def put(table, catalog_name):
@@ -641,11 +690,7 @@ def q_latest_status(spark, sf_dir):
     put("event_failed_d", "no_such_schema.event_d")
     put("event_retried_d", "no_such_schema.event_d")
     put("event_retried_d", f"{name}_r")
-    status = checks.latest_status(spark.read.parquet(ledger))
-    published = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d"))
-    rows = published.agg(F.sum("events").alias("events")).select(F.lit("event_d").alias("table_name"), "events")
-    both = status.unionByName(rows, allowMissingColumns=True)
-    return both.groupBy("table_name").agg(*[F.max(c).alias(c) for c in ("schema_name", "batch_ts", "attempt", "status", "events")])
+    return checks.latest_status(spark.read.schema(writes.LEDGER_SCHEMA).parquet(ledger))
 
 
 def q_max_timestamp(spark, sf_dir):
@@ -677,6 +722,7 @@ QUERIES: dict[str, Query] = {
     "json_contracts": q_json_contracts,
     "safe_numeric_casts": q_safe_numeric_casts,
     "order_details": q_order_details,
+    "order_details_bucketed": q_order_details_bucketed,
     "order_daily": q_order_daily,
     "trade_details": q_trade_details,
     "trade_daily": q_trade_daily,
@@ -706,6 +752,7 @@ QUERIES: dict[str, Query] = {
     "daily_from_landed": q_daily_from_landed,
     "stream_landing": q_stream_landing,
     "count_reconciliation": q_count_reconciliation,
+    "content_reconciliation": q_content_reconciliation,
     "max_timestamp": q_max_timestamp,
     "freshness_equal": q_freshness_equal,
     "trade_daily_with_open_only": q_trade_daily_with_open_only,
