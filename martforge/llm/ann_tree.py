@@ -10,9 +10,11 @@ order in which they are to be searched. How many leaves to visit is calibrated:
 fixed number of calibration queries the exact neighbours among all rows are found by a
 full pass, and visits are widened until ``target_recall`` of them lie in visited leaves.
 
-Leaves are searched in blocks of at most ``block_rows`` vectors against blocks
-of at most ``block_queries`` queries, so a leaf with very many equal vectors is spread over
-tasks. Every block returns its exact best, and the best of all blocks remain.
+Leaves that are neighbours in the tree are searched together, in groups of at most ``block_rows``
+vectors, against blocks of at most ``block_queries`` queries; a leaf of more vectors is
+spread over several blocks. A query is sent to a group once, with the leaves it visits there, and a block returns
+its exact ``k`` best over all of them, so what is sent on grows with the groups that a query meets and not
+with its leaves. The best of all blocks remain.
 
 Defined results: vectors that are null, zero, of another than the commonest length, or hold
 a null or non-finite component take no part, nor do rows of a null id; rows
@@ -62,6 +64,16 @@ class Tree:
     def leaves(self) -> int:
         return max(self.leaf) + 1
 
+    def leaf_order(self) -> list[int]:
+        """Leaf numbers depth first, so that leaves of one branch are neighbours."""
+        out, stack = [], [0]
+        while stack:
+            at = stack.pop()
+            if not self.count[at]:
+                out.append(self.leaf[at])
+            stack.extend(range(self.first[at] + self.count[at] - 1, self.first[at] - 1, -1) if self.count[at] else ())
+        return out
+
     def assign(self, x: np.ndarray) -> np.ndarray:
         """Leaf number of each row: at each level the nearest centre."""
         out = np.zeros(len(x), dtype=np.int32)
@@ -130,16 +142,30 @@ def fit_tree(x: np.ndarray, branches: int = 8, leaf_fit: int = 48, rounds: int =
     return tree
 
 
-def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+def leaf_groups(order: list[int], sizes: dict[int, int], block_rows: int) -> list[tuple[int, int, int]]:
+    """(leaf, group, parts): neighbouring leaves of at most ``block_rows`` rows together, a larger leaf alone in parts."""
+    out, group, held = [], 0, 0
+    for leaf in order:
+        n = sizes.get(leaf, 0)
+        if held and held + n > block_rows:
+            group, held = group + 1, 0
+        out.append((leaf, group, max(1, -(-n // block_rows))))
+        held += n
+    return out
+
+
+def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, allowed: np.ndarray | None = None):
     """(query row, id row, score) of each query's exact k best ids, ties to the smaller id.
 
-    An id in several rows counts once, with its best score.
+    An id in several rows counts once, with its best score. ``allowed`` (queries by rows) says which rows a query sees.
     A matrix product finds the candidates within a rounding margin of the k-th
     best; their scores are then summed component by component in one fixed order,
     so equal vectors score equally wherever they stand.
     """
     fast = q @ x.T
     fast[q_ids[:, None] == ids[None, :]] = -np.inf
+    if allowed is not None:
+        fast[~allowed] = -np.inf
     by_id = np.argsort(ids, kind="stable")
     firsts = np.flatnonzero(np.concatenate(([True], np.diff(ids[by_id]) != 0)))
     # the best of each id, so that rows of one id take one of the k places
@@ -228,45 +254,60 @@ def search(
     placed = cut(rows.mapInArrow(down, "vec_id long, v array<double>, leaf int"))
     visits = max(1, _calibrate(placed, tree, width, k, target_recall, calibration_queries))
 
+    counts = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # a row for each leaf
+    groups = leaf_groups(tree.leaf_order(), counts, block_rows)
+    group_of = np.zeros(tree.leaves, dtype=np.int32)
+    for leaf, group, _ in groups:
+        group_of[leaf] = group
+
     def walk(it):
         for batch in it:
-            leaves = [shared.value.visits(v, visits) for v in _matrix(batch.column(1), width)]
-            at = np.repeat(np.arange(len(leaves)), [len(n) for n in leaves])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), pa.array(np.concatenate([*leaves, []]).astype(np.int32))], ["query_id", "leaf"]
-            )
+            own, at, leaves = [], [], []
+            for i, v in enumerate(_matrix(batch.column(1), width)):
+                seen = np.array(shared.value.visits(v, visits), dtype=np.int32)
+                seen = seen[np.argsort(group_of[seen], kind="stable")]
+                met, starts = np.unique(group_of[seen], return_index=True)
+                own.extend([i] * len(met))
+                at.extend(met.tolist())
+                leaves.extend(x.tolist() for x in np.split(seen, starts[1:]))
+            rows_ = pa.array(own, pa.int64())
+            columns = [batch.column(0).take(rows_), batch.column(1).take(rows_), pa.array(at, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "q", "grp", "leaves"])
 
     queries = placed.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    asked = cut(queries.mapInArrow(walk, "query_id long, leaf int").distinct())
-    blocks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("q_parts"))
-    # at most one row per leaf, and no more leaves than fitted vectors
-    sizes = F.broadcast(
-        placed.groupBy("leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts")).join(blocks, "leaf")
-    )
-    # a block of a leaf meets every block of the leaf's queries
+    asked = cut(queries.mapInArrow(walk, "query_id long, q array<double>, grp int, leaves array<int>"))
+    blocks = asked.groupBy("grp").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("q_parts"))
+    # a row for each leaf, and no more leaves than fitted vectors
+    sizes = F.broadcast(spark.createDataFrame(groups, "leaf int, grp int, parts int").join(blocks, "grp"))
+    # a block of a group meets every block of the group's queries
     left = placed.join(sizes, "leaf").select(
-        "leaf",
+        "grp",
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts")).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"),
+        "leaf",
         "vec_id",
         "v",
     )
-    right = asked.join(queries, "query_id").join(sizes, "leaf").select(
-        "leaf",
+    per_group = F.broadcast(sizes.groupBy("grp").agg(F.max("parts").alias("parts"), F.max("q_parts").alias("q_parts")))
+    right = asked.join(per_group, "grp").select(
+        "grp",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.pmod(F.xxhash64("query_id", F.lit(1)), F.col("q_parts")).cast("int").alias("q_part"),
         "query_id",
         "q",
+        "leaves",
     )
 
     def block(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, q_ids = rows["vec_id"].to_numpy(), queries["query_id"].to_numpy()
-        a, b, s = best_of(q_ids, np.stack(queries["q"]), ids, np.stack(rows["v"]), k)
+        there, which = np.unique(rows["leaf"].to_numpy(), return_inverse=True)
+        sees = np.stack([np.isin(there, leaves) for leaves in queries["leaves"]])
+        a, b, s = best_of(q_ids, np.stack(queries["q"]), ids, np.stack(rows["v"]), k, sees[:, which])
         return pd.DataFrame({"query_id": q_ids[a], "vec_id": ids[b], "score": s})
 
-    keys = ["leaf", "part", "q_part"]
+    keys = ["grp", "part", "q_part"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -169,3 +169,29 @@ def test_stages_on_edges(spark, edge_docs, no_docs):
                 assert out.columns == docs.columns and rows <= docs.count()
             if docs is no_docs:
                 assert rows == 0
+
+
+def test_groups_of_neighbouring_leaves():
+    x = np.random.default_rng(2).normal(size=(900, 8))
+    tree = A.fit_tree(x, leaf_fit=20)
+    order = tree.leaf_order()
+    assert sorted(order) == list(range(tree.leaves))
+    sizes = dict(zip(*(a.tolist() for a in np.unique(tree.assign(x), return_counts=True))))
+    groups = A.leaf_groups(order, sizes, 100)
+    held: dict = {}
+    for leaf, group, parts in groups:
+        held.setdefault(group, []).append((leaf, parts))
+    assert [leaf for leaf, *_ in groups] == order and all(parts == 1 for _, _, parts in groups)
+    assert all(sum(sizes.get(leaf, 0) for leaf, _ in g) <= 100 for g in held.values())
+    assert len(held) <= 2 * 900 / 100 + 1
+    assert A.leaf_groups([0, 1, 2], {0: 5, 1: 250, 2: 5}, 100) == [(0, 0, 1), (1, 1, 3), (2, 2, 1)]
+
+
+def test_a_query_sees_the_rows_of_its_leaves_only():
+    rng = np.random.default_rng(3)
+    x, ids = rng.normal(size=(40, 6)), np.arange(40)
+    allowed = rng.random((3, 40)) < 0.4
+    a, b, score = A.best_of(np.array([-1, -2, -3]), x[:3], ids, x, 5, allowed)
+    for i in range(3):
+        want = sorted(np.flatnonzero(allowed[i]), key=lambda j: (-float(x[i] @ x[j]), j))[:5]
+        assert b[a == i].tolist() == want
