@@ -517,6 +517,7 @@ FROM attempts QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY d DESC, a
 UNION ALL
 SELECT 'events', t.table_name, '{Q.BATCH_TS:%Y-%m-%d %H:%M:%S}', t.attempt, t.status
 FROM (VALUES ('event_d', 1, 1), ('event_failed_d', 1, 0), ('event_retried_d', 2, 1)) t(table_name, attempt, status)"""
+    s["latest_status_compacted"] = s["latest_status"].split("UNION ALL")[0]
     s["order_details_bucketed"] = s["order_details"]
     s["content_reconciliation"] = with_ctes(
         ORDERS_TS, ORDER_ROWS,
@@ -550,7 +551,7 @@ SELECT 'match_histories', strftime(max({from_epoch('time_utc')}), '%Y-%m-%d %H:%
     s["order_daily_delta"] = s["order_daily"]
     s["activity_bitmaps"] = s["user_summary"]
     s["user_summary_batched"] = s["user_summary"]
-    s["chain_stats_batched"] = s["closest_to_midnight"]
+    s["chain_stats_batched"] = s["chain_stats_backfill"] = s["closest_to_midnight"]
 
     # API landings: tokens and contracts replaced, stats appended once per load
     s["landing_token"] = f"SELECT * EXCLUDE (event_id) FROM ({s['json_items_explode']})"

@@ -20,7 +20,7 @@ from martforge.functions.scalars import hex_address, safe_cast, scale_units, usd
 from martforge.operators import activity, bitmaps
 from martforge.operators.timeslice import fan_out_zones
 from martforge.plans import bindings as B
-from martforge.plans import landing, marts, order_deltas
+from martforge.plans import backfill, landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
 from martforge.quality import checks, content
 from martforge.session import shared_dir
@@ -430,6 +430,15 @@ def q_chain_stats_batched(spark, sf_dir):
     return spark.read.parquet(out["chain_stats_d"])
 
 
+def q_chain_stats_backfill(spark, sf_dir):
+    """D10 of a month in which every batch was missed: one landing, one mart job, a ledger row per day."""
+    root = shared_dir(spark, "backfill")
+    days = backfill.missed_days(None, "bridge", "chain_stats_d", EV_START, EV_END)
+    stamp = lambda day: _dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time(1))
+    out = backfill.run_stats_backfill(spark, B.stat_rows(spark, sf_dir), B.STATS_SPEC, days, root, stamp, ("ts_utc", "event_id"))
+    return spark.read.parquet(out["chain_stats_d"])
+
+
 # --- API landings -----------------------------------------------------------------
 def _landed(spark, name, load):
     """Land twice (a second load replaces or appends) and read through the catalog."""
@@ -693,6 +702,19 @@ def q_latest_status(spark, sf_dir):
     return checks.latest_status(spark.read.schema(writes.LEDGER_SCHEMA).parquet(ledger))
 
 
+def q_latest_status_compacted(spark, sf_dir):
+    """Q9 over the ledger of every event, appended in three runs and then merged to one file per day."""
+    root = shared_dir(spark, "status")
+    rows = ledger_rows(spark, sf_dir)
+    rows = rows.select(
+        *[(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in writes.LEDGER_SCHEMA.fields]
+    )
+    for k in range(3):
+        rows.filter(F.col("attempt") % 3 == k).write.mode("append").partitionBy("batch_bdate").parquet(root)
+    writes.compact_ledger(spark, root, EV_END)
+    return checks.latest_status(spark.read.schema(writes.LEDGER_SCHEMA).parquet(root))
+
+
 def q_max_timestamp(spark, sf_dir):
     return checks.max_timestamp(
         {
@@ -763,9 +785,11 @@ QUERIES: dict[str, Query] = {
     "activity_bitmaps": q_activity_bitmaps,
     "user_summary_batched": q_user_summary_batched,
     "chain_stats_batched": q_chain_stats_batched,
+    "chain_stats_backfill": q_chain_stats_backfill,
     "landing_token": q_landing_token,
     "landing_stats": q_landing_stats,
     "landing_contracts": q_landing_contracts,
     "json_bad_pages": q_json_bad_pages,
     "latest_status": q_latest_status,
+    "latest_status_compacted": q_latest_status_compacted,
 }

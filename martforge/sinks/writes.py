@@ -9,16 +9,19 @@ values is needed; new files are staged and moved in at job commit.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from martforge.operators.timeslice import DateLike, as_date
+from martforge.session import materialize
 
 
 def table_path(root: str, schema: str, layer: str, table: str) -> str:
@@ -72,7 +75,7 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
 
 
-def _files_of_days(spark: SparkSession, path: str, column: str, first: DateLike, end: DateLike) -> dict[str, frozenset]:
+def files_of_days(spark: SparkSession, path: str, column: str, first: DateLike, end: DateLike) -> dict[str, frozenset]:
     """Data files of each day partition in ``[first, end)``: one listing, and one for each day that is there."""
     lo, hi = (f"{column}={as_date(d).isoformat()}" for d in (first, end))
     days = [n for n in folder_names(spark, path) if lo <= n < hi and re.fullmatch(r"\d{4}-\d\d-\d\d", n.split("=", 1)[1])]
@@ -90,9 +93,9 @@ def replace_days(
     missing one, and the next run finds them again.
     """
     spark = df.sparkSession
-    before = _files_of_days(spark, path, column, first, end)
+    before = files_of_days(spark, path, column, first, end)
     replace_partitions(df, path, [column], fmt)
-    after = _files_of_days(spark, path, column, first, end) if before else {}
+    after = files_of_days(spark, path, column, first, end) if before else {}
     emptied = sorted(d for d, files in before.items() if files and after.get(d) == files)
     if emptied and catalog_name and spark.catalog.tableExists(catalog_name):
         spark.sql(f"ALTER TABLE {catalog_name} DROP IF EXISTS " + ", ".join(f"PARTITION ({column}='{d}')" for d in emptied))
@@ -218,9 +221,9 @@ def _stamp(job: JobInfo) -> str:
 
 def next_attempt(spark: SparkSession, ledger_path: str, job: JobInfo) -> int:
     """1, or one more than the attempts of this table and batch so far (reads one ledger day)."""
-    if not path_exists(spark, ledger_path):
-        return 1
     ts = _stamp(job)
+    if not path_exists(spark, f"{ledger_path}/batch_bdate={ts[:10]}"):
+        return 1
     mine = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).filter(
         (F.col("batch_bdate") == ts[:10])
         & (F.col("batch_ts") == ts)
@@ -230,24 +233,85 @@ def next_attempt(spark: SparkSession, ledger_path: str, job: JobInfo) -> int:
     return (mine.agg(F.max("attempt")).first()[0] or 0) + 1
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several callers at once only one gets True."""
+    fs, where = file_system(spark, path)
+    fs.mkdirs(where.getParent())
+    if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        try:
+            os.close(os.open(where.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(where, False).close()
+    except Py4JJavaError as exc:
+        if "AlreadyExists" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def claim_attempt(spark: SparkSession, ledger_path: str, job: JobInfo) -> int:
+    """An attempt number of this table and batch that no other run gets, also of two that start at once.
+
+    The number is claimed by creating an empty file of its name in ``_claims`` beside the ledger's days (readers
+    skip the folder), which only one run can do; a number is never used again, so attempts of runs that died
+    without a ledger row leave gaps.
+    """
+    ts = _stamp(job)
+    table = f"{job.schema_name}.{job.table_name.split(' ')[0]}"
+    folder = f"{ledger_path.rstrip('/')}/_claims/{ts[:10]}/{table}/{ts[11:].replace(':', '')}"
+    attempt = next_attempt(spark, ledger_path, job)
+    while not create_new(spark, f"{folder}/{attempt}"):
+        attempt += 1
+    return attempt
+
+
+def compact_ledger(spark: SparkSession, ledger_path: str, before: DateLike, files: int = 1) -> list[str]:
+    """Merge the small files of ledger days before ``before`` into one each; returns the days rewritten.
+
+    Every publish appends a file. Days that no run appends to any more are read once and replaced partition
+    by partition; a reader sees a day's old files or its new one. Claims of these days go as well.
+    """
+    limit = as_date(before).isoformat()
+    days = [n.split("=", 1)[1] for n in folder_names(spark, ledger_path) if n.startswith("batch_bdate=") and n.split("=", 1)[1] < limit]
+    many = [d for d in sorted(days) if sum(not n.startswith(("_", ".")) for n in folder_names(spark, f"{ledger_path}/batch_bdate={d}")) > files]
+    if many:
+        rows = spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path).filter(F.col("batch_bdate").isin(many))
+        rows = materialize(rows)  # the partitions that are read are the ones replaced
+        writer = rows.repartition(min(len(many), 64), "batch_bdate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch_bdate").parquet(ledger_path)
+    for day in folder_names(spark, f"{ledger_path}/_claims"):
+        if day < limit:
+            fs, where = file_system(spark, f"{ledger_path}/_claims/{day}")
+            fs.delete(where, True)
+    return many
+
+
+def ledger_rows(jobs: Sequence[tuple[JobInfo, int, int, Sequence[str]]]) -> list[tuple]:
+    """Ledger rows of (job, status, attempt, emptied days)."""
+    return [
+        (
+            job.schema_name, job.table_name.split(" ")[0], _stamp(job), as_date(job.start_date).isoformat(), as_date(job.end_date).isoformat(),
+            int(status), int(attempt), ",".join(emptied) or None, _stamp(job)[:10],
+        )
+        for job, status, attempt, emptied in jobs
+    ]
+
+
 def ledger_append(spark: SparkSession, ledger_path: str, job: JobInfo, status: int, attempt: int = 1, emptied: Sequence[str] = ()) -> None:
     """K8: one status row (1 ok, 0 failed) appended, partitioned by ``batch_bdate``.
 
     ``emptied``: days that the run left without rows, named in ``emptied_days`` (null: none).
     """
-    ts = _stamp(job)
-    row = (
-        job.schema_name,
-        job.table_name.split(" ")[0],
-        ts,
-        as_date(job.start_date).isoformat(),
-        as_date(job.end_date).isoformat(),
-        int(status),
-        int(attempt),
-        ",".join(emptied) or None,
-        ts[:10],
-    )
-    spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").partitionBy("batch_bdate").parquet(ledger_path)
+    ledger_append_all(spark, ledger_path, [(job, status, attempt, emptied)])
+
+
+def ledger_append_all(spark: SparkSession, ledger_path: str, jobs: Sequence[tuple[JobInfo, int, int, Sequence[str]]]) -> None:
+    """K8 for many batches at once: one row of each, in one write."""
+    rows = spark.createDataFrame(ledger_rows(jobs), LEDGER_SCHEMA).coalesce(1)
+    rows.write.mode("append").partitionBy("batch_bdate").parquet(ledger_path)
 
 
 PARTITIONS, TABLE, APPEND = "partitions", "table", "append"
@@ -278,7 +342,7 @@ def publish(
     if skip_empty and df.isEmpty():
         return path
     cols = default_partitions(job.table_name, partition_cols)
-    attempt = next_attempt(spark, ledger_path, job)
+    attempt = claim_attempt(spark, ledger_path, job)
     emptied: list[str] = []
     try:
         if how == PARTITIONS and drop_empty and len(cols) == 1:
