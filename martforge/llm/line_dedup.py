@@ -36,7 +36,8 @@ from martforge.llm.common import KEY, cut, keyed, sliced, width
 
 #: A line: its document's key and its number there.
 LINE = [*KEY, "p"]
-LINE_KIND = "id long, t1 long, t2 long, p long"
+LINE_KIND = "id long, t binary, p long"
+LINE_ARROW = [pa.int64(), pa.binary(), pa.int64()]
 
 
 def words_of(line: str) -> list[str]:
@@ -54,6 +55,11 @@ def _columns(rows: list[tuple], kinds) -> list[pa.Array]:
     return [pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((),) * len(kinds), kinds)]
 
 
+def _spread(at: tuple) -> int:
+    """A key for a line that nothing is compared with."""
+    return _hash(repr(at), 1)
+
+
 def half_keys(words: list[str]) -> list[int]:
     """Keys of which two lines one edit apart share at least one.
 
@@ -96,13 +102,13 @@ def within_one_edit(a: list[str], b: list[str]) -> bool:
 
 def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     """(a, b: hash of the words, line, keys: half keys). ``b = 0``: repeats an earlier line of its batch."""
-    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
+    kinds = [pa.int64()] * 2 + LINE_ARROW + [pa.list_(pa.int64())]
 
     def batches(it):
         for batch in it:
             first: dict[bytes, tuple] = {}  # hash of the words: line, half keys
             out = []
-            for *own, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            for *own, value in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
                 for n, line in enumerate(value.as_py().split("\n")):
                     words = words_of(line)
                     if not words:
@@ -121,7 +127,7 @@ def hashed_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
             for key, (at, half) in first.items():
                 x, y = np.frombuffer(key, dtype="<i8").tolist()
                 rows.append((x, y | 1, *at, half))
-            rows.extend((hash(at), 0, *at, None) for at in out)
+            rows.extend((_spread(at), 0, *at, None) for at in out)
             yield pa.RecordBatch.from_arrays(_columns(rows, kinds), ["a", "b", *LINE, "keys"])
 
     return docs.select(*KEY, "text").mapInArrow(batches, f"a long, b long, {LINE_KIND}, keys array<long>")
@@ -137,12 +143,12 @@ def candidates(firsts: DataFrame) -> DataFrame:
 def line_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted lines with their words joined."""
     asked = wanted.groupBy(*KEY).agg(F.collect_list("p").alias("ps"))  # of one text at most
-    kinds = [pa.int64()] * 4 + [pa.string()]
+    kinds = [*LINE_ARROW, pa.string()]
 
     def batches(it):
         for batch in sliced(it, 1000):
             rows = []
-            for *own, value, places in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), batch.column(4).to_pylist()):
+            for *own, value, places in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2), batch.column(3).to_pylist()):
                 split = value.as_py().split("\n")
                 rows.extend((*own, p, " ".join(words_of(split[p]))) for p in places)
             yield pa.RecordBatch.from_arrays(_columns(rows, kinds), [*LINE, "line"])
@@ -159,7 +165,7 @@ def neighbourhoods(lines: DataFrame) -> DataFrame:
     Place -2 marks a line already known to be one edit from an earlier line of its
     batch; of the lines of a batch with one variant, only the earliest is compared further.
     """
-    kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 4
+    kinds = [pa.int64(), pa.int32(), *LINE_ARROW]
 
     def batches(it):
         for batch in sliced(it, 4000):
@@ -175,7 +181,7 @@ def neighbourhoods(lines: DataFrame) -> DataFrame:
                     elif not settled and within_one_edit(words, before[1]):
                         settled = True
                 if settled:
-                    out.append((hash(at), -2, *at))
+                    out.append((_spread(at), -2, *at))
             yield pa.RecordBatch.from_arrays(_columns(out, kinds), ["v", "place", *LINE])
 
     return lines.mapInArrow(batches, f"v long, place int, {LINE_KIND}")

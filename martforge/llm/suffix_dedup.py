@@ -145,25 +145,37 @@ def _unpacked(p):
     return p >> (OFF_BITS + RUN_BITS), (p >> RUN_BITS) & ((1 << OFF_BITS) - 1), p & ((1 << RUN_BITS) - 1)
 
 
-def _sent(rows: list[tuple]) -> pa.RecordBatch | None:
-    """Rows (h, c, id, t1, t2, p) of a batch; of equal h and c only the earliest goes on as it is.
+def _ranks(batch: pa.RecordBatch) -> np.ndarray:
+    """Ranks of the documents of a batch by key (its first columns)."""
+    keys = list(zip(*(batch.column(k).to_pylist() for k in range(len(KEY)))))
+    at = {key: n for n, key in enumerate(sorted(set(keys)))}
+    return np.array([at[key] for key in keys], dtype=np.int64)
+
+
+def _sent(rows: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """SENT of rows (h, c, row of the batch, p); of equal h and c only the earliest goes on as it is.
 
     The others are settled: they get ``c = 0`` and an ``h`` that spreads them.
     """
     if not rows:
         return None
-    columns = [np.concatenate(x) for x in zip(*rows)]
-    order = np.lexsort(columns[::-1])
-    h, c, own, t1, t2, p = (x[order] for x in columns)
+    h, c, row, p = (np.concatenate(x) for x in zip(*rows))
+    rank = _ranks(batch)[row]
+    order = np.lexsort((p, rank, c, h))
+    h, c, row, rank, p = (x[order] for x in (h, c, row, rank, p))
     same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
     head = np.maximum.accumulate(np.where(np.concatenate(([True], ~same))[: len(h)], np.arange(len(h)), 0))
-    later = (own != own[head]) | (t1 != t1[head]) | (t2 != t2[head]) | (p != p[head])
-    spread = _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64) ^ t1.view(np.uint64)))
-    h, c = np.where(later, spread, h), np.where(later, np.uint64(0), c)
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), c.view(np.int64), own, t1, t2, p)], ["h", "c", *KEY, "p"])
+    later = (rank != rank[head]) | (p != p[head])
+    own = batch.column(0).to_numpy()[row]
+    h = np.where(later, _mixed(own.view(np.uint64) ^ _mixed(p.view(np.uint64))), h)
+    c = np.where(later, np.uint64(0), c)
+    at = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), *(batch.column(k).take(at) for k in range(len(KEY))), pa.array(p)], ["h", "c", *KEY, "p"]
+    )
 
 
-SENT = "h long, c long, id long, t1 long, t2 long, p long"
+SENT = "h long, c long, id long, t binary, p long"
 
 
 def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
@@ -171,9 +183,8 @@ def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
 
     def batches(it):
         for batch in it:
-            keys = [batch.column(k).to_numpy() for k in range(3)]
             rows = []
-            pieces = [(i, at, part) for i, t in enumerate(batch.column(3)) for at, part in _parts(t.as_py().encode("utf-8", "surrogatepass"), length) if len(part) >= length]
+            pieces = [(i, at, part) for i, t in enumerate(batch.column(2)) for at, part in _parts(t.as_py().encode("utf-8", "surrogatepass"), length) if len(part) >= length]
             for a, b in blocks([len(x[2]) for x in pieces], BLOCK):
                 group = pieces[a:b]
                 sizes = np.array([len(x[2]) for x in group], dtype=np.int64)
@@ -181,8 +192,8 @@ def bucketed(docs: DataFrame, length: int = 100, q: int = 24) -> DataFrame:
                 h, c, first, off, after = anchors(np.frombuffer(b"".join(x[2] for x in group), dtype=np.uint8), ends, length, q)
                 which = np.searchsorted(ends, first, side="right")
                 row, at = (np.array([x[k] for x in group], dtype=np.int64)[which] for k in range(2))
-                rows.append((h, c, *(k[row] for k in keys), _packed(first - (ends - sizes)[which] + at, off, after)))
-            sent = _sent(rows)
+                rows.append((h, c, row, _packed(first - (ends - sizes)[which] + at, off, after)))
+            sent = _sent(rows, batch)
             if sent is not None:
                 yield sent
 
@@ -207,7 +218,7 @@ def _of_open(by_key: DataFrame, level: DataFrame, rows_of) -> DataFrame:
     def batches(it):
         for batch in it:
             rows = []
-            for *own, text, ps in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
+            for row, (text, ps) in enumerate(zip(batch.column(2), batch.column(3))):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 starts, offs, afters = _unpacked(np.unique(ps.values.to_numpy()))
                 data = np.frombuffer(raw, dtype=np.uint8)
@@ -217,8 +228,8 @@ def _of_open(by_key: DataFrame, level: DataFrame, rows_of) -> DataFrame:
                     here = (starts >= at) & (starts < at + step)
                     if here.any():
                         for h, c, p in rows_of(data[at : at + BLOCK], starts[here] - at, offs[here], afters[here]):
-                            rows.append((h, c, *(np.full(len(h), k, dtype=np.int64) for k in own), p + _packed(at, 0, 0)))
-            sent = _sent(rows)
+                            rows.append((h, c, np.full(len(h), row, dtype=np.int64), p + _packed(at, 0, 0)))
+            sent = _sent(rows, batch)
             if sent is not None:
                 yield sent
 

@@ -269,10 +269,9 @@ def test_one_document_of_every_group_whatever_its_id(spark):
     assert got == sorted([(0, text(0)), (0, text(1)), (0, text(2)), (1, text(3)), (2, text(4)), (5, text(5)), (7, text(6)), (7, text(7))])
 
 
-def text_halves(text):
-    """The two signed halves of a text's MD5, by which texts of one id are ordered."""
-    digest = hashlib.md5(text.encode()).hexdigest()
-    return tuple(x - (1 << 64) if x >> 63 else x for x in (int(digest[:16], 16), int(digest[16:], 16)))
+def text_hash(text):
+    """The bytes by which texts of one id are ordered."""
+    return hashlib.md5(text.encode()).digest()
 
 
 def many_texts_of_an_id(own, lines):
@@ -289,7 +288,7 @@ def many_texts_of_an_id(own, lines):
 @pytest.mark.parametrize("own", [None, 5])
 def test_suffixes_of_many_texts_with_one_id(spark, own):
     rows = many_texts_of_an_id(own, False)
-    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], *text_halves(r[1])))
+    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], text_hash(r[1])))
     want = suffix_brute([(i, t) for i, (_, t) in enumerate(order)])
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in S.dedup(df).collect())
@@ -299,7 +298,7 @@ def test_suffixes_of_many_texts_with_one_id(spark, own):
 @pytest.mark.parametrize("own", [None, 5])
 def test_lines_of_many_texts_with_one_id(spark, own):
     rows = many_texts_of_an_id(own, True)
-    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], *text_halves(r[1])))
+    order = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], text_hash(r[1])))
     want = lines_brute([(i, t) for i, (_, t) in enumerate(order)])
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     got = sorted((str(r["doc_id"]), r["text"], r["n_equal"], r["n_near"]) for r in D.dedup(df).collect())
@@ -309,6 +308,6 @@ def test_lines_of_many_texts_with_one_id(spark, own):
 
 def test_keys_of_documents(spark):
     rows = [(1, "a"), (1, "b"), (1, "b"), (None, "x"), (None, None), (2, "q"), (-(1 << 63), "least")]
-    got = {(r["doc_id"], r["text"]): (r["id"], r["t1"], r["t2"]) for r in keyed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {(r["doc_id"], r["text"]): (r["id"], bytes(r["t"])) for r in keyed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(got) == len(set(got.values())) == 6
-    assert got[(2, "q")] == (2, 0, 0) and got[(1, "a")] == (1, *text_halves("a")) and got[(None, "")][1:] == text_halves("")
+    assert got[(2, "q")] == (2, b"") and got[(1, "a")] == (1, text_hash("a")) and got[(None, "")][1] == text_hash("")
