@@ -200,9 +200,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     if last is None:
         return train(np.zeros((0, len(STATISTICS))), np.zeros(0), **options)
     chosen = marks.filter(F.xxhash64("doc_id") <= last)
-    sample = with_statistics(docs.join(chosen, "doc_id", "left_semi")).join(chosen, "doc_id")
+    # of several texts of one id the smallest statistics stand for it, whatever order the rows come in
+    sample = with_statistics(docs.join(chosen, "doc_id", "left_semi")).groupBy("doc_id").agg(F.min("x").alias("x")).join(chosen, "doc_id")
     rows = sample.select("doc_id", "x", "y").orderBy("doc_id").toPandas()  # bounded by max_rows
-    rows = rows.drop_duplicates("doc_id")
     return train(np.array(rows["x"].tolist(), dtype=np.float64).reshape(-1, len(STATISTICS)), rows["y"].to_numpy(), **options)
 
 

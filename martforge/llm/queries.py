@@ -29,7 +29,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = read_table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 0
-    index = toxicity.fit(docs.filter(~held), read_table(spark, sf_dir, "labels"))
+    index = toxicity.fit(docs.filter(~held), read_table(spark, sf_dir, "labels"), corpus=docs)
     return toxicity.score(docs, index).select("doc_id", held.alias("held_out"), "score", "predicted", "evidence")
 
 

@@ -3,8 +3,9 @@
 Training: a bounded sample of labelled documents (``max_examples`` per label, the
 smallest hashes of the text first) is turned into term counts. Terms are words and
 word beginnings of 4 to 6 letters (they carry inflected stems). The terms
-that separate the labels best by the chi-square test form the vocabulary; the
-examples become unit TF-IDF vectors (``1 + ln tf`` times ``ln(1 + N / df)``).
+that separate the labels best by the chi-square test form the vocabulary (part of the fit: ``LEAST_CHI`` and
+``max_terms`` are its parameters); the examples become unit TF-IDF vectors (``1 + ln tf`` times
+``ln(1 + N / df)``), where N and df count all documents of the corpus, labelled or not.
 
 Search: the examples are sorted into blocks; for each term and block the largest
 weight is kept. For a document the block bounds (a product of its vector with
@@ -117,18 +118,9 @@ class Index:
 LEAST_CHI = 24.0
 
 
-def build_index(
-    examples: list[tuple], totals: dict[int, int] | None = None, max_terms: int = 1024, block: int = 32, k: int = 15
-) -> Index:
-    """Index of (id, text, label) examples.
-
-    ``totals`` has the number of labelled rows that the examples of each label stand
-    for; the calibration weighs the examples by it.
-    """
-    labels = np.array([y for _, _, y in examples], dtype=np.float64)
-    n, pos = len(labels), labels.sum()
-    totals = totals or {0: int(n - pos), 1: int(pos)}
-    prior = totals.get(1, 0) / max(1, totals.get(0, 0) + totals.get(1, 0))
+def choose_terms(examples: list[tuple], max_terms: int = 1024) -> dict[str, int]:
+    """Terms of (id, text, label) examples that separate the labels best, with their document counts among them."""
+    n, pos = len(examples), sum(y for _, _, y in examples)
     with_term, with_pos = Counter(), Counter()
     for _, text, y in examples:
         found = term_counts(text or "").keys()
@@ -142,8 +134,56 @@ def build_index(
     below = (a + b) * (c + d) * (a + c) * (b + d)
     chi = np.divide(n * (a * d - b * c) ** 2, below, out=np.zeros_like(df), where=below > 0)
     order = [i for i in np.lexsort((np.arange(len(terms)), -chi)) if chi[i] > LEAST_CHI][:max_terms]
-    vocabulary = {terms[i]: j for j, i in enumerate(order)}
-    idf = np.log(1.0 + n / df[order]) if order else np.zeros(0)
+    return {terms[i]: int(df[i]) for i in order}
+
+
+def document_counts(corpus: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
+    """Documents of the corpus, and how many of them hold each term; summed up in the tasks."""
+    base = texts(corpus).select("text")
+    shared = corpus.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})  # max_terms at most
+
+    def batches(it):
+        vocabulary, known = shared.value, {}
+        total, counts = 0, np.zeros(len(vocabulary), dtype=np.int64)
+        for batch in it:
+            for text in batch.column(0).to_pylist():
+                found: set[int] = set()
+                for word in set(WORD.findall(text.lower())):
+                    at = known.get(word)
+                    if at is None:
+                        at = [vocabulary[t] for t in terms_of(word) if t in vocabulary]
+                        if len(known) < 500_000:
+                            known[word] = at
+                    found.update(at)
+                counts[list(found)] += 1
+            total += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(counts))], pa.int32()), pa.array([total, *counts.tolist()], pa.int64())], ["term", "n"])
+
+    sums = {r["term"]: r["n"] for r in base.mapInArrow(batches, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    return sums.get(-1, 0), {t: sums.get(i, 0) for i, t in enumerate(terms)}
+
+
+def build_index(
+    examples: list[tuple],
+    totals: dict[int, int] | None = None,
+    max_terms: int = 1024,
+    block: int = 32,
+    k: int = 15,
+    counts: tuple[int, dict[str, int]] | None = None,
+) -> Index:
+    """Index of (id, text, label) examples.
+
+    ``totals`` has the number of labelled rows that the examples of each label stand
+    for; the calibration weighs the examples by it. ``counts``: documents of the corpus and those with each
+    chosen term (None: the examples are the corpus).
+    """
+    labels = np.array([y for _, _, y in examples], dtype=np.float64)
+    n, pos = len(labels), labels.sum()
+    totals = totals or {0: int(n - pos), 1: int(pos)}
+    prior = totals.get(1, 0) / max(1, totals.get(0, 0) + totals.get(1, 0))
+    total, order = counts or (n, choose_terms(examples, max_terms))
+    vocabulary = {t: j for j, t in enumerate(order)}
+    idf = np.log(1.0 + total / np.maximum(1.0, np.array(list(order.values()), dtype=np.float64))) if order else np.zeros(0)
     index = Index(vocabulary, idf, np.zeros((n, len(order))), labels, np.array([i for i, _, _ in examples]), block, np.zeros((0, len(order))), prior)
     rows = []
     for i, (_, text, _) in enumerate(examples):
@@ -208,10 +248,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_examples
     return [seen[i] for i in sorted(seen)], totals
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 1000, max_terms: int = 1024, k: int = 15) -> Index:
-    """Index fitted on at most ``max_examples`` documents of each label."""
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 1000, max_terms: int = 1024, k: int = 15, corpus: DataFrame | None = None
+) -> Index:
+    """Index fitted on at most ``max_examples`` documents of each label.
+
+    Document frequencies are those of ``corpus`` (None: ``docs``), whose labels play no part.
+    """
     examples, totals = labelled_sample(docs, labels, label, max_examples)
-    return build_index(examples, totals, max_terms=max_terms, k=k)
+    terms = choose_terms(examples, max_terms)
+    counts = document_counts(docs if corpus is None else corpus, list(terms)) if terms else None
+    return build_index(examples, totals, max_terms=max_terms, k=k, counts=counts)
 
 
 def score(docs: DataFrame, index: Index, k: int = 15, evidence: int = 3, threshold: float = 0.5) -> DataFrame:
@@ -248,5 +295,5 @@ def score(docs: DataFrame, index: Index, k: int = 15, evidence: int = 3, thresho
             )
 
     kind = base.schema["doc_id"].dataType.simpleString()
-    PROOF = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
-    return base.mapInArrow(batches, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id:bigint,cosine:double,label:int>>")
+    PROOF = pa.list_(pa.struct([("doc_id", pa.string() if kind == "string" else pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
+    return base.mapInArrow(batches, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id:{'string' if kind == 'string' else 'bigint'},cosine:double,label:int>>")

@@ -32,6 +32,30 @@ def test_block_max_search_is_exact():
         assert rows.tolist() == want or np.allclose(full[rows], full[want])
 
 
+def test_document_counts_cover_the_corpus(spark):
+    docs = read_table(spark, SF2, "documents")
+    terms = ["the", "^thio", "no such term"]
+    total, counts = X.document_counts(docs, terms)
+    found = [set(X.term_counts(r["text"] or "")) for r in docs.collect()]
+    assert total == len(found) and counts == {t: sum(t in f for f in found) for t in terms}
+    assert X.document_counts(docs.limit(0), terms) == (0, dict.fromkeys(terms, 0))
+
+
+def test_ids_may_be_texts(spark, edge_docs, edge_labels):
+    docs, labels = (df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))) for df in (edge_docs, edge_labels))
+    model = X.fit(docs, labels)
+    rows = X.score(docs, model).collect()
+    assert len(rows) == edge_docs.count() and {r["doc_id"] for r in rows} >= {"d1", "d4", None}
+
+
+def test_texts_of_one_id_count_once_in_the_fit(spark):
+    rows = [(i % 40, f"word{i} " * (1 + i)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, two = (Q.fit(df, labels, trees=3) for df in (docs, spark.createDataFrame(rows[::-1], docs.schema).repartition(5)))
+    assert np.array_equal(one.threshold, two.threshold) and np.array_equal(one.value, two.value)
+
+
 def test_toxicity_held_out(spark):
     got = QUERIES["op1_toxicity"](spark, SF2)
     rows = got.join(read_table(spark, SF2, "labels"), "doc_id").filter("held_out").collect()
