@@ -438,6 +438,7 @@ SELECT * EXCLUDE (dt_utc, dt_kst), 'kst' AS timezone_type, dt_kst AS bdate FROM
   CAST(0 AS DOUBLE) AS exchange_fee_usd_wide, CAST(0 AS DOUBLE) AS network_fee_usd_wide
 FROM valued GROUP BY 1, 2, 3, 4, 5, 6""",
     )
+    s["bridge_stream"] = s["bridge_daily"]
     s["midnight_price"] = with_ctes(TOKENS, PRICES, MIDNIGHT_PRICE, body="SELECT * FROM mprice")
     dist = """CASE WHEN h = 0 AND m = 0 THEN 0 WHEN h = 0 THEN m WHEN h = 23 THEN 60 - m
       WHEN h = 14 THEN 60 - m + 600 WHEN h = 15 THEN m + 600 ELSE 9999 END"""

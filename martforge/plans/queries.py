@@ -35,6 +35,7 @@ EV_START, EV_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)        # events m
 SLICE_START, SLICE_END = _dt.date(2024, 1, 8), _dt.date(2024, 1, 15)  # one week
 ALL_START, ALL_END = _dt.date(1995, 1, 1), _dt.date(2001, 9, 1)        # all orders
 ORDER_BUCKETS = 8
+STREAM_CUT = _dt.date(2024, 1, 21)                                   # first arrival of the stream
 SNAP_END = _dt.date(2001, 7, 31)                                      # a snapshot read a little early
 SLICE_ARCHIVED = _dt.date(1995, 7, 1)                                # orders before it left the source
 UNTIL_END = _dt.date(1998, 1, 1)                                     # snapshot bound
@@ -637,6 +638,34 @@ def q_content_reconciliation(spark, sf_dir):
     return content.key_differences(source, landed, "month", ["order_id", "pair_address"], ["owner", "price", "amount", "filled"])
 
 
+def transfer_versions(spark, sf_dir) -> list[DataFrame]:
+    """Two arrivals of the transfers: those before STREAM_CUT, some not final yet, then the rest and the late updates."""
+    rows = B.transfers(spark, sf_dir)
+    early = slice_predicate("initiated_time", "epoch", EV_START, STREAM_CUT)
+    late = F.col("_id") % 7 == 0
+    nothing = {c: F.lit(None).cast(rows.schema[c].dataType) for c in ("finalized_tx_hash", "finalized_time")}
+    first = rows.filter(early).select(
+        *[F.when(late, v).otherwise(F.col(c)).alias(c) if (v := nothing.get(c, F.lit(0).cast("int") if c == "status" else None)) is not None else F.col(c) for c in rows.columns],
+        F.lit(1).alias("version"),
+    )
+    in_month = slice_predicate("initiated_time", "epoch", EV_START, EV_END)
+    return [first, rows.filter(in_month & (~early | late)).withColumn("version", F.lit(2))]
+
+
+def q_bridge_stream(spark, sf_dir):
+    """D9 kept up to date by a stream over two file arrivals, the second after a restart."""
+    from martforge.streaming.bridge import run_bridge_stream
+
+    root = shared_dir(spark, "bridge_stream")
+    tokens, chains = B.tokens(spark, sf_dir), B.chains(spark, sf_dir)
+    prices = marts.midnight_price(landed_prices(spark, sf_dir), tokens, EV_START, EV_END)
+    for arrival in transfer_versions(spark, sf_dir):
+        arrival.write.mode("append").parquet(f"{root}/arrivals")
+        run_bridge_stream(spark, f"{root}/arrivals", arrival.schema, B.TRANSFERS_SPEC, root, prices, chains, tokens)
+    daily = spark.read.parquet(f"{root}/bridge_d")
+    return daily.filter((F.col("bdate") >= F.lit(EV_START)) & (F.col("bdate") < F.lit(EV_END)))
+
+
 # --- quality -------------------------------------------------------------------
 def q_count_reconciliation(spark, sf_dir):
     """One table that agrees, one within its tolerance and one that fails, over all rows.
@@ -773,6 +802,7 @@ QUERIES: dict[str, Query] = {
     "landing_publish": q_landing_publish,
     "daily_from_landed": q_daily_from_landed,
     "stream_landing": q_stream_landing,
+    "bridge_stream": q_bridge_stream,
     "count_reconciliation": q_count_reconciliation,
     "content_reconciliation": q_content_reconciliation,
     "max_timestamp": q_max_timestamp,
