@@ -484,6 +484,12 @@ UNION ALL SELECT * FROM r2"""
     s["partitioned_overwrite"] = f"SELECT * FROM ({RUN2})"
     s["unpartitioned_replace"] = f"SELECT * FROM ({RUN2})"
     s["table_by_version"] = s["partitioned_by_version"] = f"SELECT * FROM ({RUN2})"
+    s["point_scan"] = with_ctes(
+        ORDERS_TS, ORDER_ROWS,
+        body=f"""SELECT order_id, owner, pair_address, created_at, amount FROM order_rows
+WHERE created_at >= {_epoch(Q.ALL_START)} AND created_at < {_epoch(Q.ALL_END)}
+  AND (owner = '{Q.POINT_OWNER}' OR (pair_address = '{Q.POINT_PAIR}' AND created_at >= {_epoch(Q.UNTIL_END)}))""",
+    )
     s["emptied_days"] = f"""SELECT CAST(ts AS DATE) AS dt_utc, CASE WHEN max(event_id) % 3 = 0 THEN 0 ELSE count(*) END AS events
 FROM events WHERE ts >= {TS(Q.EV_START)} AND ts < {TS(Q.EV_END)} GROUP BY 1"""
     s["append_only"] = f"SELECT * FROM ({RUN1}) UNION ALL SELECT * FROM ({RUN2})"

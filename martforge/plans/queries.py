@@ -24,7 +24,7 @@ from martforge.plans import backfill, landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
 from martforge.quality import checks, content
 from martforge.session import shared_dir
-from martforge.sinks import buckets, versions, writes
+from martforge.sinks import buckets, skipping, versions, writes
 from martforge.sources import payloads
 from martforge.sources.borrow import borrow_time
 from martforge.sources.partitions import read_days, read_landed_for_zones
@@ -35,6 +35,7 @@ EV_START, EV_END = _dt.date(2024, 1, 1), _dt.date(2024, 1, 31)        # events m
 SLICE_START, SLICE_END = _dt.date(2024, 1, 8), _dt.date(2024, 1, 15)  # one week
 ALL_START, ALL_END = _dt.date(1995, 1, 1), _dt.date(2001, 9, 1)        # all orders
 ORDER_BUCKETS = 8
+POINT_OWNER, POINT_PAIR = "0x11", "0x2a"
 STREAM_CUT = _dt.date(2024, 1, 21)                                   # first arrival of the stream
 SNAP_END = _dt.date(2001, 7, 31)                                      # a snapshot read a little early
 SLICE_ARCHIVED = _dt.date(1995, 7, 1)                                # orders before it left the source
@@ -582,6 +583,16 @@ def q_emptied_days(spark, sf_dir):
     return spark.table(name).select("dt_utc", "events").unionByName(gone)
 
 
+def q_point_scan(spark, sf_dir):
+    """S4 on a table laid out by (owner, pair, time): one owner's orders and one pair's, from few row groups."""
+    path = shared_dir(spark, "skipping")
+    orders = land(B.order_rows(spark, sf_dir), replace(B.SNAPSHOT_SPEC, mode="append"), ALL_START, ALL_END)
+    skipping.write_clustered(orders, path, ["owner", "pair_address", "created_at"], 8, bloom=["created_hash"], row_group_bytes=1 << 16)
+    table = spark.read.parquet(path)
+    pair = (F.col("pair_address") == POINT_PAIR) & slice_predicate("created_at", "epoch", UNTIL_END, ALL_END)
+    return table.filter((F.col("owner") == POINT_OWNER) | pair).select("order_id", "owner", "pair_address", "created_at", "amount")
+
+
 def q_append_only(spark, sf_dir):
     path = shared_dir(spark, "sinks", "dm_event_d")
     first, second = _runs(spark, sf_dir)
@@ -797,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "table_by_version": q_table_by_version,
     "partitioned_by_version": q_partitioned_by_version,
     "emptied_days": q_emptied_days,
+    "point_scan": q_point_scan,
     "append_only": q_append_only,
     "publish_guarded": q_publish_guarded,
     "landing_publish": q_landing_publish,
