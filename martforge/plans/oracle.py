@@ -484,6 +484,8 @@ UNION ALL SELECT * FROM r2"""
     s["partitioned_overwrite"] = f"SELECT * FROM ({RUN2})"
     s["unpartitioned_replace"] = f"SELECT * FROM ({RUN2})"
     s["table_by_version"] = s["partitioned_by_version"] = f"SELECT * FROM ({RUN2})"
+    s["skip_empty"] = f"SELECT *, CAST(1 AS BIGINT) AS publishes FROM ({RUN1})"
+    s["default_slice"] = f"SELECT event_id, ts, {zone_cols('ts')} FROM events WHERE ts >= {TS(Q.SLICE_END)} - INTERVAL 1 DAY AND ts < {TS(Q.SLICE_END)}"
     s["point_scan"] = with_ctes(
         ORDERS_TS, ORDER_ROWS,
         body=f"""SELECT order_id, owner, pair_address, created_at, amount FROM order_rows

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.scalars import hex_address, safe_cast, scale_units, usd_value, usd_value_double
 from martforge.operators import activity, bitmaps
-from martforge.operators.timeslice import fan_out_zones
+from martforge.operators.timeslice import default_slice, fan_out_zones
 from martforge.plans import bindings as B
 from martforge.plans import backfill, landing, marts, order_deltas
 from martforge.plans.daily import Batch, DexSources, run_order_day, run_stats_day
@@ -583,6 +583,24 @@ def q_emptied_days(spark, sf_dir):
     return spark.table(name).select("dt_utc", "events").unionByName(gone)
 
 
+def q_skip_empty(spark, sf_dir):
+    """A slice without rows is not published, so the table and the ledger stay as the first run left them."""
+    root = shared_dir(spark, "skip_empty")
+    first, _ = _runs(spark, sf_dir)
+    for hours, rows in ((0, first), (1, event_daily(spark, sf_dir, EV_END + _dt.timedelta(days=2), EV_END + _dt.timedelta(days=30)))):
+        job = writes.JobInfo("events", "dm", "event_d", RUN1_START, RUN1_END, BATCH_TS + _dt.timedelta(hours=hours))
+        writes.publish(spark, rows, job, root, f"{root}/etl_status", skip_empty=True, drop_empty=True)
+    rows = spark.read.parquet(writes.table_path(root, "events", "dm", "event_d"))
+    publishes = spark.read.parquet(f"{root}/etl_status").filter("status = 1").groupBy("table_name").agg(F.count("*").alias("publishes"))
+    return rows.withColumn("table_name", F.lit("event_d")).join(publishes, "table_name").drop("table_name")
+
+
+def q_default_slice(spark, sf_dir):
+    """The events of the batch of a given day, ``[day - 1, day)``."""
+    start, end = default_slice(SLICE_END)
+    return land(_events(spark, sf_dir), DatasetSpec("events", "events", "ts", time_kind="timestamp", select=("event_id", "ts")), start, end)
+
+
 def q_point_scan(spark, sf_dir):
     """S4 on a table laid out by (owner, pair, time): one owner's orders and one pair's, from few row groups."""
     path = shared_dir(spark, "skipping")
@@ -808,6 +826,8 @@ QUERIES: dict[str, Query] = {
     "table_by_version": q_table_by_version,
     "partitioned_by_version": q_partitioned_by_version,
     "emptied_days": q_emptied_days,
+    "skip_empty": q_skip_empty,
+    "default_slice": q_default_slice,
     "point_scan": q_point_scan,
     "append_only": q_append_only,
     "publish_guarded": q_publish_guarded,
