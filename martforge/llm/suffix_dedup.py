@@ -233,7 +233,8 @@ def _of_open(by_key: DataFrame, level: DataFrame, rows_of) -> DataFrame:
             if sent is not None:
                 yield sent
 
-    return by_key.join(asked, KEY).select(*KEY, "text", "ps").mapInArrow(batches, SENT)
+    # all columns go along, so that every reader of the documents reads one and the same shuffle
+    return by_key.join(asked, KEY).select(*KEY, "text", "ps", "doc_id").mapInArrow(batches, SENT)
 
 
 def _spread(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
