@@ -69,6 +69,14 @@ class Index:
     weight: float = 0.05
     slope: float = 1.0
     offset: float = 0.0
+    columns: np.ndarray | None = None  # blocks x terms x rows: a block's weights of one term lie side by side
+
+    def by_columns(self) -> None:
+        """Lay the vectors out for scoring; the last block is filled up with empty rows."""
+        blocks, terms = self.block_max.shape
+        full = np.zeros((blocks * self.block, terms))
+        full[: len(self.vectors)] = self.vectors
+        self.columns = np.ascontiguousarray(full.reshape(blocks, self.block, terms).transpose(0, 2, 1))
 
     def vector(self, counts: dict[int, int]):
         """Sparse unit vector: (term ids, weights)."""
@@ -92,7 +100,7 @@ class Index:
             if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1] - 1e-9):
                 break
             lo = b * self.block
-            scores = self.vectors[lo : lo + self.block][:, at] @ w
+            scores = w @ self.columns[b][at]  # empty rows score 0
             rows = np.flatnonzero(scores > 0)
             rows = rows[rows + lo != skip]
             rows_all = np.concatenate((best_rows, rows + lo))
@@ -197,6 +205,7 @@ def build_index(
     rows = [rows[i] for i in seq]
     blocks = -(-n // block)
     index.block_max = np.array([index.vectors[i * block : (i + 1) * block].max(0) for i in range(blocks)]).reshape(blocks, len(order))
+    index.by_columns()
     if 0 < pos < n:
         votes = np.array([index.vote(*index.nearest(at, w, k, skip=i)) for i, (at, w) in enumerate(rows)])
         weights = np.where(index.labels == 1, totals[1] / pos, totals[0] / (n - pos))
