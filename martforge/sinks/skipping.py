@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 10_000
+#: A writer keeps the footer of its open file in memory: an entry per column for each row group, and the bloom filters.
+FILE_ROWS_PER_GROUP_BYTE = 8    # rows of a file at most, for each byte of a row group
+BLOOM_SHARE = 8                 # a bloom filter takes 1/8 of its row group at most,
+BLOOM_MAX, BLOOM_MIN = 1 << 20, 1 << 10  # and 1 MB (Parquet's default, taken whole unless it is lowered) at most
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], bits: int, sample_rows: int = SAMPLE_ROWS) -> dict[str, list]:
@@ -61,7 +65,11 @@ def write_clustered(
     """Write ``df`` in ``files`` files ordered by the Z-order key over ``columns``; all rows, no new column.
 
     ``files`` is chosen so that a file has 128 MB to 1 GB. ``bloom``: columns with a bloom filter in every row group.
+    With small row groups a larger table is written in more files, so that the footer a task holds does not grow
+    with the table.
     """
+    if row_group_bytes:
+        files = max(files, -(-df.count() // (row_group_bytes * FILE_ROWS_PER_GROUP_BYTE)))
     bounds = range_bounds(df, columns, bits)
     keyed = df.withColumn("__z", interleaved_key(df, bounds, bits))
     dealt = keyed.repartitionByRange(files, "__z", *columns).sortWithinPartitions("__z", *columns).drop("__z")
@@ -70,6 +78,7 @@ def write_clustered(
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
+        writer = writer.option("parquet.bloom.filter.max.bytes", str(min(BLOOM_MAX, max(BLOOM_MIN, row_group_bytes // BLOOM_SHARE))))
     writer.parquet(path)
 
 

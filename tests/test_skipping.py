@@ -1,5 +1,8 @@
 """Z-order layout and bloom filters: the same rows, fewer of them read."""
 
+import glob
+import os
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +46,21 @@ def test_bloom_filters_are_written(spark, events):
     assert [r["id"] for r in one] == [77]
 
 
+def test_what_an_open_file_holds_is_bounded(spark, events):
+    """Bloom filters of small row groups are small, and more rows make more files, not longer footers."""
+    root = shared_dir(spark, "skip")
+    K.write_clustered(events, f"{root}/plain", ["owner", "d"], 2, row_group_bytes=16384)
+    K.write_clustered(events, f"{root}/bloom", ["owner", "d"], 2, bloom=["tx"], row_group_bytes=16384)
+    K.write_clustered(events, f"{root}/many", ["owner", "d"], 2, row_group_bytes=1024)
+
+    def files(name):
+        return glob.glob(f"{root}/{name}/*.parquet".removeprefix("file:"))
+
+    assert sum(map(os.path.getsize, files("bloom"))) < 2 * sum(map(os.path.getsize, files("plain")))
+    assert len(files("plain")) == 2 and len(files("many")) == 8
+    assert spark.read.parquet(f"{root}/many").count() == 60_000
+
+
 def test_interleaved_bits(spark):
     df = spark.createDataFrame([(a, b) for a in range(4) for b in range(4)], "a int, b int")
     bounds = {"a": [1, 2, 3], "b": [1, 2, 3]}
