@@ -22,6 +22,7 @@ KST_OFFSET_HOURS = 9
 REPORT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Money type of published totals.
 MONEY = "decimal(38,10)"
+MONEY_SCALE = 10
 COUNTER = "decimal(38,0)"
 # ---------------------------------------------------------------------------
 
@@ -192,13 +193,13 @@ def usd_value(value: Column | str, price: Column | str, decimals: Column | str)
     v, p = _c(value).cast("decimal(38,0)"), _c(price).cast(f"decimal(38,{PRICE_SCALE})")
     short = v.try_cast("decimal(19,0)") * p.try_cast("decimal(18,9)")  # decimal(38,9)
     sign = F.when((v < 0) != (p < 0), F.lit("-")).otherwise(F.lit(""))
-    wide = _shifted(F.concat(sign, _long_product(F.abs(v).cast("string"), _unscaled(p))), _c(decimals).cast("int") + PRICE_SCALE)
+    wide = _shifted(F.concat(sign, _long_product(F.abs(v).cast("string"), unscaled(p))), _c(decimals).cast("int") + PRICE_SCALE)
     fits = (p.try_cast("decimal(18,9)") == p) & v.try_cast("decimal(19,0)").isNotNull()
     # the long product stands in the plan once, and is computed only where the short one does not hold
     return F.coalesce(F.when(fits, _shifted(short.cast("string"), _c(decimals))), wide)
 
 
-def _unscaled(p: Column) -> Column:
+def unscaled(p: Column) -> Column:
     """Digits of |p| * 10**18: whole and fractional digits joined."""
     a = F.abs(p)
     part = (a % 1).cast("decimal(18,18)") * F.lit(10**PRICE_SCALE).cast("decimal(19,0)")

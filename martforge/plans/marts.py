@@ -2,22 +2,27 @@
 
 Inputs are *landed* tables: source rows plus ``ts_utc, dt_utc, ts_kst,
 dt_kst`` (see ``martforge.sources.scans``). Every function takes an explicit
-half-open slice and returns a lazy DataFrame; nothing is collected.
+half-open slice and returns a DataFrame; nothing is collected (``bridge_daily``
+checkpoints its rows, the others are lazy).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from martforge.functions.scalars import (
     COUNTER,
     MONEY,
+    MONEY_SCALE,
+    PRICE_SCALE,
     cancelled_flag,
     exact_avg,
     money_sum,
     scale_units,
     scale_units_double,
+    unscaled,
     usd_value,
     usd_value_double,
 )
@@ -33,6 +38,7 @@ from martforge.operators.timeslice import (
     shift_days,
 )
 from martforge.operators.union import union_by_name
+from martforge.session import materialize
 
 PAIR_COLUMNS = {"pair_name": "pair_name", "quote_address": "quote_address", "base_address": "base_address"}
 
@@ -276,50 +282,157 @@ def midnight_price(prices: DataFrame, tokens: DataFrame, start: DateLike, end: D
 
 # D9 -------------------------------------------------------------------------
 BRIDGE_DAILY_KEYS = ["timezone_type", "bdate", "from_chain_name", "to_chain_name", "from_token_symbol", "to_token_symbol"]
+#: What a price of the day is found by.
+PRICE_KEYS = ["from_token_symbol", "from_chain_id", "timezone_type", "bdate"]
+#: Amounts that are valued: raw column -> published column.
+USD_COLUMNS = {"value": "volume_usd", "exchange_fee": "exchange_fee_usd", "network_fee": "network_fee_usd"}
+PRICE_PARTS = 8  # tasks that share the amounts of one price key
 
 
-def bridge_daily(details: DataFrame, daily_price: DataFrame, tokens: DataFrame, start: DateLike, end: DateLike, lookback_days: int = 1) -> DataFrame:
-    """Bridge volume, counts and USD value per zone-day and route.
+def _money(units) -> Column:
+    """A whole number of 1E-10 as money (a product with 1E-10 or a sum of two such decimals would lose digits)."""
+    return F.concat(units.cast("string"), F.lit(f"E-{MONEY_SCALE}")).cast(MONEY)
 
-    Decimal totals hold every amount of up to 28 integer digits exactly. Amounts beyond
-    that are counted in ``wide_cnt`` and summed as doubles in the ``*_wide`` columns.
+
+def _bridge_prices(daily_price: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Distinct prices by ``PRICE_KEYS`` with their numbers, what all of them add up to, and their scale.
+
+    ``unit``: digits of |price| as an integer; ``weight``: positive less negative prices of that size.
     """
-    zoned = fan_out_zones(details, shift_days(start, -lookback_days), end)
-    with_dec = attach_role(
-        zoned, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"decimals": "decimals"}, "dec"
+    kind = daily_price.schema["price_usd"].dataType
+    scale = min(PRICE_SCALE, kind.scale) if isinstance(kind, DecimalType) else PRICE_SCALE
+    names = {"symbol": "from_token_symbol", "chain_id": "from_chain_id"}
+    prices = daily_price.select(*[F.col(c).alias(names.get(c, c)) for c in ("symbol", "chain_id", "timezone_type", "bdate")], "price_usd")
+    exact = F.col("price_usd").cast(f"decimal(38,{PRICE_SCALE})")
+    digits = unscaled(exact)
+    sized = prices.select(
+        *PRICE_KEYS, F.signum(exact).cast("int").alias("sign"), F.left(digits, F.length(digits) - (PRICE_SCALE - scale)).cast(COUNTER).alias("unit")
+    )
+    known = materialize(sized.groupBy(*PRICE_KEYS, "unit").agg(F.count(F.lit(1)).alias("n"), F.sum("sign").alias("weight")))
+    totals = known.groupBy(*PRICE_KEYS).agg(
+        F.sum("n").alias("n_prices"),
+        F.sum((F.col("unit") * F.col("weight").cast("decimal(18,0)")).cast(COUNTER)).alias("units"),
+        F.sum(F.col("unit").cast("double") * F.col("n")).alias("units_size"),
+        F.max(F.col("unit").cast("double")).alias("most"),
     )
+    return known.filter("unit > 0 AND weight <> 0"), totals, scale
+
+
+def _rounded_parts(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Per route the sums of ``round(low * unit / modulus)`` over amounts and prices, in units of 1E-10.
+
+    Rounding does not add up, so this is the one step that pairs amounts with prices: distinct remainders with
+    distinct prices of a key, in long arithmetic, and only remainders that a price can bring to half a unit.
+    """
+    lows = [
+        F.struct(F.lit(c).alias("kind"), F.col(f"{c}_low").alias("low"), F.col(f"{c}_sign").alias("sign")) for c in USD_COLUMNS
+    ]
+    low = rows.select(*BRIDGE_DAILY_KEYS, "from_chain_id", "modulus", "most", F.inline(F.array(*lows)))
+    low = low.filter("low > 0 AND low * most >= modulus * 0.49D")
+    amounts = low.groupBy(*BRIDGE_DAILY_KEYS, "from_chain_id", "modulus", "kind", "low").agg(F.sum("sign").alias("weight"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = [*PRICE_KEYS, "part"]
+    distinct = low.select(*PRICE_KEYS, "modulus", "low").distinct().withColumn("part", F.pmod(F.hash("low"), F.lit(PRICE_PARTS)))
+    priced = known.select(*PRICE_KEYS, F.col("unit").try_cast("bigint").alias("unit"), "weight")
+    priced = priced.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PRICE_PARTS - 1))))
+    pairs = distinct.repartition(tasks, *dealt).join(priced.repartition(tasks, *dealt), dealt)
+    rounded = F.expr("weight * ((low * unit + modulus div 2) div modulus)")
+    sums = pairs.groupBy(*dealt, "modulus", "low").agg(F.sum(rounded).alias("rounded")).drop("part")
+    found = amounts.join(sums, [*PRICE_KEYS, "modulus", "low"])
+    total = (F.col("weight").cast("decimal(18,0)") * F.col("rounded").cast("decimal(19,0)")).cast(COUNTER)
+    return found.groupBy(*BRIDGE_DAILY_KEYS).agg(*[_money(F.sum(F.when(F.col("kind") == c, total))).alias(out) for c, out in USD_COLUMNS.items()])
+
+
+def _far_amounts(rows: DataFrame, daily_price: DataFrame) -> DataFrame:
+    """Per route the sums over amounts so large or of so many decimals that each is multiplied with each price."""
     priced = attach_role(
-        with_dec,
-        daily_price,
+        rows, daily_price,
         [("from_token_symbol", "symbol"), ("from_chain_id", "chain_id"), ("timezone_type", "timezone_type"), ("bdate", "bdate")],
-        {"price_usd": "price_usd"},
-        "price",
+        {"price_usd": "price_usd"}, "price",
     )
-    valued = (
-        priced.withColumn("value_eth", scale_units("value", "decimals"))
-        .withColumn("volume_usd", usd_value("value", "price_usd", "decimals"))
-        .withColumn("exchange_fee_usd", usd_value("exchange_fee", "price_usd", "decimals"))
-        .withColumn("network_fee_usd", usd_value("network_fee", "price_usd", "decimals"))
-    )
-    for c, raw in (("volume_usd", "value"), ("exchange_fee_usd", "exchange_fee"), ("network_fee_usd", "network_fee")):
+    valued = priced.withColumn("value_eth", scale_units("value", "decimals"))
+    for raw, c in USD_COLUMNS.items():
+        valued = valued.withColumn(c, usd_value(raw, "price_usd", "decimals"))
         valued = valued.withColumn(f"{c}_wide", F.when(F.col(c).isNull(), usd_value_double(raw, "price_usd", "decimals")))
     valued = valued.withColumn("value_eth_wide", F.when(F.col("value_eth").isNull(), scale_units_double("value", "decimals")))
     ok = F.col("status") == 1
     wide = [F.when(ok, F.col("value_eth_wide")), F.when(ok, F.col("volume_usd_wide")), F.col("exchange_fee_usd_wide"), F.col("network_fee_usd_wide")]
     return valued.groupBy(*BRIDGE_DAILY_KEYS).agg(
-        F.count("initiated_tx_hash").alias("initiated_cnt"),
-        F.count("finalized_tx_hash").alias("finalized_cnt"),
-        F.count(F.when(ok, F.col("_id"))).alias("success_cnt"),
-        F.count(F.when(F.col("status") != 1, F.col("_id"))).alias("failed_cnt"),
-        F.count_distinct("initiated_tx_hash").alias("tx_cnt"),
         money_sum(F.when(ok, F.col("value_eth"))).alias("amount"),
         money_sum(F.when(ok, F.col("volume_usd"))).alias("volume_usd"),
+        money_sum("exchange_fee_usd").alias("exchange_fee_usd"),
+        money_sum("network_fee_usd").alias("network_fee_usd"),
+        F.count(F.coalesce(*wide)).alias("wide_cnt"),
+        *[F.sum(w).alias(f"{c}_wide") for w, c in zip(wide, ("amount", *USD_COLUMNS.values()))],
+    )
+
+
+def bridge_daily(details: DataFrame, daily_price: DataFrame, tokens: DataFrame, start: DateLike, end: DateLike, lookback_days: int = 1) -> DataFrame:
+    """Bridge volume, counts and USD value per zone-day and route.
+
+    Decimal totals hold every amount of up to 28 integer digits exactly. Amounts beyond
+    that are counted in ``wide_cnt`` and summed as doubles in the ``*_wide`` columns.
+
+    A transfer counts once for each price of its token and day. These pairs are not made: counts and sums are
+    multiplied by the number of prices, and ``value * price`` is split at the tenth digit into a part that
+    is summed on each side first and a remainder, which alone is rounded (``_rounded_parts``). Rows and distinct
+    prices are checkpointed, since several sums read them.
+    """
+    zoned = fan_out_zones(details, shift_days(start, -lookback_days), end)
+    with_dec = attach_role(
+        zoned, tokens, [("from_token", "address"), ("from_chain_id", "chain_id")], {"decimals": "decimals"}, "dec"
+    )
+    known, totals, scale = _bridge_prices(daily_price)
+    rows = attach_role(
+        with_dec.select(*BRIDGE_DAILY_KEYS, "from_chain_id", "_id", "initiated_tx_hash", "finalized_tx_hash", "status", *USD_COLUMNS, "decimals"),
+        totals, [(k, k) for k in PRICE_KEYS], {c: c for c in ("n_prices", "units", "units_size", "most")}, "price",
+    )
+    ok = F.col("status") == 1
+    shift = F.col("decimals").cast("int") + (scale - MONEY_SCALE)  # digits of value * price behind the tenth
+    ten = lambda n: F.pow(F.lit(10.0), n.cast("double"))
+    size = lambda c: F.abs(F.col(c).cast("double"))
+    far = (shift < -27) | (shift > 18) | (ten(shift) * F.greatest("most", F.lit(1.0)) > 9e18) | (F.col("units_size") > 9e18)
+    for c in USD_COLUMNS:
+        far = far | (size(c) * ten(-shift) > 1e31) | (size(c) * F.col("units_size") * ten(-shift) > 1e36)
+    far = (far & F.col("most").isNotNull()) | (size("value") * ten(-F.col("decimals")) > 1e27)
+    rows = rows.withColumn("n_prices", F.coalesce("n_prices", F.lit(1)).cast("bigint")).withColumn("far", F.coalesce(far, F.lit(False)))
+    near = ~F.col("far") & F.col("units").isNotNull() & F.col("decimals").isNotNull()
+    rows = rows.withColumn("modulus", F.when(near, F.concat(F.lit("1E"), F.greatest(shift, F.lit(0)).cast("string")).cast("decimal(19,0)").cast("bigint")))
+    rows = rows.withColumn("up", F.when(near, F.concat(F.lit("1E"), F.greatest(-shift, F.lit(0)).cast("string")).cast("decimal(28,0)")))
+    rows = materialize(rows)  # read by the three sums below
+    used = {c: F.when(ok, F.col(c)) if c == "value" else F.col(c) for c in USD_COLUMNS}
+    for c in USD_COLUMNS:
+        whole, base = F.abs(used[c]).cast(COUNTER), F.col("modulus").cast("decimal(19,0)")
+        low = F.when(near, (whole % base).cast("bigint"))
+        rows = rows.withColumn(f"{c}_low", low).withColumn(f"{c}_sign", F.signum(used[c]).cast("int"))
+        high = F.when(F.col("modulus") == 1, (whole * F.col("up")).cast(COUNTER)).otherwise(((whole - F.col(f"{c}_low").cast("decimal(19,0)")) / base).cast(COUNTER))
+        rows = rows.withColumn(f"{c}_units", F.when(near, (high * F.col("units")).cast(COUNTER) * F.col(f"{c}_sign").cast("decimal(1,0)")).cast(COUNTER))
+    times = F.col("n_prices")
+    count = lambda c: F.coalesce(F.sum(F.when(c.isNotNull(), times)), F.lit(0))
+    eth_units = F.concat(F.col("value").cast(COUNTER).cast("string"), F.lit("E"), (MONEY_SCALE - F.col("decimals").cast("int")).cast("string")).try_cast(COUNTER)
+    rows = rows.withColumn("eth_units", F.when(ok & ~F.col("far"), eth_units))
+    main = rows.groupBy(*BRIDGE_DAILY_KEYS).agg(
+        count(F.col("initiated_tx_hash")).alias("initiated_cnt"),
+        count(F.col("finalized_tx_hash")).alias("finalized_cnt"),
+        count(F.when(ok, F.col("_id"))).alias("success_cnt"),
+        count(F.when(F.col("status") != 1, F.col("_id"))).alias("failed_cnt"),
+        F.count_distinct("initiated_tx_hash").alias("tx_cnt"),
+        _money(F.sum((F.col("eth_units") * times.cast("decimal(10,0)")).cast(COUNTER))).alias("amount"),
+        *[F.sum((F.col(c) * times.cast("decimal(10,0)")).cast(COUNTER)).alias(c) for c in ("exchange_fee", "network_fee")],
+        *[_money(F.sum(f"{c}_units")).alias(out) for c, out in USD_COLUMNS.items()],
+    )
+    parts = main.unionByName(_rounded_parts(rows.filter(near), known), allowMissingColumns=True)
+    parts = parts.unionByName(_far_amounts(rows.filter("far"), daily_price), allowMissingColumns=True)
+    return parts.groupBy(*BRIDGE_DAILY_KEYS).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("initiated_cnt", "finalized_cnt", "success_cnt", "failed_cnt", "tx_cnt")],
+        money_sum("amount").alias("amount"),
+        money_sum("volume_usd").alias("volume_usd"),
         F.sum("exchange_fee").cast(COUNTER).alias("exchange_fee"),
         money_sum("exchange_fee_usd").alias("exchange_fee_usd"),
         F.sum("network_fee").cast(COUNTER).alias("network_fee"),
         money_sum("network_fee_usd").alias("network_fee_usd"),
-        F.count(F.coalesce(*wide)).alias("wide_cnt"),
-        *[F.coalesce(F.sum(w), F.lit(0.0)).alias(f"{c}_wide") for w, c in zip(wide, ("amount", "volume_usd", "exchange_fee_usd", "network_fee_usd"))],
+        F.coalesce(F.sum("wide_cnt"), F.lit(0)).alias("wide_cnt"),
+        *[F.coalesce(F.sum(f"{c}_wide"), F.lit(0.0)).alias(f"{c}_wide") for c in ("amount", *USD_COLUMNS.values())],
     )
 
 

@@ -83,3 +83,35 @@ def test_bridge_daily_decimals_and_status(spark):
     assert n["success_cnt"] == 0 and n["failed_cnt"] == 0 and n["finalized_cnt"] == 0 and n["amount"] is None
     q = by["Q2/one"]
     assert q["failed_cnt"] == 1 and q["amount"] is None and q["volume_usd"] is None
+
+
+def test_bridge_daily_of_many_prices(spark):
+    """Sums over all (transfer, price) pairs of a token and day, each rounded, though 900 million pairs are never made."""
+    from decimal import ROUND_HALF_UP, localcontext
+
+    day, n = dt.date(2024, 1, 2), 30_000
+    at = F.lit(dt.datetime(2024, 1, 2, 3)).cast("timestamp_ntz")
+    details = spark.range(n).select(
+        F.lit(day).alias("dt_utc"), F.lit(day).alias("dt_kst"), at.alias("ts_utc"), at.alias("ts_kst"), F.col("id").alias("_id"), F.lit(1).cast("long").alias("from_chain_id"),
+        F.lit("one").alias("from_chain_name"), F.lit(None).cast("string").alias("to_chain_name"), F.lit("a").alias("from_token"), F.lit("A").alias("from_token_symbol"),
+        F.lit("T").alias("to_token_symbol"), ((F.col("id") % 7 - 3) * 1234567891 + 7).cast("decimal(38,0)").alias("value"), F.lit(0).cast("decimal(38,0)").alias("exchange_fee"),
+        F.when(F.col("id") % 2 == 0, 5).cast("decimal(38,0)").alias("network_fee"), F.col("id").cast("string").alias("initiated_tx_hash"),
+        F.lit(None).cast("string").alias("finalized_tx_hash"), F.lit(1).alias("status"),
+    )
+    tokens = spark.createDataFrame([("a", 1, 18)], "address string, chain_id long, decimals int")
+    sizes = ["2.00", "33.33", None]
+    price = spark.range(n).select(
+        F.lit("utc").alias("timezone_type"), F.lit(day).alias("bdate"), F.lit("A").alias("symbol"), F.lit(1).cast("long").alias("chain_id"),
+        F.element_at(F.array(*[F.lit(s) for s in sizes]), (F.col("id") % 3 + 1).cast("int")).cast("decimal(12,2)").alias("price_usd"),
+    )
+    r = marts.bridge_daily(details, price, tokens, day, "2024-01-03").filter("timezone_type = 'utc'").collect()
+    assert len(r) == 1 and r[0]["initiated_cnt"] == n * n and r[0]["tx_cnt"] == n and r[0]["wide_cnt"] == 0
+    with localcontext() as ctx:
+        ctx.prec, ctx.rounding = 80, ROUND_HALF_UP
+        step = Decimal("1E-10")
+        values = [Decimal((k - 3) * 1234567891 + 7) for k in range(7)]
+        times = [len(range(k, n, 7)) for k in range(7)]
+        each = [sum((v * Decimal(p) / 10**18).quantize(step) for p in sizes if p) * (n // 3) for v in values]
+        assert r[0]["volume_usd"] == sum(a * b for a, b in zip(each, times))
+        assert r[0]["amount"] == sum((v / 10**18).quantize(step) * b for v, b in zip(values, times)) * n
+        assert r[0]["network_fee"] == 5 * (n // 2) * n and r[0]["network_fee_usd"] == 0
