@@ -11,7 +11,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.functions.scalars import KST, KST_OFFSET_HOURS, UTC, ZONES, ntz_lit
+from martforge.functions.scalars import EPOCH_DAY, KST, KST_OFFSET_HOURS, UTC, ZONES, ntz_lit
 
 DateLike = _dt.date | str
 
@@ -145,6 +145,27 @@ def fan_out_zones(
     return out.filter(day_ok)
 
 
+WEEK = "__week"
+
+
+def by_week(df: DataFrame) -> DataFrame:
+    """Rows with the week of their days as column ``__week``, to be dealt by it before they are fanned out.
+
+    A row whose days lie in two weeks comes once in each, with the other day NULL (``fan_out_zones``
+    drops NULL days), so behind a shuffle by week and key every zone-day of a key is in one place.
+    """
+    def week(c: str) -> Column:
+        return F.floor(F.datediff(F.col(c).cast("date"), F.lit(EPOCH_DAY)) / 7).cast("int")
+
+    def part(number: Column, *kept: str) -> Column:
+        return F.struct(number.alias(WEEK), *[(F.col(c) if c in kept else F.lit(None)).cast("date").alias(c) for c in ("dt_utc", "dt_kst")])
+
+    one = F.array(part(week("dt_utc"), "dt_utc", "dt_kst"))
+    two = F.array(part(week("dt_utc"), "dt_utc"), part(week("dt_kst"), "dt_kst"))
+    rest = [c for c in df.columns if c not in ("dt_utc", "dt_kst")]
+    return df.select(*rest, F.inline(F.when(week("dt_utc") == week("dt_kst"), one).otherwise(two)))
+
+
 def clip_days(df: DataFrame, start: DateLike, end: DateLike, col: str = "bdate") -> DataFrame:
     """Re-apply ``[start, end)`` after dates were adjusted."""
     return df.filter(in_range(col, start, end))

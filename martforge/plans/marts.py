@@ -29,9 +29,11 @@ from martforge.functions.scalars import (
 from martforge.operators.enrich import attach_role, remove_matched
 from martforge.operators.snapshot import closest_to_midnight
 from martforge.operators.timeslice import (
+    WEEK,
     DateLike,
     clip_days,
     cover_zones,
+    by_week,
     fan_out_zones,
     filter_by_time,
     filter_by_time_end,
@@ -153,11 +155,16 @@ def fee_daily(fees: DataFrame, pairs: DataFrame, tokens: DataFrame, start: DateL
 def order_matches_daily(matches: DataFrame, pairs: DataFrame, tokens: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Aggregate fills per pair and side first (A11), then attach names.
 
+    Fills are dealt by (week, pair, side) as they are, and fanned out to the zones behind that
+    shuffle, where a group's rows already lie together: totals of sparse groups are wider than fills.
+
     O1 "sort before write" is a per-partition sort: a written table keeps no
     global order, so a range shuffle (and its sampling job) would buy nothing.
     """
-    zoned = fan_out_zones(matches, start, end)
-    agg = zoned.groupBy("timezone_type", "bdate", "pair_address", "order_side").agg(
+    fills = matches.filter(cover_zones(start, end)) if "ts_utc" in matches.columns else matches
+    fills = by_week(fills.select("dt_utc", "dt_kst", "pair_address", "order_side", "price", "amount", "fee", "block"))
+    zoned = fan_out_zones(fills.repartition(WEEK, "pair_address", "order_side"), start, end)
+    agg = zoned.groupBy(WEEK, "timezone_type", "bdate", "pair_address", "order_side").agg(
         exact_avg("price").alias("avg_price"),
         money_sum("amount").alias("total_amount"),
         money_sum("fee").alias("total_fee"),
@@ -178,23 +185,17 @@ TRADE_DAILY_KEYS = ["timezone_type", "bdate", "pair_name", "base_symbol", "quote
 def trade_daily(details: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Taker fills per zone-day and pair.
 
-    Fills are summed per transaction and (UTC day, KST day) first, so each transaction
-    is fanned out to the zones once, whatever the number of its fills.
+    One shuffle: a day's fills of a pair are dealt by the keys of the result, as narrow as they are
+    read, and counted and summed where they lie.
     """
     sums = ["amount", "volume", "volume_usd", "fee", "fee_usd"]
     takers = details.filter(F.col("is_taker") == 1).filter(cover_zones(start, end))
-    per_tx = takers.groupBy("dt_utc", "dt_kst", *TRADE_DAILY_KEYS[2:], "txhash").agg(
-        F.min("price").alias("low"),
-        F.max("price").alias("high"),
-        F.sum("price").alias("prices"),
-        F.count("price").alias("n_prices"),
-        *[F.sum(c).alias(c) for c in sums],
-    )
-    return fan_out_zones(per_tx, start, end, ts_col=None).groupBy(*TRADE_DAILY_KEYS).agg(
+    takers = takers.select("dt_utc", "dt_kst", *TRADE_DAILY_KEYS[2:], "txhash", "price", *sums)
+    return fan_out_zones(takers, start, end, ts_col=None).repartition(*TRADE_DAILY_KEYS).groupBy(*TRADE_DAILY_KEYS).agg(
         F.count_distinct("txhash").alias("tx_cnt"),
-        F.min("low").cast(MONEY).alias("low_price"),
-        F.max("high").cast(MONEY).alias("high_price"),
-        F.try_divide(F.sum("prices").cast("double"), F.sum("n_prices")).alias("avg_price"),
+        F.min("price").cast(MONEY).alias("low_price"),
+        F.max("price").cast(MONEY).alias("high_price"),
+        exact_avg("price").alias("avg_price"),
         *[money_sum(c).alias(c) for c in sums],
     )
 
@@ -222,16 +223,15 @@ def trade_daily_with_tvl(trades: DataFrame, tvl: DataFrame, open_only: bool = Fa
     """D16 tail: trade mart joined to open-order value, NULL -> 0.
 
     ``open_only`` also keeps keys with open orders and no trade (all trade
-    numbers 0); null-safe keys, since unmatched names are NULL on either side.
+    numbers 0); null-safe keys, since unmatched names are NULL on either side. Both
+    sides have a row per key, so there it is a union whose rows are brought together by key: groups take NULL keys
+    as they are, where a null-safe join would shuffle and sort both sides by computed keys.
     """
     if not open_only:
         return trades.join(tvl, TRADE_DAILY_KEYS, "left").na.fill(0)
-    side = tvl.select(*[F.col(c).alias(f"__{c}") if c in TRADE_DAILY_KEYS else F.col(c) for c in tvl.columns])
-    same = [trades[c].eqNullSafe(side[f"__{c}"]) for c in TRADE_DAILY_KEYS]
-    both = trades.join(side, same, "full_outer")
-    keys = [F.coalesce(F.col(c), F.col(f"__{c}")).alias(c) for c in TRADE_DAILY_KEYS]
     rest = [c for c in trades.columns + tvl.columns if c not in TRADE_DAILY_KEYS]
-    return both.select(*keys, *rest).na.fill(0)
+    both = trades.unionByName(tvl, allowMissingColumns=True)
+    return both.groupBy(*TRADE_DAILY_KEYS).agg(*[F.max(c).alias(c) for c in rest]).na.fill(0)
 
 
 # D8 -------------------------------------------------------------------------
