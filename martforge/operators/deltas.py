@@ -48,10 +48,13 @@ class TotalSpec:
     def columns(self) -> list[str]:
         return [*self.keys, ROWS, *self.sums, *(f"{c}_cnt" for c in self.sums)]
 
-    def signed(self, rows: DataFrame) -> DataFrame:
-        """Totals of rows with a ``sign`` of 1 or -1; exact for decimals."""
+    def signed(self, rows: DataFrame, *dealt: str) -> DataFrame:
+        """Totals of rows with a ``sign`` of 1 or -1; exact for decimals.
+
+        ``dealt``: further columns, each with one value per group, that the rows were dealt by.
+        """
         scale = {f.name: getattr(f.dataType, "scale", 0) for f in rows.schema.fields}
-        return rows.groupBy(*self.keys).agg(
+        return rows.groupBy(*dealt, *self.keys).agg(
             F.sum(SIGN).cast("long").alias(ROWS),
             *[F.coalesce(F.sum(F.col(c) * F.col(SIGN)), F.lit(0)).cast(f"decimal(38,{scale[c]})").alias(c) for c in self.sums],
             *[F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col(SIGN))), F.lit(0)).cast("long").alias(f"{c}_cnt") for c in self.sums],
@@ -84,7 +87,8 @@ def periods_in(df: DataFrame, period: str) -> list:
 def next_state(spark: SparkSession, spec: TotalSpec, delta: DataFrame, state: DataFrame | None, period: str, batch: str) -> DataFrame:
     """The new rows of all periods that ``delta`` changes and that do not hold ``batch`` yet.
 
-    Only those partitions of ``state`` are read. The result is materialised, so it may replace
+    Only those partitions of ``state`` are read, and only periods it holds are merged: the delta has one row
+    per group, so that of a new period is its state. The result is materialised, so it may replace
     partitions of the very table it was read from.
     """
     if period not in spec.keys:
@@ -92,14 +96,17 @@ def next_state(spark: SparkSession, spec: TotalSpec, delta: DataFrame, state: Da
     delta = materialize(delta)
     touched = periods_in(delta, period)
     kinds = dict(delta.select(*spec.columns()).dtypes)
-    if state is None:
-        old = spark.createDataFrame([], delta.select(*spec.columns()).schema).withColumn(BATCH, F.lit(""))
-    else:
+    held = []
+    if state is not None:
         old = state.filter(F.col(period).isin(touched))
         merged = {r[0]: r[1] for r in old.groupBy(period).agg(F.max(BATCH)).collect()}
         touched = [p for p in touched if merged.get(p, "") < batch]
-        old = old.filter(F.col(period).isin(touched))
-    new = spec.merged(old.filter(F.col(ROWS) > 0), delta.filter(F.col(period).isin(touched)))
+        held = [p for p in touched if p in merged]
+        old = old.filter(F.col(period).isin(held))
+    fresh = [p for p in touched if p not in held]
+    new = delta.filter(F.col(period).isin(fresh) & (F.col(ROWS) != 0)).select(*spec.columns())
+    if held:
+        new = new.unionByName(spec.merged(old.filter(F.col(ROWS) > 0), delta.filter(F.col(period).isin(held))))
     markers = spark.createDataFrame([(p,) for p in touched], f"{period} {kinds[period]}")
     markers = markers.select(*[F.col(c) if c == period else F.lit(0 if c == ROWS else None).cast(kinds[c]).alias(c) for c in spec.columns()])
     out = materialize(new.unionByName(markers).withColumn(BATCH, F.lit(batch)))

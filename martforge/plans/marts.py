@@ -31,9 +31,9 @@ from martforge.operators.snapshot import closest_to_midnight
 from martforge.operators.timeslice import (
     WEEK,
     DateLike,
+    by_week,
     clip_days,
     cover_zones,
-    by_week,
     fan_out_zones,
     filter_by_time,
     filter_by_time_end,
@@ -118,13 +118,20 @@ ORDER_DAILY_SUMS = [
 
 
 def order_daily(details: DataFrame, end: DateLike) -> DataFrame:
-    """D3: all orders up to ``end`` per zone-day and 13 keys."""
-    zoned = fan_out_zones(details, None, end).withColumn("is_cancelled", cancelled_flag("closed_type"))
-    return zoned.groupBy(*ORDER_DAILY_KEYS).agg(
+    """D3: all orders up to ``end`` per zone-day and 13 keys.
+
+    Orders are dealt by (week, owner, pair) once each and fanned out to the zones behind that
+    shuffle (see ``by_week``): a total of one order is wider than the order.
+    """
+    orders = details.filter(cover_zones(None, end)) if "ts_utc" in details.columns else details
+    orders = orders.withColumn("is_cancelled", cancelled_flag("closed_type"))
+    orders = by_week(orders.select("dt_utc", "dt_kst", *ORDER_DAILY_KEYS[2:], "price", "price_usd", *ORDER_DAILY_SUMS))
+    zoned = fan_out_zones(orders.repartition(WEEK, "owner", "pair_address"), None, end)
+    return zoned.groupBy(WEEK, *ORDER_DAILY_KEYS).agg(
         exact_avg("price").alias("avg_price"),
         exact_avg("price_usd").alias("avg_price_usd"),
         *[money_sum(c).alias(c) for c in ORDER_DAILY_SUMS],
-    )
+    ).drop(WEEK)
 
 
 # D4 -------------------------------------------------------------------------
