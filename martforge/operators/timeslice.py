@@ -166,6 +166,15 @@ def by_week(df: DataFrame) -> DataFrame:
     return df.select(*rest, F.inline(F.when(week("dt_utc") == week("dt_kst"), one).otherwise(two)))
 
 
+def deal_by_week(df: DataFrame, *keys: str) -> DataFrame:
+    """``by_week``, dealt by week and ``keys`` over all shuffle partitions.
+
+    Groups are wider than the rows they are made of, so the partitions must not be merged by the rows' size.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return by_week(df).repartition(tasks, WEEK, *keys)
+
+
 def clip_days(df: DataFrame, start: DateLike, end: DateLike, col: str = "bdate") -> DataFrame:
     """Re-apply ``[start, end)`` after dates were adjusted."""
     return df.filter(in_range(col, start, end))

@@ -31,9 +31,9 @@ from martforge.operators.snapshot import closest_to_midnight
 from martforge.operators.timeslice import (
     WEEK,
     DateLike,
-    by_week,
     clip_days,
     cover_zones,
+    deal_by_week,
     fan_out_zones,
     filter_by_time,
     filter_by_time_end,
@@ -121,12 +121,12 @@ def order_daily(details: DataFrame, end: DateLike) -> DataFrame:
     """D3: all orders up to ``end`` per zone-day and 13 keys.
 
     Orders are dealt by (week, owner, pair) once each and fanned out to the zones behind that
-    shuffle (see ``by_week``): a total of one order is wider than the order.
+    shuffle (see ``deal_by_week``): a total of one order is wider than the order.
     """
     orders = details.filter(cover_zones(None, end)) if "ts_utc" in details.columns else details
     orders = orders.withColumn("is_cancelled", cancelled_flag("closed_type"))
-    orders = by_week(orders.select("dt_utc", "dt_kst", *ORDER_DAILY_KEYS[2:], "price", "price_usd", *ORDER_DAILY_SUMS))
-    zoned = fan_out_zones(orders.repartition(WEEK, "owner", "pair_address"), None, end)
+    orders = orders.select("dt_utc", "dt_kst", *ORDER_DAILY_KEYS[2:], "price", "price_usd", *ORDER_DAILY_SUMS)
+    zoned = fan_out_zones(deal_by_week(orders, "owner", "pair_address"), None, end)
     return zoned.groupBy(WEEK, *ORDER_DAILY_KEYS).agg(
         exact_avg("price").alias("avg_price"),
         exact_avg("price_usd").alias("avg_price_usd"),
@@ -169,8 +169,8 @@ def order_matches_daily(matches: DataFrame, pairs: DataFrame, tokens: DataFrame,
     global order, so a range shuffle (and its sampling job) would buy nothing.
     """
     fills = matches.filter(cover_zones(start, end)) if "ts_utc" in matches.columns else matches
-    fills = by_week(fills.select("dt_utc", "dt_kst", "pair_address", "order_side", "price", "amount", "fee", "block"))
-    zoned = fan_out_zones(fills.repartition(WEEK, "pair_address", "order_side"), start, end)
+    fills = fills.select("dt_utc", "dt_kst", "pair_address", "order_side", "price", "amount", "fee", "block")
+    zoned = fan_out_zones(deal_by_week(fills, "pair_address", "order_side"), start, end)
     agg = zoned.groupBy(WEEK, "timezone_type", "bdate", "pair_address", "order_side").agg(
         exact_avg("price").alias("avg_price"),
         money_sum("amount").alias("total_amount"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from martforge.functions.scalars import cancelled_flag
 from martforge.operators import bitmaps
 from martforge.operators.deltas import TotalSpec, live, moved_rows, next_state, periods_in
-from martforge.operators.timeslice import WEEK, DateLike, as_date, by_week, cover_zones, fan_out_zones
+from martforge.operators.timeslice import WEEK, DateLike, as_date, cover_zones, deal_by_week, fan_out_zones
 from martforge.plans import marts
 from martforge.plans.daily import Batch, DexSources
 from martforge.quality import checks
@@ -60,8 +60,8 @@ def order_values(rows: DataFrame) -> DataFrame:
 
 def order_delta(moved: DataFrame, period: str = DAYS) -> DataFrame:
     """Signed D3 totals by raw keys, of both zones' days whether or not they have ended."""
-    orders = by_week(order_values(moved.filter(cover_zones(None, FOREVER))).drop("ts_utc"))
-    zoned = fan_out_zones(orders.repartition(WEEK, "owner", "pair_address"), None, FOREVER)
+    orders = order_values(moved.filter(cover_zones(None, FOREVER))).drop("ts_utc")
+    zoned = fan_out_zones(deal_by_week(orders, "owner", "pair_address"), None, FOREVER)
     return ORDER_TOTALS.signed(zoned.withColumn("period", period_of(F.col("bdate"), period)), WEEK).drop(WEEK)
 
 

@@ -115,3 +115,48 @@ def test_bridge_daily_of_many_prices(spark):
         assert r[0]["volume_usd"] == sum(a * b for a, b in zip(each, times))
         assert r[0]["amount"] == sum((v / 10**18).quantize(step) * b for v, b in zip(values, times)) * n
         assert r[0]["network_fee"] == 5 * (n // 2) * n and r[0]["network_fee_usd"] == 0
+
+
+def shuffles(df):
+    """Shuffles of a plan as it ran, without those that broadcast or are read again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_daily_marts_shuffle_their_rows_once(spark):
+    """Fills and orders are dealt once, as narrow as they are; groups with NULL names and both zones are whole."""
+    rows = spark.range(4000).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id % 700)").alias("ts_utc"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("P"), F.col("id") % 5)).alias("pair_name"), F.lit("0xp").alias("pair_address"),
+        F.concat(F.lit("B"), F.left(F.lit(""), (F.col("id") % 2).cast("int"))).alias("base_symbol"), F.when(F.col("id") % 3 > 0, "Q").alias("quote_symbol"), F.concat(F.lit("t"), F.col("id") % 900).alias("txhash"),
+        (F.col("id") % 2).cast("int").alias("order_side"), (F.col("id") % 2).cast("int").alias("is_taker"), F.col("id").alias("block"),
+        *[(F.col("id") + k).cast("decimal(12,2)").alias(c) for k, c in enumerate(("price", "amount", "volume", "volume_usd", "fee", "fee_usd"))],
+    ).withColumn("ts_kst", F.expr("ts_utc + interval 9 hours"))
+    rows = rows.withColumn("dt_utc", F.to_date("ts_utc")).withColumn("dt_kst", F.to_date("ts_kst"))
+    start, end = "2024-01-01", "2024-03-01"
+    both = [rows.withColumn("timezone_type", F.lit(z)).withColumn("bdate", F.col(f"dt_{z}")).filter(F.col("bdate").between("2024-01-01", "2024-02-29")) for z in ("utc", "kst")]
+    zoned = both[0].unionByName(both[1])
+
+    trades = marts.trade_daily(rows, start, end)
+    want = zoned.filter("is_taker = 1").groupBy(*marts.TRADE_DAILY_KEYS).agg(F.count_distinct("txhash").alias("tx_cnt"), F.sum("fee").cast("decimal(38,10)").alias("fee"))
+    got = trades.select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert shuffles(trades) == 1
+
+    pairs = spark.createDataFrame([("0xp", "P", "0xq", "0xb")], "pair_address string, pair_name string, quote_address string, base_address string")
+    tokens = spark.createDataFrame([("0xb", "Base", "B"), ("0xq", "Quote", "Q")], "address string, name string, symbol string")
+    fills = rows.drop("pair_name", "base_symbol", "quote_symbol")
+    matches = marts.order_matches_daily(fills, pairs, tokens, start, end)
+    want = zoned.groupBy("timezone_type", "bdate", "order_side").agg(F.sum("amount").cast("decimal(38,10)").alias("total_amount"), F.max("block").alias("last_block"))
+    got = matches.select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    plan = matches._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Generate inline(array") < plan.index("RepartitionByExpression")
+
+    tvl = spark.createDataFrame([("utc", dt.date(2024, 1, 1), None, "B", None, Decimal(7)), ("utc", dt.date(2025, 1, 1), None, None, "Q", Decimal(9))],
+                                "timezone_type string, bdate date, pair_name string, base_symbol string, quote_symbol string, tvl_usd decimal(38,10)")
+    joined = marts.trade_daily_with_tvl(trades, tvl, open_only=True)
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    have = {r["bdate"]: (r["tx_cnt"] > 0, r["tvl_usd"]) for r in joined.filter("tvl_usd > 0").collect()}
+    assert have == {dt.date(2024, 1, 1): (True, 7), dt.date(2025, 1, 1): (False, 9)} and joined.count() == trades.count() + 1
